@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidegate import fixed
-from tidegate.functions.dates import iso_date, iso_timestamp
+from tidegate.functions.dates import iso_day, iso_timestamp
 from tidegate.functions.text import is_blank
 from tidegate.model import ControlColumn, TargetType
 
@@ -41,7 +41,8 @@ def to_decimal(text: Column, precision: int, scale: int, error_flg: Column | Non
 
 
 def to_date(text: Column) -> Column:
-    return F.when(~is_blank(text), iso_date(text).try_cast("date"))
+    """The day of a date or timestamp text; null for other shapes."""
+    return F.when(~is_blank(text), iso_day(text).try_cast("date"))
 
 
 def to_timestamp(text: Column, zoned: bool = False) -> Column:
@@ -92,7 +93,7 @@ def typed_key(text: Column, kind: TargetType) -> Column:
     if family in ("float", "decimal"):
         return F.when(text.rlike(fixed.DECIMAL_PATTERN), text.try_cast("double"))
     if family == "date":
-        return iso_date(text).try_cast("date")
+        return iso_day(text).try_cast("date")
     if family == "timestamp":
         zoned = kind.name.lower().endswith("with time zone")
         return iso_timestamp(text, keep_zone=zoned).try_cast("timestamp" if zoned else "timestamp_ntz")

@@ -30,6 +30,11 @@ def iso_date(text: Column) -> Column:
     )
 
 
+def iso_day(text: Column) -> Column:
+    """The date part of a date or timestamp text in ISO form; null for other shapes."""
+    return F.when(text.rlike(TIMESTAMP), iso_date(F.regexp_extract(text, TIMESTAMP, 1)))
+
+
 def iso_timestamp(text: Column, keep_zone: bool = False) -> Column:
     """``yyyy-MM-dd HH:mm:ss[.f]`` from the accepted timestamp texts; null for other shapes."""
 
