@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime
@@ -18,7 +17,7 @@ from tidegate.model import ControlColumn, LoadSpec, RunContext, TargetType
 from tidegate.operators import control, inventory, keys, log, merge, rules, work
 from tidegate.plans import slo, warehouse
 from tidegate.plans.load import LoadOptions, check_work, load_rows
-from tidegate.session import scratch_dir
+from tidegate.session import scratch_dir, written
 from tidegate.sinks.tables import quarantine_split, unload_partitioned
 from tidegate.sources.catalog import discover_schemas
 from tidegate.sources.extract import bounded_extract, external_scan, incremental_extract
@@ -71,18 +70,13 @@ def _target(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _checked(spark: SparkSession, folder: str) -> DataFrame:
-    return check_work(_work(spark, folder), _target(spark, folder), ORDERS, LoadOptions(), has_deletes=True)
+    staged = written(_work(spark, folder), "staged")
+    return check_work(staged, _target(spark, folder), ORDERS, LoadOptions(), has_deletes=True)
 
 
-def scratch(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local session without one gets its own."""
-    try:
-        return scratch_dir(spark)
-    except ValueError:
-        if not spark.sparkContext.master.startswith("local"):
-            raise
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
-        return scratch_dir(spark)
+def _settled(spark: SparkSession, folder: str) -> DataFrame:
+    """Checked rows as a written table, for results that read them more than once."""
+    return written(_checked(spark, folder), "checked")
 
 
 # Extracts.
@@ -363,22 +357,22 @@ def flag_by_row_id(spark, folder):
 
 @query
 def update_from(spark, folder):
-    return merge.update_from(_target(spark, folder), _checked(spark, folder), ORDERS, CTX)
+    return merge.update_from(_target(spark, folder), _settled(spark, folder), ORDERS, CTX)
 
 
 @query
 def insert_missing(spark, folder):
-    return merge.insert_missing(_target(spark, folder), _checked(spark, folder), ORDERS, CTX)
+    return merge.insert_missing(_target(spark, folder), _settled(spark, folder), ORDERS, CTX)
 
 
 @query
 def delete_using(spark, folder):
-    return merge.delete_using(_target(spark, folder), _checked(spark, folder), ORDERS, CTX)
+    return merge.delete_using(_target(spark, folder), _settled(spark, folder), ORDERS, CTX)
 
 
 @query
 def merge_work(spark, folder):
-    return merge.merge_work(_target(spark, folder), _checked(spark, folder), ORDERS, CTX)
+    return merge.merge_work(_target(spark, folder), _settled(spark, folder), ORDERS, CTX)
 
 
 @query
@@ -467,7 +461,7 @@ def log_texts(spark, folder):
 @query
 def unload_scan(spark, folder):
     rows = table(spark, folder, "events")
-    path = f"{scratch(spark)}/unload-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/unload-{uuid.uuid4().hex}"
     unload_partitioned(rows, path, F.col("ts"))
     days = F.col("dt").between(F.lit(date(2024, 1, 5)), F.lit(date(2024, 1, 25)))
     return external_scan(spark, path, ["event_id", "user_id", "value", "dt"], days)
@@ -475,7 +469,7 @@ def unload_scan(spark, folder):
 
 @query
 def quarantine(spark, folder):
-    bad, good = quarantine_split(_checked(spark, folder))
+    bad, good = quarantine_split(_settled(spark, folder))
     sides = bad.select("o_orderkey", F.lit("error").alias("side"))
     return sides.unionByName(good.select("o_orderkey", F.lit("bk").alias("side")))
 

@@ -49,12 +49,7 @@ PRINTABLE_PATTERN = r"^[ -~]*\z"
 TRUE_TEXTS = ("TRUE", "True", "true")
 FALSE_TEXTS = ("FALSE", "False", "false")
 
-# Integer ranges, text length from which a number counts as overflow, float limit.
-INT_RANGES = {
-    "smallint": (-32768, 32767),
-    "integer": (-2147483648, 2147483647),
-    "bigint": (-9223372036854775808, 9223372036854775807),
-}
+# Text length from which a number counts as overflow, and the float limit.
 LONG_NUMBER = 20
 FLOAT_LIMIT = float("9" * 30)
 

@@ -6,42 +6,43 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidegate import fixed
-from tidegate.functions.dates import is_date, is_time, is_timestamp
+from tidegate.functions.dates import is_date, is_time_or_blank, is_timestamp
 from tidegate.functions.text import is_blank
-from tidegate.model import TargetType
+from tidegate.model import INT_CASTS, TargetType
 
 
-def _fails(text: Column, good: Column) -> Column:
-    """Blank texts are left to the Required rule."""
-    return F.coalesce(~is_blank(text) & ~good, F.lit(False))
+def _unlike(text: Column, pattern: str) -> Column:
+    """Not of the pattern. Blank texts are left to the Required rule."""
+    body = pattern.removeprefix("^").removesuffix(r"\z")
+    return F.coalesce(~text.rlike(rf"^(?:{body})?\z"), F.lit(False))
 
 
 def bad_int(text: Column) -> Column:
-    return _fails(text, text.rlike(fixed.INT_PATTERN))
+    return _unlike(text, fixed.INT_PATTERN)
 
 
 def bad_decimal(text: Column) -> Column:
-    return _fails(text, text.rlike(fixed.DECIMAL_PATTERN))
+    return _unlike(text, fixed.DECIMAL_PATTERN)
 
 
 def bad_bool(text: Column) -> Column:
-    return _fails(text, text.isin(*fixed.TRUE_TEXTS, *fixed.FALSE_TEXTS))
+    return F.coalesce(~text.isin("", *fixed.TRUE_TEXTS, *fixed.FALSE_TEXTS), F.lit(False))
 
 
 def not_single_byte(text: Column) -> Column:
-    return _fails(text, text.rlike(fixed.PRINTABLE_PATTERN))
+    return _unlike(text, fixed.PRINTABLE_PATTERN)
 
 
 def bad_date(text: Column) -> Column:
-    return _fails(text, F.coalesce(is_date(text), F.lit(False)))
+    return ~is_blank(text) & ~is_date(text)
 
 
 def bad_timestamp(text: Column) -> Column:
-    return _fails(text, F.coalesce(is_timestamp(text), F.lit(False)))
+    return ~is_blank(text) & ~is_timestamp(text)
 
 
 def bad_time(text: Column) -> Column:
-    return _fails(text, is_time(text))
+    return F.coalesce(~is_time_or_blank(text), F.lit(False))
 
 
 def _overflows(text: Column, beyond: Column) -> Column:
@@ -51,30 +52,38 @@ def _overflows(text: Column, beyond: Column) -> Column:
 
 
 def int_overflow(text: Column, family: str = "bigint") -> Column:
-    low, high = fixed.INT_RANGES[family]
-    whole = F.regexp_extract(text, r"^(-?[0-9]+)", 1).try_cast("decimal(20,0)")
-    return _overflows(text, (whole < F.lit(low)) | (whole > F.lit(high)))
+    whole = F.substring_index(text, ".", 1).try_cast(INT_CASTS[family])
+    return _overflows(text, whole.isNull())
 
 
 def decimal_overflow(text: Column, precision: int, scale: int) -> Column:
-    whole = r"[0-9]{1,%d}" % (precision - scale) if precision > scale else "0"
-    fraction = r"(\.[0-9]{1,%d})?" % scale if scale else ""
-    return _overflows(text, ~text.rlike(rf"^-?{whole}{fraction}\z"))
+    return _overflows(text, ~text.rlike(_fits_decimal(precision, scale)))
 
 
 def float_overflow(text: Column) -> Column:
     return _overflows(text, F.abs(text.try_cast("double")) > F.lit(fixed.FLOAT_LIMIT))
 
 
+def _fits_decimal(precision: int, scale: int) -> str:
+    whole = r"[0-9]{1,%d}" % (precision - scale) if precision > scale else "0"
+    fraction = r"(?:\.[0-9]{1,%d})?" % scale if scale else ""
+    return rf"^-?{whole}{fraction}\z"
+
+
 def bad_type(text: Column, kind: TargetType) -> Column | None:
-    """Wrong spelling or overflow for a target type; None where the type accepts any text."""
+    """Wrong spelling or overflow for a target type; None where the type accepts any text.
+
+    For numbers this is the spelling rule or the overflow rule of the family, in one test each.
+    """
     family = kind.family
-    if family in fixed.INT_RANGES:
-        return bad_int(text) | int_overflow(text, family)
+    too_wide = F.coalesce(F.length(text) >= fixed.LONG_NUMBER, F.lit(False))
+    if family in INT_CASTS:
+        unread = F.nullif(text, F.lit("")).isNotNull() & text.try_cast(INT_CASTS[family]).isNull()
+        return bad_int(text) | too_wide | unread
     if family == "decimal":
-        return bad_decimal(text) | decimal_overflow(text, kind.precision, kind.scale)
+        return _unlike(text, _fits_decimal(kind.precision, kind.scale)) | too_wide
     if family == "float":
-        return bad_decimal(text) | float_overflow(text)
+        return bad_decimal(text) | too_wide
     if family == "boolean":
         return bad_bool(text)
     if family == "date":

@@ -6,12 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidegate import fixed
-from tidegate.functions.dates import iso_day, iso_timestamp
+from tidegate.functions.dates import as_date, as_timestamp
 from tidegate.functions.text import is_blank
-from tidegate.model import ControlColumn, TargetType
-
-INT_NAMES = {"smallint": "smallint", "integer": "int", "bigint": "bigint"}
-
+from tidegate.model import INT_CASTS, ControlColumn, TargetType
 
 def _number(text: Column, good: Column, zero: Column) -> Column:
     """Blank is null, text that is no number is zero."""
@@ -20,8 +17,8 @@ def _number(text: Column, good: Column, zero: Column) -> Column:
 
 def to_int(text: Column, family: str = "bigint") -> Column:
     """The integer part of a number text; null beyond the type's range."""
-    name = INT_NAMES[family]
-    whole = F.regexp_extract(text, r"^(-?[0-9]+)", 1).try_cast(name)
+    name = INT_CASTS[family]
+    whole = F.substring_index(text, ".", 1).try_cast(name)
     return _number(text, whole, F.lit(0).cast(name))
 
 
@@ -41,13 +38,12 @@ def to_decimal(text: Column, precision: int, scale: int, error_flg: Column | Non
 
 
 def to_date(text: Column) -> Column:
-    """The day of a date or timestamp text; null for other shapes."""
-    return F.when(~is_blank(text), iso_day(text).try_cast("date"))
+    """Blank and unreadable texts are null."""
+    return as_date(text)
 
 
 def to_timestamp(text: Column, zoned: bool = False) -> Column:
-    name = "timestamp" if zoned else "timestamp_ntz"
-    return F.when(~is_blank(text), iso_timestamp(text, keep_zone=zoned).try_cast(name))
+    return as_timestamp(text, zoned)
 
 
 def to_string(text: Column) -> Column:
@@ -66,7 +62,7 @@ def to_bool(text: Column) -> Column:
 def to_target(text: Column, kind: TargetType, error_flg: Column | None = None) -> Column:
     """The conversion that belongs to a target type; unknown types pass through."""
     family = kind.family
-    if family in INT_NAMES:
+    if family in INT_CASTS:
         return to_int(text, family)
     if family == "float":
         return to_float(text)
@@ -88,15 +84,14 @@ def to_target(text: Column, kind: TargetType, error_flg: Column | None = None) -
 def typed_key(text: Column, kind: TargetType) -> Column:
     """A key value for matching against a target; null, hence no match, where the text does not fit."""
     family = kind.family
-    if family in INT_NAMES:
+    if family in INT_CASTS:
         return F.when(text.rlike(fixed.INT_PATTERN), text.try_cast("bigint"))
     if family in ("float", "decimal"):
         return F.when(text.rlike(fixed.DECIMAL_PATTERN), text.try_cast("double"))
     if family == "date":
-        return iso_day(text).try_cast("date")
+        return as_date(text)
     if family == "timestamp":
-        zoned = kind.name.lower().endswith("with time zone")
-        return iso_timestamp(text, keep_zone=zoned).try_cast("timestamp" if zoned else "timestamp_ntz")
+        return as_timestamp(text, zoned=kind.name.lower().endswith("with time zone"))
     if family == "boolean":
         return to_bool(text)
     return text

@@ -1,63 +1,59 @@
-"""Date and time texts: normalising to ISO form."""
+"""Date and time texts.
+
+Each text goes through one regular expression that rewrites it to ISO form, or to a form no cast accepts; a cast
+then decides about the calendar.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Two digits each with optional separators, or one or two digits between two separators.
-COMPACT_DATE = r"^([0-9]{4})[/-]?([0-9]{2})[/-]?([0-9]{2})\z"
-PARTED_DATE = r"^([0-9]{4})[/-]([0-9]{1,2})[/-]([0-9]{1,2})\z"
-CHECKED_YEARS = r"^(19|2[0-9])[0-9]{2}"
-
-ZONE = r"(Z|\+(?:0[0-9]|1[0-4]):?[0-5][0-9]|-(?:0[0-9]|1[0-2]):?[0-5][0-9])?"
-TIME_OF_DAY = r"([01][0-9]|2[0-3]):?([0-5][0-9])"
-TIMESTAMP = r"^([0-9/-]+)(?:[ T]" + TIME_OF_DAY + r"(?::?([0-5][0-9])(\.[0-9]{1,6})?)?" + ZONE + r")?\z"
-TIME = r"^" + TIME_OF_DAY + r":?[0-5][0-9](\.[0-9]{1,3})?" + ZONE + r"\z"
-
+_ANY_YEAR = r"[0-9]{4}"
+_CHECKED_YEAR = r"19[0-9]{2}|2[0-9]{3}"
 
-def iso_date(text: Column) -> Column:
-    """``yyyy-MM-dd`` from ``yyyy/M/d``, ``yyyy-MM-dd`` or ``yyyyMMdd``; null for other shapes."""
 
-    def part(pattern: str, group: int) -> Column:
-        return F.lpad(F.regexp_extract(text, pattern, group), 2 if group > 1 else 4, "0")
+def _date(year: str) -> str:
+    """Groups 1-5: two-digit month and day with optional separators, or one or two digits between separators."""
+    return rf"({year})(?:[/-]?([0-9]{{2}})[/-]?([0-9]{{2}})|[/-]([0-9]{{1,2}})[/-]([0-9]{{1,2}}))"
 
-    def joined(pattern: str) -> Column:
-        return F.concat_ws("-", *(part(pattern, g) for g in (1, 2, 3)))
 
-    return F.when(text.rlike(COMPACT_DATE), joined(COMPACT_DATE)).when(
-        text.rlike(PARTED_DATE), joined(PARTED_DATE)
-    )
+_ZONE = r"(Z|\+(?:0[0-9]|1[0-4]):?[0-5][0-9]|-(?:0[0-9]|1[0-2]):?[0-5][0-9])?"
+_CLOCK = r"([01][0-9]|2[0-3]):?([0-5][0-9])"
+# Groups 6-10: hour, minute, second, fraction, zone.
+_MOMENT = r"(?:[ T]" + _CLOCK + r"(?::?([0-5][0-9])(\.[0-9]{1,6})?)?" + _ZONE + r")?"
+_TIME = r"^(?:" + _CLOCK + r":?[0-5][0-9](?:\.[0-9]{1,3})?" + _ZONE + r")?\z"
 
+_ISO_DATE = "$1-$2$4-$3$5"
 
-def iso_day(text: Column) -> Column:
-    """The date part of a date or timestamp text in ISO form; null for other shapes."""
-    return F.when(text.rlike(TIMESTAMP), iso_date(F.regexp_extract(text, TIMESTAMP, 1)))
 
+def _whole(pattern: str) -> str:
+    """The pattern, or any other text with all groups unset."""
+    return rf"(?s)^(?:{pattern}|.*)\z"
 
-def iso_timestamp(text: Column, keep_zone: bool = False) -> Column:
-    """``yyyy-MM-dd HH:mm:ss[.f]`` from the accepted timestamp texts; null for other shapes."""
 
-    def part(group: int) -> Column:
-        return F.regexp_extract(text, TIMESTAMP, group)
+def as_date(text: Column) -> Column:
+    """The day of a date or timestamp text such as ``2024-01-31``, ``2024/1/31`` or ``20240131``; else null."""
+    return F.regexp_replace(text, _whole(_date(_ANY_YEAR) + _MOMENT), _ISO_DATE).try_cast("date")
 
-    def two(group: int) -> Column:
-        return F.when(part(group) == "", "00").otherwise(part(group))
 
-    stamp = F.concat(iso_date(part(1)), F.lit(" "), two(2), F.lit(":"), two(3), F.lit(":"), two(4), part(5))
-    if keep_zone:
-        stamp = F.concat(stamp, part(6))
-    return F.when(text.rlike(TIMESTAMP), stamp)
+def as_timestamp(text: Column, zoned: bool = False) -> Column:
+    """The time of a date or timestamp text; missing parts are zero. A zone counts for zoned columns only."""
+    parts = _ISO_DATE + " $6:$7:$8$9" + ("$10" if zoned else "")
+    iso = F.regexp_replace(text, _whole(_date(_ANY_YEAR) + _MOMENT), parts)
+    full = F.replace(F.regexp_replace(iso, r":(?![0-9])", ":00"), F.lit(" :00:00"), F.lit(" 00:00:00"))
+    return full.try_cast("timestamp" if zoned else "timestamp_ntz")
 
 
 def is_date(text: Column) -> Column:
     """A calendar day of the years 1900 to 2999."""
-    return text.rlike(CHECKED_YEARS) & iso_date(text).try_cast("date").isNotNull()
+    return F.regexp_replace(text, _whole(_date(_CHECKED_YEAR)), _ISO_DATE).try_cast("date").isNotNull()
 
 
 def is_timestamp(text: Column) -> Column:
-    return text.rlike(TIMESTAMP) & is_date(F.regexp_extract(text, TIMESTAMP, 1))
+    """Such a day, with or without a time of day."""
+    return F.regexp_replace(text, _whole(_date(_CHECKED_YEAR) + _MOMENT), _ISO_DATE).try_cast("date").isNotNull()
 
 
-def is_time(text: Column) -> Column:
-    return text.rlike(TIME)
+def is_time_or_blank(text: Column) -> Column:
+    return text.rlike(_TIME)

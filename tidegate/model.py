@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 
 from tidegate import fixed
 
+# Integer families and the Spark types they are cast to.
+INT_CASTS = {"smallint": "smallint", "integer": "int", "bigint": "bigint"}
+
 CONTROL_SCHEMA = T.StructType(
     [
         T.StructField("aurora_schema", T.StringType()),

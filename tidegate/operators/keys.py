@@ -9,21 +9,21 @@ from pyspark.sql import functions as F
 
 from tidegate import fixed
 from tidegate.functions.convert import canonical_key, typed_key
-from tidegate.model import LoadSpec
+from tidegate.model import INT_CASTS, LoadSpec
 from tidegate.operators import skew
 from tidegate.operators.rules import (
     DUPLICATE_AT,
-    ERRORS,
     NO_TARGET_AT,
     duplicate_message,
     with_error_if,
-    with_errors,
 )
 from tidegate.operators.work import is_live, live_rows, rows_of_division
+from tidegate.session import written
 
 _COUNT = "row_cnt"
 _ALL = "__all"
 _FOUND = "__found"
+_GONE = "__gone"
 
 
 def duplicate_keys(work: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -33,39 +33,51 @@ def duplicate_keys(work: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def with_duplicate_count(
-    work: DataFrame, keys: Sequence[str], rows_per_group: int = skew.ROWS_PER_GROUP
+    work: DataFrame,
+    keys: Sequence[str],
+    counted: DataFrame | None = None,
+    rows_per_group: int = skew.ROWS_PER_GROUP,
+    broadcast_bytes: int = skew.BROADCAST_BYTES,
 ) -> DataFrame:
-    """Add ``row_cnt``, the size of the row's duplicate group; null where the key is unique or null."""
-    counts = work.groupBy(*keys).agg(F.count_if(is_live()).alias(_COUNT), F.count(F.lit(1)).alias(_ALL))
+    """Add ``row_cnt``, the size of the row's duplicate group; null where the key is unique or null.
+
+    ``counted`` may give the same rows before other columns were added, to keep the count's own plan short.
+    """
+    rows = work if counted is None else counted
+    counts = rows.groupBy(*keys).agg(F.count_if(is_live()).alias(_COUNT), F.count(F.lit(1)).alias(_ALL))
+    repeated = F.col(_COUNT) > 1
     # Rows without a division are joined too, so they count for the layout.
-    hot = skew.hot_keys(counts, keys, _ALL, rows_per_group)
-    found = counts.where(F.col(_COUNT) > 1).select(*keys, _COUNT)
-    return skew.lookup_join(work, found, keys, [_COUNT], hot)
+    lookup = counts.where(repeated | (F.col(_ALL) > rows_per_group)).withColumn(_COUNT, F.when(repeated, F.col(_COUNT)))
+    return skew.lookup_join(work, lookup, keys, [_COUNT], _ALL, rows_per_group, broadcast_bytes)
 
 
-def rows_with_duplicate_key(
-    work: DataFrame, keys: Sequence[str], rows_per_group: int = skew.ROWS_PER_GROUP
-) -> DataFrame:
+def rows_with_duplicate_key(work: DataFrame, keys: Sequence[str], **layout: int) -> DataFrame:
     """All copies of rows whose key occurs more than once."""
-    return with_duplicate_count(work, keys, rows_per_group).where(F.col(_COUNT).isNotNull()).drop(_COUNT)
+    return with_duplicate_count(work, keys, **layout).where(F.col(_COUNT).isNotNull()).drop(_COUNT)
 
 
-def check_duplicates(work: DataFrame, spec: LoadSpec, rows_per_group: int = skew.ROWS_PER_GROUP) -> DataFrame:
+def check_duplicates(work: DataFrame, spec: LoadSpec, counted: DataFrame | None = None, **layout: int) -> DataFrame:
     """Add the duplicate-key error to all copies.
 
     Keys compare in the spelling they convert to, so that ``1`` and ``01`` cannot both reach the target.
     """
-    names = [f"__key{i}" for i in range(len(spec.keys))]
-    keyed = work.withColumns({n: canonical_key(spec.column(k)) for n, k in zip(names, spec.keys)})
-    marked = with_duplicate_count(keyed, names, rows_per_group)
-    found = F.col(_COUNT).isNotNull()
-    return with_error_if(marked, found, DUPLICATE_AT, "Error004", None, duplicate_message(spec.keys)).drop(
-        _COUNT, *names
+    canonical = {f"__key{i}": canonical_key(spec.column(k)) for i, k in enumerate(spec.keys)}
+    names = list(canonical)
+    marked = with_duplicate_count(
+        work.withColumns(canonical), names, None if counted is None else counted.withColumns(canonical), **layout
     )
+    found = F.col(_COUNT).isNotNull()
+    checked = with_error_if(marked, found, DUPLICATE_AT, "Error004", None, duplicate_message(spec.keys))
+    return checked.drop(_COUNT, *names)
 
 
-def _typed_keys(spec: LoadSpec) -> dict[str, Column]:
-    return {f"__key{i}": typed_key(F.col(f"`{k}`"), spec.column(k).type) for i, k in enumerate(spec.keys)}
+def _delete_keys(spec: LoadSpec) -> dict[str, Column]:
+    """Typed keys of delete rows; null for all other rows."""
+    is_delete = F.col("process_div") == fixed.DELETE
+    return {
+        f"__key{i}": F.when(is_delete, typed_key(F.col(f"`{k}`"), spec.column(k).type))
+        for i, k in enumerate(spec.keys)
+    }
 
 
 def _target_keys(target: DataFrame, spec: LoadSpec) -> DataFrame:
@@ -74,7 +86,7 @@ def _target_keys(target: DataFrame, spec: LoadSpec) -> DataFrame:
     for i, key in enumerate(spec.keys):
         family = spec.column(key).type.family
         value = F.col(f"`{key}`")
-        if family in fixed.INT_RANGES:
+        if family in INT_CASTS:
             value = value.cast("bigint")
         elif family in ("float", "decimal"):
             value = value.cast("double")
@@ -83,40 +95,47 @@ def _target_keys(target: DataFrame, spec: LoadSpec) -> DataFrame:
 
 
 def _with_missing(
-    deletes: DataFrame, target: DataFrame, spec: LoadSpec, rows_per_group: int
+    work: DataFrame,
+    target: DataFrame,
+    spec: LoadSpec,
+    counted: DataFrame | None = None,
+    rows_per_group: int = skew.ROWS_PER_GROUP,
+    broadcast_bytes: int = skew.BROADCAST_BYTES,
 ) -> tuple[DataFrame, Column, list[str]]:
-    """Delete rows with helper columns, and the condition that a row's key has no target row."""
-    typed = _typed_keys(spec)
+    """Rows with helper columns, and the condition that a row is a delete without a target row."""
+    typed = _delete_keys(spec)
     names = list(typed)
-    keyed = deletes.withColumns(typed)
-    wanted = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias(_COUNT))
-    present = skew.present_keys(_target_keys(target, spec), wanted, names)
-    hot = skew.hot_keys(wanted, names, _COUNT, rows_per_group)
-    marked = skew.lookup_join(keyed, present.withColumn(_FOUND, F.lit(True)), names, [_FOUND], hot)
-    return marked, F.col(_FOUND).isNull(), [_FOUND, *names]
+    unreadable = F.lit(False)
+    for name in names:
+        unreadable = unreadable | F.col(name).isNull()
+    rows = work if counted is None else counted
+    wanted = written(rows.withColumns(typed).groupBy(*names).agg(F.count(F.lit(1)).alias(_ALL)), "wanted")
+    present = skew.present_keys(_target_keys(target, spec), wanted.where(~unreadable), names)
+    found = wanted.join(present.withColumn(_FOUND, F.lit(True)), names, "left")
+    gone = ~unreadable & F.col(_FOUND).isNull()
+    lookup = found.select(*names, _ALL, F.when(gone, True).alias(_GONE)).where(
+        F.col(_GONE) | (F.col(_ALL) > rows_per_group)
+    )
+    marked = skew.lookup_join(work.withColumns(typed), lookup, names, [_GONE], _ALL, rows_per_group, broadcast_bytes)
+    missing = (F.col("process_div") == fixed.DELETE) & (unreadable | F.col(_GONE).isNotNull())
+    return marked, missing, [_GONE, *names]
 
 
-def delete_target_missing(
-    work: DataFrame, target: DataFrame, spec: LoadSpec, rows_per_group: int = skew.ROWS_PER_GROUP
-) -> DataFrame:
+def delete_target_missing(work: DataFrame, target: DataFrame, spec: LoadSpec, **layout: int) -> DataFrame:
     """Delete rows whose key has no target row. A key that cannot be read as the target's type has none."""
     deletes = rows_of_division(work, fixed.DELETE)
-    marked, missing, helpers = _with_missing(deletes, target, spec, rows_per_group)
+    marked, missing, helpers = _with_missing(deletes, target, spec, **layout)
     return marked.where(missing).drop(*helpers)
 
 
 def check_delete_targets(
-    work: DataFrame, target: DataFrame, spec: LoadSpec, rows_per_group: int = skew.ROWS_PER_GROUP
+    work: DataFrame, target: DataFrame, spec: LoadSpec, counted: DataFrame | None = None, **layout: int
 ) -> DataFrame:
-    """Add the missing-target error to delete rows. Only they are joined; the other rows pass by."""
-    deletes = rows_of_division(work, fixed.DELETE)
-    others = work.where(F.col("process_div").isNull() | (F.col("process_div") != fixed.DELETE))
-    marked, missing, helpers = _with_missing(deletes, target, spec, rows_per_group)
+    """Add the missing-target error to delete rows."""
+    marked, missing, helpers = _with_missing(work, target, spec, counted, **layout)
     label = ",".join(k.upper() for k in spec.keys)
     checked = with_error_if(marked, missing, NO_TARGET_AT, "Error001", label, fixed.MESSAGES["Error001"])
-    if ERRORS not in others.columns:
-        others = with_errors(others, [])
-    return checked.drop(*helpers).unionByName(others)
+    return checked.drop(*helpers)
 
 
 def customer_errors(work: DataFrame, customer_id: str, column: str = "customer_id") -> DataFrame:
@@ -124,9 +143,8 @@ def customer_errors(work: DataFrame, customer_id: str, column: str = "customer_i
     return live_rows(work).where(F.col(column) != customer_id)
 
 
-def flag_by_row_id(work: DataFrame, ids: DataFrame, row_id: str) -> DataFrame:
+def flag_by_row_id(work: DataFrame, ids: DataFrame, row_id: str, **layout: int) -> DataFrame:
     """Set the error flag of the rows whose id is listed."""
-    listed = ids.select(row_id).distinct().withColumn("__listed", F.lit(True))
-    marked = skew.lookup_join(work, listed, [row_id], ["__listed"])
-    return marked.withColumn("error_flg", F.col("error_flg") | F.coalesce("__listed", F.lit(False))).drop("__listed")
-
+    listed = ids.groupBy(row_id).agg(F.count(F.lit(1)).alias(_ALL)).withColumn(_FOUND, F.lit(True))
+    marked = skew.lookup_join(work, listed, [row_id], [_FOUND], _ALL, **layout)
+    return marked.withColumn("error_flg", F.col("error_flg") | F.coalesce(_FOUND, F.lit(False))).drop(_FOUND)

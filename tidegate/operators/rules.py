@@ -128,12 +128,16 @@ def row_rules(spec: LoadSpec, only: Sequence[str] = ROW_RULES) -> list[RowRule]:
 
 
 def errors_of(rules: Sequence[RowRule]) -> Column:
-    """The errors of a row; only live rows have any."""
+    """The errors of a row; only live rows have any. The array is built for rows that fail a rule."""
     empty = F.array().cast(T.ArrayType(ERROR_TYPE))
     if not rules:
         return empty
-    found = F.array(*(F.when(F.coalesce(r.condition, F.lit(False)), r.error()) for r in rules))
-    return F.when(is_live(), F.array_compact(found).cast(T.ArrayType(ERROR_TYPE))).otherwise(empty)
+    conditions = [F.coalesce(r.condition, F.lit(False)) for r in rules]
+    fails = F.lit(False)
+    for condition in conditions:
+        fails = fails | condition
+    found = F.array(*(F.when(c, r.error()) for c, r in zip(conditions, rules)))
+    return F.when(is_live() & fails, F.array_compact(found).cast(T.ArrayType(ERROR_TYPE))).otherwise(empty)
 
 
 def with_errors(work: DataFrame, rules: Sequence[RowRule]) -> DataFrame:

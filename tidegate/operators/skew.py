@@ -1,8 +1,9 @@
 """Joins against a unique lookup that stay even when one key holds a large share of the rows.
 
-The lookup's own counts tell which keys are hot. Rows of a hot key are dealt over several join groups and the
-lookup row is repeated once per group, so no task gets a whole hot key. The list of hot keys is bounded by
-construction; which keys are on it changes the layout only, never the result.
+The lookup is written first, so its exact size is known: an empty one needs no join, a small one is broadcast and
+the rows are not shuffled at all. A large one is joined by shuffle. Its counts tell which keys are hot; rows of a
+hot key are dealt over several join groups and the lookup row is repeated once per group, so no task gets a whole
+hot key. Which keys are treated as hot changes the layout only, never the result.
 """
 
 from __future__ import annotations
@@ -12,14 +13,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegate.session import written
+
 ROWS_PER_GROUP = 1_000_000
 MAX_HOT_KEYS = 10_000
-BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
+_ROW_BYTES = 64
 
 _GROUPS = "__groups"
 _GROUP = "__group"
 
 
+def _same(left: str, right: str, keys: Sequence[str], null_safe: bool = False) -> Column:
+    condition = F.lit(True)
+    for key in keys:
+        ours, theirs = F.col(f"{left}.`{key}`"), F.col(f"{right}.`{key}`")
+        condition = condition & (ours.eqNullSafe(theirs) if null_safe else ours == theirs)
+    return condition
+
+
+def size_of(df: DataFrame) -> tuple[int, int]:
+    """Rows and approximate bytes in memory of a (written) frame."""
+    widths = [F.octet_length(F.col(f"`{c}`").cast("string")) for c in df.columns]
+    width = sum((F.coalesce(w, F.lit(0)) for w in widths), F.lit(_ROW_BYTES))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
+    return row["n"], row["b"]
+
+
 def hot_keys(counts: DataFrame, keys: Sequence[str], count: str, rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
     """The largest keys with the number of groups each is dealt into; at most ``MAX_HOT_KEYS`` rows."""
     groups = F.ceil(F.col(count) / F.lit(rows_per_group)).cast("int")
@@ -31,35 +51,16 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], count: str, rows_per_group:
     )
 
 
-def _same(left: str, right: str, keys: Sequence[str], null_safe: bool = False) -> Column:
-    condition = F.lit(True)
-    for key in keys:
-        ours, theirs = F.col(f"{left}.`{key}`"), F.col(f"{right}.`{key}`")
-        condition = condition & (ours.eqNullSafe(theirs) if null_safe else ours == theirs)
-    return condition
-
-
 def _with_groups(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     # Null keys match nothing later on, yet they share a hash: a hot null is dealt out like any other key.
     joined = df.alias("l").join(F.broadcast(hot).alias("h"), _same("l", "h", keys, null_safe=True), "left")
     return joined.select("l.*", F.coalesce(F.col(f"h.{_GROUPS}"), F.lit(1)).alias(_GROUPS))
 
 
-def lookup_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    values: Sequence[str],
-    hot: DataFrame | None = None,
+def _dealt_join(
+    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], values: Sequence[str], count: str, rows_per_group: int
 ) -> DataFrame:
-    """Left join of ``rows`` to a lookup that is unique by ``keys``, adding ``values``.
-
-    ``hot`` comes from :func:`hot_keys`. Without it the layout is left to runtime re-planning, which splits the
-    left side of such a join by itself.
-    """
-    if hot is None:
-        joined = rows.alias("l").join(lookup.alias("r"), _same("l", "r", keys), "left")
-        return joined.select("l.*", *(F.col(f"r.`{v}`") for v in values))
+    hot = hot_keys(lookup, keys, count, rows_per_group)
     # Full copies of a row share a hash, their task does not: the partition number deals them apart and is the
     # same again when a task is repeated.
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *(F.col(f"`{c}`") for c in rows.columns)), F.col(_GROUPS))
@@ -68,8 +69,33 @@ def lookup_join(
     right = right.withColumn(_GROUP, F.explode(F.sequence(F.lit(0), F.col(_GROUPS) - 1))).drop(_GROUPS)
     condition = _same("l", "r", keys) & (F.col(f"l.{_GROUP}") == F.col(f"r.{_GROUP}"))
     joined = left.alias("l").join(right.alias("r"), condition, "left")
-    kept = [F.col(f"l.`{c}`") for c in rows.columns]
-    return joined.select(*kept, *(F.col(f"r.`{v}`") for v in values))
+    return joined.select(*(F.col(f"l.`{c}`") for c in rows.columns), *(F.col(f"r.`{v}`") for v in values))
+
+
+def lookup_join(
+    rows: DataFrame,
+    lookup: DataFrame,
+    keys: Sequence[str],
+    values: Sequence[str],
+    count: str,
+    rows_per_group: int = ROWS_PER_GROUP,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Left join of ``rows`` to a lookup that is unique by ``keys``, adding ``values``.
+
+    ``count`` is the lookup's column with the number of ``rows`` that share the key; hot keys belong in the lookup
+    even if they have no value to give. Null keys match nothing.
+    """
+    table = written(lookup, "lookup")
+    held, size = size_of(table)
+    if not held:
+        kinds = {f.name: f.dataType for f in lookup.schema.fields}
+        return rows.withColumns({v: F.lit(None).cast(kinds[v]) for v in values})
+    if size > broadcast_bytes:
+        return _dealt_join(rows, table, keys, values, count, rows_per_group)
+    small = F.broadcast(table.select(*keys, *values))
+    joined = rows.alias("l").join(small.alias("r"), _same("l", "r", keys), "left")
+    return joined.select("l.*", *(F.col(f"r.`{v}`") for v in values))
 
 
 def present_keys(target: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:

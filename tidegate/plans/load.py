@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidegate import fixed
 from tidegate.model import LoadSpec, RunContext, TargetType
 from tidegate.operators import control, keys, log, merge, rules, work
+from tidegate.session import written
 from tidegate.sinks.replace import swap_location
 from tidegate.sinks.tables import append_log, truncate_and_load
 from tidegate.sources.extract import incremental_extract
@@ -69,25 +70,31 @@ def check_work(
     has_deletes: bool = False,
     has_replace: bool = False,
 ) -> DataFrame:
-    """Work rows with ``errors`` and the error flag: row rules in one pass, then the checks by key."""
+    """Staged rows with ``errors`` and the error flag: row rules and the checks by key, in one pass over the rows.
+
+    The key checks count over the staged rows first, which therefore have to be a written table.
+    """
     if options.require_keys:
         spec = _with_required_keys(spec)
     found = rules.row_rules(spec, options.row_rules)
     found += rules.division_rules(has_updates or has_deletes, has_replace)
     checked = rules.with_errors(staged, found)
     if options.check_duplicates:
-        checked = keys.check_duplicates(checked, spec)
+        checked = keys.check_duplicates(checked, spec, staged)
     if has_deletes and options.check_delete_targets:
-        checked = keys.check_delete_targets(checked, target, spec)
+        checked = keys.check_delete_targets(checked, target, spec, staged)
     return rules.flag_rows(checked)
 
 
 def load_rows(
     source: DataFrame, target: DataFrame, spec: LoadSpec, ctx: RunContext, options: LoadOptions = LoadOptions()
 ) -> tuple[DataFrame, DataFrame]:
-    """Extract, check and merge as one lazy plan: ``(checked work rows, new target)``. Upserts only."""
-    staged = work.to_work(incremental_extract(source, ctx), spec, ctx)
-    checked = check_work(staged, target, spec, options)
+    """Extract, check and merge without touching any named table: ``(checked work rows, new target)``.
+
+    Staged and checked rows go to the shared scratch folder.
+    """
+    staged = written(work.to_work(incremental_extract(source, ctx), spec, ctx), "staged")
+    checked = written(check_work(staged, target, spec, options), "checked")
     return checked, merge.merge_work(target, checked, spec, ctx)
 
 

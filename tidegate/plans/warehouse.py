@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidegate import fixed
 from tidegate.operators.neighbours import ROWS_PER_SLOT, with_neighbour
-from tidegate.operators.skew import BROADCAST_ROWS
 
 
 def build_mart(
@@ -74,9 +73,7 @@ def late_binding_view(spark: SparkSession, name: str, *readers: Callable[[], Dat
 
 def row_level_filter(rows: DataFrame, entitlements: DataFrame, principal: str, on: Sequence[str]) -> DataFrame:
     """The rows a principal may see: those whose ``on`` values the entitlement table lists for it."""
-    allowed = entitlements.where(F.col("principal") == principal).select(*on).distinct()
-    if allowed.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        allowed = F.broadcast(allowed)
+    allowed = entitlements.where(F.col("principal") == principal).select(*on)
     return rows.join(allowed, list(on), "left_semi")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark import StorageLevel
@@ -29,12 +30,17 @@ def build_session(app: str = "tidegate", master: str | None = None, **conf: str)
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a job without one has to set it first."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    A local session without one gets a folder of its own; on a cluster it has to be set.
+    """
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not path:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+        path = context.getCheckpointDir()
     return path.rstrip("/")
 
 
