@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _fresh_folder(root: str, version: str) -> str:
+    # Unique: a repeated run must not write over the folder that the table still reads.
+    return f"{root}/{version}-{uuid.uuid4().hex[:8]}"
+
+
 def create_versioned(rows: DataFrame, table: str, root: str, version: str) -> None:
     """A table over a version folder, to be replaced by :func:`swap_location`."""
-    spark = rows.sparkSession
-    path = f"{root}/{version}"
+    path = _fresh_folder(root, version)
     rows.write.parquet(path)
-    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+    rows.sparkSession.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
 
 
 def swap_location(rows: DataFrame, table: str, root: str, version: str) -> None:
@@ -20,8 +26,8 @@ def swap_location(rows: DataFrame, table: str, root: str, version: str) -> None:
     table as it was.
     """
     spark = rows.sparkSession
-    path = f"{root}/{version}"
-    rows.write.mode("overwrite").parquet(path)
+    path = _fresh_folder(root, version)
+    rows.write.parquet(path)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     spark.catalog.refreshTable(table)
 
