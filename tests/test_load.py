@@ -1,12 +1,12 @@
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidegate.model import CONTROL_SCHEMA, RunContext
+from tidegate.model import CONTROL_SCHEMA, ControlColumn, LoadSpec, RunContext, TargetType
 from tidegate.operators import control, log
-from tidegate.plans.load import LoadOptions, run_tables
+from tidegate.plans.load import LoadOptions, load_table, run_tables
 from tidegate.sinks.replace import create_versioned, replace_table
 from tidegate.sinks.tables import read_log
 
@@ -151,6 +151,51 @@ def test_customer_check(spark, world):
     assert results[0].status == "Fatal003"
 
 
+def test_only_touched_partitions_are_written(spark, folder):
+    """A date-partitioned target: updates, moves between partitions, deletes and new rows."""
+    days = {n: date(2024, 1, n) for n in range(1, 8)}
+    spec = LoadSpec(
+        "parted",
+        (ControlColumn("id", TargetType("bigint"), True), ControlColumn("v", TargetType("text")), ControlColumn("p", TargetType("date"))),
+    )
+    schema = "id bigint, v string, create_id string, create_dtt timestamp_ntz, last_upd_id string, last_upd_dtt timestamp_ntz, p date"
+    old = datetime(2020, 1, 1)
+    base = [(i, "old", "old", old, "old", old, d) for i, d in ((1, days[1]), (2, days[2]), (3, days[3]), (4, days[4]), (5, None), (6, days[6]))]
+    spark.sql(f"create database if not exists core location '{folder}/core'")
+    spark.sql("drop table if exists core.parted")
+    create_versioned(spark.createDataFrame(base, schema), "core.parted", f"{folder}/target", "parted-0", ["p"])
+
+    def folders():
+        rows = spark.table("core.parted").select("p", F.regexp_extract("_metadata.file_path", "(parted-[^/]+)/", 1)).distinct()
+        return {r[0]: r[1] for r in rows.collect()}
+
+    before = folders()
+    work = [(2, "new", days[2], "U"), (3, "moved", days[7], "U"), (4, "x", days[4], "D"), (5, "null", None, "U"), (8, "fresh", days[6], "U")]
+    source = spark.createDataFrame(
+        [(*w, NOW) for w in work], "id long, v string, p date, process_div string, update_date_time timestamp_ntz"
+    )
+    result = load_table(CTX, spec, source, "core.parted", f"{folder}/work", f"{folder}/target", f"{folder}/log")
+    assert (result.status, result.normal_num) == ("loaded", 5)
+    found = {(r["id"], r["v"], r["p"]) for r in spark.table("core.parted").collect()}
+    assert found == {
+        (1, "old", days[1]), (2, "new", days[2]), (3, "moved", days[7]), (5, "null", None), (6, "old", days[6]), (8, "fresh", days[6]),
+    }
+    after = folders()
+    assert {p for p in after if after[p] == before.get(p)} == {days[1]}
+    assert set(after) == {days[1], days[2], days[6], days[7], None}
+    listed = [r[0] for r in spark.sql("show partitions core.parted").collect()]
+    assert sorted(listed) == ["p=2024-01-01", "p=2024-01-02", "p=2024-01-06", "p=2024-01-07", "p=__HIVE_DEFAULT_PARTITION__"]
+
+
+def test_partition_names_are_quoted(spark, folder):
+    spark.sql(f"create database if not exists core location '{folder}/core'")
+    spark.sql("drop table if exists core.quoted")
+    names = ["a b/c", "it's", "x+y%2B", "back\\slash", "日本", None]
+    rows = spark.createDataFrame(list(enumerate(names)), "id int, q string")
+    create_versioned(rows, "core.quoted", f"{folder}/target", "quoted", ["q"])
+    assert {(r["id"], r["q"]) for r in spark.table("core.quoted").collect()} == set(enumerate(names))
+
+
 def test_replace_by_renaming(spark, folder):
     spark.sql(f"create database if not exists swap location '{folder}/swap'")
     spark.range(3).write.saveAsTable("swap.live")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,6 +13,11 @@ from tidegate import fixed
 from tidegate.model import RunContext
 
 
+def wall_time(moment: datetime) -> Column:
+    """A literal without a zone; independent of the zones of the driver and the session."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def as_text(value: Column, data_type: T.DataType) -> Column:
     """A source value as plain text.
 

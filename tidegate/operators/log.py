@@ -8,7 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate import fixed
-from tidegate.functions.text import action_text, fill, format_message, key_text, level_of_code, null_if_blank
+from tidegate.functions.text import (
+    action_text,
+    fill,
+    format_message,
+    key_text,
+    level_of_code,
+    null_if_blank,
+    wall_time,
+)
 from tidegate.model import LOG_SCHEMA, LoadSpec, RunContext
 from tidegate.operators.neighbours import ROWS_PER_SLOT, with_neighbour
 from tidegate.operators.rules import ERRORS
@@ -16,7 +24,7 @@ from tidegate.operators.work import division_columns, work_columns
 
 
 def _log_columns(ctx: RunContext, **values: Column) -> list[Column]:
-    now = F.lit(ctx.run_ts)
+    now = wall_time(ctx.run_ts)
     fixed_values = {
         "process_id": F.lit(ctx.process_id),
         "create_id": F.lit(fixed.ETL_ID),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidegate import fixed
 from tidegate.functions.convert import to_target
+from tidegate.functions.text import wall_time
 from tidegate.model import LoadSpec, RunContext
 from tidegate.operators.skew import present_keys
 from tidegate.operators.work import rows_of_division
@@ -25,7 +26,7 @@ _DIVISION = "process_div"
 def project_typed(work: DataFrame, spec: LoadSpec, ctx: RunContext) -> DataFrame:
     """Control columns in the target's types, with fresh stamps, the division and the error flag."""
     flag = F.col("error_flg")
-    now = F.lit(ctx.run_ts).cast("timestamp_ntz")
+    now = wall_time(ctx.run_ts)
     return work.select(
         *(to_target(F.col(f"`{c.name}`"), c.type, flag).alias(c.name) for c in spec.columns),
         F.lit(fixed.ETL_ID).alias("create_id"),
@@ -106,6 +107,31 @@ def merge_work(target: DataFrame, work: DataFrame, spec: LoadSpec, ctx: RunConte
     return _updated(target, rows, spec).unionByName(new_rows(target, work, spec, ctx))
 
 
+def touched_values(target: DataFrame, work: DataFrame, spec: LoadSpec, ctx: RunContext, part: str) -> DataFrame:
+    """The values of a partition column whose partitions a merge changes: where matching target rows lie, and
+    where updated and new rows go."""
+    rows = _applied(work, target, spec, ctx, [fixed.UPSERT, fixed.DELETE])
+    matched = target.select(part, *spec.keys).join(rows.select(*spec.keys), spec.keys, "left_semi").select(part)
+    incoming = rows.where(F.col(_DIVISION) == fixed.UPSERT).select(part)
+    return matched.union(incoming).distinct()
+
+
+def merge_partitions(
+    target: DataFrame, work: DataFrame, spec: LoadSpec, ctx: RunContext, part: str, touched: Sequence[object]
+) -> DataFrame:
+    """The merged content of the touched partitions only. New rows are those whose key no partition holds."""
+    rows = _applied(work, target, spec, ctx, [fixed.UPSERT, fixed.DELETE])
+    inside = _updated(target.where(in_values(part, touched)), rows, spec)
+    return inside.unionByName(new_rows(target, work, spec, ctx))
+
+
+def in_values(column: str, values: Sequence[object]) -> Column:
+    """Membership in a literal list that may hold null."""
+    known = [v for v in values if v is not None]
+    condition = F.col(column).isin(*known) if known else F.lit(False)
+    return condition | F.col(column).isNull() if len(known) < len(values) else condition
+
+
 def replacement_rows(target: DataFrame, work: DataFrame, spec: LoadSpec, ctx: RunContext) -> DataFrame:
     """The whole new content of a target under full replacement."""
     rows = project_typed(rows_of_division(work, fixed.REPLACE, error_free=True), spec, ctx)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate import fixed
-from tidegate.functions.text import as_text, normalise_null_text, strip_backslash
+from tidegate.functions.text import as_text, normalise_null_text, strip_backslash, wall_time
 from tidegate.model import LoadSpec, RunContext
 
 
@@ -24,7 +24,7 @@ def to_text_row(source: DataFrame, names: list[str], strip: bool = True) -> Data
 
 def stamp_system_columns(work: DataFrame, ctx: RunContext) -> DataFrame:
     """System columns of freshly loaded rows: an upsert unless the source names a division, no error yet."""
-    now = F.lit(ctx.run_ts).cast("timestamp_ntz")
+    now = wall_time(ctx.run_ts)
     division = F.col("process_div") if "process_div" in work.columns else F.lit(fixed.UPSERT)
     return work.withColumns(
         {

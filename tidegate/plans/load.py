@@ -13,7 +13,7 @@ from tidegate import fixed
 from tidegate.model import LoadSpec, RunContext, TargetType
 from tidegate.operators import control, keys, log, merge, rules, work
 from tidegate.session import written
-from tidegate.sinks.replace import swap_location
+from tidegate.sinks.replace import partition_columns, swap_location, swap_partitions
 from tidegate.sinks.tables import append_log, truncate_and_load
 from tidegate.sources.extract import incremental_extract
 
@@ -152,13 +152,9 @@ def load_table(
         has_replace=counts["laundering_num"] > 0,
     )
     checked = truncate_and_load(flagged, f"{folder}/checked")
-    if counts["laundering_num"] > 0:
-        content = merge.replacement_rows(target, checked, spec, ctx)
-    else:
-        content = merge.merge_work(target, checked, spec, ctx)
     summary = log.run_summary(checked, spec).first()
     if summary["normal_num"] > 0:
-        swap_location(content, target_table, target_root, f"{spec.target_table or spec.table}-{ctx.process_id}")
+        _apply(ctx, spec, checked, target_table, target_root, replacing=counts["laundering_num"] > 0)
 
     numbers = {n: summary[f"{n}_num"] for n in ("total", "normal", "error")}
     lines.append(_line("Info004", spec, seq=_END_AT, text=summary["applied"]))
@@ -168,6 +164,31 @@ def load_table(
     return finish(result, log.error_log(checked, spec, ctx))
 
 
+def _apply(
+    ctx: RunContext, spec: LoadSpec, checked: DataFrame, target_table: str, target_root: str, replacing: bool
+) -> None:
+    """Put the new content in place: of the touched partitions if the target has any, else of the whole table."""
+    spark = checked.sparkSession
+    target = spark.table(target_table)
+    version = f"{spec.target_table or spec.table}-{ctx.process_id}"
+    parts = partition_columns(spark, target_table)
+    if not parts or parts[0] not in spec.names:
+        content = (merge.replacement_rows if replacing else merge.merge_work)(target, checked, spec, ctx)
+        if parts:
+            swap_partitions(content, target_table, target.select(*parts).distinct().collect(), target_root, version)
+        else:
+            swap_location(content, target_table, target_root, version)
+        return
+    # Partition values: bounded by the number of partitions of the table.
+    if replacing:
+        content, old = merge.replacement_rows(target, checked, spec, ctx), target
+    else:
+        touched = [r[0] for r in merge.touched_values(target, checked, spec, ctx, parts[0]).collect()]
+        content = merge.merge_partitions(target, checked, spec, ctx, parts[0], touched)
+        old = target.where(merge.in_values(parts[0], touched))
+    swap_partitions(content, target_table, old.select(*parts).distinct().collect(), target_root, version)
+
+
 def _brief(failure: Exception) -> str:
     return str(failure).split("\n")[0][:500]
 

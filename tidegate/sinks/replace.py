@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 
 def _fresh_folder(root: str, version: str) -> str:
@@ -12,11 +14,22 @@ def _fresh_folder(root: str, version: str) -> str:
     return f"{root}/{version}-{uuid.uuid4().hex[:8]}"
 
 
-def create_versioned(rows: DataFrame, table: str, root: str, version: str) -> None:
-    """A table over a version folder, to be replaced by :func:`swap_location`."""
+def create_versioned(rows: DataFrame, table: str, root: str, version: str, parts: Sequence[str] = ()) -> None:
+    """A table over a version folder, to be replaced by :func:`swap_location` or :func:`swap_partitions`."""
+    spark = rows.sparkSession
     path = _fresh_folder(root, version)
-    rows.write.parquet(path)
-    rows.sparkSession.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+    if not parts:
+        rows.write.parquet(path)
+        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+        return
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    listed = ", ".join(f"`{p}`" for p in parts)
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({listed}) LOCATION '{path}'")
+    swap_partitions(rows, table, [], root, version)
+
+
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
 def swap_location(rows: DataFrame, table: str, root: str, version: str) -> None:
@@ -32,6 +45,41 @@ def swap_location(rows: DataFrame, table: str, root: str, version: str) -> None:
     spark.catalog.refreshTable(table)
 
 
+def _partition(row: Row, parts: Sequence[str]) -> str:
+    def literal(value: object) -> str:
+        if value is None:
+            return "NULL"
+        text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{text}'"
+
+    return "(" + ", ".join(f"`{p}` = {literal(row[p])}" for p in parts) + ")"
+
+
+def swap_partitions(rows: DataFrame, table: str, old: Sequence[Row], root: str, version: str) -> None:
+    """Write new content for some partitions, then point each of them at its new folder.
+
+    ``old`` names the partitions that ``rows`` stands for; those without rows any more are dropped. Partitions not
+    named are neither read nor written. Each step switches one partition from its old content to its new one.
+    """
+    spark = rows.sparkSession
+    parts = partition_columns(spark, table)
+    path = _fresh_folder(root, version)
+    rows.hint("rebalance", *(F.col(f"`{p}`") for p in parts)).write.partitionBy(*parts).parquet(path)
+    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    folder = F.regexp_replace(file, "/[^/]+$", "").alias("__folder")
+    new = spark.read.schema(rows.schema).parquet(path).select(*parts, folder).distinct().collect()
+    for row in new:
+        spec = _partition(row, parts)
+        target = row["__folder"].replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION {spec} LOCATION '{target}'")
+        spark.sql(f"ALTER TABLE {table} PARTITION {spec} SET LOCATION '{target}'")
+    kept = {_partition(row, parts) for row in new}
+    for row in old:
+        if _partition(row, parts) not in kept:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION {_partition(row, parts)}")
+    spark.catalog.refreshTable(table)
+
+
 def replace_table(rows: DataFrame, table: str) -> None:
     """Full replacement by renaming: fill ``tmp_``, live to ``_bk``, new to live, drop ``_bk``."""
     spark: SparkSession = rows.sparkSession
