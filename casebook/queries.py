@@ -240,6 +240,16 @@ def convert_bool(spark, folder):
     return rows.select("o_orderkey", "is_urgent", V.to_bool(F.col("is_urgent")).alias("as_bool"))
 
 
+@query
+def typed_keys(spark, folder):
+    """Key values as they are matched against a target, for one column of each type family."""
+    kinds = {"o_orderkey": "bigint", "o_totalprice": "numeric", "o_orderdate": "date", "o_orderstatus": "text"}
+    rows = _work(spark, folder)
+    return rows.select(
+        *(V.typed_key(F.col(c), TargetType(k, 18, 2)).alias(f"{c}_key") for c, k in kinds.items()), *kinds
+    )
+
+
 @query
 def project_typed(spark, folder):
     return merge.project_typed(_checked(spark, folder), ORDERS, CTX)
@@ -375,6 +385,14 @@ def merge_work(spark, folder):
     return merge.merge_work(_target(spark, folder), _settled(spark, folder), ORDERS, CTX)
 
 
+@query
+def merge_partitions(spark, folder):
+    """The merged content of the days a load touches, for a target partitioned by day."""
+    target, checked = _target(spark, folder), _settled(spark, folder)
+    days = merge.touched_values(target, checked, ORDERS, CTX, "o_orderdate").collect()
+    return merge.merge_partitions(target, checked, ORDERS, CTX, "o_orderdate", [r[0] for r in days])
+
+
 @query
 def replacement_rows(spark, folder):
     return merge.replacement_rows(_target(spark, folder), fixture(spark, folder, "work_replace"), ORDERS, CTX)

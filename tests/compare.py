@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -64,4 +65,7 @@ def compare(spark, con, query, sql: str, folder: str) -> list[str]:
         problems.append(f"values {ours_only} / {theirs_only}")
     if not ours:
         problems.append("no rows")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if re.search(r"Python|ArrowEval|CartesianProduct|NestedLoopJoin", plan):
+        problems.append("plan leaves the built-in operators or joins without a key")
     return problems

@@ -77,14 +77,14 @@ def test_run(spark, world):
     lines = read_log(spark, f"{folder}/log", CTX).orderBy("target_file", "seq").collect()
     errors = [(r["message_cd"], r["item"], r["occurred_key"]) for r in lines if r["level"] == "Error"]
     assert sorted(errors, key=repr) == sorted(
-        [("Error003", "name", "ID=3"), ("Error009", "amount", "ID=4"), ("Error010", "amount", "ID=5")], key=repr
+        [("Error003", "NAME", "ID=3"), ("Error009", "AMOUNT", "ID=4"), ("Error010", "AMOUNT", "ID=5")], key=repr
     )
     codes = [r["message_cd"] for r in lines if r["target_file"] == "good" and r["level"] == "Info"]
     assert codes == ["Info003", "Info004", "Info005", "Info006"]
     total = next(r for r in lines if r["message_cd"] == "Info005")
     assert (total["total_num"], total["normal_num"], total["error_num"]) == (5, 2, 3)
     assert total["message"] == "【Info 】 [2024/02/01 09:00:00] 処理合計件数:5件、正常終了:2件、エラー:3件。(good)"
-    assert next(r["message"] for r in lines if r["message_cd"] == "Error009").endswith("amountは-1.0ですが0以上の必要があります。(good)(ID=4)")
+    assert next(r["message"] for r in lines if r["message_cd"] == "Error009").endswith("AMOUNTは-1.0ですが0以上の必要があります。(good)(ID=4)")
     assert {r["customer_id"] for r in lines} == {"c1"} and {r["process_id"] for r in lines} == {"20240201090000"}
     alerts = log.first_alert_per_table(read_log(spark, f"{folder}/log")).collect()
     assert {(r["target_file"], r["level"]) for r in alerts} == {("good", "Error"), ("nokey", "Fatal"), ("broken", "Fatal")}

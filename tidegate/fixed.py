@@ -59,7 +59,7 @@ MESSAGE_LENGTH = 4999
 # Log levels, in the order in which a code is tested for them.
 LEVELS = ("Info", "Warn", "Error", "Fatal")
 
-# Message texts by code. Words in braces are filled in.
+# Message texts by code, with a suffix where one code has two texts. Words in braces are filled in.
 MESSAGES = {
     "Info001": "バッチ処理を開始します。",
     "Info002": "バッチ処理を終了します。",
@@ -67,6 +67,7 @@ MESSAGES = {
     "Info004": "{table}で{count}件のデータを{action}しました。",
     "Info005": "処理合計件数:{total}件、正常終了:{normal}件、エラー:{error}件。",
     "Info006": "データの取り込みを完了します。",
+    "Info006stopped": "対象テーブルの取り込みを完了します。",
     "Info007": "処理対象テーブルが存在しないためバッチ処理を終了します。",
     "Info010": "処理対象データが存在しないため処理をスキップします。",
     "Error001": "更新対象が存在しません。",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import types as T
 
@@ -63,8 +63,6 @@ class RunContext:
 
     @classmethod
     def now(cls, customer_id: str = "", term_hours: int = 24, utc_offset: int = 9) -> RunContext:
-        from datetime import UTC
-
         wall = datetime.now(UTC).replace(tzinfo=None) + timedelta(hours=utc_offset)
         return cls(wall, customer_id, term_hours)
 
@@ -151,6 +149,12 @@ class ControlColumn:
     min_length: int | None = None
     max_value: object | None = None
     min_value: object | None = None
+    label: str = ""
+
+    @property
+    def shown(self) -> str:
+        """The name as the control table spells it, for log lines."""
+        return self.label or self.name
 
     def has(self, rule: str) -> bool:
         return rule in (self.rules or "")
@@ -180,5 +184,9 @@ class LoadSpec:
     def names(self) -> list[str]:
         return [c.name for c in self.columns]
 
+    @property
+    def key_labels(self) -> list[str]:
+        return [c.shown for c in self.columns if c.search_key]
+
     def column(self, name: str) -> ControlColumn:
         return next(c for c in self.columns if c.name == name)

@@ -100,6 +100,7 @@ def load_specs(
                     row["min_length"],
                     row["max_value"],
                     row["min_value"],
+                    row["target_column"],
                 )
             )
         first = own[0]

@@ -67,7 +67,7 @@ def check_duplicates(work: DataFrame, spec: LoadSpec, counted: DataFrame | None
         work.withColumns(canonical), names, None if counted is None else counted.withColumns(canonical), **layout
     )
     found = F.col(_COUNT).isNotNull()
-    checked = with_error_if(marked, found, DUPLICATE_AT, "Error004", None, duplicate_message(spec.keys))
+    checked = with_error_if(marked, found, DUPLICATE_AT, "Error004", None, duplicate_message(spec.key_labels))
     return checked.drop(_COUNT, *names)
 
 

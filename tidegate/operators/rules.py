@@ -65,8 +65,8 @@ def type_rule(column: ControlColumn, ordinal: int = _TYPES_FROM) -> RowRule | No
     condition = C.bad_type(F.col(f"`{column.name}`"), column.type)
     if condition is None:
         return None
-    message = fill(fixed.MESSAGES["Error010"], item=column.name, type=column.type.name)
-    return RowRule(ordinal, "Error010", column.name, message, condition)
+    message = fill(fixed.MESSAGES["Error010"], item=column.shown, type=column.type.name)
+    return RowRule(ordinal, "Error010", column.shown, message, condition)
 
 
 def value_rules(column: ControlColumn, only: Sequence[str] = fixed.VALUE_RULES, ordinal: int = _VALUES_FROM) -> list[RowRule]:
@@ -75,12 +75,12 @@ def value_rules(column: ControlColumn, only: Sequence[str] = fixed.VALUE_RULES,
     found = []
 
     def add(rule: str, code: str, condition: Column, actual: Column | None = None, limit: object = "") -> None:
-        parts = {"item": column.name, "limit": limit_text(limit) if limit != "" else ""}
+        parts = {"item": column.shown, "limit": limit_text(limit) if limit != "" else ""}
         if actual is not None:
             parts["actual"] = actual
         message = fill(fixed.MESSAGES[code], **parts)
         position = ordinal + fixed.VALUE_RULES.index(rule)
-        found.append(RowRule(position, code, column.name, message, condition))
+        found.append(RowRule(position, code, column.shown, message, condition))
 
     for rule in fixed.VALUE_RULES:
         if rule not in only or not column.has(rule):

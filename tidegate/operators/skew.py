@@ -12,11 +12,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.session import written
 
 ROWS_PER_GROUP = 1_000_000
 MAX_HOT_KEYS = 10_000
+MAX_HOT_WIDTH = 1_024
 BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_BYTES = 64
 
@@ -32,19 +34,25 @@ def _same(left: str, right: str, keys: Sequence[str], null_safe: bool = False) -
     return condition
 
 
+def _width(columns: Sequence[str]) -> Column:
+    widths = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in columns]
+    return sum(widths, F.lit(_ROW_BYTES))
+
+
 def size_of(df: DataFrame) -> tuple[int, int]:
     """Rows and approximate bytes in memory of a (written) frame."""
-    widths = [F.octet_length(F.col(f"`{c}`").cast("string")) for c in df.columns]
-    width = sum((F.coalesce(w, F.lit(0)) for w in widths), F.lit(_ROW_BYTES))
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_width(df.columns)), F.lit(0)).alias("b")).first()
     return row["n"], row["b"]
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], count: str, rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
-    """The largest keys with the number of groups each is dealt into; at most ``MAX_HOT_KEYS`` rows."""
+    """The largest keys with the number of groups each is dealt into.
+
+    At most ``MAX_HOT_KEYS`` rows of ``MAX_HOT_WIDTH`` bytes, so it can always be broadcast.
+    """
     groups = F.ceil(F.col(count) / F.lit(rows_per_group)).cast("int")
     return (
-        counts.where(F.col(count) > rows_per_group)
+        counts.where((F.col(count) > rows_per_group) & (_width(keys) <= MAX_HOT_WIDTH))
         .orderBy(F.col(count).desc(), *keys)
         .limit(MAX_HOT_KEYS)
         .select(*keys, groups.alias(_GROUPS))
@@ -63,7 +71,8 @@ def _dealt_join(
     hot = hot_keys(lookup, keys, count, rows_per_group)
     # Full copies of a row share a hash, their task does not: the partition number deals them apart and is the
     # same again when a task is repeated.
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *(F.col(f"`{c}`") for c in rows.columns)), F.col(_GROUPS))
+    plain = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *(F.col(f"`{c}`") for c in plain)), F.col(_GROUPS))
     left = _with_groups(rows, hot, keys).withColumn(_GROUP, spread.cast("int")).drop(_GROUPS)
     right = _with_groups(lookup, hot, keys)
     right = right.withColumn(_GROUP, F.explode(F.sequence(F.lit(0), F.col(_GROUPS) - 1))).drop(_GROUPS)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,8 +50,6 @@ class TableResult:
 
 def _with_required_keys(spec: LoadSpec) -> LoadSpec:
     """A blank key would be inserted anew by every run, so keys are required unless asked otherwise."""
-    from dataclasses import replace
-
     columns = tuple(
         replace(c, rules=",".join(filter(None, (c.rules, fixed.REQUIRED))))
         if c.search_key and not c.has(fixed.REQUIRED)
@@ -138,7 +136,7 @@ def load_table(
         if stop == "Fatal003":
             truncate_and_load(staged.limit(0), f"{folder}/checked")
         lines.append(_line(stop, spec, seq=_STOP_AT))
-        lines.append(_line("Info006", spec, seq=_END_AT))
+        lines.append(_line("Info006", spec, seq=_END_AT, text=fixed.MESSAGES["Info006stopped"]))
         return finish(TableResult(spec.table, stop, total_num=counts["total_num"]))
 
     target = spark.table(target_table)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidegate.operators.neighbours import ROWS_PER_SLOT, with_neighbour
 from tidegate.operators.quantile import exact_quantile
+from tidegate.session import written
 
 GIB = 1024**3
 
@@ -86,9 +87,9 @@ def abort_trend(queries: DataFrame, unit: str = "month", better_by: float = 0.10
     )
     # One row per period from here on.
     share = F.col("aborts") / F.col("queries")
-    shares = shares.withColumn("abort_share", share)
+    helpers = {"abort_share": share, "__all": F.lit(1), "__at": F.col("period").cast("timestamp")}
     before = with_neighbour(
-        shares.withColumn("__all", F.lit(1)).withColumn("__at", F.col("period").cast("timestamp")),
+        written(shares.withColumns(helpers), "periods"),
         ["__all"],
         "__at",
         [],

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegate import fixed
 from tidegate.operators.neighbours import ROWS_PER_SLOT, with_neighbour
+from tidegate.session import written
 
 
 def build_mart(
@@ -53,7 +54,7 @@ def keep_history(
     changed = F.col("__before").isNull()
     for name in attributes:
         changed = changed | ~F.col(name).eqNullSafe(F.col(f"__before.{name}"))
-    starts = before.where(changed).drop("__before")
+    starts = written(before.where(changed).select(*keys, *attributes, time, *ties), "starts")
     ended = with_neighbour(
         starts, keys, time, ties, F.col(time), "valid_to", following=True, rows_per_slot=rows_per_slot
     )
