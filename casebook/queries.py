@@ -57,6 +57,11 @@ def query(function: Query) -> Query:
     return function
 
 
+def doubles(rows: DataFrame, *names: str) -> DataFrame:
+    """Decimals as doubles, the form in which results are compared."""
+    return rows.withColumns({n: F.col(n).cast("double") for n in names})
+
+
 def _work(spark: SparkSession, folder: str) -> DataFrame:
     return work.to_work(fixture(spark, folder, "work_orders"), ORDERS, CTX)
 
@@ -102,7 +107,7 @@ def target_tables(spark, folder):
 
 @query
 def load_controls(spark, folder):
-    return control.load_controls(fixture(spark, folder, "control_rows"))
+    return doubles(control.load_controls(fixture(spark, folder, "control_rows")), "max_value", "min_value")
 
 
 @query
@@ -211,7 +216,7 @@ def convert_float(spark, folder):
 
 @query
 def convert_decimal(spark, folder):
-    return _converted(spark, folder, "o_totalprice", "as_decimal", lambda c: V.to_decimal(c, 18, 2))
+    return doubles(_converted(spark, folder, "o_totalprice", "as_decimal", lambda c: V.to_decimal(c, 18, 2)), "as_decimal")
 
 
 @query
@@ -252,7 +257,7 @@ def typed_keys(spark, folder):
 
 @query
 def project_typed(spark, folder):
-    return merge.project_typed(_checked(spark, folder), ORDERS, CTX)
+    return doubles(merge.project_typed(_checked(spark, folder), ORDERS, CTX), "o_totalprice")
 
 
 # Type and overflow rules.
@@ -367,22 +372,22 @@ def flag_by_row_id(spark, folder):
 
 @query
 def update_from(spark, folder):
-    return merge.update_from(_target(spark, folder), _settled(spark, folder), ORDERS, CTX)
+    return doubles(merge.update_from(_target(spark, folder), _settled(spark, folder), ORDERS, CTX), "o_totalprice")
 
 
 @query
 def insert_missing(spark, folder):
-    return merge.insert_missing(_target(spark, folder), _settled(spark, folder), ORDERS, CTX)
+    return doubles(merge.insert_missing(_target(spark, folder), _settled(spark, folder), ORDERS, CTX), "o_totalprice")
 
 
 @query
 def delete_using(spark, folder):
-    return merge.delete_using(_target(spark, folder), _settled(spark, folder), ORDERS, CTX)
+    return doubles(merge.delete_using(_target(spark, folder), _settled(spark, folder), ORDERS, CTX), "o_totalprice")
 
 
 @query
 def merge_work(spark, folder):
-    return merge.merge_work(_target(spark, folder), _settled(spark, folder), ORDERS, CTX)
+    return doubles(merge.merge_work(_target(spark, folder), _settled(spark, folder), ORDERS, CTX), "o_totalprice")
 
 
 @query
@@ -390,12 +395,13 @@ def merge_partitions(spark, folder):
     """The merged content of the days a load touches, for a target partitioned by day."""
     target, checked = _target(spark, folder), _settled(spark, folder)
     days = merge.touched_values(target, checked, ORDERS, CTX, "o_orderdate").collect()
-    return merge.merge_partitions(target, checked, ORDERS, CTX, "o_orderdate", [r[0] for r in days])
+    return doubles(merge.merge_partitions(target, checked, ORDERS, CTX, "o_orderdate", [r[0] for r in days]), "o_totalprice")
 
 
 @query
 def replacement_rows(spark, folder):
-    return merge.replacement_rows(_target(spark, folder), fixture(spark, folder, "work_replace"), ORDERS, CTX)
+    content = merge.replacement_rows(_target(spark, folder), fixture(spark, folder, "work_replace"), ORDERS, CTX)
+    return doubles(content, "o_totalprice")
 
 
 @query
@@ -403,7 +409,7 @@ def load_orders(spark, folder):
     """The whole path of a nightly load: extract, clean, check, convert, merge."""
     source = fixture(spark, folder, "src_orders").withColumnRenamed("o_orderpriority", "note")
     source = source.withColumn("o_orderdate", F.to_date("o_orderdate"))
-    return load_rows(source, _target(spark, folder), ORDERS, EXTRACT_CTX)[1]
+    return doubles(load_rows(source, _target(spark, folder), ORDERS, EXTRACT_CTX)[1], "o_totalprice")
 
 
 # Log.

@@ -11,7 +11,7 @@ from tidegate.sinks import tables as K
 from tidegate.sources.catalog import discover_schemas, merge_catalog
 from tidegate.sources.extract import external_scan, sample_extract
 from tidegate.sources.files import file_drop_scan, file_listing, land_then_load
-from tidegate.sources.jdbc import jdbc_options
+from tidegate.sources.jdbc import incremental_options, jdbc_options
 from tidegate.streaming.file_drop import file_drop_stream, load_drops
 from casebook.fixtures import fixture
 
@@ -24,6 +24,10 @@ def test_jdbc_options():
     assert plain == {"url": "jdbc:x", "dbtable": "(SELECT 1) X", "fetchsize": "10000", "user": "u"}
     cut = jdbc_options("jdbc:x", "t", partition_column="at", lower=datetime(2024, 1, 1), upper=datetime(2024, 1, 2), partitions=4)
     assert cut["lowerBound"] == "2024-01-01 00:00:00" and cut["numPartitions"] == "4"
+    slices = incremental_options("jdbc:x", "t", CTX, partitions=4)
+    assert (slices["partitionColumn"], slices["lowerBound"], slices["upperBound"]) == (
+        "update_date_time", "2024-01-31 09:00:00", "2024-02-01 09:00:00",
+    )
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x", "t", partition_column="at")
 
@@ -57,6 +61,8 @@ def test_dropped_files(spark, folder):
         out.write("id,n\n4,w\n")
     run()
     assert sorted(r["id"] for r in spark.read.parquet(f"{folder}/out").collect()) == [1, 2, 3, 4]
+    archived = {f for _, _, files in os.walk(f"{folder}/bk") for f in files if f.endswith(".csv")}
+    assert archived >= {"one.csv", "two.csv"}
 
 
 def test_landing_and_append(spark, folder):

@@ -121,3 +121,22 @@ def test_quantile(spark, limit, share, shape):
 
 def test_quantile_of_nothing(spark):
     assert exact_quantile(spark.createDataFrame([], "v double"), "v", 0.5, "q").first()[:] == (None, 0)
+
+
+def test_checks_do_not_depend_on_the_layout(spark):
+    from casebook import queries as Q
+    from tidegate.session import written
+
+    folder = "/root/testdata/sf0.001"
+    staged, target = written(Q._work(spark, folder), "staged"), Q._target(spark, folder)
+
+    def found(**layout):
+        checked = keys.check_duplicates(staged, Q.ORDERS, staged, **layout)
+        checked = keys.check_delete_targets(checked, target, Q.ORDERS, staged, **layout)
+        rows = checked.select("o_orderkey", "o_custkey", "process_div", "errors").collect()
+        gone = keys.delete_target_missing(staged, target, Q.ORDERS, **layout).select("o_orderkey").collect()
+        return sorted(map(repr, rows)), sorted(map(repr, gone))
+
+    small = found()
+    assert small == found(**LARGE) == found(rows_per_group=1, broadcast_bytes=0)
+    assert any("Error001" in r for r in small[0]) and any("Error004" in r for r in small[0])

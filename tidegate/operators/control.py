@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -82,11 +83,9 @@ def load_specs(
 
     Control rows are configuration: one per target column. They are read once, for all tables.
     """
-    rows = controls.where(F.col("aurora_table").isin(*types)).orderBy("aurora_table", "seq").collect()
-    for table in sorted(types):
-        own = [r for r in rows if r["aurora_table"] == table]
-        if not own:
-            continue
+    rows = load_controls(controls).where(F.col("aurora_table").isin(*types)).collect()
+    for table, group in itertools.groupby(rows, key=lambda r: r["aurora_table"]):
+        own = list(group)
         columns = []
         for row in own:
             name = row["target_column"].lower()
