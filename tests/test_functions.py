@@ -9,6 +9,7 @@ from tidegate.functions import conditions as C
 from tidegate.functions import convert as V
 from tidegate.functions import text as X
 from tidegate.model import RunContext, TargetType
+from tidegate.session import scale_conf
 
 CTX = RunContext(datetime(2024, 2, 1, 9, 0, 0), "c1", 24)
 
@@ -145,3 +146,9 @@ def test_action_text(spark, flags, words):
 
 def test_context():
     assert (CTX.process_id, CTX.run_dt, CTX.cutoff) == ("20240201090000", "20240201_090000", datetime(2024, 1, 31, 9))
+
+
+def test_settings_follow_the_data():
+    assert scale_conf(10**9)["spark.sql.shuffle.partitions"] == "200"
+    large = scale_conf(100 * 10**12)
+    assert (large["spark.sql.shuffle.partitions"], large["spark.sql.files.maxPartitionBytes"]) == ("50000", "953m")

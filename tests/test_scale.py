@@ -8,9 +8,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidegate.operators import keys, skew
+from tidegate.operators import keys, neighbours, skew
 from tidegate.operators.neighbours import slot_bounds, with_neighbour
 from tidegate.operators.quantile import exact_quantile
+from tidegate.session import written
 
 LARGE = {"rows_per_group": 20, "broadcast_bytes": 0}
 
@@ -96,9 +97,21 @@ def test_neighbours(spark, following, rows_per_slot):
     assert {r["i"]: r["near"] for r in found.collect()} == brute_neighbours(rows, following)
 
 
+def test_one_moment_holds_most_rows(spark, monkeypatch):
+    ranged = []
+    monkeypatch.setattr(neighbours, "written", lambda df, name: ranged.append(name) or written(df, name))
+    moment = datetime(2024, 1, 1)
+    rows = [(i, "hot" if i % 3 else "other", moment if i % 5 else moment + timedelta(seconds=i), i) for i in range(2000)]
+    frame = spark.createDataFrame(rows, "i int, k string, t timestamp_ntz, v int").repartition(7)
+    for following in (False, True):
+        found = with_neighbour(frame, ["k"], "t", ["i"], F.col("v"), "near", following, 20)
+        assert {r["i"]: r["near"] for r in found.collect()} == brute_neighbours(rows, following)
+    assert ranged == ["ranges", "ranges"]
+
+
 def test_slots_follow_the_data(spark):
     frame = spark.range(1000).select((F.lit(datetime(2024, 1, 1)) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("id").cast("decimal(18,6)"))).alias("t"))
-    bounds = slot_bounds(frame, "t", 100)
+    bounds = slot_bounds(frame, "t", 10)
     assert len(bounds) == 9 and bounds == sorted(bounds)
 
 
@@ -125,7 +138,6 @@ def test_quantile_of_nothing(spark):
 
 def test_checks_do_not_depend_on_the_layout(spark):
     from casebook import queries as Q
-    from tidegate.session import written
 
     folder = "/root/testdata/sf0.001"
     staged, target = written(Q._work(spark, folder), "staged"), Q._target(spark, folder)

@@ -74,8 +74,13 @@ def _updated(target: DataFrame, rows: DataFrame, spec: LoadSpec) -> DataFrame:
 def new_rows(target: DataFrame, work: DataFrame, spec: LoadSpec, ctx: RunContext) -> DataFrame:
     """Error-free upserts whose key the target lacks, in the target's columns."""
     rows = _applied(work, target, spec, ctx, [fixed.UPSERT])
-    present = present_keys(target, rows, spec.keys)
-    fresh = rows.join(present, spec.keys, "left_anti")
+    keyless = F.lit(False)
+    for key in spec.keys:
+        keyless = keyless | F.col(key).isNull()
+    keyed = rows.where(~keyless)
+    present = present_keys(target, keyed, spec.keys)
+    # Rows without a key match nothing; they stay out of the join, where they would all meet in one task.
+    fresh = keyed.join(present, spec.keys, "left_anti").unionByName(rows.where(keyless))
     names = {c.lower() for c in fresh.columns} - {_DIVISION}
     return fresh.select(
         *(

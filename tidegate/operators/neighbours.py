@@ -1,7 +1,8 @@
 """Previous and next values along an order, without giving one task a whole key.
 
 Rows are cut into slots of similar size along the time axis. Within a slot an ordinary window finds the
-neighbour; across slots the last value of each (key, slot) is carried over from a small aggregate.
+neighbour; across slots the last value of each (key, slot) is carried over from a small aggregate. Where too many
+rows of a key share one moment, slots are ranges of the whole order instead, ties included.
 """
 
 from __future__ import annotations
@@ -11,8 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidegate.session import written
+
 ROWS_PER_SLOT = 2_000_000
 MAX_SLOTS = 4_096
+MAX_RANGES = 50_000
+CROWDED = 10
 
 _SLOT = "__slot"
 _VALUE = "__value"
@@ -25,15 +30,13 @@ def _seconds(time: str) -> Column:
     return F.unix_micros(F.col(f"`{time}`").cast("timestamp")) / F.lit(1_000_000)
 
 
-def slot_bounds(df: DataFrame, time: str, rows_per_slot: int = ROWS_PER_SLOT) -> list[float]:
-    """Times that cut the rows into slots of about ``rows_per_slot``; at most ``MAX_SLOTS`` of them."""
-    total = df.where(F.col(f"`{time}`").isNotNull()).count()
-    slots = min(MAX_SLOTS, -(-total // rows_per_slot))
+def slot_bounds(df: DataFrame, time: str, slots: int) -> list[float]:
+    """Times that cut the rows into about ``slots`` slots."""
     if slots < 2:
         return []
     shares = [i / slots for i in range(1, slots)]
     bounds = df.agg(F.percentile_approx(_seconds(time), shares, 10 * MAX_SLOTS).alias("b")).first()["b"]
-    return sorted(set(bounds))
+    return sorted(set(bounds or []))
 
 
 def _slot(time: str, bounds: list[float]) -> Column:
@@ -58,6 +61,22 @@ def _slot(time: str, bounds: list[float]) -> Column:
     return slot.otherwise(F.lit(len(bounds)))
 
 
+def _slotted(rows: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str], rows_per_slot: int) -> DataFrame | None:
+    """Rows with a slot number that grows along the order, or None if they are few enough for plain windows."""
+    total = rows.count()
+    if total <= rows_per_slot:
+        return None
+    slots = -(-total // rows_per_slot)
+    slotted = rows.withColumn(_SLOT, _slot(time, slot_bounds(rows, time, min(slots, MAX_SLOTS))))
+    sizes = slotted.groupBy(*keys, _SLOT).agg(F.count(F.lit(1)).alias("n"))
+    if sizes.agg(F.max("n")).first()[0] <= CROWDED * rows_per_slot:
+        return slotted
+    # Written, so that every later reader sees the same ranges.
+    order = [F.col(f"`{c}`") for c in (*keys, time, *ties)]
+    ranges = rows.repartitionByRange(min(slots, MAX_RANGES), *order)
+    return written(ranges.withColumn(_SLOT, F.spark_partition_id()), "ranges")
+
+
 def with_neighbour(
     df: DataFrame,
     keys: Sequence[str],
@@ -72,16 +91,15 @@ def with_neighbour(
 
     ``time`` and ``ties`` must order the rows of a key completely.
     """
-    bounds = slot_bounds(df, time, rows_per_slot)
     columns = df.columns
     order = [F.col(f"`{c}`").desc() if following else F.col(f"`{c}`").asc() for c in (time, *ties)]
     near = F.last(_VALUE, ignorenulls=True)
     rows = df.withColumn(_VALUE, value)
-    if not bounds:
+    slotted = _slotted(rows, keys, time, ties, rows_per_slot)
+    if slotted is None:
         window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
         return rows.select(*columns, near.over(window).alias(name))
 
-    slotted = rows.withColumn(_SLOT, _slot(time, bounds))
     window = Window.partitionBy(*keys, _SLOT).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     inside = slotted.withColumn(_NEAR, near.over(window))
     # The value a slot hands on is its outermost non-null one: a partial aggregate, one row per key and slot.

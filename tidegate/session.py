@@ -9,6 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime re-planning does the partition sizing, skew splitting and broadcast choice.
+SHUFFLE_BYTES = 256 * 1024**2
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -20,11 +21,29 @@ SESSION_CONF = {
 }
 
 
-def build_session(app: str = "tidegate", master: str | None = None, **conf: str) -> SparkSession:
+def scale_conf(data_bytes: int) -> dict[str, str]:
+    """Settings that follow the size of the data a job reads.
+
+    Run-time re-planning joins small shuffle partitions but cannot cut all of them smaller, so a large job has to
+    start with enough. Larger splits keep the number of scan tasks in hand.
+    """
+    partitions = min(50_000, max(200, -(-data_bytes // SHUFFLE_BYTES)))
+    split = min(1024, max(128, data_bytes // (100_000 * 1024**2)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.files.maxPartitionBytes": f"{split}m",
+    }
+
+
+def build_session(
+    app: str = "tidegate", master: str | None = None, data_bytes: int | None = None, **conf: str
+) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_CONF, **conf}.items():
+    sized = scale_conf(data_bytes) if data_bytes else {}
+    for key, value in {**SESSION_CONF, **sized, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
