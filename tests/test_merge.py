@@ -133,6 +133,13 @@ def test_rules_can_be_limited(spark):
     ]
 
 
+def test_keys_are_required_whatever_else_is_checked(spark):
+    work = work_of(spark, [("", "2024-01-01", "1", "U"), ("1", "", "1", "U"), ("2", "2024-01-01", "1", "U")])
+    only = LoadOptions(row_rules=(), check_duplicates=False)
+    checked = check_work(work, target_of(spark, []), SPEC, only)
+    assert sorted((r["a"], r["b"]) for r in checked.where("error_flg").collect()) == [("", "2024-01-01"), ("1", "")]
+
+
 def test_division_rules_when_replacing(spark):
     work = work_of(spark, [("1", "2024-01-01", "1", "L"), ("2", "2024-01-01", "1", "U"), ("3", "2024-01-01", "1", "")])
     checked = check_work(work, target_of(spark, []), SPEC, has_updates=False, has_replace=True)

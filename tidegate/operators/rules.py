@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -82,8 +82,14 @@ def value_rules(column: ControlColumn, only: Sequence[str] = fixed.VALUE_RULES,
         position = ordinal + fixed.VALUE_RULES.index(rule)
         found.append(RowRule(position, code, column.shown, message, condition))
 
+    limits = {
+        fixed.MAX_LENGTH: column.max_length,
+        fixed.MIN_LENGTH: column.min_length,
+        fixed.MAX_VALUE: column.max_value,
+        fixed.MIN_VALUE: column.min_value,
+    }
     for rule in fixed.VALUE_RULES:
-        if rule not in only or not column.has(rule):
+        if rule not in only or not column.has(rule) or limits.get(rule, 0) is None:
             continue
         if rule == fixed.REQUIRED:
             add(rule, "Error003", C.missing(text))
@@ -115,15 +121,23 @@ def division_rules(has_updates: bool, has_replace: bool) -> list[RowRule]:
     return found
 
 
-def row_rules(spec: LoadSpec, only: Sequence[str] = ROW_RULES) -> list[RowRule]:
-    """Type and value rules of all control columns, in the order of a run."""
+def row_rules(spec: LoadSpec, only: Sequence[str] = ROW_RULES, require_keys: bool = False) -> list[RowRule]:
+    """Type and value rules of all control columns, in the order of a run.
+
+    ``require_keys`` makes key columns required whatever their control rows say: a blank key would be inserted anew by
+    every run.
+    """
     found = []
     for position, column in enumerate(spec.columns):
+        chosen = only
+        if require_keys and column.search_key:
+            column = replace(column, rules=f"{column.rules or ''},{fixed.REQUIRED}")
+            chosen = (*only, fixed.REQUIRED)
         if TYPE in only:
             rule = type_rule(column, _TYPES_FROM + position)
             if rule is not None:
                 found.append(rule)
-        found += value_rules(column, only, _VALUES_FROM + 10 * position)
+        found += value_rules(column, chosen, _VALUES_FROM + 10 * position)
     return sorted(found, key=lambda r: r.ordinal)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,17 +48,6 @@ class TableResult:
         return self.status in ("loaded", "Info010")
 
 
-def _with_required_keys(spec: LoadSpec) -> LoadSpec:
-    """A blank key would be inserted anew by every run, so keys are required unless asked otherwise."""
-    columns = tuple(
-        replace(c, rules=",".join(filter(None, (c.rules, fixed.REQUIRED))))
-        if c.search_key and not c.has(fixed.REQUIRED)
-        else c
-        for c in spec.columns
-    )
-    return replace(spec, columns=columns)
-
-
 def check_work(
     staged: DataFrame,
     target: DataFrame,
@@ -72,9 +61,7 @@ def check_work(
 
     The key checks count over the staged rows first, which therefore have to be a written table.
     """
-    if options.require_keys:
-        spec = _with_required_keys(spec)
-    found = rules.row_rules(spec, options.row_rules)
+    found = rules.row_rules(spec, options.row_rules, options.require_keys)
     found += rules.division_rules(has_updates or has_deletes, has_replace)
     checked = rules.with_errors(staged, found)
     if options.check_duplicates:
@@ -106,7 +93,7 @@ def load_table(
     log_root: str,
     options: LoadOptions = LoadOptions(),
 ) -> TableResult:
-    """Load one table: stage, check, apply, log.
+    """Load one table: stage, check, log the errors, apply, log the counts.
 
     Staged and checked rows are written tables: the source is read once, and neither the log nor the merge has to
     repeat a check when executors are lost.
@@ -115,9 +102,8 @@ def load_table(
     lines = [_line("Info003", spec, seq=_START_AT)]
     folder = f"{work_root}/{spec.work_table or spec.table}"
 
-    def finish(result: TableResult, errors: DataFrame | None = None) -> TableResult:
-        own = log.run_lines(spark, ctx, lines)
-        append_log(own if errors is None else log.collect_errors(errors, own), log_root, ctx, spec.table)
+    def finish(result: TableResult) -> TableResult:
+        append_log(log.run_lines(spark, ctx, lines), log_root, ctx, spec.table, "lines")
         return result
 
     try:
@@ -150,6 +136,7 @@ def load_table(
         has_replace=counts["laundering_num"] > 0,
     )
     checked = truncate_and_load(flagged, f"{folder}/checked")
+    append_log(log.error_log(checked, spec, ctx), log_root, ctx, spec.table, "errors")
     summary = log.run_summary(checked, spec).first()
     if summary["normal_num"] > 0:
         _apply(ctx, spec, checked, target_table, target_root, replacing=counts["laundering_num"] > 0)
@@ -158,8 +145,7 @@ def load_table(
     lines.append(_line("Info004", spec, seq=_END_AT, text=summary["applied"]))
     lines.append(_line("Info005", spec, seq=_END_AT + 1, text=summary["totals"], **numbers))
     lines.append(_line("Info006", spec, seq=_END_AT + 2))
-    result = TableResult(spec.table, "loaded", **{f"{n}_num": v for n, v in numbers.items()})
-    return finish(result, log.error_log(checked, spec, ctx))
+    return finish(TableResult(spec.table, "loaded", **{f"{n}_num": v for n, v in numbers.items()}))
 
 
 def _apply(
@@ -269,7 +255,7 @@ def run_tables(
                 results.append(_failed(spec.table, failure, head))
                 break
     head.append({"code": "Info002", "message": fixed.MESSAGES["Info002"], "seq": 1_000_000})
-    append_log(log.run_lines(spark, ctx, head), log_root, ctx, "_run")
+    append_log(log.run_lines(spark, ctx, head), log_root, ctx, "-run", "lines")
     return all(r.good for r in results), results
 
 
