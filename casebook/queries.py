@@ -8,6 +8,7 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from casebook.fixtures import TABLES, fixture, table
 from tidegate.functions import conditions as C
@@ -16,11 +17,23 @@ from tidegate.functions.text import action_text, clip_message, fill, format_mess
 from tidegate.model import ControlColumn, LoadSpec, RunContext, TargetType
 from tidegate.operators import control, inventory, keys, log, merge, rules, work
 from tidegate.plans import slo, warehouse
-from tidegate.plans.load import LoadOptions, check_work, load_rows
+from tidegate.plans.load import LoadOptions, check_work, load_rows, load_table
 from tidegate.session import scratch_dir, written
-from tidegate.sinks.tables import quarantine_split, unload_partitioned
+from tidegate.sinks.inventory import write_inventory_csv
+from tidegate.sinks.replace import create_versioned, replace_table
+from tidegate.sinks.tables import (
+    append_log,
+    archive_or_quarantine,
+    bulk_append,
+    quarantine_split,
+    read_log,
+    truncate_and_load,
+    unload_partitioned,
+)
 from tidegate.sources.catalog import discover_schemas
-from tidegate.sources.extract import bounded_extract, external_scan, incremental_extract
+from tidegate.sources.extract import bounded_extract, external_scan, incremental_extract, sample_extract
+from tidegate.sources.files import file_drop_scan, land_then_load
+from tidegate.streaming.file_drop import file_drop_stream, load_drops
 
 CTX = RunContext(datetime(2024, 2, 1, 9, 0, 0), customer_id="c1", term_hours=24)
 EXTRACT_CTX = RunContext(datetime(2000, 1, 1, 12, 0, 0), customer_id="c1", term_hours=24 * 400)
@@ -479,13 +492,132 @@ def log_texts(spark, folder):
     )
 
 
+# Writing and reading back.
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def land_and_load(spark, folder):
+    rows = incremental_extract(fixture(spark, folder, "src_orders"), EXTRACT_CTX)
+    return land_then_load(rows, _folder(spark, "landing"))
+
+
+@query
+def work_table(spark, folder):
+    """Updates loaded into an emptied work table, then the other divisions appended."""
+    rows, path = fixture(spark, folder, "work_orders"), _folder(spark, "work")
+    truncate_and_load(rows.where("process_div = 'U'"), path)
+    bulk_append(rows.where("process_div <> 'U'"), path)
+    return spark.read.parquet(path)
+
+
+@query
+def written_log(spark, folder):
+    path = _folder(spark, "log")
+    append_log(_log(spark, folder), path, CTX, "orders", "errors")
+    return read_log(spark, path, CTX)
+
+
+@query
+def written_inventory(spark, folder):
+    rows, path = table_inventory(spark, folder), _folder(spark, "inventory")
+    write_inventory_csv(rows, path)
+    return spark.read.schema(rows.schema).option("header", True).csv(path)
+
+
+@query
+def preview_tables(spark, folder):
+    return inventory.preview(table_inventory(spark, folder), 20)
+
+
+@query
+def sample_extract_orders(spark, folder):
+    return sample_extract(table(spark, folder, "orders"), 1000)
+
+
+CSV = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+
+
+def _dropped(spark: SparkSession, folder: str) -> tuple[str, StructType]:
+    path, rows = _folder(spark, "upload"), table(spark, folder, "events").select("event_id", "ts", "event_type", "value")
+    rows.write.options(**CSV).csv(path)
+    return path, rows.schema
+
+
+@query
+def dropped_files(spark, folder):
+    path, schema = _dropped(spark, folder)
+    return file_drop_scan(spark, path, schema, **CSV).drop("source_file")
+
+
+@query
+def dropped_files_stream(spark, folder):
+    path, schema = _dropped(spark, folder)
+    landing = _folder(spark, "landing")
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        batch.drop("source_file").write.mode("overwrite").parquet(f"{landing}/batch={batch_id}")
+
+    load_drops(file_drop_stream(spark, path, schema, **CSV), land, _folder(spark, "seen")).awaitTermination()
+    return spark.read.parquet(landing).drop("batch")
+
+
+@query
+def archive_and_quarantine(spark, folder):
+    error, done = archive_or_quarantine(_checked(spark, folder), _folder(spark, "sides"), [rules.ERRORS])
+
+    def side(path: str) -> DataFrame:
+        return spark.read.parquet(path).select("o_orderkey", "error_flg")
+
+    return side(error).unionByName(side(done))
+
+
+def _target_table(spark: SparkSession, folder: str, parts: list[str]) -> str:
+    name = f"target_{uuid.uuid4().hex[:12]}"
+    create_versioned(_target(spark, folder), name, _folder(spark, "target"), "base", parts)
+    return name
+
+
+def _loaded(spark: SparkSession, folder: str, parts: list[str]) -> DataFrame:
+    name = _target_table(spark, folder, parts)
+    changed = F.lit("2024-02-01 08:00:00").cast("timestamp_ntz")
+    source = fixture(spark, folder, "work_orders").withColumn("update_date_time", changed)
+    base = _folder(spark, "load")
+    load_table(CTX, ORDERS, source, name, f"{base}/work", f"{base}/target", f"{base}/log")
+    return doubles(spark.table(name), "o_totalprice")
+
+
+@query
+def loaded_table(spark, folder):
+    """A load from source to catalogue table, with its work table, checks and log."""
+    return _loaded(spark, folder, [])
+
+
+@query
+def loaded_partitioned_table(spark, folder):
+    return _loaded(spark, folder, ["o_orderstatus"])
+
+
+@query
+def replaced_table(spark, folder):
+    """Full replacement by renaming."""
+    target, name = _target(spark, folder), f"live_{uuid.uuid4().hex[:12]}"
+    target.write.option("path", _folder(spark, "live")).saveAsTable(name)
+    content = merge.replacement_rows(target, fixture(spark, folder, "work_replace"), ORDERS, CTX)
+    replace_table(content, name)
+    return doubles(spark.table(name), "o_totalprice")
+
+
 # Unload and split.
 
 
 @query
 def unload_scan(spark, folder):
     rows = table(spark, folder, "events")
-    path = f"{scratch_dir(spark)}/unload-{uuid.uuid4().hex}"
+    path = _folder(spark, "unload")
     unload_partitioned(rows, path, F.col("ts"))
     days = F.col("dt").between(F.lit(date(2024, 1, 5)), F.lit(date(2024, 1, 25)))
     return external_scan(spark, path, ["event_id", "user_id", "value", "dt"], days)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tidegate import fixed
 from tidegate.model import LoadSpec, RunContext, TargetType
 from tidegate.operators import control, keys, log, merge, rules, work
-from tidegate.session import written
+from tidegate.session import scratch_scope, written
 from tidegate.sinks.replace import partition_columns, swap_location, swap_partitions
 from tidegate.sinks.tables import append_log, truncate_and_load
 from tidegate.sources.extract import incremental_extract
@@ -241,19 +241,20 @@ def run_tables(
         )
 
     specs = list(control.load_specs(controls, types)) if chosen else []
-    if options.parallel_tables > 1:
-        with ThreadPoolExecutor(max_workers=options.parallel_tables) as pool:
-            futures = [(s.table, pool.submit(load, s)) for s in specs]
-        for table, future in futures:
-            failure = future.exception()
-            results.append(_failed(table, failure, head) if failure else future.result())
-    else:
-        for spec in specs:
-            try:
-                results.append(load(spec))
-            except Exception as failure:  # noqa: BLE001 - logged as Fatal008, ends the run
-                results.append(_failed(spec.table, failure, head))
-                break
+    with scratch_scope(spark):
+        if options.parallel_tables > 1:
+            with ThreadPoolExecutor(max_workers=options.parallel_tables) as pool:
+                futures = [(s.table, pool.submit(load, s)) for s in specs]
+            for table, future in futures:
+                failure = future.exception()
+                results.append(_failed(table, failure, head) if failure else future.result())
+        else:
+            for spec in specs:
+                try:
+                    results.append(load(spec))
+                except Exception as failure:  # noqa: BLE001 - logged as Fatal008, ends the run
+                    results.append(_failed(spec.table, failure, head))
+                    break
     head.append({"code": "Info002", "message": fixed.MESSAGES["Info002"], "seq": 1_000_000})
     append_log(log.run_lines(spark, ctx, head), log_root, ctx, "-run", "lines")
     return all(r.good for r in results), results

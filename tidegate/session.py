@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -63,14 +65,31 @@ def scratch_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_made: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back, so that a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the frames :func:`written` inside the block at its end. Nothing may read them afterwards."""
+    before = len(_made)
+    try:
+        yield
+    finally:
+        hadoop = spark._jsc.hadoopConfiguration()
+        while len(_made) > before:
+            path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+            path.getFileSystem(hadoop).delete(path, True)
+
+
 def kept(df: DataFrame) -> DataFrame:
     """Keep a frame on executor disks while several actions read it; lost blocks are recomputed."""
     return df.persist(StorageLevel.DISK_ONLY)
