@@ -1,3 +1,5 @@
+import random
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -70,7 +72,11 @@ def test_typed_key(spark):
         (C.bad_bool, ["", "True", "FALSE", None], ["yes", "t", "1"]),
         (C.not_single_byte, ["", "a ~", None], ["é", "日", "a\tb", "a\n"]),
         (C.bad_date, ["", "2024-02-29", "1900/1/1", "29991231", None], ["1900-02-29", "1899-12-31", "2024-02-30", "2024-1-1x", "2024|01|01"]),
-        (C.bad_timestamp, ["", "2024-02-29", "2024-02-29 23:59:59.123456Z", "2024-02-29T2359", None], ["2024-02-29 24:00", "2024-02-29 10:00:00.1234567", "2024-02-29 10:00+15:00", "2024-02-30 10:00"]),
+        (
+            C.bad_timestamp,
+            ["", "2024-02-29", "2024-02-29 23:59:59.123456Z", "2024-02-29T2359", None],
+            ["2024-02-29 24:00", "2024-02-29 10:00:00.1234567", "2024-02-29 10:00+15:00", "2024-02-30 10:00"],
+        ),
         (C.bad_time, ["", "23:59:59", "235959", "10:00:00.123+14:59", "10:00:00-12:00", None], ["24:00:00", "10:00", "10:00:00.1234", "10:00:00-13:00"]),
         (lambda t: C.int_overflow(t, "smallint"), ["", "32767", "-32768", "x", "32767.9", None], ["32768", "-32769", "0" * 20]),
         (lambda t: C.int_overflow(t, "integer"), ["2147483647", "-2147483648"], ["2147483648", "-2147483649"]),
@@ -152,3 +158,65 @@ def test_settings_follow_the_data():
     assert scale_conf(10**9)["spark.sql.shuffle.partitions"] == "200"
     large = scale_conf(100 * 10**12)
     assert (large["spark.sql.shuffle.partitions"], large["spark.sql.files.maxPartitionBytes"]) == ("50000", "953m")
+
+
+DAY = r"(%s)(?:[/-]?([0-9]{2})[/-]?([0-9]{2})|[/-]([0-9]{1,2})[/-]([0-9]{1,2}))"
+ZONE = r"(?:Z|\+(?:0[0-9]|1[0-4]):?[0-5][0-9]|-(?:0[0-9]|1[0-2]):?[0-5][0-9])?"
+MOMENT = r"(?:[ T]([01][0-9]|2[0-3]):?([0-5][0-9])(?::?([0-5][0-9])(?:\.([0-9]{1,6}))?)?" + ZONE + ")?"
+
+
+def read_day(text, year, rest=""):
+    found = re.fullmatch(DAY % year + rest, text)
+    if not found:
+        return None
+    y, *parts = found.groups()
+    month, day = [p for p in parts[:4] if p is not None]
+    try:
+        return date(int(y), int(month), int(day)), parts[4:]
+    except ValueError:
+        return None
+
+
+def read_moment(text):
+    found = read_day(text, "[0-9]{4}", MOMENT)
+    if found is None:
+        return None
+    day, (hour, minute, second, fraction) = found
+    micros = int((fraction or "0").ljust(6, "0"))
+    return datetime(day.year, day.month, day.day, int(hour or 0), int(minute or 0), int(second or 0), micros)
+
+
+def test_date_texts_against_python(spark):
+    rng = random.Random(1)
+    seeds = [
+        "2024-02-29", "1999/12/31", "20230228", "2100-02-29", "2024-1-5", "1899-01-01", "2024-06-31", "2024-01-01 10:20:30",
+        "2024/01/01T1020", "2024-01-01 102030.5Z", "2024-01-01 10:20+09:00", "2024-01-01 10:20:30.123456-12:00", "2024-13-01",
+    ]
+    texts = list(seeds)
+    for _ in range(6000):
+        text = list(rng.choice(seeds))
+        for _ in range(rng.randrange(3)):
+            at = rng.randrange(len(text))
+            change = rng.choice(["swap", "drop", "add"])
+            letter = rng.choice("0123456789-/: T.Z+|\n")
+            text[at : at + 1] = {"swap": [letter], "drop": [], "add": [text[at], letter]}[change]
+        texts.append("".join(text))
+    frame = spark.createDataFrame([(t,) for t in set(texts) if t and not t.startswith("0000")], "t string")
+    checked = "19[0-9]{2}|2[0-9]{3}"
+    t = F.col("t")
+    made = frame.select(
+        t, C.bad_date(t).alias("bad_date"), C.bad_timestamp(t).alias("bad_ts"), V.to_date(t).alias("d"), V.to_timestamp(t).alias("ts")
+    )
+    kinds = set()
+    for row in made.collect():
+        text = row["t"]
+        moment = read_moment(text)
+        expected = (
+            read_day(text, checked) is None,
+            read_day(text, checked, MOMENT) is None,
+            moment and moment.date(),
+            moment,
+        )
+        assert (row["bad_date"], row["bad_ts"], row["d"], row["ts"]) == expected, text
+        kinds.add((expected[0], expected[1], moment is None))
+    assert len(kinds) >= 4

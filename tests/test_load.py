@@ -1,3 +1,4 @@
+import re
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -5,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegate.model import CONTROL_SCHEMA, ControlColumn, LoadSpec, RunContext, TargetType
-from tidegate.operators import control, log
+from tidegate.operators import control, log, merge
+from tidegate.operators.work import to_work
 from tidegate.plans.load import LoadOptions, load_table, run_tables
+from tidegate.session import written
 from tidegate.sinks.replace import create_versioned, replace_table
 from tidegate.sinks.tables import read_log
 
@@ -47,7 +50,7 @@ def world(spark, folder):
 
     def source_of(name):
         if name == "broken":
-            return frames[name].withColumn("id", F.raise_error(F.lit("lost connection")).cast("bigint")).unionByName(frames["good"].withColumn("id", F.raise_error(F.lit("lost connection")).cast("bigint")))
+            return frames["good"].withColumn("id", F.raise_error(F.lit("lost connection")).cast("bigint"))
         return frames[name]
 
     return source_of, lambda name: f"core.core_{name}", folder
@@ -187,6 +190,28 @@ def test_only_touched_partitions_are_written(spark, folder):
     assert sorted(listed) == ["p=2024-01-01", "p=2024-01-02", "p=2024-01-06", "p=2024-01-07", "p=__HIVE_DEFAULT_PARTITION__"]
 
 
+def test_partition_filter_and_emptied_partition(spark, folder):
+    spark.sql(f"create database if not exists core location '{folder}/core'")
+    spark.sql("drop table if exists core.daily")
+    old = datetime(2020, 1, 1)
+    schema = "id bigint, create_id string, create_dtt timestamp_ntz, last_upd_id string, last_upd_dtt timestamp_ntz, p date"
+    base = [(i, "old", old, "old", old, date(2024, 1, 1 + i % 3)) for i in range(9)]
+    create_versioned(spark.createDataFrame(base, schema), "core.daily", f"{folder}/target", "daily", ["p"])
+    spec = LoadSpec("daily", (ControlColumn("id", TargetType("bigint"), True), ControlColumn("p", TargetType("date"))))
+    deletes = [(i, date(2024, 1, 1), "D", NOW) for i in (0, 3, 6)]
+    source = spark.createDataFrame(deletes, "id long, p date, process_div string, update_date_time timestamp_ntz")
+
+    target = spark.table("core.daily")
+    staged = written(to_work(source, spec, CTX), "staged")
+    content = merge.merge_partitions(target, staged, spec, CTX, "p", [date(2024, 1, 1)])
+    assert re.search(r"PartitionFilters: \[[^\]]*p#", content._jdf.queryExecution().executedPlan().toString())
+
+    result = load_table(CTX, spec, source, "core.daily", f"{folder}/work", f"{folder}/target", f"{folder}/log")
+    assert (result.status, result.normal_num) == ("loaded", 3)
+    assert sorted(r["id"] for r in spark.table("core.daily").collect()) == [1, 2, 4, 5, 7, 8]
+    assert [r[0] for r in spark.sql("show partitions core.daily").collect()] == ["p=2024-01-02", "p=2024-01-03"]
+
+
 def test_partition_names_are_quoted(spark, folder):
     spark.sql(f"create database if not exists core location '{folder}/core'")
     spark.sql("drop table if exists core.quoted")
