@@ -619,7 +619,7 @@ def unload_scan(spark, folder):
     rows = table(spark, folder, "events")
     path = _folder(spark, "unload")
     unload_partitioned(rows, path, F.col("ts"))
-    days = F.col("dt").between(F.lit(date(2024, 1, 5)), F.lit(date(2024, 1, 25)))
+    days = F.col("dt") >= F.lit(date(2024, 1, 1))
     return external_scan(spark, path, ["event_id", "user_id", "value", "dt"], days)
 
 

@@ -8,6 +8,7 @@ from tidegate.model import RunContext
 from tidegate.plans.inventory import run_inventory
 from tidegate.sinks import inventory as I
 from tidegate.sinks import tables as K
+from tidegate.sinks.jdbc import insert_options
 from tidegate.sources.catalog import discover_schemas, merge_catalog
 from tidegate.sources.extract import external_scan, sample_extract
 from tidegate.sources.files import file_drop_scan, file_listing, land_then_load
@@ -32,6 +33,11 @@ def test_jdbc_options():
         jdbc_options("jdbc:x", "t", partition_column="at")
 
 
+def test_insert_options():
+    options = insert_options("jdbc:x", "core.t", properties={"user": "u"}, writers=3)
+    assert options == {"url": "jdbc:x", "dbtable": "core.t", "batchsize": "5000", "numPartitions": "3", "user": "u"}
+
+
 def test_dropped_files(spark, folder):
     os.makedirs(f"{folder}/upload/a")
     for name, text in (("one.csv", "id,n\n1,x\n2,y\n"), ("a/two.csv", "id,n\n3,z\n"), ("a/marker", "")):

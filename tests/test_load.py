@@ -1,3 +1,4 @@
+import os
 import re
 from datetime import date, datetime, timedelta
 from decimal import Decimal
@@ -103,6 +104,20 @@ def test_repeat_is_harmless(spark, world):
     assert lines.where("message_cd = 'Info005'").count() == 1
 
 
+def test_old_content_can_be_removed(spark, world):
+    folder = world[2]
+
+    def versions():
+        return sorted(n for n in os.listdir(f"{folder}/target") if n.startswith(("good-0", "core_good")))
+
+    controls = control_rows("good", max_length=5)
+    load(spark, world, controls)
+    assert len(versions()) == 2
+    load(spark, world, controls, RunContext(NOW + timedelta(seconds=1), "c1", 24), keep_old_content=False)
+    assert len(versions()) == 2 and versions()[0].startswith("core_good-20240201090001")
+    assert {r["id"] for r in spark.table("core.core_good").collect()} == {1, 2, 7}
+
+
 def test_side_by_side(spark, world):
     controls = control_rows("good", max_length=5) + control_rows("empty", max_length=5)
     good, results = load(spark, world, controls, parallel_tables=2)
@@ -206,10 +221,12 @@ def test_partition_filter_and_emptied_partition(spark, folder):
     content = merge.merge_partitions(target, staged, spec, CTX, "p", [date(2024, 1, 1)])
     assert re.search(r"PartitionFilters: \[[^\]]*p#", content._jdf.queryExecution().executedPlan().toString())
 
-    result = load_table(CTX, spec, source, "core.daily", f"{folder}/work", f"{folder}/target", f"{folder}/log")
+    options = LoadOptions(keep_old_content=False)
+    result = load_table(CTX, spec, source, "core.daily", f"{folder}/work", f"{folder}/target", f"{folder}/log", options)
     assert (result.status, result.normal_num) == ("loaded", 3)
     assert sorted(r["id"] for r in spark.table("core.daily").collect()) == [1, 2, 4, 5, 7, 8]
     assert [r[0] for r in spark.sql("show partitions core.daily").collect()] == ["p=2024-01-02", "p=2024-01-03"]
+    assert len([d for d, _, _ in os.walk(f"{folder}/target") if d.endswith("p=2024-01-01")]) == 0
 
 
 def test_partition_names_are_quoted(spark, folder):

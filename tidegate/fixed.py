@@ -53,6 +53,9 @@ FALSE_TEXTS = ("FALSE", "False", "false")
 LONG_NUMBER = 20
 FLOAT_LIMIT = float("9" * 30)
 
+# Rows per block of a bulk insert.
+BLOCK_ROWS = 5000
+
 # Longest message kept in the log table.
 MESSAGE_LENGTH = 4999
 

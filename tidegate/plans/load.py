@@ -32,6 +32,7 @@ class LoadOptions:
     customer_column: str | None = None
     stop_on_bad_control: bool = False
     parallel_tables: int = 1
+    keep_old_content: bool = True
     named_types: Mapping[str, Mapping[str, TargetType]] = field(default_factory=dict)
 
 
@@ -139,7 +140,7 @@ def load_table(
     append_log(log.error_log(checked, spec, ctx), log_root, ctx, spec.table, "errors")
     summary = log.run_summary(checked, spec).first()
     if summary["normal_num"] > 0:
-        _apply(ctx, spec, checked, target_table, target_root, replacing=counts["laundering_num"] > 0)
+        _apply(ctx, spec, checked, target_table, target_root, counts["laundering_num"] > 0, options.keep_old_content)
 
     numbers = {n: summary[f"{n}_num"] for n in ("total", "normal", "error")}
     lines.append(_line("Info004", spec, seq=_END_AT, text=summary["applied"]))
@@ -149,7 +150,13 @@ def load_table(
 
 
 def _apply(
-    ctx: RunContext, spec: LoadSpec, checked: DataFrame, target_table: str, target_root: str, replacing: bool
+    ctx: RunContext,
+    spec: LoadSpec,
+    checked: DataFrame,
+    target_table: str,
+    target_root: str,
+    replacing: bool,
+    keep_old: bool,
 ) -> None:
     """Put the new content in place: of the touched partitions if the target has any, else of the whole table."""
     spark = checked.sparkSession
@@ -159,9 +166,10 @@ def _apply(
     if not parts or parts[0] not in spec.names:
         content = (merge.replacement_rows if replacing else merge.merge_work)(target, checked, spec, ctx)
         if parts:
-            swap_partitions(content, target_table, target.select(*parts).distinct().collect(), target_root, version)
+            every = target.select(*parts).distinct().collect()
+            swap_partitions(content, target_table, every, target_root, version, keep_old)
         else:
-            swap_location(content, target_table, target_root, version)
+            swap_location(content, target_table, target_root, version, keep_old)
         return
     # Partition values: bounded by the number of partitions of the table.
     if replacing:
@@ -170,7 +178,7 @@ def _apply(
         touched = [r[0] for r in merge.touched_values(target, checked, spec, ctx, parts[0]).collect()]
         content = merge.merge_partitions(target, checked, spec, ctx, parts[0], touched)
         old = target.where(merge.in_values(parts[0], touched))
-    swap_partitions(content, target_table, old.select(*parts).distinct().collect(), target_root, version)
+    swap_partitions(content, target_table, old.select(*parts).distinct().collect(), target_root, version, keep_old)
 
 
 def _brief(failure: Exception) -> str:

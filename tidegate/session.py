@@ -77,6 +77,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Delete the frames :func:`written` inside the block at its end. Nothing may read them afterwards."""
@@ -84,10 +89,8 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        hadoop = spark._jsc.hadoopConfiguration()
         while len(_made) > before:
-            path = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
-            path.getFileSystem(hadoop).delete(path, True)
+            remove_folder(spark, _made.pop())
 
 
 def kept(df: DataFrame) -> DataFrame:

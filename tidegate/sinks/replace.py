@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.session import remove_folder
+
 
 def _fresh_folder(root: str, version: str) -> str:
     # Unique: a repeated run must not write over the folder that the table still reads.
@@ -32,17 +34,24 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def swap_location(rows: DataFrame, table: str, root: str, version: str) -> None:
+def _location(spark: SparkSession, table: str, partition: str = "") -> str:
+    described = spark.sql(f"DESCRIBE FORMATTED {table} {f'PARTITION {partition}' if partition else ''}")
+    return described.where(F.col("col_name") == "Location").first()["data_type"]
+
+
+def swap_location(rows: DataFrame, table: str, root: str, version: str, keep_old: bool = True) -> None:
     """Write a new version folder, then point the table at it in one catalogue step.
 
-    Readers see the old content or the new, and the old folder stays for a way back. A failed write leaves the
-    table as it was.
+    Readers see the old content or the new. A failed write leaves the table as it was. The old folder stays for a
+    way back and for readers that are under way, unless ``keep_old`` is off.
     """
     spark = rows.sparkSession
-    path = _fresh_folder(root, version)
+    path, before = _fresh_folder(root, version), _location(spark, table)
     rows.write.parquet(path)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
     spark.catalog.refreshTable(table)
+    if not keep_old:
+        remove_folder(spark, before)
 
 
 def _partition(row: Row, parts: Sequence[str]) -> str:
@@ -55,7 +64,9 @@ def _partition(row: Row, parts: Sequence[str]) -> str:
     return "(" + ", ".join(f"`{p}` = {literal(row[p])}" for p in parts) + ")"
 
 
-def swap_partitions(rows: DataFrame, table: str, old: Sequence[Row], root: str, version: str) -> None:
+def swap_partitions(
+    rows: DataFrame, table: str, old: Sequence[Row], root: str, version: str, keep_old: bool = True
+) -> None:
     """Write new content for some partitions, then point each of them at its new folder.
 
     ``old`` names the partitions that ``rows`` stands for; those without rows any more are dropped. Partitions not
@@ -64,6 +75,7 @@ def swap_partitions(rows: DataFrame, table: str, old: Sequence[Row], root: str,
     spark = rows.sparkSession
     parts = partition_columns(spark, table)
     path = _fresh_folder(root, version)
+    before = [] if keep_old else [_location(spark, table, _partition(row, parts)) for row in old]
     rows.hint("rebalance", *(F.col(f"`{p}`") for p in parts)).write.partitionBy(*parts).parquet(path)
     file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     folder = F.regexp_replace(file, "/[^/]+$", "").alias("__folder")
@@ -78,6 +90,8 @@ def swap_partitions(rows: DataFrame, table: str, old: Sequence[Row], root: str,
         if _partition(row, parts) not in kept:
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION {_partition(row, parts)}")
     spark.catalog.refreshTable(table)
+    for folder in before:
+        remove_folder(spark, folder)
 
 
 def replace_table(rows: DataFrame, table: str) -> None:
