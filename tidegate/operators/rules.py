@@ -141,33 +141,33 @@ def row_rules(spec: LoadSpec, only: Sequence[str] = ROW_RULES, require_keys: boo
     return sorted(found, key=lambda r: r.ordinal)
 
 
-def errors_of(rules: Sequence[RowRule]) -> Column:
-    """The errors of a row; only live rows have any. The array is built for rows that fail a rule."""
-    empty = F.array().cast(T.ArrayType(ERROR_TYPE))
-    if not rules:
-        return empty
-    conditions = [F.coalesce(r.condition, F.lit(False)) for r in rules]
-    fails = F.lit(False)
-    for condition in conditions:
-        fails = fails | condition
-    found = F.array(*(F.when(c, r.error()) for c, r in zip(conditions, rules)))
-    return F.when(is_live() & fails, F.array_compact(found).cast(T.ArrayType(ERROR_TYPE))).otherwise(empty)
+def _no_errors() -> Column:
+    return F.array().cast(T.ArrayType(ERROR_TYPE))
 
 
 def with_errors(work: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
-    """Add the rules' errors to those a row already has."""
-    errors = errors_of(rules)
+    """Add the errors of live rows, after those a row already has.
+
+    The rules give one flag each first; the array is built from the flags, and only where one is set.
+    """
+    if not rules:
+        return work if ERRORS in work.columns else work.withColumn(ERRORS, _no_errors())
+    flags = [f"__rule{i}" for i in range(len(rules))]
+    flagged = work.withColumns({f: F.coalesce(r.condition, F.lit(False)) for f, r in zip(flags, rules)})
+    fails = F.lit(False)
+    for flag in flags:
+        fails = fails | F.col(flag)
+    found = F.array_compact(F.array(*(F.when(F.col(f), r.error()) for f, r in zip(flags, rules))))
+    errors = F.when(is_live() & fails, found).otherwise(_no_errors())
     if ERRORS in work.columns:
         errors = F.concat(F.col(ERRORS), errors)
-    return work.withColumn(ERRORS, errors)
+    return flagged.withColumn(ERRORS, errors).drop(*flags)
 
 
 def with_error_if(work: DataFrame, condition: Column, ordinal: int, code: str, item: str | None, message: str) -> DataFrame:
     """Add one error found by a join."""
     error = RowRule(ordinal, code, item, F.lit(message), condition).error()
-    found = F.array(error).cast(T.ArrayType(ERROR_TYPE))
-    none = F.array().cast(T.ArrayType(ERROR_TYPE))
-    extra = F.when(F.coalesce(condition, F.lit(False)), found).otherwise(none)
+    extra = F.when(F.coalesce(condition, F.lit(False)), F.array(error)).otherwise(_no_errors())
     kept = F.concat(F.col(ERRORS), extra) if ERRORS in work.columns else extra
     return work.withColumn(ERRORS, kept)
 
