@@ -13,6 +13,7 @@ from tidegate.plans.load import LoadOptions, load_table, run_tables
 from tidegate.session import written
 from tidegate.sinks.replace import create_versioned, replace_table
 from tidegate.sinks.tables import read_log
+from tidegate.streaming.file_drop import file_drop_stream, load_batch_as, load_drops
 
 NOW = datetime(2024, 2, 1, 9, 0, 0)
 CTX = RunContext(NOW, "c1", 24)
@@ -169,6 +170,38 @@ def test_customer_check(spark, world):
     assert results[0].status == "Fatal003"
 
 
+def test_dropped_files_are_loaded(spark, folder):
+    spark.sql(f"create database if not exists core location '{folder}/core'")
+    spark.sql("drop table if exists core.drops")
+    create_versioned(spark.createDataFrame([], TARGET), "core.drops", f"{folder}/target", "drops")
+    spec = LoadSpec(
+        "drops",
+        (
+            ControlColumn("id", TargetType("bigint"), True),
+            ControlColumn("name", TargetType("text"), rules="Required"),
+            ControlColumn("amount", TargetType("numeric", 9, 2)),
+        ),
+    )
+    os.makedirs(f"{folder}/upload")
+    schema = spark.createDataFrame([], "id string, name string, amount string, process_div string").schema
+    handle = load_batch_as(spec, "core.drops", CTX, f"{folder}/work", f"{folder}/loaded", f"{folder}/log", LoadOptions())
+
+    def drop(name, text):
+        with open(f"{folder}/upload/{name}", "w") as out:
+            out.write("id,name,amount,process_div\n" + text)
+        stream = file_drop_stream(spark, f"{folder}/upload", schema, header="true")
+        query = load_drops(stream, handle, f"{folder}/checkpoint")
+        query.awaitTermination(120)
+        assert query.exception() is None
+        spark.catalog.refreshTable("core.drops")
+        return {r["id"]: (r["name"], r["amount"]) for r in spark.table("core.drops").collect()}
+
+    assert drop("a.csv", "1,one,1.5,U\n2,two,x,U\n3,,3,U\n4,four,,U\n") == {1: ("one", Decimal("1.50")), 4: ("four", None)}
+    assert drop("b.csv", "1,uno,2,U\n4,,,D\n9,,,D\n") == {1: ("uno", Decimal("2.00")), 4: ("four", None)}
+    codes = sorted(r["message_cd"] for r in read_log(spark, f"{folder}/log").where("level = 'Error'").collect())
+    assert codes == ["Error001", "Error003", "Error003", "Error003", "Error010"]
+
+
 def test_only_touched_partitions_are_written(spark, folder):
     """A date-partitioned target: updates, moves between partitions, deletes and new rows."""
     days = {n: date(2024, 1, n) for n in range(1, 8)}

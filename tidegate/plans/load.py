@@ -30,6 +30,7 @@ class LoadOptions:
     check_delete_targets: bool = True
     require_keys: bool = True
     customer_column: str | None = None
+    whole_source: bool = False
     stop_on_bad_control: bool = False
     parallel_tables: int = 1
     keep_old_content: bool = True
@@ -97,7 +98,8 @@ def load_table(
     """Load one table: stage, check, log the errors, apply, log the counts.
 
     Staged and checked rows are written tables: the source is read once, and neither the log nor the merge has to
-    repeat a check when executors are lost.
+    repeat a check when executors are lost. ``whole_source`` takes all rows instead of those since the cutoff, as for
+    dropped files.
     """
     spark = source.sparkSession
     lines = [_line("Info003", spec, seq=_START_AT)]
@@ -108,7 +110,8 @@ def load_table(
         return result
 
     try:
-        staged = truncate_and_load(work.to_work(incremental_extract(source, ctx), spec, ctx), f"{folder}/staged")
+        changed = source if options.whole_source else incremental_extract(source, ctx)
+        staged = truncate_and_load(work.to_work(changed, spec, ctx), f"{folder}/staged")
     except Exception as failure:  # noqa: BLE001 - any source failure skips this table only
         lines.append(_line("Fatal007", spec, seq=_STOP_AT, reason=_brief(failure)))
         lines.append(_line("Info006", spec, seq=_END_AT))
@@ -126,6 +129,8 @@ def load_table(
         lines.append(_line("Info006", spec, seq=_END_AT, text=fixed.MESSAGES["Info006stopped"]))
         return finish(TableResult(spec.table, stop, total_num=counts["total_num"]))
 
+    # Another session may have switched the table since this one last read it.
+    spark.catalog.refreshTable(target_table)
     target = spark.table(target_table)
     flagged = check_work(
         staged,

@@ -70,13 +70,12 @@ def slo_log_complete(logs: DataFrame, source: str, time: str, first: date, last:
 
 
 def missing_log_days(logs: DataFrame, source: str, time: str, first: date, last: date) -> DataFrame:
-    """The days without a log, per source."""
+    """The days without a log, per source. A source keeps one set of at most as many days as the span has."""
     day = F.to_date(time)
-    inside = logs.where(day.between(F.lit(first), F.lit(last)))
-    delivered = inside.select(source, day.alias("day")).distinct()
-    calendar = F.explode(F.sequence(F.lit(first), F.lit(last))).alias("day")
-    expected = logs.select(source).distinct().select(source, calendar)
-    return expected.join(delivered, [source, "day"], "left_anti")
+    delivered = F.collect_set(F.when(day.between(F.lit(first), F.lit(last)), day))
+    days = F.sequence(F.lit(first), F.lit(last))
+    seen = logs.groupBy(source).agg(delivered.alias("delivered"))
+    return seen.select(source, F.explode(F.array_except(days, "delivered")).alias("day"))
 
 
 def abort_trend(queries: DataFrame, unit: str = "month", better_by: float = 0.10) -> DataFrame:

@@ -7,12 +7,17 @@ restart, and it moves finished files to the ``bk`` folder by itself.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tidegate.model import LoadSpec, RunContext
+from tidegate.plans.load import LoadOptions, load_table
+
 
 def file_drop_stream(
     spark: SparkSession,
@@ -30,6 +35,22 @@ def file_drop_stream(
     return reader.load(folder).select("*", F.col("_metadata.file_path").alias("source_file"))
 
 
+def load_batch_as(
+    spec: LoadSpec, target_table: str, ctx: RunContext, work_root: str, target_root: str, log_root: str, options: LoadOptions
+) -> Callable[[DataFrame, int], None]:
+    """A handler that loads each micro-batch into a target: checked, merged and logged as a run of its own.
+
+    Merging the same rows again changes nothing, so a batch repeated after a failure is harmless. Batches run in a
+    session of their own: a session that has read the table before has to refresh it.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        run = replace(ctx, run_ts=ctx.run_ts + timedelta(seconds=batch_id))
+        load_table(run, spec, batch, target_table, work_root, target_root, log_root, replace(options, whole_source=True))
+
+    return handle
+
+
 def load_drops(rows: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Hand all waiting files to ``handle`` in micro-batches, then stop. ``handle`` must accept a repeated batch id."""
     return (
