@@ -446,7 +446,7 @@ def flagged_rows(spark, folder):
 
 @query
 def first_alert_per_table(spark, folder):
-    events = rules.flag_rows(rules.with_errors(_events(spark, folder), rules.row_rules(EVENTS)))
+    events = rules.with_errors(written(_events(spark, folder), "staged"), rules.row_rules(EVENTS))
     both = log.collect_errors(_log(spark, folder), log.error_log(events, EVENTS, CTX))
     return log.first_alert_per_table(both).select("target_file", "level", "seq", "message_cd")
 
@@ -698,6 +698,12 @@ def slo_scan_p95(spark, folder):
     return found.withColumn("p95_bytes", F.round("p95_bytes", 2))
 
 
+@query
+def slo_query_p95_weekly(spark, folder):
+    queries = fixture(spark, folder, "query_log").withColumn("week", F.to_date(F.date_trunc("week", "start_ts")))
+    return slo.slo_query_p95(queries, by=["week"]).withColumn("p95_s", F.round("p95_s", 6))
+
+
 @query
 def slo_etl_window(spark, folder):
     return slo.slo_etl_window(fixture(spark, folder, "etl_runs"))

@@ -127,11 +127,23 @@ def test_quantile(spark, limit, share, shape):
         "steep": np.exp(rng.random(3000) * 40),
     }[shape]
     frame = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(4)
-    row = exact_quantile(frame, "v", share, "q", limit).first()
+    row = exact_quantile(frame, "v", share, "q", last_step_values=limit).first()
     assert row["n"] == 3000
     assert row["q"] == pytest.approx(np.quantile(values, share), rel=1e-12)
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 40])
+def test_quantile_per_group(spark, limit):
+    rng = np.random.default_rng(9)
+    groups = {"hot": rng.random(3000), "small": rng.random(3), "same": np.ones(500), None: rng.integers(0, 300, 900).astype(float)}
+    rows = [(g, float(v)) for g, values in groups.items() for v in values] + [("hot", None), ("empty", None)]
+    frame = spark.createDataFrame(rows, "g string, v double").repartition(4)
+    found = {r["g"]: (r["q"], r["n"]) for r in exact_quantile(frame, "v", 0.95, "q", ["g"], limit).collect()}
+    assert set(found) == set(groups)
+    for g, values in groups.items():
+        assert found[g] == (pytest.approx(np.quantile(values, 0.95), rel=1e-12), len(values))
+
+
 def test_quantile_of_nothing(spark):
     assert exact_quantile(spark.createDataFrame([], "v double"), "v", 0.5, "q").first()[:] == (None, 0)
 

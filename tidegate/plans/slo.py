@@ -19,20 +19,22 @@ def _micros(column: str) -> Column:
     return F.unix_micros(F.col(column).cast("timestamp"))
 
 
-def quantile_slo(rows: DataFrame, value: str, name: str, limit: float, share: float = 0.95) -> DataFrame:
-    """One row: the quantile, the number of values and whether the limit is met."""
-    found = exact_quantile(rows, value, share, name)
-    return found.select(name, "n", (F.col(name) <= limit).alias("met"))
+def quantile_slo(
+    rows: DataFrame, value: str, name: str, limit: float, share: float = 0.95, by: Sequence[str] = ()
+) -> DataFrame:
+    """Overall or per group: the quantile, the number of values and whether the limit is met."""
+    found = exact_quantile(rows, value, share, name, by)
+    return found.select(*by, name, "n", (F.col(name) <= limit).alias("met"))
 
 
-def slo_query_p95(queries: DataFrame, limit_s: float = 10.0) -> DataFrame:
+def slo_query_p95(queries: DataFrame, limit_s: float = 10.0, by: Sequence[str] = ()) -> DataFrame:
     """Response time of mart queries."""
-    return quantile_slo(queries.where(F.col("layer") == "dm"), "elapsed_s", "p95_s", limit_s)
+    return quantile_slo(queries.where(F.col("layer") == "dm"), "elapsed_s", "p95_s", limit_s, by=by)
 
 
-def slo_scan_p95(queries: DataFrame, limit_bytes: float = GIB) -> DataFrame:
+def slo_scan_p95(queries: DataFrame, limit_bytes: float = GIB, by: Sequence[str] = ()) -> DataFrame:
     """Bytes scanned per query."""
-    return quantile_slo(queries, "scan_bytes", "p95_bytes", limit_bytes)
+    return quantile_slo(queries, "scan_bytes", "p95_bytes", limit_bytes, by=by)
 
 
 def slo_etl_window(runs: DataFrame, least_success: float = 0.99, late_minutes: int = 15) -> DataFrame:

@@ -7,7 +7,6 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime re-planning does the partition sizing, skew splitting and broadcast choice.
@@ -91,8 +90,3 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     finally:
         while len(_made) > before:
             remove_folder(spark, _made.pop())
-
-
-def kept(df: DataFrame) -> DataFrame:
-    """Keep a frame on executor disks while several actions read it; lost blocks are recomputed."""
-    return df.persist(StorageLevel.DISK_ONLY)
