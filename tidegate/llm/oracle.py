@@ -15,17 +15,17 @@ ORACLE = {
             SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
         ), windows AS (
-            SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[at : at + 9], ' ') AS words
-            FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS at FROM item_words WHERE len(w) > 0) s
+            SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(list_slice(w, pos, pos + 9), ' ') AS words
+            FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS pos FROM item_words WHERE len(w) > 0) s
         ), places AS (
-            SELECT doc_id, at, size, array_to_string(w[at : at + size - 1], ' ') AS words
-            FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS at
+            SELECT doc_id, pos, size, array_to_string(list_slice(w, pos, pos + size - 1), ' ') AS words
+            FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS pos
                   FROM text_words, (SELECT DISTINCT size FROM windows) z WHERE len(w) >= size) s
         ), found AS (
-            SELECT p.doc_id, p.at, p.size, v.item_id FROM places p JOIN windows v ON p.size = v.size AND p.words = v.words
+            SELECT p.doc_id, p.pos, p.size, v.item_id FROM places p JOIN windows v ON p.size = v.size AND p.words = v.words
         ), hits AS (
             SELECT doc_id, count(*) AS n_hit FROM (
-                SELECT DISTINCT doc_id, unnest(range(at, at + size)) AS k FROM (SELECT DISTINCT doc_id, at, size FROM found) f
+                SELECT DISTINCT doc_id, unnest(range(pos, pos + size)) AS k FROM (SELECT DISTINCT doc_id, pos, size FROM found) f
             ) h GROUP BY doc_id
         ), items AS (
             SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids

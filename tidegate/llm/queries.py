@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import bpe, decontaminate, token_files, url_filter
+from tidegate.llm import bpe, decontaminate, licenses, pii, token_files, url_filter
 from tidegate.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,4 +18,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_url_filters": lambda s, d: url_filter.judge(table(s, d, "pages"), url_filter.rule_frame(s)),
     "op7_bpe_round_trip": lambda s, d: bpe.round_trip(table(s, d, "documents"), BYTE_BPE),
     "op8_token_files": lambda s, d: token_files.written_and_read(table(s, d, "documents"), WORD_BPE),
+    "op9_pii": lambda s, d: pii.report(table(s, d, "documents")),
+    "op10_license_scans": lambda s, d: licenses.report(
+        table(s, d, "documents"), licenses.sentence_frame(s), licenses.rule_frame(s)
+    ),
 }
