@@ -94,13 +94,15 @@ def _large_star(links: DataFrame) -> DataFrame:
     """Each node's larger neighbours are linked to the smallest node around it."""
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     lowest = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), F.least("m", "a").alias("m"))
-    joined = both.join(lowest, F.col("a") == F.col("k"))
+    # A written side lets run-time planning split a node with very many neighbours.
+    joined = both.join(written(lowest, "lowest"), F.col("a") == F.col("k"))
     return joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     """Each node's smaller neighbours, and itself, are linked to the smallest of them."""
     lowest = links.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("k"), "m")
+    lowest = written(lowest, "lowest")
     joined = links.join(lowest, F.col("a") == F.col("k"))
     moved = joined.select(F.col("b").alias("a"), F.col("m").alias("b"))
     own = lowest.select(F.col("k").alias("a"), F.col("m").alias("b"))
