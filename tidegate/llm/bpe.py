@@ -34,6 +34,24 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 
 NEVER = np.iinfo(np.int64).max
 
+SLICE = 2 * 1024**2
+"""Bytes of text, or of ids, handled at once in a task; it bounds a worker's memory."""
+
+
+def read_spec(path: str) -> tuple[dict, dict[str, int], dict[bytes, int], list[bytes]]:
+    """A vocabulary file: its content, tokens to ids, special tokens to ids, and the bytes of each id."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    letters = byte_letters()
+    vocabulary = spec["model"]["vocab"]
+    special = {t["content"].encode(): t["id"] for t in spec["added_tokens"]}
+    bytes_of = [b""] * (max([*vocabulary.values(), *special.values()]) + 1)
+    for token, i in vocabulary.items():
+        bytes_of[i] = bytes(letters[c] for c in token)
+    for token, i in special.items():
+        bytes_of[i] = token
+    return spec, vocabulary, special, bytes_of
+
 
 def byte_letters() -> dict[str, int]:
     """The letters by which vocabulary files write bytes: printable Latin-1 as itself, the rest from U+0100 on."""
@@ -46,19 +64,9 @@ class Merger:
     """Vocabulary and merges of one file, with the three ways to use them: propose, verify, merge."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        letters = byte_letters()
-        vocabulary = spec["model"]["vocab"]
-        self.special = {t["content"].encode(): t["id"] for t in spec["added_tokens"]}
-        size = max([*vocabulary.values(), *self.special.values()]) + 1
-        self.bytes_of = [b""] * size
-        for token, i in vocabulary.items():
-            self.bytes_of[i] = bytes(letters[c] for c in token)
-        for token, i in self.special.items():
-            self.bytes_of[i] = token
-        self.byte_ids = [vocabulary[c] for c, _ in sorted(letters.items(), key=lambda x: x[1])]
-        self.size = size
+        spec, vocabulary, self.special, self.bytes_of = read_spec(path)
+        self.byte_ids = [vocabulary[c] for c, _ in sorted(byte_letters().items(), key=lambda x: x[1])]
+        self.size = size = len(self.bytes_of)
         # Each token's rank is that of the merge that makes it; single bytes are there from the start.
         self.rank = np.full(size, -1, np.int64)
         self.left, self.right = np.full(size, -1, np.int64), np.full(size, -1, np.int64)
@@ -291,7 +299,7 @@ def _encode_step(path: str, schema: pa.Schema):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
         for whole in batches:
-            for start, stop in by_bytes(column_of(whole, "text")):
+            for start, stop in by_bytes(column_of(whole, "text"), SLICE):
                 batch = whole.slice(start, stop - start)
                 ids = coder.encode(text_bytes(column_of(batch, "text")))
                 made = {
@@ -305,17 +313,18 @@ def _encode_step(path: str, schema: pa.Schema):
 
 def _decode_step(path: str, schema: pa.Schema):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merger = encoder(path).merger
-        flat = np.frombuffer(b"".join(merger.bytes_of), np.uint8)
-        starts = np.cumsum(merger.lengths) - merger.lengths
+        bytes_of = read_spec(path)[3]
+        flat = np.frombuffer(b"".join(bytes_of), np.uint8)
+        lengths = np.array([len(b) for b in bytes_of], np.int64)
+        starts = np.cumsum(lengths) - lengths
         for whole in batches:
-            for start, stop in by_bytes(column_of(whole, "ids")):
+            for start, stop in by_bytes(column_of(whole, "ids"), SLICE):
                 batch = whole.slice(start, stop - start)
                 texts = []
                 for raw in column_of(batch, "ids").to_pylist():
                     ids = np.frombuffer(raw or b"", "<u4").astype(np.int64)
-                    ids = ids[ids < merger.size]
-                    text = gather(flat, starts[ids], merger.lengths[ids]).tobytes()
+                    ids = ids[ids < len(lengths)]
+                    text = gather(flat, starts[ids], lengths[ids]).tobytes()
                     texts.append(text.decode("utf-8", "replace"))
                 yield _as(batch, {"decoded": pa.array(texts, pa.string())}, schema)
 

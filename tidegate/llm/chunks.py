@@ -7,7 +7,7 @@ from itertools import repeat
 
 import numpy as np
 
-LIMIT = 400_000
+LIMIT = 150_000
 """Chunks remembered; beyond it the memory starts anew. It saves time only, results do not depend on it."""
 
 

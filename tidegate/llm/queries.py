@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import bpe, decontaminate, licenses, pii, quality, simhash, token_files, topk, url_filter
+from tidegate.llm import bpe, decontaminate, licenses, line_dedup, pii, quality, simhash, token_files, topk, url_filter
 from tidegate.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_classifier": lambda s, d: quality.report(table(s, d, "documents"), table(s, d, "labels")),
     "op4_simhash": lambda s, d: simhash.report(table(s, d, "documents")),
     "op5_url_filters": lambda s, d: url_filter.judge(table(s, d, "pages"), url_filter.rule_frame(s)),
+    "op6_line_dedup": lambda s, d: line_dedup.report(table(s, d, "documents")),
     "op7_bpe_round_trip": lambda s, d: bpe.round_trip(table(s, d, "documents"), BYTE_BPE),
     "op8_token_files": lambda s, d: token_files.written_and_read(table(s, d, "documents"), WORD_BPE),
     "op9_pii": lambda s, d: pii.report(table(s, d, "documents")),

@@ -4,16 +4,24 @@ A document's fingerprint has a bit for each bit of 64 that over half of its word
 fingerprints link when they differ in at most ``radius`` bits. Each bit of a fingerprint is given a non-zero vector of
 ``radius + 1`` bits; each non-zero vector v makes a table whose mask keeps the bits whose vector has an odd product with
 v. At most ``radius`` differing bits have vectors that leave some v orthogonal to all of them, so every linked pair
-agrees on the whole mask of some table: no link is missed.
+agrees on the whole mask of some table: no link is missed. With ``parts`` the bits are cut into parts, each with tables
+for its share of the radius; one part has no more than its share of the differing bits. More parts mean fewer tables of
+shorter masks: the way to a large radius.
 
 Equal fingerprints become one before the tables, so that exact copies cost nothing there. Within one bucket of a table
-the links are found by comparison, and only a spanning set of them is handed on, at most one per fingerprint. A bucket
-of many fingerprints is cut into blocks and each pair of blocks is a group of its own; how many blocks only decides how
-work is dealt. Groups of documents are the connected components of these links.
+the links are found by comparison, and only a spanning set of them is handed on. A bucket of many fingerprints is cut
+into blocks and each pair of blocks is a group of its own; how many blocks only decides how work is dealt. Groups of
+documents are the connected components of these links.
+
+``one_of_each_group`` removes near-duplicates with five-word shingles at a similarity of 0.8: shingle sets of that
+Jaccard similarity have a cosine of 0.89, at which a fingerprint of 64 bits differs in 9.7 bits on average, so the
+radius is 9, in two parts. As so wide a radius would link some unrelated texts in a large corpus, a second fingerprint
+of 64 bits, from the same shingles, confirms: both together differ in at most 20 bits.
 
 Cases: a null text is empty; a text without words has fingerprint zero and links like any other. One of fewer words
 than a shingle has is one shingle. Null document ids never name a group, unless it has no other (then null). Repeated
-documents each keep their row. In ``one_of_each_group`` documents of one id and fingerprint keep one row.
+documents each keep their row in ``grouped``. ``one_of_each_group`` keeps the document of the smallest id; rows that
+share an id are one document and stay if one of them does.
 """
 
 from __future__ import annotations
@@ -39,98 +47,148 @@ SAMPLE = 64
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
-def fingerprint(text: bytes | None, size: int = 3, seed: int = 42) -> int:
-    """The 64-bit fingerprint of a text's word shingles; words are cut at ASCII white space, A-Z lowered."""
-    words = (text or b"").translate(_LOWER).split()
-    if not words:
-        return 0
-    if len(words) < size:
-        return xxhash.xxh64_intdigest(b" ".join(words), seed)
+_SECOND = np.uint64(0x9E3779B97F4A7C15)
+
+
+def fingerprint(text: bytes | None, size: int = 3, words: int = 1, seed: int = 42) -> list[int]:
+    """Fingerprints of 64 bits of a text's word shingles; words are cut at ASCII white space, A-Z lowered.
+
+    The first is of the shingles' hashes, further ones of numbers mixed from them.
+    """
+    parts = (text or b"").translate(_LOWER).split()
+    if not parts:
+        return [0] * words
     digest = xxhash.xxh64_intdigest
-    hashes = np.array(
-        [digest(b" ".join(s), seed) for s in zip(*(words[k:] for k in range(size)), strict=False)], np.uint64
-    )
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    counts = np.zeros(64, np.int64)
-    for at in range(0, len(bits), 1 << 16):
-        counts += bits[at : at + (1 << 16)].sum(0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
+    shingles = zip(*(parts[k:] for k in range(size)), strict=False) if len(parts) >= size else [parts]
+    hashes = np.array([digest(b" ".join(s), seed) for s in shingles], np.uint64)
+    out = []
+    for _ in range(words):
+        counts = np.zeros(64, np.int64)
+        for at in range(0, len(hashes), 1 << 16):
+            block = np.ascontiguousarray(hashes[at : at + (1 << 16)]).view(np.uint8).reshape(-1, 8)
+            counts += np.unpackbits(block, axis=1, bitorder="little").sum(0, dtype=np.int64)
+        out.append(int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0]))
+        hashes = (hashes ^ (hashes >> np.uint64(31))) * _SECOND
+        hashes ^= hashes >> np.uint64(29)
+    return out
 
 
-def _fingerprint_step(size: int, names: list[str]):
+def _fingerprint_step(size: int, words: int):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start, stop in by_bytes(column_of(whole, "text")):
                 batch = whole.slice(start, stop - start)
-                prints = [fingerprint(t, size) for t in text_bytes(column_of(batch, "text"))]
-                signed = pa.array(np.array(prints, np.uint64).view(np.int64))
-                yield pa.RecordBatch.from_arrays([*(column_of(batch, n) for n in names), signed], names=[*names, "fp"])
+                prints = [fingerprint(t, size, words) for t in text_bytes(column_of(batch, "text"))]
+                table = np.array(prints, np.uint64).reshape(-1, words).view(np.int64)
+                columns = [column_of(batch, "doc_id"), *(pa.array(table[:, k]) for k in range(words))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *NAMES[:words]])
 
     return step
 
 
-def fingerprints(documents: DataFrame, size: int = 3) -> DataFrame:
-    """``doc_id, fp``: the fingerprint as a signed 64-bit integer."""
-    ship(documents.sparkSession)
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(_fingerprint_step(size, ["doc_id"]), f"doc_id {kind}, fp long")
+NAMES = ("fp", "fp2")
 
 
-def masks(radius: int) -> list[int]:
-    """The tables' masks: bit i has vector i mod (2^(radius+1) - 1) + 1."""
-    many = (1 << (radius + 1)) - 1
-    vectors = [i % many + 1 for i in range(64)]
-    return [sum(1 << i for i, m in enumerate(vectors) if (m & v).bit_count() % 2) for v in range(1, many + 1)]
+def fingerprints(documents: DataFrame, size: int = 3, words: int = 1) -> DataFrame:
+    """``doc_id, fp`` and, with two words, ``fp2``: fingerprints as signed 64-bit integers."""
+    ship(documents.sparkSession)
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    schema = ", ".join([f"doc_id {kind}", *(f"{n} long" for n in NAMES[:words])])
+    return documents.select("doc_id", "text").mapInArrow(_fingerprint_step(size, words), schema)
+
+
+def masks(radius: int, parts: int = 1) -> list[int]:
+    """The tables' masks: in each part of the bits, bit i has vector i mod (2^(r+1) - 1) + 1 for its share r."""
+    share = radius // parts
+    many = (1 << (share + 1)) - 1
+    out = []
+    for part in range(parts):
+        bits = [i for i in range(64) if i * parts // 64 == part]
+        for v in range(1, many + 1):
+            out.append(sum(1 << i for n, i in enumerate(bits) if ((n % many + 1) & v).bit_count() % 2))
+    return out
 
 
 def _signed(mask: int) -> Column:
     return F.lit(mask - (1 << 64) if mask >= 1 << 63 else mask)
 
 
-def spanning(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    """Links that connect what the links within ``prints`` connect; at most one per fingerprint."""
-    rest, out = np.unique(prints), []
+def _near(a: np.ndarray, b: np.ndarray, radius: int, limit: int) -> np.ndarray:
+    """Whether rows of fingerprints differ in at most ``radius`` bits, and in ``limit`` bits over all words."""
+    differ = np.bitwise_count((a ^ b).view(np.uint64))  # of signed numbers it would count the absolute value's bits
+    return (differ[..., 0] <= radius) & (differ.sum(-1, dtype=np.int64) <= limit)
+
+
+def spanning(nodes: np.ndarray, prints: np.ndarray, radius: int, limit: int) -> list[tuple[int, int]]:
+    """Links that connect what the links within ``prints`` connect; at most one per node."""
+    out, rest = [], np.arange(len(nodes))
     while len(rest):
         stack, rest = [rest[0]], rest[1:]
         while stack and len(rest):
             one = stack.pop()
-            near = np.bitwise_count(rest ^ one) <= radius
+            near = _near(prints[rest], prints[one], radius, limit)
             if near.any():
-                new = rest[near]
-                out += [(int(one), x) for x in new.tolist()]
-                stack += list(new)
+                out += [(int(nodes[one]), int(nodes[i])) for i in rest[near]]
+                stack += rest[near].tolist()
                 rest = rest[~near]
     return out
 
 
-def _link_step(radius: int):
-    """Rows come sorted by group; each group of two or more gives a spanning set of its links."""
+SMALL = 128
+"""Groups up to this size are compared side by side with others, larger ones alone; the links are the same."""
+
+
+def _links_of(groups: np.ndarray, nodes: np.ndarray, prints: np.ndarray, radius: int, limit: int):
+    """A spanning set of the links of every group; rows are sorted by group."""
+    starts = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))
+    sizes = np.diff(np.append(starts, len(groups)))
+    out = []
+    for a, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL], strict=True):
+        out += spanning(nodes[a : a + n], prints[a : a + n], radius, limit)
+    size = np.repeat(sizes, sizes)
+    place = np.arange(len(groups)) - np.repeat(starts, sizes)
+    live = np.flatnonzero(size <= SMALL)
+    for gap in range(1, int(sizes[sizes <= SMALL].max(initial=1))):
+        live = live[place[live] + gap < size[live]]
+        near = live[_near(prints[live], prints[live + gap], radius, limit)]
+        out += zip(nodes[near].tolist(), nodes[near + gap].tolist(), strict=True)
+    return _forest(out)
+
+
+def _forest(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """A subset of the links that connects the same nodes."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = parent[up]
+            x = up
+        return x
+
+    out = []
+    for a, b in pairs:
+        x, y = root(a), root(b)
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            out.append((a, b))
+    return out
 
-    def links(groups: np.ndarray, prints: np.ndarray) -> list[tuple[int, int]]:
-        cuts = np.flatnonzero((groups[1:] != groups[:-1]).any(1)) + 1
-        starts = np.concatenate([[0], cuts])
-        stops = np.append(cuts, len(groups))
-        out = []
-        for a, b in zip(starts[stops - starts > 1], stops[stops - starts > 1], strict=True):
-            out += spanning(prints[a:b], radius)
-        return out
 
+def _link_step(radius: int, limit: int, words: int):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((0, 5), np.int64)
+        names = ["bucket", "node", *NAMES[:words]]
+        held = np.zeros((0, len(names)), np.int64)
         for batch in batches:
-            new = np.stack([column_of(batch, n).to_numpy() for n in ("number", "key", "one", "other", "fp")], 1)
-            rows = np.concatenate([held, new])
+            rows = np.concatenate([held, np.stack([column_of(batch, n).to_numpy() for n in names], 1)])
             if not len(rows):
                 continue
             # The last group may go on in the next batch.
-            last = len(rows) - 1
-            differs = np.flatnonzero((rows[:, :4] != rows[last, :4]).any(1))
-            cut = int(differs[-1]) + 1 if len(differs) else 0
+            cut = int(np.searchsorted(rows[:, 0], rows[-1, 0]))
             held = rows[cut:]
             if cut:
-                yield _pairs(links(rows[:cut, :4], rows[:cut, 4]))
+                yield _pairs(_links_of(rows[:cut, 0], rows[:cut, 1], rows[:cut, 2:], radius, limit))
         if len(held):
-            yield _pairs(links(held[:, :4], held[:, 4]))
+            yield _pairs(_links_of(held[:, 0], held[:, 1], held[:, 2:], radius, limit))
 
     return step
 
@@ -140,47 +198,66 @@ def _pairs(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(table[:, 0]), pa.array(table[:, 1])], names=["a", "b"])
 
 
-def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
-    """``a, b``: links between the distinct fingerprints ``fp`` that connect all that are linked."""
+def links(prints: DataFrame, radius: int, parts: int = 1, limit: int = 128, block: int = BLOCK) -> DataFrame:
+    """``a, b``: links between distinct fingerprints (``node`` and its ``fp``) that connect all that are linked."""
     ship(prints.sparkSession)
-    keys = [F.struct(F.lit(n).cast("long").alias("number"), F.col("fp").bitwiseAND(_signed(m)).alias("key")) for n, m in enumerate(masks(radius))]
-    rows = prints.select("fp", F.explode(F.array(*keys)).alias("t")).select("fp", "t.number", "t.key")
-    sample = prints.where(F.pmod(F.xxhash64("fp"), F.lit(SAMPLE)) == 0)
+    words = [n for n in NAMES if n in prints.columns]
+    keys = F.array(
+        *[
+            F.xxhash64(F.lit(n), F.col("fp").bitwiseAND(_signed(m)))
+            for n, m in enumerate(masks(radius, parts))
+        ]
+    )
+    sample = prints.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLE)) == 0)
     hot = (
-        sample.select("fp", F.explode(F.array(*keys)).alias("t"))
-        .groupBy("t.number", "t.key")
+        sample.select(F.explode(keys).alias("key"))
+        .groupBy("key")
         .agg(F.ceil(F.count(F.lit(1)) * SAMPLE / block).cast("long").alias("blocks"))
         .where("blocks > 1")
     )
-    # A fingerprint of a large bucket goes to every pair of blocks that its own block is in.
-    own = F.pmod(F.xxhash64("fp", F.lit(1)), F.col("blocks"))
-    others = F.when(
-        F.col("blocks").isNull(), F.array(F.struct(F.lit(0).cast("long").alias("one"), F.lit(0).cast("long").alias("other")))
-    ).otherwise(
-        F.transform(
-            F.filter(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: j != own),
-            lambda j: F.struct(F.least(own, j).alias("one"), F.greatest(own, j).alias("other")),
-        )
+    # A fingerprint of a large bucket goes to every pair of blocks that its own block is in. Buckets whose hashes
+    # happen to be equal are compared together, which finds nothing that is not a link.
+    own = F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks"))
+    pairs = F.transform(
+        F.filter(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: j != own),
+        lambda j: F.xxhash64("key", F.least(own, j), F.greatest(own, j)),
     )
-    dealt = rows.join(hot, ["number", "key"], "left").select("number", "key", "fp", F.explode(others).alias("o"))
-    dealt = dealt.select("number", "key", "o.one", "o.other", "fp").repartition("number", "key", "one", "other")
-    return dealt.sortWithinPartitions("number", "key", "one", "other").mapInArrow(_link_step(radius), "a long, b long")
-
-
-def grouped(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """``doc_id, fp, component_id`` for rows of ``doc_id, fp``; the component is the smallest id it reaches."""
-    rows = written(prints, "fingerprints")
-    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    components = written(connected(links(distinct.select("fp"), radius)), "components")
-    rooted = distinct.join(components, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("root")
+    buckets = F.when(F.col("blocks").isNull(), F.array("key")).otherwise(pairs)
+    rows = prints.select("node", *words, F.explode(keys).alias("key")).join(hot, "key", "left")
+    dealt = rows.select(F.explode(buckets).alias("bucket"), "node", *words).repartition("bucket")
+    step = _link_step(radius, limit, len(words))
+    return dealt.sortWithinPartitions("bucket").mapInArrow(step, "a long, b long")
+
+
+def grouped(prints: DataFrame, radius: int = RADIUS, parts: int = 1, limit: int = 128) -> DataFrame:
+    """The rows of ``doc_id`` and fingerprints with ``component_id``, the smallest id that their links reach."""
+    words = [n for n in NAMES if n in prints.columns]
+    node = F.xxhash64(*words) if len(words) > 1 else F.col("fp")
+    rows = written(prints.withColumn("node", node), "fingerprints")
+    distinct = written(
+        rows.groupBy("node").agg(*[F.first(w).alias(w) for w in words], F.min("doc_id").alias("first")), "distinct"
     )
-    linked = written(rooted, "rooted")
-    lowest = written(linked.groupBy("root").agg(F.min("first").alias("component_id")), "roots")
-    named = written(linked.join(lowest, "root").select("fp", "component_id"), "named")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    components = written(
+        connected(links(distinct, radius, parts, limit)).withColumnRenamed("node", "linked"), "components"
+    )
+    rooted = distinct.join(components, F.col("node") == F.col("linked"), "left").select(
+        "node", "first", F.coalesce("component", "node").alias("root")
+    )
+    rooted = written(rooted, "rooted")
+    lowest = written(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "roots")
+    named = written(rooted.join(lowest, "root").select("node", "component_id"), "named")
+    return rows.join(named, "node").drop("node")
 
 
 def report(documents: DataFrame, size: int = 3, radius: int = RADIUS) -> DataFrame:
     found = grouped(fingerprints(documents, size), radius)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def one_of_each_group(
+    documents: DataFrame, size: int = 5, radius: int = 9, parts: int = 2, limit: int = 20
+) -> DataFrame:
+    """The documents with one of each group of near-duplicates."""
+    found = grouped(fingerprints(documents, size, words=2), radius, parts, limit)
+    kept = written(found.where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct(), "kept")
+    return documents.join(kept, F.expr("doc_id <=> kept_id"), "left_semi")

@@ -33,6 +33,9 @@ from tidegate.session import scratch_dir, written
 END_ID = 2
 """The id that ends a document."""
 
+SLICE = 2 * 1024**2
+"""Bytes of text handled at once in a task; it bounds a worker's memory."""
+
 PART_BYTES = 64 * 1024**2
 """About this much text goes to one part."""
 
@@ -110,7 +113,7 @@ def _encode_step(path: str, end: int, cuts: np.ndarray):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _encoder(path)
         for whole in batches:
-            for start, stop in by_bytes(column_of(whole, "text")):
+            for start, stop in by_bytes(column_of(whole, "text"), SLICE):
                 batch = whole.slice(start, stop - start)
                 ids = coder.encode(text_bytes(column_of(batch, "text")), end)
                 known = column_of(batch, "doc_id").fill_null(np.iinfo(np.int64).min).to_numpy()
