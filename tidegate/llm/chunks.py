@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 
@@ -35,16 +35,16 @@ class ChunkIds:
         out = np.fromiter(map(self.known.get, chunks, repeat(-1)), np.int64, len(chunks))
         missing = np.flatnonzero(out < 0)
         if len(missing):
-            new = list(dict.fromkeys(chunks[i] for i in missing))
+            lacking = [chunks[i] for i in missing.tolist()]
+            new = list(dict.fromkeys(lacking))
             self._add(new, self.encode(new))
-            for i in missing:
-                out[i] = self.known[chunks[i]]
+            out[missing] = np.fromiter(map(self.known.__getitem__, lacking), np.int64, len(lacking))
         return out
 
     def _add(self, chunks: list[bytes], ids: list[Sequence[int] | None]) -> None:
         at = len(self.known)
         sizes = np.array([-1 if x is None else len(x) for x in ids], np.int64)
-        flat = np.array([i for x in ids if x is not None for i in x], np.uint32)
+        flat = np.fromiter(chain.from_iterable(x for x in ids if x is not None), np.uint32)
         self.flat = _room(self.flat, self.used, flat)
         self.starts = _room(self.starts, at, self.used + np.cumsum(np.maximum(sizes, 0)) - np.maximum(sizes, 0))
         self.sizes = _room(self.sizes, at, sizes)

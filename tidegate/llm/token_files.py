@@ -18,6 +18,7 @@ id follow each other by length and content of their ids. Empty tables give empty
 from __future__ import annotations
 
 import os
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -26,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidegate.llm.chunks import ChunkIds
+from tidegate.llm.bpe import byte_letters
+from tidegate.llm.chunks import LIMIT, ChunkIds
 from tidegate.llm.common import by_bytes, column_of, ship, text_bytes
 from tidegate.session import scratch_dir, written
 
@@ -40,6 +42,44 @@ PART_BYTES = 64 * 1024**2
 """About this much text goes to one part."""
 
 
+# Up to U+017F there are no combining characters, so nothing to compose, and lower case is per character but for the
+# dotted I. The no-break space and the next-line control are white space to the library.
+PLAIN = re.compile("[\x00-\x84\x86-\x9f\xa1-\u012f\u0131-\u017f]+")
+
+# The vocabulary's splitter for such texts: contractions, letters, single numbers, anything else.
+_LETTER = "a-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f"
+_NUMBER = "0-9\xb2\xb3\xb9\xbc-\xbe"
+PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_LETTER}{_NUMBER}]+")
+
+
+# Classes of bytes: a Latin letter or its parts, a number, a mark, white space; 'x' are bytes of other characters.
+_CLASS = bytes(
+    ord("a")
+    if chr(b).isascii() and chr(b).isalnum() or 0x80 <= b <= 0xBF or 0xC3 <= b <= 0xC5
+    else ord(" ")
+    if b == 0x20 or 0x09 <= b <= 0x0D
+    else ord("x")
+    if b >= 0x80
+    else ord(".")
+    for b in range(256)
+)
+# Bytes below 0xC3 that begin a character, and characters of the allowed range that are no letters.
+_ODD = (b"\xc3\x97", b"\xc3\xb7", b"\xc4\xb0")
+
+
+def spaced(text: bytes) -> bytes:
+    """The text in ASCII lower case, its stops and commas set apart where no two marks touch.
+
+    A mark between letters, numbers or white space is a piece of its own for the splitter, so a space around it changes
+    no piece; it makes more chunks equal. Where marks touch, or are no ASCII, the text stays as it is.
+    """
+    text = text.lower()
+    kinds = text.translate(_CLASS)
+    if b".." in kinds or b"x" in kinds or any(o in text for o in _ODD):
+        return text
+    return text.replace(b".", b" . ").replace(b",", b" , ")
+
+
 class Encoder:
     """Ids by the tokenizers library, which sees each white-space-delimited chunk once while it is remembered.
 
@@ -56,15 +96,43 @@ class Encoder:
         self.library.no_padding()
         self.specials = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.memory = ChunkIds(self._chunks)
+        self.model = self.library.model
+        self.pieces: dict[str, list[int]] = {}
+        self.letter_of = {b: c for c, b in byte_letters().items()}
 
     def _chunks(self, chunks: list[bytes]) -> list[list[int]]:
-        texts = [c.decode() for c in chunks]
-        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        """Chunks of plain Latin letters are normalised and cut here, and only their pieces go to the library's model;
+        the library's own normaliser takes most of its time. All others go to the library whole."""
+        out: list[list[int] | None] = []
+        odd = []
+        for i, chunk in enumerate(chunks):
+            text = chunk.decode()
+            if not PLAIN.fullmatch(text):
+                odd.append((i, text))
+                out.append(None)
+            elif text.isascii() and text.isalpha():
+                out.append([t.id for t in self.model.tokenize(text.lower())])
+            else:
+                out.append([x for p in PIECES.findall(text.lower()) for x in (self.pieces.get(p) or self._piece(p))])
+        whole = self.library.encode_batch_fast([t for _, t in odd], add_special_tokens=False)
+        for (i, _), e in zip(odd, whole, strict=True):
+            out[i] = e.ids
+        return out
+
+    def _piece(self, piece: str) -> list[int]:
+        if len(self.pieces) > LIMIT:
+            self.pieces.clear()
+        letters = piece if piece.isascii() and piece.isprintable() else self._letters(piece)
+        self.pieces[piece] = ids = [t.id for t in self.model.tokenize(letters)]
+        return ids
+
+    def _letters(self, piece: str) -> str:
+        return piece.encode().decode("latin-1").translate(self.letter_of)
 
     def encode(self, texts: list[bytes | None], end: int) -> list[np.ndarray]:
         plain = [t or b"" for t in texts]
         rare = [any(s in t for s in self.specials) for t in plain]
-        parts = [[] if odd else t.split() for t, odd in zip(plain, rare, strict=True)]
+        parts = [[] if odd else spaced(t).split() for t, odd in zip(plain, rare, strict=True)]
         places = self.memory.places([c for own in parts for c in own])
         tail, stop, out = np.array([end], np.uint32), 0, []
         for text, odd, own in zip(plain, rare, parts, strict=True):
@@ -87,13 +155,20 @@ def _encoder(path: str) -> Encoder:
 
 def pack(ids: np.ndarray) -> tuple[bytes, bytes]:
     """Control and data bytes of unsigned 32-bit integers."""
-    values = np.ascontiguousarray(ids, "<u4")
-    sizes = 1 + (values > 0xFF).astype(np.uint8) + (values > 0xFFFF) + (values > 0xFFFFFF)
+    values = np.asarray(ids, np.uint32)
+    sizes = 1 + (values > 0xFF).astype(np.int64) + (values > 0xFFFF) + (values > 0xFFFFFF)
     codes = np.zeros(-(-len(values) // 4) * 4, np.uint8)
     codes[: len(values)] = sizes - 1
     quads = codes.reshape(-1, 4)
     control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    data = values.view(np.uint8).reshape(-1, 4)[np.arange(4) < sizes[:, None]]
+    starts = np.cumsum(sizes) - sizes
+    data = np.empty(int(sizes.sum()), np.uint8)
+    data[starts] = values & 0xFF
+    for byte in (1, 2, 3):
+        longer = np.flatnonzero(sizes > byte)
+        if not len(longer):
+            break
+        data[starts[longer] + byte] = (values[longer] >> np.uint32(8 * byte)) & 0xFF
     return control.tobytes(), data.tobytes()
 
 
@@ -104,9 +179,15 @@ _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
 def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     """The ``count`` integers behind control and data bytes."""
     sizes = _LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:count]
-    out = np.zeros((count, 4), np.uint8)
-    out[np.arange(4) < sizes[:, None]] = np.frombuffer(data, np.uint8)
-    return out.reshape(-1).view("<u4")
+    raw = np.frombuffer(data, np.uint8)
+    starts = np.cumsum(sizes) - sizes
+    out = raw[starts].astype(np.uint32)
+    for byte in (1, 2, 3):
+        longer = np.flatnonzero(sizes > byte)
+        if not len(longer):
+            break
+        out[longer] |= raw[starts[longer] + byte].astype(np.uint32) << np.uint32(8 * byte)
+    return out
 
 
 def _encode_step(path: str, end: int, cuts: np.ndarray):
@@ -139,9 +220,11 @@ def _wide(raw: bytes, count: int) -> np.ndarray:
 
 def _count_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1 << 16, np.int64)
-    for batch in batches:
-        for raw, count in zip(column_of(batch, "raw").to_pylist(), column_of(batch, "n_tokens").to_pylist(), strict=True):
-            found = np.bincount(_wide(raw, count), minlength=len(total))
+    for whole in batches:
+        for start, stop in by_bytes(column_of(whole, "raw"), SLICE):
+            batch = whole.slice(start, stop - start)
+            rows = zip(column_of(batch, "raw").to_pylist(), column_of(batch, "n_tokens").to_pylist(), strict=True)
+            found = np.bincount(np.concatenate([_wide(*r) for r in rows]), minlength=len(total))
             total = found + np.pad(total, (0, len(found) - len(total)))
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
