@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.session import written
+
 # Licence sentences as their owners write them, and the licence that a list of them stands for.
 SENTENCES = (
     ("mit-released", "Released under the MIT License."),
@@ -72,6 +74,8 @@ def recognise(documents: DataFrame, sentences: DataFrame, rules: DataFrame) -> D
         .groupBy(F.xxhash64("known").alias("code"), "known")
         .agg(F.sort_array(F.collect_set("sentence_id")).alias("ids"))
     )
+    # Written, so that its measured size decides whether it is sent to all tasks or the sentences are dealt.
+    known = written(known, "sentences")
     keyed = documents.select("doc_id", F.col("text"), F.xxhash64("text").alias("text_key"))
     # Equal documents are one here; each row gets the result back by its id and text key.
     cut = keyed.select("doc_id", "text_key", F.posexplode(sentences_of(F.col("text"))).alias("at", "sentence"))
@@ -88,6 +92,7 @@ def recognise(documents: DataFrame, sentences: DataFrame, rules: DataFrame) -> D
     first = rules.where("size(sentence_ids) > 0").select(
         "rule", "licence", "sentence_ids", F.col("sentence_ids")[0].alias("head")
     )
+    first = written(first, "rules")
     heads = found.select(
         "doc_id", "text_key", "order", F.explode(F.array_distinct(F.flatten("order"))).alias("head")
     )

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.session import written
+
 DEFAULT_VERDICT = "allow"
 
 
@@ -46,6 +48,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = DEFAULT_VERDICT) ->
         .withColumn("digest", _digest(F.col("rule_host"), F.col("rule_path")))
         .withColumn("short", F.substring("digest", 1, 8))
     )
+    # Written, so that its measured size decides whether it is sent to all tasks or the expressions are dealt.
+    known = written(known, "rules")
     # Lengths of rule paths: whole numbers up to the longest url, not a number of rules.
     lengths = sorted(r[0] for r in known.select(F.length("rule_path")).distinct().collect())
     distinct = parsed.where("host != ''").select("host", "path").distinct()
