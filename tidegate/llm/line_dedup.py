@@ -16,12 +16,13 @@ Shuffled are a few numbers per line and per key, and once the texts, to bring ea
 are one set for the join, each task sends a set once, and joins that meet hot keys can be split at run time.
 
 Cases: a null text stays null; empty texts and lines without words stay as they are. Documents equal in id and text are
-one: each row gets the same result. Null ids come first. ``deduplicated`` keeps every row, with ``text`` replaced and
-``n_chars``, if there, set to its length; a text whose lines all go becomes empty.
+one: each row gets the same result. Null ids come first. ``deduplicated`` keeps every row and column, with ``text``
+replaced and ``n_chars``, if there, set to its length; a text whose lines all go becomes empty.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -58,20 +59,28 @@ def least_overlap(n: np.ndarray) -> np.ndarray:
     return -(-4 * n // 9)
 
 
-def _lines(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[int]]]:
-    """Row, line number and sorted word hashes of every line with words."""
+# Word bytes, A-Z lowered, and line feeds; all others become spaces.
+_TABLE = bytes(0x0A if b == 0x0A else (words_of(bytes([b])) or [b" "])[0][0] for b in range(256))
+
+
+def _lines(batch: pa.RecordBatch) -> Iterator[tuple[int, int, bytes, int, int]]:
+    """Row, line number, sorted 64-bit word hashes and both halves of their digest, of every line with words."""
     for row, text in enumerate(text_bytes(column_of(batch, "text"))):
-        for number, line in enumerate((text or b"").split(b"\n")):
-            words = words_of(line)
-            if words:
-                yield row, number, sorted(map(_hash, set(words)))
+        if text:
+            for number, line in enumerate(text.translate(_TABLE).split(b"\n")):
+                if words := line.split():
+                    own = _hashes(words)
+                    yield row, number, own, *_signature(own)
+
 
+def _hashes(words: list[bytes]) -> bytes:
+    return array("Q", sorted(map(_hash, set(words)))).tobytes()
 
-def _signature(hashes: list[int]) -> tuple[int, int]:
-    """Two sums over the words' hashes, the second with mixed hashes, as signed 64-bit integers."""
-    one = sum(hashes) & _MASK
-    two = sum((h * h >> 17) ^ h for h in hashes) & _MASK
-    return _signed(one), _signed(two)
+
+def _signature(hashes: bytes) -> tuple[int, int]:
+    """Digest of a line's word hashes as two signed 64-bit integers."""
+    digest = xxhash.xxh3_128_intdigest(hashes)
+    return _signed(digest & _MASK), _signed(digest >> 64)
 
 
 def _signed(x: int) -> int:
@@ -89,19 +98,18 @@ def _survey_step(schema: pa.Schema):
             for start, stop in by_bytes(column_of(whole, "text"), SLICE):
                 batch = whole.slice(start, stop - start)
                 rows, numbers, ones, twos, hashes = [], [], [], [], []
-                for row, number, own in _lines(batch):
-                    one, two = _signature(own)
+                for row, number, own, one, two in _lines(batch):
                     rows.append(row)
                     numbers.append(number)
                     ones.append(one)
                     twos.append(two)
                     if one not in seen:
                         seen.add(one)
-                        hashes += own
+                        hashes.append(own)
                 if len(seen) > SEEN:
                     seen.clear()
                 if hashes:
-                    buckets = np.array(hashes, np.uint64) >> np.uint64(64 - BUCKET_BITS)
+                    buckets = np.frombuffer(b"".join(hashes), np.uint64) >> np.uint64(64 - BUCKET_BITS)
                     total += np.bincount(buckets.astype(np.int64), minlength=len(total))
                 at = pa.array(rows, pa.int64())
                 columns = [
@@ -153,6 +161,29 @@ def _keys_of(sizes, hashes, counts, order_of, frequent):
     return np.concatenate(lines), np.concatenate(keys), np.concatenate(places)
 
 
+INDEX = ["key", "line", "low", "high"]
+WIDE = 64
+"""Lines of so many words have bitmaps of 128 bits, shorter ones of 64."""
+
+
+def _parities(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmaps of word parities: bit h mod 64 of ``low``, or for long lines bit h mod 128 over both."""
+    wide = np.repeat(sizes >= WIDE, sizes) & (hashes & np.uint64(64) != 0)
+    bits = np.uint64(1) << (hashes & np.uint64(63))
+    starts = np.cumsum(sizes) - sizes
+    none = np.uint64(0)
+    low = np.bitwise_xor.reduceat(np.where(wide, none, bits), starts)
+    high = np.bitwise_xor.reduceat(np.where(wide, bits, none), starts)
+    return low.view(np.int64), high.view(np.int64)
+
+
+def _differing(rows: np.ndarray, a: np.ndarray, b: np.ndarray, wide: np.ndarray) -> np.ndarray:
+    """At least so many words are in one line only; a bitmap of 128 bits folds to the one of 64 bits."""
+    low, high = ((rows[a, k] ^ rows[b, k]).view(np.uint64) for k in (2, 3))
+    apart = np.bitwise_count(low).astype(np.int64) + np.bitwise_count(high)
+    return np.where(wide, apart, np.bitwise_count(low ^ high))
+
+
 def _index_step(counts: np.ndarray, frequent: int):
     """Join keys of lines: 32 bits of key, then the line's size and the key's position; signature; parity bitmap."""
     order_of = np.zeros(len(counts), np.uint64)
@@ -163,25 +194,23 @@ def _index_step(counts: np.ndarray, frequent: int):
         for whole in batches:
             for start, stop in by_bytes(column_of(whole, "text"), SLICE):
                 sizes, ones, flat = [], [], []
-                for _, _, own in _lines(whole.slice(start, stop - start)):
-                    one = _signature(own)[0]
+                for _, _, own, one, _ in _lines(whole.slice(start, stop - start)):
                     if one not in seen:
                         seen.add(one)
-                        sizes.append(len(own))
+                        sizes.append(len(own) // 8)
                         ones.append(one)
-                        flat += own
+                        flat.append(own)
                 if len(seen) > SEEN:
                     seen.clear()
                 if not sizes:
                     continue
-                size, hashes = np.array(sizes, np.int64), np.array(flat, np.uint64)
+                size, hashes = np.array(sizes, np.int64), np.frombuffer(b"".join(flat), np.uint64)
                 line, key, place = _keys_of(size, hashes, counts, order_of, frequent)
-                bits = np.uint64(1) << (hashes & np.uint64(63))
-                bitmap = np.bitwise_xor.reduceat(bits, np.cumsum(size) - size).view(np.int64)
+                low, high = _parities(hashes, size)
                 # Sizes and positions beyond 16 bits are cut there, which only lets more pairs through.
                 tail = (np.minimum(size[line], 0xFFFF) << 16) | np.minimum(place, 0xFFFF)
-                columns = [(key << 32) | tail, np.array(ones, np.int64)[line], bitmap[line]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "line", "bitmap"])
+                columns = [(key << 32) | tail, np.array(ones, np.int64)[line], low[line], high[line]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=INDEX)
 
     return step
 
@@ -206,9 +235,10 @@ def _pairs_in(rows: np.ndarray) -> np.ndarray:
         both = size[a] + size[b]
         need = least_overlap(both)
         room = np.minimum(size[a] - place[a], size[b] - place[b])
-        differ = np.bitwise_count((rows[a, 2] ^ rows[b, 2]).view(np.uint64)).astype(np.int64)
-        fine = ((room >= need) & (differ <= both - 2 * need)) | (size[b] == 0xFFFF)
-        fine &= rows[a, 1] != rows[b, 1]
+        near = (room >= need) | (size[b] == 0xFFFF)
+        a, b, both, need = a[near], b[near], both[near], need[near]
+        differ = _differing(rows, a, b, size[a] >= WIDE)
+        fine = ((differ <= both - 2 * need) | (size[b] == 0xFFFF)) & (rows[a, 1] != rows[b, 1])
         if fine.any():
             pair = np.stack([rows[a[fine], 1], rows[b[fine], 1]], 1)
             out.append(np.sort(pair, axis=1))
@@ -217,9 +247,9 @@ def _pairs_in(rows: np.ndarray) -> np.ndarray:
 
 
 def _pair_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = np.zeros((0, 3), np.int64)
+    held = np.zeros((0, len(INDEX)), np.int64)
     for batch in batches:
-        rows = np.stack([column_of(batch, n).to_numpy() for n in ("key", "line", "bitmap")], 1)
+        rows = np.stack([column_of(batch, n).to_numpy() for n in INDEX], 1)
         rows = np.concatenate([held, rows])
         if not len(rows):
             continue
@@ -257,7 +287,7 @@ def _words_step(bits: np.ndarray):
                     for i in np.flatnonzero(bits[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)):
                         words = set(words_of(lines[i]))
                         if words:
-                            ones.append(_signature(sorted(map(_hash, words)))[0])
+                            ones.append(_signature(_hashes(words))[0])
                             found.append([w.decode() for w in sorted(words)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ones, pa.int64()), pa.array(found, pa.list_(pa.string()))], names=["line", "words"]
@@ -300,7 +330,7 @@ def removed_lines(documents: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     first = written(first, "first")
 
     index = keyed.select("text", "text_key").mapInArrow(
-        _index_step(counts, frequent), "key long, line long, bitmap long"
+        _index_step(counts, frequent), "key long, line long, low long, high long"
     )
     dealt = index.repartition(F.shiftright("key", 32)).sortWithinPartitions("key")
     pairs = written(dealt.mapInArrow(_pair_step, "a long, b long").distinct(), "pairs")
@@ -330,11 +360,14 @@ def _later(keyed: DataFrame, pairs: DataFrame, first: DataFrame) -> DataFrame:
     return matching.select(F.greatest("first_a", "first_b").alias("p")).select("p.*").distinct()
 
 
-def _remove_step(schema: pa.Schema):
+_KEY, _GONE = "_dedup_text_key", "_dedup_removed"
+
+
+def _remove_step(schema: pa.Schema, added: list[str]):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, totals, gone = [], [], []
-            rows = zip(text_bytes(column_of(batch, "text")), column_of(batch, "removed").to_pylist(), strict=True)
+            rows = zip(text_bytes(column_of(batch, "text")), column_of(batch, _GONE).to_pylist(), strict=True)
             for text, removed in rows:
                 lines = [] if text is None else text.split(b"\n")
                 out = set(removed or ())
@@ -347,27 +380,30 @@ def _remove_step(schema: pa.Schema):
                 "n_lines": pa.array(totals, pa.int64()),
                 "n_removed": pa.array(gone, pa.int64()),
             }
-            columns = [made[f.name] if f.name in made else column_of(batch, f.name).cast(f.type) for f in schema]
+            new = {"text", *added}
+            columns = [made[f.name] if f.name in new else column_of(batch, f.name).cast(f.type) for f in schema]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return step
 
 
-def deduplicated(documents: DataFrame, frequent: int = FREQUENT) -> DataFrame:
-    """The documents without removed lines, with ``n_lines`` and ``n_removed`` (replaced where there)."""
-    removed = removed_lines(documents, frequent)
-    lists = removed.groupBy("doc_id", "text_key").agg(F.collect_list("number").alias("removed"))
-    lists = written(lists, "removed").select(F.col("text_key").alias("of_key"), F.col("doc_id").alias("of_id"), "removed")
-    kept = [c for c in documents.columns if c not in ("n_lines", "n_removed", "removed")]
-    key = F.xxhash64(F.col("doc_id").cast("string"), "text").alias("of_key")
-    rows = documents.select(*kept, key).join(lists.drop("of_id"), "of_key", "left").select(*kept, "removed")
+def deduplicated(documents: DataFrame, counts: bool = False, frequent: int = FREQUENT) -> DataFrame:
+    """The documents without removed lines; with ``counts`` also ``n_lines`` and ``n_removed``, replaced where there."""
+    lists = removed_lines(documents, frequent).groupBy("doc_id", "text_key").agg(F.collect_list("number").alias(_GONE))
+    lists = written(lists, "removed").select(F.col("text_key").alias(_KEY), _GONE)
+    added = ["n_lines", "n_removed"] if counts else []
+    kept = [c for c in documents.columns if c not in added]
+    key = F.xxhash64(F.col("doc_id").cast("string"), "text").alias(_KEY)
+    rows = documents.select(*kept, key).join(lists, _KEY, "left").select(*kept, _GONE)
     fields = [T.StructField(documents.schema[c].name, documents.schema[c].dataType) for c in kept]
-    schema = T.StructType([*fields, T.StructField("n_lines", T.LongType()), T.StructField("n_removed", T.LongType())])
-    out = rows.mapInArrow(_remove_step(to_arrow_schema(schema)), schema)
-    return out.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType)) if "n_chars" in kept else out
+    schema = T.StructType([*fields, *(T.StructField(n, T.LongType()) for n in added)])
+    out = rows.mapInArrow(_remove_step(to_arrow_schema(schema), added), schema)
+    if "n_chars" in kept:
+        out = out.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
+    return out
 
 
 def report(documents: DataFrame) -> DataFrame:
     """Per document: lines, lines removed, and a digest of the text that stays."""
-    out = deduplicated(documents.select("doc_id", "text"))
+    out = deduplicated(documents.select("doc_id", "text"), counts=True)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
