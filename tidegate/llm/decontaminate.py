@@ -255,6 +255,9 @@ def blocks_of(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[B
         yield Block([(r[0], r[1].encode() if r[1] is not None else None) for r in part.collect()], window)
 
 
+ADDED = ("n_words", "hits", "items", "longest")
+
+
 def contamination(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -268,8 +271,7 @@ def contamination(
     suffixes located first in the shard, with its word offset. Columns of these names in the documents are replaced.
     """
     ship(documents.sparkSession)
-    added = ["n_words", "hits", "items", "longest"]
-    columns = [c for c in columns or documents.columns if c not in added]
+    columns = [c for c in columns or documents.columns if c not in ADDED]
     out = documents.select(
         *dict.fromkeys([*columns, "text"]),
         F.lit(0).cast("long").alias("n_words"),
@@ -280,7 +282,7 @@ def contamination(
     steps = list(blocks_of(benchmark, window, block_bytes))
     for k, block in enumerate(steps):
         last = k == len(steps) - 1
-        kept = out.select(*columns, *added) if last else out
+        kept = out.select(*columns, *ADDED) if last else out
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in kept.schema.fields])
         out = out.mapInArrow(_matcher(block, _arrow(schema)), schema)
     return out
@@ -311,5 +313,6 @@ def report(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without those that hold a window of an item."""
-    found = contamination(documents, benchmark, window)
-    return found.where("hits is null").select(*documents.columns)
+    own = {c: f"_kept_{n}" for n, c in enumerate(documents.columns) if c in ADDED}
+    found = contamination(documents.withColumnsRenamed(own), benchmark, window).where("hits is null").drop(*ADDED)
+    return found.withColumnsRenamed({new: old for old, new in own.items()}).select(*documents.columns)

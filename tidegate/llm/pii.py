@@ -322,10 +322,11 @@ def spans(documents: DataFrame, precision: float = PRECISION) -> DataFrame:
 
 
 def redacted(documents: DataFrame, mark: str = "[{}]", precision: float = PRECISION) -> DataFrame:
-    """``doc_id`` and ``text`` with each span replaced by its kind; documents are matched by id and text."""
-    found = spans(documents.select(F.struct("doc_id", "text").alias("doc_id"), "text"), precision)
+    """``doc_id`` and ``text`` with each span replaced by its kind; null texts stay null."""
+    whole = documents.select(F.struct(F.col("doc_id").alias("id"), "text").alias("doc_id"), "text")
+    found = spans(whole, precision).withColumnRenamed("doc_id", "row")
     every = F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(s["start"], s["stop"], s["kind"])))
-    text = F.coalesce("doc_id.text", F.lit(""))
+    text = F.coalesce("row.text", F.lit(""))
 
     def add(state: Column, s: Column) -> Column:
         gap = F.substring(text, state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
@@ -337,7 +338,7 @@ def redacted(documents: DataFrame, mark: str = "[{}]", precision: float = PRECIS
 
     end = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
     done = F.aggregate(every, end, add, lambda s: F.concat(s["text"], F.substring(text, s["at"] + 1, F.length(text))))
-    return found.select("doc_id.doc_id", F.when(F.col("doc_id.text").isNotNull(), done).alias("text"))
+    return found.select(F.col("row.id").alias("doc_id"), F.when(F.col("row.text").isNotNull(), done).alias("text"))
 
 
 def listed(column: str) -> Column:
