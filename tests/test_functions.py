@@ -157,7 +157,16 @@ def test_context():
 def test_settings_follow_the_data():
     assert scale_conf(10**9)["spark.sql.shuffle.partitions"] == "200"
     large = scale_conf(100 * 10**12)
-    assert (large["spark.sql.shuffle.partitions"], large["spark.sql.files.maxPartitionBytes"]) == ("50000", "953m")
+    assert (large["spark.sql.shuffle.partitions"], large["spark.sql.files.maxPartitionBytes"]) == ("372530", "953m")
+
+
+def test_limits_compare_all_digits(spark):
+    rows = [("9007199254740993",), ("9007199254740992",), ("10.01",), ("9.99",), ("10",), ("x",), ("",)]
+    df = spark.createDataFrame(rows, "t string")
+    t = F.col("t")
+    assert [r["t"] for r in df.where(C.above(t, 9007199254740992)).collect()] == ["9007199254740993"]
+    assert [r["t"] for r in df.where(C.below(t, 10)).collect()] == ["9.99"]
+    assert {r["t"] for r in df.where(C.above(t, "10")).collect()} >= {"10.01"}
 
 
 DAY = r"(%s)(?:[/-]?([0-9]{2})[/-]?([0-9]{2})|[/-]([0-9]{1,2})[/-]([0-9]{1,2}))"

@@ -114,9 +114,8 @@ def test_inventory_files(spark, folder):
     assert back.columns == ["owner", "total_objects", "tables", "views"] and back.count() > 0
 
 
-def test_large_inventory_is_not_forced_into_one_file(spark, folder, monkeypatch):
-    monkeypatch.setattr(I, "SINGLE_FILE_ROWS", 10)
-    I.write_inventory_csv(spark.range(0, 100, 1, 4).select("id"), f"{folder}/big")
+def test_inventory_in_files_of_its_tasks(spark, folder):
+    I.write_inventory_csv(spark.range(0, 100, 1, 4).select("id"), f"{folder}/big", one_file=False)
     assert len([f for f in os.listdir(f"{folder}/big") if f.endswith(".csv")]) == 4
 
 

@@ -7,13 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegate.model import CONTROL_SCHEMA, ControlColumn, LoadSpec, RunContext, TargetType
-from tidegate.operators import control, log, merge
+from tidegate.operators import control, keys, log, merge
 from tidegate.operators.work import to_work
 from tidegate.plans.load import LoadOptions, load_table, run_tables
-from tidegate.session import written
+from tidegate.session import scratch_scope, written
 from tidegate.sinks.replace import create_versioned, replace_table
 from tidegate.sinks.tables import read_log
-from tidegate.streaming.file_drop import file_drop_stream, load_batch_as, load_drops
+from tidegate.streaming.file_drop import file_drop_stream, file_reader, load_batch_as, load_drops
 
 NOW = datetime(2024, 2, 1, 9, 0, 0)
 CTX = RunContext(NOW, "c1", 24)
@@ -202,6 +202,59 @@ def test_dropped_files_are_loaded(spark, folder):
     assert codes == ["Error001", "Error003", "Error003", "Error003", "Error010"]
 
 
+@pytest.mark.parametrize("files_per_batch", [1, 1000])
+def test_each_file_is_a_load(spark, folder, files_per_batch):
+    """Keys repeated across files are updates in turn; a file that stops goes to error/ and its neighbours load."""
+    name = f"files{files_per_batch}"
+    spark.sql(f"create database if not exists core location '{folder}/core'")
+    spark.sql(f"drop table if exists core.{name}")
+    create_versioned(spark.createDataFrame([], TARGET), f"core.{name}", f"{folder}/target", name)
+    spec = LoadSpec(name, (ControlColumn("id", TargetType("bigint"), True), ControlColumn("name", TargetType("text"))))
+    schema = spark.createDataFrame([], "id string, name string, process_div string").schema
+    os.makedirs(f"{folder}/upload")
+    texts = ["1,one,U\n2,two,U\n", "3,bad,L\n4,bad,U\n", "1,uno,U\nabc,x,U\n0,nil,U\n", "2,,D\n"]
+    for n, text in enumerate(texts):
+        path = f"{folder}/upload/part {n}.csv"
+        with open(path, "w") as out:
+            out.write("id,name,process_div\n" + text)
+        os.utime(path, (1_700_000_000 + n, 1_700_000_000 + n))
+    handle = load_batch_as(
+        spec, f"core.{name}", CTX, f"{folder}/work", f"{folder}/loaded", f"{folder}/log", LoadOptions(),
+        f"{folder}/error", file_reader(spark, schema, header="true"),
+    )
+    stream = file_drop_stream(spark, f"{folder}/upload", schema, header="true", files_per_batch=files_per_batch)
+    query = load_drops(stream, handle, f"{folder}/checkpoint")
+    query.awaitTermination(200)
+    assert query.exception() is None
+    spark.catalog.refreshTable(f"core.{name}")
+    assert {r["id"]: r["name"] for r in spark.table(f"core.{name}").collect()} == {0: "nil", 1: "uno"}
+    assert os.listdir(f"{folder}/error") == ["Fatal019"] and os.listdir(f"{folder}/error/Fatal019") == ["part 1.csv"]
+    runs = {n for n in os.listdir(f"{folder}/log") if n.startswith("run=")}
+    assert len(runs) == 4 and all(r.startswith(f"run={CTX.process_id}-") for r in runs)
+
+
+def test_ill_typed_keys_are_no_duplicates(spark):
+    spec = LoadSpec("k", (ControlColumn("id", TargetType("bigint"), True),))
+    rows = spark.createDataFrame([(t, "U") for t in ("0", "abc", "1", "1.5", "7", "07")], "id string, process_div string")
+    staged = rows.withColumn("error_flg", F.lit(False))
+
+    def doubled(**options):
+        checked = keys.check_duplicates(staged, spec, **options)
+        return sorted(r["id"] for r in checked.where("size(errors) > 0").collect())
+
+    assert doubled() == ["07", "7"]
+    assert doubled(typed=False) == ["0", "07", "1", "1.5", "7", "abc"]
+
+
+def test_scopes_keep_each_others_frames(spark):
+    with scratch_scope(spark):
+        outer = written(spark.range(3), "outer")
+        with scratch_scope(spark):
+            inner = written(spark.range(5), "inner")
+            assert inner.count() == 5
+        assert outer.count() == 3
+
+
 def test_only_touched_partitions_are_written(spark, folder):
     """A date-partitioned target: updates, moves between partitions, deletes and new rows."""
     days = {n: date(2024, 1, n) for n in range(1, 8)}

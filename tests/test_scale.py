@@ -45,15 +45,16 @@ def test_full_copies_are_dealt_out(spark):
     counted = keys.with_duplicate_count(copies, ["k"], rows_per_group=500, broadcast_bytes=0)
     assert [r[0] for r in counted.select("row_cnt").distinct().collect()] == [4000]
     assert counted.count() == 4000
-    hot = spark.createDataFrame([("same", 8)], "k string, __groups int")
+    hot = skew.hot_keys(spark.createDataFrame([("same", 4000)], "k string, n long"), ["k"], "n", 500)
     dealt = skew._with_groups(copies, hot, ["k"])
     group = F.pmod(F.xxhash64(F.spark_partition_id(), "k", "process_div"), F.col("__groups"))
     assert dealt.select(group).distinct().count() > 1
 
 
-def test_hot_list_is_bounded(spark):
-    counts = spark.range(30_000).select(F.col("id").cast("string").alias("k"), (F.col("id") + 100).alias("n"))
-    assert skew.hot_keys(counts, ["k"], "n", 50).count() == skew.MAX_HOT_KEYS
+def test_every_hot_key_is_dealt_out(spark):
+    counts = spark.range(30_000).select(F.repeat(F.col("id").cast("string"), F.lit(500)).alias("k"), (F.col("id") + 1).alias("n"))
+    hot = skew.hot_keys(counts, ["k"], "n", 50)
+    assert hot.count() == 30_000 - 50 and hot.columns == ["__hash", "__groups"]
 
 
 def test_empty_lookup(spark, work):
@@ -73,7 +74,7 @@ def test_flag_by_row_id(spark, work, layout):
 
 def brute_neighbours(rows, following):
     best = {}
-    order = sorted(rows, key=lambda r: (r[2], r[0]), reverse=following)
+    order = sorted(rows, key=lambda r: (r[2] is not None, r[2] or datetime.min, r[0]), reverse=following)
     found = {}
     for i, k, t, v in order:
         found[i] = best.get(k)
@@ -91,6 +92,7 @@ def test_neighbours(spark, following, rows_per_slot):
     for i in range(1200):
         k = "hot" if rng.random() < 0.4 else None if rng.random() < 0.1 else f"k{rng.randrange(40)}"
         t = start + timedelta(seconds=rng.randrange(600) if rng.random() < 0.8 else 300)
+        t = None if rng.random() < 0.05 else t
         rows.append((i, k, t, rng.choice([None, i, i])))
     frame = spark.createDataFrame(rows, "i int, k string, t timestamp_ntz, v int").repartition(5)
     found = with_neighbour(frame, ["k"], "t", ["i"], F.col("v"), "near", following, rows_per_slot)

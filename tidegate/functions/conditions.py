@@ -109,16 +109,24 @@ def too_short(text: Column, limit: int) -> Column:
     return F.coalesce(F.length(text) < limit, F.lit(False))
 
 
+# Texts shorter than fixed.LONG_NUMBER fit whole, up to 18 decimal places.
+_EXACT = "decimal(38,18)"
+
+
+def _limit(limit: object) -> Column:
+    return F.lit(str(limit)).cast(_EXACT)
+
+
 def _value(text: Column) -> Column:
-    """The number a limit is compared with; long or non-numeric texts have none and pass."""
+    """The number a limit is compared with, in all its digits; long or non-numeric texts have none and pass."""
     return F.when(
-        (F.length(text) < fixed.LONG_NUMBER) & text.rlike(fixed.DECIMAL_PATTERN), text.try_cast("double")
+        (F.length(text) < fixed.LONG_NUMBER) & text.rlike(fixed.DECIMAL_PATTERN), text.try_cast(_EXACT)
     )
 
 
 def above(text: Column, limit: object) -> Column:
-    return F.coalesce(_value(text) > F.lit(float(limit)), F.lit(False))
+    return F.coalesce(_value(text) > _limit(limit), F.lit(False))
 
 
 def below(text: Column, limit: object) -> Column:
-    return F.coalesce(_value(text) < F.lit(float(limit)), F.lit(False))
+    return F.coalesce(_value(text) < _limit(limit), F.lit(False))

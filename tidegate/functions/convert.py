@@ -97,7 +97,14 @@ def typed_key(text: Column, kind: TargetType) -> Column:
     return text
 
 
-def canonical_key(column: ControlColumn) -> Column:
-    """One text for all spellings that convert to the same key value (``01`` and ``1``)."""
+def canonical_key(column: ControlColumn, checked: bool = True) -> Column:
+    """One text for all spellings that convert to the same key value (``01`` and ``1``).
+
+    Where types are ``checked``, a text that does not fit the type is an error of its own and stands for itself: ``abc``
+    is no duplicate of the ``0`` that conversion would make of it. Unchecked, it would be loaded as that ``0``.
+    """
     text = F.col(f"`{column.name}`")
-    return F.coalesce(to_target(text, column.type).cast("string"), text)
+    converted = to_target(text, column.type).cast("string")
+    if checked:
+        converted = F.when(typed_key(text, column.type).isNotNull(), converted)
+    return F.coalesce(converted, text)

@@ -60,6 +60,8 @@ class RunContext:
     run_ts: datetime
     customer_id: str = ""
     term_hours: int = 24
+    tag: str = ""
+    """Tells runs of the same second apart, as the loads of dropped files are."""
 
     @classmethod
     def now(cls, customer_id: str = "", term_hours: int = 24, utc_offset: int = 9) -> RunContext:
@@ -70,6 +72,11 @@ class RunContext:
     def process_id(self) -> str:
         return self.run_ts.strftime("%Y%m%d%H%M%S")
 
+    @property
+    def run_name(self) -> str:
+        """Names the run's folder in the log."""
+        return f"{self.process_id}-{self.tag}" if self.tag else self.process_id
+
     @property
     def run_dt(self) -> str:
         return self.run_ts.strftime("%Y%m%d_%H%M%S")

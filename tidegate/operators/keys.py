@@ -56,12 +56,15 @@ def rows_with_duplicate_key(work: DataFrame, keys: Sequence[str], **layout: int)
     return with_duplicate_count(work, keys, **layout).where(F.col(_COUNT).isNotNull()).drop(_COUNT)
 
 
-def check_duplicates(work: DataFrame, spec: LoadSpec, counted: DataFrame | None = None, **layout: int) -> DataFrame:
+def check_duplicates(
+    work: DataFrame, spec: LoadSpec, counted: DataFrame | None = None, typed: bool = True, **layout: int
+) -> DataFrame:
     """Add the duplicate-key error to all copies.
 
-    Keys compare in the spelling they convert to, so that ``1`` and ``01`` cannot both reach the target.
+    Keys compare in the spelling they convert to, so that ``1`` and ``01`` cannot both reach the target. With ``typed``
+    off, no type rule keeps ill-typed keys out, and they compare as what they convert to.
     """
-    canonical = {f"__key{i}": canonical_key(spec.column(k)) for i, k in enumerate(spec.keys)}
+    canonical = {f"__key{i}": canonical_key(spec.column(k), typed) for i, k in enumerate(spec.keys)}
     names = list(canonical)
     marked = with_duplicate_count(
         work.withColumns(canonical), names, None if counted is None else counted.withColumns(canonical), **layout

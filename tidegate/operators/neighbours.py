@@ -2,7 +2,8 @@
 
 Rows are cut into slots of similar size along the time axis. Within a slot an ordinary window finds the
 neighbour; across slots the last value of each (key, slot) is carried over from a small aggregate. Where too many
-rows of a key share one moment, slots are ranges of the whole order instead, ties included.
+rows of a key share one moment, or slots are too many for a list of bounds, slots are ranges of the whole order
+instead, ties included.
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from tidegate.session import written
 
 ROWS_PER_SLOT = 2_000_000
 MAX_SLOTS = 4_096
-MAX_RANGES = 50_000
 CROWDED = 10
 
 _SLOT = "__slot"
@@ -40,6 +40,11 @@ def slot_bounds(df: DataFrame, time: str, slots: int) -> list[float]:
 
 
 def _slot(time: str, bounds: list[float]) -> Column:
+    """Number of bounds at or below the time; -1 for no time, which comes first in the order."""
+    return F.when(F.col(f"`{time}`").isNull(), F.lit(-1)).otherwise(_place(time, bounds))
+
+
+def _place(time: str, bounds: list[float]) -> Column:
     """Number of bounds at or below the time, as a balanced tree of comparisons on a literal list."""
 
     def search(low: int, high: int) -> Column:
@@ -67,13 +72,14 @@ def _slotted(rows: DataFrame, keys: Sequence[str], time: str, ties: Sequence[str
     if total <= rows_per_slot:
         return None
     slots = -(-total // rows_per_slot)
-    slotted = rows.withColumn(_SLOT, _slot(time, slot_bounds(rows, time, min(slots, MAX_SLOTS))))
-    sizes = slotted.groupBy(*keys, _SLOT).agg(F.count(F.lit(1)).alias("n"))
-    if sizes.agg(F.max("n")).first()[0] <= CROWDED * rows_per_slot:
-        return slotted
+    if slots <= MAX_SLOTS:
+        slotted = rows.withColumn(_SLOT, _slot(time, slot_bounds(rows, time, slots)))
+        sizes = slotted.groupBy(*keys, _SLOT).agg(F.count(F.lit(1)).alias("n"))
+        if sizes.agg(F.max("n")).first()[0] <= CROWDED * rows_per_slot:
+            return slotted
     # Written, so that every later reader sees the same ranges.
     order = [F.col(f"`{c}`") for c in (*keys, time, *ties)]
-    ranges = rows.repartitionByRange(min(slots, MAX_RANGES), *order)
+    ranges = rows.repartitionByRange(slots, *order)
     return written(ranges.withColumn(_SLOT, F.spark_partition_id()), "ranges")
 
 

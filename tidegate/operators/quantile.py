@@ -51,12 +51,12 @@ def exact_quantile(
     )
     inside = _on_groups(counts, written(totals, "totals"), keys, ["n", "low", "high", "part", "before"])
 
-    distinct = _widest(inside, keys)
+    distinct, splits = _widest(inside, keys), SPLITS
     while distinct > last_step_values:
-        inside = written(_narrowed(inside, keys), "inside")
+        inside = written(_narrowed(inside, keys, splits), "inside")
         left = _widest(inside, keys)
-        if left >= distinct:
-            break
+        # Cuts too coarse to narrow the range are made finer.
+        splits = splits if left < distinct else 2 * splits
         distinct = left
 
     running = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -71,10 +71,10 @@ def exact_quantile(
     return result.agg(F.max(name).alias(name), F.coalesce(F.max("n"), F.lit(0).cast("bigint")).alias("n"))
 
 
-def _narrowed(inside: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _narrowed(inside: DataFrame, keys: Sequence[str], splits: int = SPLITS) -> DataFrame:
     """The slots of each group's values that hold the wanted ranks; ``before`` counts the values below them."""
-    shares = [i / SPLITS for i in range(1, SPLITS)]
-    cuts = inside.groupBy(*keys).agg(F.percentile_approx("v", shares, 100 * SPLITS).alias("cuts"))
+    shares = [i / splits for i in range(1, splits)]
+    cuts = inside.groupBy(*keys).agg(F.percentile_approx("v", shares, 100 * splits).alias("cuts"))
     cuts = cuts.withColumn("cuts", F.array_distinct("cuts"))
     slot = F.size(F.filter("cuts", lambda cut: cut < F.col("v")))
     slotted = written(_on_groups(inside, written(cuts, "cuts"), keys, ["cuts"]).withColumn("slot", slot).drop("cuts"), "slots")

@@ -17,13 +17,13 @@ from pyspark.sql import types as T
 from tidegate.session import written
 
 ROWS_PER_GROUP = 1_000_000
-MAX_HOT_KEYS = 10_000
-MAX_HOT_WIDTH = 1_024
 BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_BYTES = 64
+_ONCE = "__once"
 
 _GROUPS = "__groups"
 _GROUP = "__group"
+_HASH = "__hash"
 
 
 def _same(left: str, right: str, keys: Sequence[str], null_safe: bool = False) -> Column:
@@ -46,23 +46,25 @@ def size_of(df: DataFrame) -> tuple[int, int]:
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], count: str, rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
-    """The largest keys with the number of groups each is dealt into.
+    """All keys of more than ``rows_per_group`` rows, as a hash, with the number of groups each is dealt into.
 
-    At most ``MAX_HOT_KEYS`` rows of ``MAX_HOT_WIDTH`` bytes, so it can always be broadcast.
+    Twelve bytes for at least ``rows_per_group`` rows, 12 MB for 10^12 rows, so it can be broadcast. A key that shares a
+    hot key's hash is dealt out on both sides like it, which changes nothing.
     """
     groups = F.ceil(F.col(count) / F.lit(rows_per_group)).cast("int")
-    return (
-        counts.where((F.col(count) > rows_per_group) & (_width(keys) <= MAX_HOT_WIDTH))
-        .orderBy(F.col(count).desc(), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, groups.alias(_GROUPS))
-    )
+    hot = counts.where(F.col(count) > rows_per_group).select(_hash(keys).alias(_HASH), groups.alias(_GROUPS))
+    return hot.groupBy(_HASH).agg(F.max(_GROUPS).alias(_GROUPS))
+
+
+def _hash(keys: Sequence[str]) -> Column:
+    # The places of nulls count: a hash leaves them out.
+    return F.xxhash64(*(F.col(f"`{k}`") for k in keys), *(F.col(f"`{k}`").isNull() for k in keys))
 
 
 def _with_groups(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     # Null keys match nothing later on, yet they share a hash: a hot null is dealt out like any other key.
-    joined = df.alias("l").join(F.broadcast(hot).alias("h"), _same("l", "h", keys, null_safe=True), "left")
-    return joined.select("l.*", F.coalesce(F.col(f"h.{_GROUPS}"), F.lit(1)).alias(_GROUPS))
+    marked = df.withColumn(_HASH, _hash(keys)).join(F.broadcast(hot), _HASH, "left").drop(_HASH)
+    return marked.withColumn(_GROUPS, F.coalesce(_GROUPS, F.lit(1)))
 
 
 def _dealt_join(
@@ -110,8 +112,9 @@ def lookup_join(
 def present_keys(target: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The distinct ``wanted`` keys that occur in ``target``.
 
-    The semi join keeps the (large) target on its left: a small key list is broadcast to it by size, a large one
-    is joined by shuffle with hot target keys split at run time. The result is no larger than ``wanted``.
+    Target keys collapse by partial counts first, so a hot key is one row per task before anything is shuffled. The
+    result is no larger than ``wanted``.
     """
     names = list(keys)
-    return target.select(*names).join(wanted.select(*names), names, "left_semi").distinct()
+    once = target.select(*names).groupBy(*names).agg(F.count(F.lit(1)).alias(_ONCE))
+    return once.join(wanted.select(*names), names, "left_semi").select(*names)

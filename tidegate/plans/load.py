@@ -32,6 +32,7 @@ class LoadOptions:
     customer_column: str | None = None
     whole_source: bool = False
     stop_on_bad_control: bool = False
+    stop_on_failure: bool = True
     parallel_tables: int = 1
     keep_old_content: bool = True
     named_types: Mapping[str, Mapping[str, TargetType]] = field(default_factory=dict)
@@ -50,6 +51,14 @@ class TableResult:
         return self.status in ("loaded", "Info010")
 
 
+class LoadStopped(Exception):
+    """A load stopped as a whole, by a Fatal code."""
+
+    def __init__(self, code: str):
+        super().__init__(f"{code}: {fixed.MESSAGES[code]}")
+        self.code = code
+
+
 def check_work(
     staged: DataFrame,
     target: DataFrame,
@@ -67,7 +76,7 @@ def check_work(
     found += rules.division_rules(has_updates or has_deletes, has_replace)
     checked = rules.with_errors(staged, found)
     if options.check_duplicates:
-        checked = keys.check_duplicates(checked, spec, staged)
+        checked = keys.check_duplicates(checked, spec, staged, rules.TYPE in options.row_rules)
     if has_deletes and options.check_delete_targets:
         checked = keys.check_delete_targets(checked, target, spec, staged)
     return rules.flag_rows(checked)
@@ -78,11 +87,33 @@ def load_rows(
 ) -> tuple[DataFrame, DataFrame]:
     """Extract, check and merge without touching any named table: ``(checked work rows, new target)``.
 
-    Staged and checked rows go to the shared scratch folder.
+    Staged and checked rows go to the shared scratch folder. The same checks as in :func:`load_table`; one that stops
+    the whole load raises :class:`LoadStopped`.
     """
-    staged = written(work.to_work(incremental_extract(source, ctx), spec, ctx), "staged")
-    checked = written(check_work(staged, target, spec, options), "checked")
-    return checked, merge.merge_work(target, checked, spec, ctx)
+    staged = written(_staged(source, spec, ctx, options), "staged")
+    stop, counts = _stop_code(staged, ctx, options)
+    if stop:
+        raise LoadStopped(stop)
+    checked = written(_flagged(staged, target, spec, options, counts), "checked")
+    combine = merge.replacement_rows if counts["laundering_num"] else merge.merge_work
+    return checked, combine(target, checked, spec, ctx)
+
+
+def _staged(source: DataFrame, spec: LoadSpec, ctx: RunContext, options: LoadOptions) -> DataFrame:
+    return work.to_work(source if options.whole_source else incremental_extract(source, ctx), spec, ctx)
+
+
+def _flagged(staged: DataFrame, target: DataFrame, spec: LoadSpec, options: LoadOptions, counts: dict) -> DataFrame:
+    """The checks that the staged rows' divisions call for."""
+    return check_work(
+        staged,
+        target,
+        spec,
+        options,
+        has_updates=counts["update_num"] > 0,
+        has_deletes=counts["delete_num"] > 0,
+        has_replace=counts["laundering_num"] > 0,
+    )
 
 
 def load_table(
@@ -94,6 +125,21 @@ def load_table(
     target_root: str,
     log_root: str,
     options: LoadOptions = LoadOptions(),
+) -> TableResult:
+    """:func:`_load_table` in a scratch scope of its own."""
+    with scratch_scope(source.sparkSession):
+        return _load_table(ctx, spec, source, target_table, work_root, target_root, log_root, options)
+
+
+def _load_table(
+    ctx: RunContext,
+    spec: LoadSpec,
+    source: DataFrame,
+    target_table: str,
+    work_root: str,
+    target_root: str,
+    log_root: str,
+    options: LoadOptions,
 ) -> TableResult:
     """Load one table: stage, check, log the errors, apply, log the counts.
 
@@ -110,8 +156,7 @@ def load_table(
         return result
 
     try:
-        changed = source if options.whole_source else incremental_extract(source, ctx)
-        staged = truncate_and_load(work.to_work(changed, spec, ctx), f"{folder}/staged")
+        staged = truncate_and_load(_staged(source, spec, ctx, options), f"{folder}/staged")
     except Exception as failure:  # noqa: BLE001 - any source failure skips this table only
         lines.append(_line("Fatal007", spec, seq=_STOP_AT, reason=_brief(failure)))
         lines.append(_line("Info006", spec, seq=_END_AT))
@@ -132,16 +177,7 @@ def load_table(
     # Another session may have switched the table since this one last read it.
     spark.catalog.refreshTable(target_table)
     target = spark.table(target_table)
-    flagged = check_work(
-        staged,
-        target,
-        spec,
-        options,
-        has_updates=counts["update_num"] > 0,
-        has_deletes=counts["delete_num"] > 0,
-        has_replace=counts["laundering_num"] > 0,
-    )
-    checked = truncate_and_load(flagged, f"{folder}/checked")
+    checked = truncate_and_load(_flagged(staged, target, spec, options, counts), f"{folder}/checked")
     append_log(log.error_log(checked, spec, ctx), log_root, ctx, spec.table, "errors")
     summary = log.run_summary(checked, spec).first()
     if summary["normal_num"] > 0:
@@ -187,7 +223,7 @@ def _apply(
 
 
 def _brief(failure: Exception) -> str:
-    return str(failure).split("\n")[0][:500]
+    return str(failure)  # the log clips messages to their full length
 
 
 def _line(code: str, spec: LoadSpec, seq: int, reason: str = "", text: str | None = None, **numbers: int) -> dict:
@@ -219,7 +255,8 @@ def run_tables(
     """Load every table of the control master: ``(all well, results)``.
 
     Tables are independent of each other. A table with incomplete control rows is skipped, or ends the run if
-    ``stop_on_bad_control`` is set. A failure inside the database work ends the run.
+    ``stop_on_bad_control`` is set. A failure inside the database work ends the run, or with ``stop_on_failure`` off
+    only that table's load; ``parallel_tables`` then says how many go at once, and has no say in the outcome.
     """
     tables = sorted(r["aurora_table"] for r in control.target_tables(controls).collect())
     head = [{"code": "Info001", "message": fixed.MESSAGES["Info001"], "seq": 1}]
@@ -255,8 +292,9 @@ def run_tables(
 
     specs = list(control.load_specs(controls, types)) if chosen else []
     with scratch_scope(spark):
-        if options.parallel_tables > 1:
-            with ThreadPoolExecutor(max_workers=options.parallel_tables) as pool:
+        # A run that stops at a failure goes table by table, however many may run at once.
+        if not options.stop_on_failure:
+            with ThreadPoolExecutor(max_workers=max(1, options.parallel_tables)) as pool:
                 futures = [(s.table, pool.submit(load, s)) for s in specs]
             for table, future in futures:
                 failure = future.exception()

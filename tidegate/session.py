@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,7 +29,7 @@ def scale_conf(data_bytes: int) -> dict[str, str]:
     Run-time re-planning joins small shuffle partitions but cannot cut all of them smaller, so a large job has to
     start with enough. Larger splits keep the number of scan tasks in hand.
     """
-    partitions = min(50_000, max(200, -(-data_bytes // SHUFFLE_BYTES)))
+    partitions = max(200, -(-data_bytes // SHUFFLE_BYTES))
     split = min(1024, max(128, data_bytes // (100_000 * 1024**2)))
     return {
         "spark.sql.shuffle.partitions": str(partitions),
@@ -64,14 +65,16 @@ def scratch_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-_made: list[str] = []
+# Folders written in the scope that is open in this thread, if any.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back, so that a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _made.append(path)
+    if (made := _made.get()) is not None:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -83,10 +86,15 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
-    """Delete the frames :func:`written` inside the block at its end. Nothing may read them afterwards."""
-    before = len(_made)
+    """Delete the frames :func:`written` inside the block at its end. Nothing may read them afterwards.
+
+    A scope belongs to its thread: loads that run at once keep each other's frames.
+    """
+    own: list[str] = []
+    outer = _made.set(own)
     try:
         yield
     finally:
-        while len(_made) > before:
-            remove_folder(spark, _made.pop())
+        _made.reset(outer)
+        for path in own:
+            remove_folder(spark, path)

@@ -6,14 +6,11 @@ from pyspark.sql import DataFrame
 
 from tidegate.model import RunContext
 
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def run_dt_path(base: str, ctx: RunContext) -> str:
     return f"{base.rstrip('/')}/run_dt={ctx.run_dt}"
 
 
-def write_inventory_csv(rows: DataFrame, path: str) -> None:
-    """CSV with a header, in one file unless the inventory is too large for one task."""
-    small = rows.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS
-    (rows.coalesce(1) if small else rows).write.mode("overwrite").option("header", True).csv(path)
+def write_inventory_csv(rows: DataFrame, path: str, one_file: bool = True) -> None:
+    """CSV with a header, in one file or, with ``one_file`` off, one per task."""
+    (rows.coalesce(1) if one_file else rows).write.mode("overwrite").option("header", True).csv(path)

@@ -24,14 +24,14 @@ def bulk_append(rows: DataFrame, path: str) -> None:
 
 def append_log(log: DataFrame, root: str, ctx: RunContext, source: str, part: str) -> None:
     """Add a table's log lines of a run. A repeated run of the same id replaces its own lines."""
-    log.write.mode("overwrite").parquet(f"{root}/run={ctx.process_id}/source={source}/part={part}")
+    log.write.mode("overwrite").parquet(f"{root}/run={ctx.run_name}/source={source}/part={part}")
 
 
 def read_log(spark: SparkSession, root: str, ctx: RunContext | None = None) -> DataFrame:
     folders = T.StructType([T.StructField(n, T.StringType()) for n in ("run", "source", "part")])
     rows = spark.read.schema(T.StructType(LOG_SCHEMA.fields + folders.fields)).parquet(root)
     if ctx is not None:
-        rows = rows.where(F.col("run") == ctx.process_id)
+        rows = rows.where(F.col("run") == ctx.run_name)
     return rows.drop(*folders.names)
 
 

@@ -1,14 +1,16 @@
 """Loading dropped files as they arrive.
 
 The file source remembers in its checkpoint which files it has seen, so each file is loaded once, also after a
-restart, and it moves finished files to the ``bk`` folder by itself.
+restart, and it moves finished files to the ``bk`` folder by itself. A file is a load of its own, whatever files share
+its micro-batch: its checks see its rows only, files go in the order they arrived, and one whose load stops goes to the
+``error`` folder while its neighbours are loaded. A failure that may pass repeats the batch.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import timedelta
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,27 +32,76 @@ def file_drop_stream(
 ) -> DataFrame:
     reader = spark.readStream.format(form).schema(schema).options(**options)
     reader = reader.option("recursiveFileLookup", "true").option("maxFilesPerTrigger", files_per_batch)
+    # A repeated batch may have moved a file to the error folder already.
+    reader = reader.option("ignoreMissingFiles", "true")
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.load(folder).select("*", F.col("_metadata.file_path").alias("source_file"))
 
 
+def file_reader(spark: SparkSession, schema: T.StructType, form: str = "csv", **options: str) -> Callable[[str], DataFrame]:
+    """Reads one dropped file as the stream does."""
+    return lambda path: spark.read.format(form).schema(schema).options(**options).load(path)
+
+
 def load_batch_as(
-    spec: LoadSpec, target_table: str, ctx: RunContext, work_root: str, target_root: str, log_root: str, options: LoadOptions
+    spec: LoadSpec,
+    target_table: str,
+    ctx: RunContext,
+    work_root: str,
+    target_root: str,
+    log_root: str,
+    options: LoadOptions,
+    error: str | None = None,
+    read: Callable[[str], DataFrame] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """A handler that loads each micro-batch into a target: checked, merged and logged as a run of its own.
+    """A handler that loads each file of a micro-batch into a target: checked, merged and logged as a run of its own.
 
-    Merging the same rows again changes nothing, so a batch repeated after a failure is harmless. Batches run in a
-    session of their own: a session that has read the table before has to refresh it.
+    Files whose load stops go to ``error/<code>``. ``read`` reads a file by its path, so that a batch of many files is not
+    scanned once for each. Merging the same rows again changes nothing, so a batch repeated after a failure is
+    harmless. Batches run in a session of their own: a session that has read the table before has to refresh it.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        run = replace(ctx, run_ts=ctx.run_ts + timedelta(seconds=batch_id))
-        load_table(run, spec, batch, target_table, work_root, target_root, log_root, replace(options, whole_source=True))
+        spark = batch.sparkSession
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "drops"
+        stopped = []
+        # At most files_per_batch names.
+        for number, file in enumerate(_in_order(spark, [r[0] for r in batch.select("source_file").distinct().collect()])):
+            rows = read(unquote(file)) if read else batch.where(F.col("source_file") == file).drop("source_file")
+            run = replace(ctx, tag=f"{query}-{batch_id}-{number}")
+            result = load_table(
+                run, spec, rows, target_table, work_root, target_root, log_root, replace(options, whole_source=True)
+            )
+            if result.status == "Fatal007":
+                raise RuntimeError(f"{file} could not be staged")
+            if not result.good:
+                stopped.append((file, result.status))
+        if error:
+            for file, code in stopped:
+                _move(spark, unquote(file), f"{error}/{code}")
 
     return handle
 
 
+def _in_order(spark: SparkSession, files: list[str]) -> list[str]:
+    """Files that are still there, by the time they were written, then by name: the order across batches as well."""
+    found = []
+    for file in files:
+        path = spark._jvm.org.apache.hadoop.fs.Path(unquote(file))
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if system.exists(path):
+            found.append((system.getFileStatus(path).getModificationTime(), file))
+    return [f for _, f in sorted(found)]
+
+
+def _move(spark: SparkSession, file: str, folder: str) -> None:
+    path, place = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (file, folder))
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(place)
+    system.rename(path, spark._jvm.org.apache.hadoop.fs.Path(place, path.getName()))
+
+
 def load_drops(rows: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Hand all waiting files to ``handle`` in micro-batches, then stop. ``handle`` must accept a repeated batch id."""
     return (
