@@ -123,3 +123,8 @@ LAYER_GRANTS = (
     ("role_etl_writer", "core", "write"), ("role_etl_writer", "core", "read"),
     ("role_bi_reader", "dm", "read"),
 )
+
+# The largest hour, minute and second of a time of day, and the largest offset east and west in hours.
+CLOCK_LIMITS = (23, 59, 59)
+OFFSET_HOURS = {"+": 14, "-": 12}
+OFFSET_MINUTES = 59

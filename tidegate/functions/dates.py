@@ -1,7 +1,7 @@
 """Date and time texts.
 
 Each text goes through one regular expression that rewrites it to ISO form, or to a form no cast accepts; a cast
-then decides about the calendar.
+then decides about the calendar. Hours, minutes, seconds and offsets are compared as numbers.
 """
 
 from __future__ import annotations
@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidegate import fixed
+
 _ANY_YEAR = r"[0-9]{4}"
 _CHECKED_YEAR = r"19[0-9]{2}|2[0-9]{3}"
 
@@ -18,11 +20,13 @@ def _date(year: str) -> str:
     return rf"({year})(?:[/-]?([0-9]{{2}})[/-]?([0-9]{{2}})|[/-]([0-9]{{1,2}})[/-]([0-9]{{1,2}}))"
 
 
-_ZONE = r"(Z|\+(?:0[0-9]|1[0-4]):?[0-5][0-9]|-(?:0[0-9]|1[0-2]):?[0-5][0-9])?"
-_CLOCK = r"([01][0-9]|2[0-3]):?([0-5][0-9])"
+# Digits only; whether they are a time of day is tested as numbers.
+_ZONE = r"(Z|[+-][0-9]{2}:?[0-9]{2})?"
+_CLOCK = r"([0-9]{2}):?([0-9]{2})"
 # Groups 6-10: hour, minute, second, fraction, zone.
-_MOMENT = r"(?:[ T]" + _CLOCK + r"(?::?([0-5][0-9])(\.[0-9]{1,6})?)?" + _ZONE + r")?"
-_TIME = r"^(?:" + _CLOCK + r":?[0-5][0-9](?:\.[0-9]{1,3})?" + _ZONE + r")?\z"
+_MOMENT = r"(?:[ T]" + _CLOCK + r"(?::?([0-9]{2})(\.[0-9]{1,6})?)?" + _ZONE + r")?"
+# Groups 1-4: hour, minute, second, zone.
+_TIME = r"(?:" + _CLOCK + r":?([0-9]{2})(?:\.[0-9]{1,3})?" + _ZONE + r")?"
 
 _ISO_DATE = "$1-$2$4-$3$5"
 
@@ -32,15 +36,36 @@ def _whole(pattern: str) -> str:
     return rf"(?s)^(?:{pattern}|.*)\z"
 
 
+def _on_the_clock(text: Column, pattern: str, groups: str) -> Column:
+    """Hour, minute, second and offset in the ``groups`` of a matching text are within their limits; unset ones are."""
+    parts = F.split(F.regexp_replace(text, pattern, groups), r"\|")
+    fits = F.lit(True)
+    for place, limit in enumerate(fixed.CLOCK_LIMITS):
+        fits = fits & F.coalesce(parts[place].try_cast("int") <= limit, F.lit(True))
+    zone = parts[len(fixed.CLOCK_LIMITS)]
+    sign = F.substring(zone, 1, 1)
+    hours, minutes = F.substring(zone, 2, 2).try_cast("int"), F.right(zone, F.lit(2)).try_cast("int")
+    for mark, limit in fixed.OFFSET_HOURS.items():
+        fits = fits & ((sign != mark) | ((hours <= limit) & (minutes <= fixed.OFFSET_MINUTES)))
+    return fits
+
+
+def _dated(text: Column, year: str) -> Column:
+    """The ISO date of a date or timestamp text, or a text that is none."""
+    pattern = _whole(_date(year) + _MOMENT)
+    return F.when(_on_the_clock(text, pattern, "$6|$7|$8|$10"), F.regexp_replace(text, pattern, _ISO_DATE))
+
+
 def as_date(text: Column) -> Column:
     """The day of a date or timestamp text such as ``2024-01-31``, ``2024/1/31`` or ``20240131``; else null."""
-    return F.regexp_replace(text, _whole(_date(_ANY_YEAR) + _MOMENT), _ISO_DATE).try_cast("date")
+    return _dated(text, _ANY_YEAR).try_cast("date")
 
 
 def as_timestamp(text: Column, zoned: bool = False) -> Column:
     """The time of a date or timestamp text; missing parts are zero. A zone counts for zoned columns only."""
     parts = _ISO_DATE + " $6:$7:$8$9" + ("$10" if zoned else "")
-    iso = F.regexp_replace(text, _whole(_date(_ANY_YEAR) + _MOMENT), parts)
+    pattern = _whole(_date(_ANY_YEAR) + _MOMENT)
+    iso = F.when(_on_the_clock(text, pattern, "$6|$7|$8|$10"), F.regexp_replace(text, pattern, parts))
     full = F.replace(F.regexp_replace(iso, r":(?![0-9])", ":00"), F.lit(" :00:00"), F.lit(" 00:00:00"))
     return full.try_cast("timestamp" if zoned else "timestamp_ntz")
 
@@ -52,8 +77,8 @@ def is_date(text: Column) -> Column:
 
 def is_timestamp(text: Column) -> Column:
     """Such a day, with or without a time of day."""
-    return F.regexp_replace(text, _whole(_date(_CHECKED_YEAR) + _MOMENT), _ISO_DATE).try_cast("date").isNotNull()
+    return _dated(text, _CHECKED_YEAR).try_cast("date").isNotNull()
 
 
 def is_time_or_blank(text: Column) -> Column:
-    return text.rlike(_TIME)
+    return text.rlike(rf"^{_TIME}\z") & _on_the_clock(text, _whole(_TIME), "$1|$2|$3|$4")
