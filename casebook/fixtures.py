@@ -86,7 +86,7 @@ select case when p_partkey % 37 = 0 then 'SYS' else p_brand end as owner,
        concat('T', cast(p_partkey as string)) as table_name,
        case when p_partkey % 11 = 0 then null else p_size * 100 end as num_rows,
        case when p_partkey % 13 = 0 then null else date '2024-06-01' + p_size end as last_analyzed
-from {part} where p_partkey % 6 <> 0
+from {part}
 """,
     "meta_columns": """
 select case when l_partkey % 37 = 0 then 'SYS' else p_brand end as owner,

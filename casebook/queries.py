@@ -30,7 +30,7 @@ from tidegate.sinks.tables import (
     truncate_and_load,
     unload_partitioned,
 )
-from tidegate.sources.catalog import discover_schemas
+from tidegate.sources.catalog import discover_schemas, merge_catalog
 from tidegate.sources.extract import bounded_extract, external_scan, incremental_extract, sample_extract
 from tidegate.sources.files import file_drop_scan, land_then_load
 from tidegate.streaming.file_drop import file_drop_stream, load_drops
@@ -172,6 +172,20 @@ def discover_schemas_tables(spark, folder):
     return found.join(sizes, ["dataset", "column"]).drop("nullable")
 
 
+@query
+def merged_catalog(spark, folder):
+    """The catalogue after a second crawl: a column renamed, one of another type, a dataset come and one gone."""
+
+    def orders():
+        rows = table(spark, folder, "orders")
+        return rows.withColumnRenamed("o_custkey", "o_customer").withColumn("o_totalprice", F.col("o_totalprice").cast("float"))
+
+    path = {t: f"{folder}/{t}.parquet" for t in ("orders", "customer", "nation", "region")}
+    known = discover_schemas(spark, {t: path[t] for t in ("orders", "customer", "nation")})
+    found = discover_schemas(spark, {"orders": orders, "customer": path["customer"], "region": path["region"]})
+    return merge_catalog(known, found).drop("nullable")
+
+
 # Work rows.
 
 
@@ -538,11 +552,36 @@ def sample_extract_orders(spark, folder):
     return sample_extract(table(spark, folder, "orders"), 1000)
 
 
-CSV = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+@query
+def sample_of_orders(spark, folder):
+    """How many rows a sample has, and how many of them are orders."""
+    orders = table(spark, folder, "orders")
+    rows = sample_extract(orders, 1000)
+    # Orders as a semi join: a row that is none would not be counted.
+    real = rows.join(orders.select("o_orderkey", "o_custkey").distinct(), ["o_orderkey", "o_custkey"], "left_semi")
+    marked = rows.select(F.lit(1).alias("n"), F.lit(0).alias("found"))
+    return marked.unionByName(real.select(F.lit(0).alias("n"), F.lit(1).alias("found"))).agg(
+        F.sum("n").alias("n"), F.sum("found").alias("found")
+    )
+
+
+@query
+def empty_load(spark, folder):
+    """The log of a load without changed rows, and the target it leaves as it is."""
+    name, base = _target_table(spark, folder, []), _folder(spark, "load")
+    stale = F.lit("1990-01-01 00:00:00").cast("timestamp_ntz")
+    source = fixture(spark, folder, "work_orders").withColumn("update_date_time", stale)
+    load_table(CTX, ORDERS, source, name, f"{base}/work", f"{base}/target", f"{base}/log")
+    lines = read_log(spark, f"{base}/log", CTX).select("level", "message_cd")
+    rows = spark.table(name).select(F.lit("target").alias("level"), F.lit("rows").alias("message_cd"))
+    return lines.unionByName(rows).groupBy("level", "message_cd").agg(F.count(F.lit(1)).alias("n"))
+
+
+CSV = {"header": "true", "escape": '"', "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
 
 
 def _dropped(spark: SparkSession, folder: str) -> tuple[str, StructType]:
-    path, rows = _folder(spark, "upload"), table(spark, folder, "events").select("event_id", "ts", "event_type", "value")
+    path, rows = _folder(spark, "upload"), table(spark, folder, "events")
     rows.write.options(**CSV).csv(path)
     return path, rows.schema
 
@@ -619,7 +658,7 @@ def unload_scan(spark, folder):
     rows = table(spark, folder, "events")
     path = _folder(spark, "unload")
     unload_partitioned(rows, path, F.col("ts"))
-    days = F.col("dt") >= F.lit(date(2024, 1, 1))
+    days = F.col("dt") >= F.lit(date(2024, 1, 15))
     return external_scan(spark, path, ["event_id", "user_id", "value", "dt"], days)
 
 
