@@ -11,7 +11,8 @@ from tidegate.operators import control, keys, log, merge
 from tidegate.operators.work import to_work
 from tidegate.plans.load import LoadOptions, load_table, run_tables
 from tidegate.session import scratch_scope, written
-from tidegate.sinks.replace import create_versioned, replace_table
+from tidegate.sinks import replace as replace_module
+from tidegate.sinks.replace import create_versioned, finish_switch, replace_table, swap_partitions
 from tidegate.sinks.tables import read_log
 from tidegate.streaming.file_drop import file_drop_stream, file_reader, load_batch_as, load_drops
 
@@ -255,6 +256,34 @@ def test_scopes_keep_each_others_frames(spark):
         assert outer.count() == 3
 
 
+def test_broken_switch_is_finished(spark, folder, monkeypatch):
+    spark.sql(f"create database if not exists core location '{folder}/core'")
+    spark.sql("drop table if exists core.broken")
+
+    def rows(text, days):
+        return spark.createDataFrame([(d, text, f"d{d}") for d in days], "id long, v string, p string")
+
+    create_versioned(rows("old", range(4)), "core.broken", f"{folder}/t", "v", ["p"])
+    old = spark.table("core.broken").select("p").distinct().collect()
+    steps = []
+
+    def breaking(spark_, table, statements):
+        steps.extend(statements)
+        for statement in statements[:3]:
+            spark_.sql(statement)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(replace_module, "_take", breaking)
+        with pytest.raises(RuntimeError):
+            swap_partitions(rows("new", range(1, 6)), "core.broken", old, f"{folder}/t", "w")
+    spark.catalog.refreshTable("core.broken")
+    assert {r["v"] for r in spark.table("core.broken").collect()} == {"old", "new"}
+    assert finish_switch(spark, "core.broken", f"{folder}/t")
+    assert sorted(tuple(r) for r in spark.table("core.broken").collect()) == [(d, "new", f"d{d}") for d in range(1, 6)]
+    assert not finish_switch(spark, "core.broken", f"{folder}/t")
+
+
 def test_only_touched_partitions_are_written(spark, folder):
     """A date-partitioned target: updates, moves between partitions, deletes and new rows."""
     days = {n: date(2024, 1, n) for n in range(1, 8)}

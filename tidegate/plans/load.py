@@ -13,7 +13,7 @@ from tidegate import fixed
 from tidegate.model import LoadSpec, RunContext, TargetType
 from tidegate.operators import control, keys, log, merge, rules, work
 from tidegate.session import scratch_scope, written
-from tidegate.sinks.replace import partition_columns, swap_location, swap_partitions
+from tidegate.sinks.replace import finish_switch, partition_columns, swap_location, swap_partitions
 from tidegate.sinks.tables import append_log, truncate_and_load
 from tidegate.sources.extract import incremental_extract
 
@@ -174,6 +174,7 @@ def _load_table(
         lines.append(_line("Info006", spec, seq=_END_AT, text=fixed.MESSAGES["Info006stopped"]))
         return finish(TableResult(spec.table, stop, total_num=counts["total_num"]))
 
+    finish_switch(spark, target_table, target_root)
     # Another session may have switched the table since this one last read it.
     spark.catalog.refreshTable(target_table)
     target = spark.table(target_table)

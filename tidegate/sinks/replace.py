@@ -64,15 +64,41 @@ def _partition(row: Row, parts: Sequence[str]) -> str:
     return "(" + ", ".join(f"`{p}` = {literal(row[p])}" for p in parts) + ")"
 
 
+def _journal(table: str, root: str) -> str:
+    return f"{root}/_switch/{table}"
+
+
+def _take(spark: SparkSession, table: str, steps: Sequence[str]) -> None:
+    for statement in steps:
+        spark.sql(statement)
+    spark.catalog.refreshTable(table)
+
+
+def finish_switch(spark: SparkSession, table: str, root: str) -> bool:
+    """Complete a switch of partitions that broke off: each step may be done again. Tells whether there was one."""
+    journal = spark._jvm.org.apache.hadoop.fs.Path(_journal(table, root))
+    system = journal.getFileSystem(spark._jsc.hadoopConfiguration())
+    # Without the mark of a finished write no step was taken yet.
+    if not system.exists(spark._jvm.org.apache.hadoop.fs.Path(journal, "_SUCCESS")):
+        return False
+    noted = spark.read.schema("step long, statement string").json(_journal(table, root)).orderBy("step").collect()
+    _take(spark, table, [r["statement"] for r in noted])
+    remove_folder(spark, _journal(table, root))
+    return True
+
+
 def swap_partitions(
     rows: DataFrame, table: str, old: Sequence[Row], root: str, version: str, keep_old: bool = True
 ) -> None:
     """Write new content for some partitions, then point each of them at its new folder.
 
     ``old`` names the partitions that ``rows`` stands for; those without rows any more are dropped. Partitions not
-    named are neither read nor written. Each step switches one partition from its old content to its new one.
+    named are neither read nor written. Each step switches one partition from its old content to its new one. All steps
+    are noted below ``root`` before the first is done: :func:`finish_switch` does them again where a run broke off, and
+    a load calls it before it reads the table.
     """
     spark = rows.sparkSession
+    finish_switch(spark, table, root)
     parts = partition_columns(spark, table)
     path = _fresh_folder(root, version)
     before = [] if keep_old else [_location(spark, table, _partition(row, parts)) for row in old]
@@ -80,16 +106,21 @@ def swap_partitions(
     file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     folder = F.regexp_replace(file, "/[^/]+$", "").alias("__folder")
     new = spark.read.schema(rows.schema).parquet(path).select(*parts, folder).distinct().collect()
+    steps = []
     for row in new:
         spec = _partition(row, parts)
         target = row["__folder"].replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION {spec} LOCATION '{target}'")
-        spark.sql(f"ALTER TABLE {table} PARTITION {spec} SET LOCATION '{target}'")
+        steps.append(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION {spec} LOCATION '{target}'")
+        steps.append(f"ALTER TABLE {table} PARTITION {spec} SET LOCATION '{target}'")
     kept = {_partition(row, parts) for row in new}
-    for row in old:
-        if _partition(row, parts) not in kept:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION {_partition(row, parts)}")
-    spark.catalog.refreshTable(table)
+    gone = [_partition(row, parts) for row in old if _partition(row, parts) not in kept]
+    if gone:
+        steps.append(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(f"PARTITION {p}" for p in gone))
+    journal = _journal(table, root)
+    noted = spark.createDataFrame(list(enumerate(steps)), "step long, statement string")
+    noted.coalesce(1).write.mode("overwrite").json(journal)
+    _take(spark, table, steps)
+    remove_folder(spark, journal)
     for folder in before:
         remove_folder(spark, folder)
 
