@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidegate.llm.chunks import ChunkIds, gather
-from tidegate.llm.common import by_bytes, column_of, ship, text_bytes
+from tidegate.llm.common import by_bytes, column_of, ship, text_bytes, tidy
 
 # Fixed value: the pattern by which this family of tokenizers splits text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -340,7 +340,7 @@ def _step(df: DataFrame, kept: list[str], added: str, make) -> DataFrame:
     schema = T.StructType(
         [T.StructField(df.schema[c].name, df.schema[c].dataType) for c in kept] + list(T._parse_datatype_string(added))
     )
-    return df.mapInArrow(make(to_arrow_schema(schema)), schema)
+    return df.mapInArrow(tidy(make(to_arrow_schema(schema))), schema)
 
 
 def encode(documents: DataFrame, path: str, keep_text: bool = True) -> DataFrame:
@@ -360,9 +360,18 @@ def decode(encoded: DataFrame, path: str, keep_ids: bool = True) -> DataFrame:
 
 
 def round_trip(documents: DataFrame, path: str) -> DataFrame:
-    """Ids of every document and digests of the ids and of the text they decode to."""
-    coded = decode(encode(documents.select("doc_id", "text"), path, keep_text=False), path)
-    return coded.select(
+    """Ids of every document and digests of the ids and of the text they decode to.
+
+    Encoding and decoding follow each other in one task's worker, which holds the vocabulary once.
+    """
+    ship(documents.sparkSession)
+    source = documents.select("doc_id", "text")
+    kind = documents.schema["doc_id"].dataType
+    coded = [T.StructField("doc_id", kind), T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())]
+    first, both = T.StructType(coded), T.StructType([*coded, T.StructField("decoded", T.StringType())])
+    encoding, decoding = _encode_step(path, to_arrow_schema(first)), _decode_step(path, to_arrow_schema(both))
+    out = source.mapInArrow(tidy(lambda batches: decoding(encoding(batches))), both)
+    return out.select(
         "doc_id",
         "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),

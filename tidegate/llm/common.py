@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+import sys
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,13 +15,22 @@ from pyspark.sql import functions as F
 
 from tidegate.session import written
 
-SLICE_BYTES = 8 * 1024**2
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+SLICE_BYTES = 4 * 1024**2
 """Text handled at once inside a task; a longer single text is handled alone."""
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 2_000
+"""Most rows of an Arrow batch in a session that runs these operators, as texts are long."""
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package's modules to the executors, once per Spark context."""
+    """Send this package's modules to the executors, once per Spark context, and bound the session's Arrow batches."""
     context = spark.sparkContext
+    if int(spark.conf.get(_BATCH)) > BATCH_ROWS or int(spark.conf.get(_BATCH)) <= 0:
+        spark.conf.set(_BATCH, BATCH_ROWS)
     if getattr(context, "_tidegate_shipped", False):
         return
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -34,6 +45,18 @@ def ship(spark: SparkSession) -> None:
     context._tidegate_shipped = True
 
 
+def tidy(step: Step) -> Step:
+    """A step that gives its free memory back at the end of a task: workers are kept for later ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from step(batches)
+        pa.default_memory_pool().release_unused()
+        if sys.platform.startswith("linux"):
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.llm.common import by_bytes, column_of, ship, text_bytes
+from tidegate.llm.common import by_bytes, column_of, ship, text_bytes, tidy
 
 BLOCK_BYTES = 16 * 1024**2
 """Most text of items in one block."""
@@ -284,7 +284,7 @@ def contamination(
         last = k == len(steps) - 1
         kept = out.select(*columns, *ADDED) if last else out
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in kept.schema.fields])
-        out = out.mapInArrow(_matcher(block, _arrow(schema)), schema)
+        out = out.mapInArrow(tidy(_matcher(block, _arrow(schema))), schema)
     return out
 
 

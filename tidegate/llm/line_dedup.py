@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidegate.llm.common import by_bytes, column_of, ship, text_bytes
+from tidegate.llm.common import by_bytes, column_of, ship, text_bytes, tidy
 from tidegate.llm.decontaminate import words_of
 from tidegate.session import written
 
@@ -318,7 +318,7 @@ def removed_lines(documents: DataFrame, frequent: int = FREQUENT) -> DataFrame:
         [T.StructField("doc_id", kind)]
         + [T.StructField(n, T.LongType()) for n in ("text_key", "number", "line", "check", "bucket", "n")]
     )
-    survey = written(keyed.mapInArrow(_survey_step(to_arrow_schema(schema)), schema), "lines")
+    survey = written(keyed.mapInArrow(tidy(_survey_step(to_arrow_schema(schema))), schema), "lines")
     # One row per bucket, of which there is a fixed number.
     counted = survey.where("bucket is not null").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(1 << BUCKET_BITS, np.int64)
@@ -330,10 +330,10 @@ def removed_lines(documents: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     first = written(first, "first")
 
     index = keyed.select("text", "text_key").mapInArrow(
-        _index_step(counts, frequent), "key long, line long, low long, high long"
+        tidy(_index_step(counts, frequent)), "key long, line long, low long, high long"
     )
     dealt = index.repartition(F.shiftright("key", 32)).sortWithinPartitions("key")
-    pairs = written(dealt.mapInArrow(_pair_step, "a long, b long").distinct(), "pairs")
+    pairs = written(dealt.mapInArrow(tidy(_pair_step), "a long, b long").distinct(), "pairs")
     later = _later(keyed, pairs, first)
     again = first.where("times > 1").select("line", "check", "first")
     repeats = lines.join(again, ["line", "check"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_key", "number")
@@ -347,10 +347,10 @@ def _later(keyed: DataFrame, pairs: DataFrame, first: DataFrame) -> DataFrame:
     places = wanted.select("first.text_key", "first.number")
     bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
     # At most one row per 64 bits of the filter.
-    set_bits = places.mapInArrow(_filter_step, "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bit"))
+    set_bits = places.mapInArrow(tidy(_filter_step), "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bit"))
     held = set_bits.toArrow()
     bits[held.column("word").to_numpy()] = held.column("bit").to_numpy().view(np.uint64)
-    words = keyed.select("text", "text_key").mapInArrow(_words_step(bits), "line long, words array<string>")
+    words = keyed.select("text", "text_key").mapInArrow(tidy(_words_step(bits)), "line long, words array<string>")
     known = words.join(ends, "line", "left_semi").groupBy("line").agg(F.min("words").alias("words"))
     known = written(known.join(wanted, "line").select("line", "words", "first"), "words")
     left, right = (known.select(*[F.col(c).alias(f"{c}_{s}") for c in known.columns]) for s in "ab")
@@ -397,7 +397,7 @@ def deduplicated(documents: DataFrame, counts: bool = False, frequent: int = FRE
     rows = documents.select(*kept, key).join(lists, _KEY, "left").select(*kept, _GONE)
     fields = [T.StructField(documents.schema[c].name, documents.schema[c].dataType) for c in kept]
     schema = T.StructType([*fields, *(T.StructField(n, T.LongType()) for n in added)])
-    out = rows.mapInArrow(_remove_step(to_arrow_schema(schema), added), schema)
+    out = rows.mapInArrow(tidy(_remove_step(to_arrow_schema(schema), added)), schema)
     if "n_chars" in kept:
         out = out.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
     return out

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidegate.llm.common import column_of, ship, text_bytes
+from tidegate.llm.common import column_of, ship, text_bytes, tidy
 from tidegate.session import written
 
 MAX_TRAIN = 100_000
@@ -200,9 +200,9 @@ def training_rows(documents: DataFrame, labels: DataFrame, max_train: int = MAX_
 def fit(documents: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
     ship(documents.sparkSession)
     labelled = training_rows(documents, labels, max_train)
-    rows = written(labelled.mapInArrow(_statistics_step, "fold long, y double, x array<double>"), "statistics")
+    rows = written(labelled.mapInArrow(tidy(_statistics_step), "fold long, y double, x array<double>"), "statistics")
     rows = rows.coalesce(FIT_TASKS)  # of bounded size: max_train rows
-    sums = [np.frombuffer(r.sums).reshape(3, -1) for r in rows.mapInArrow(_moments_step, "sums binary").collect()]
+    sums = [np.frombuffer(r.sums).reshape(3, -1) for r in rows.mapInArrow(tidy(_moments_step), "sums binary").collect()]
     count, total, squares = sum(sums, np.zeros((3, STATISTICS)))
     if not count[0]:
         return Model(None, None, np.ones(1))
@@ -213,7 +213,7 @@ def fit(documents: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) ->
     spread = np.sqrt(np.maximum(squares / count - mean**2, 1e-12))
     fourier = Fourier(mean, np.where(spread < 1e-6, 1.0, spread))
     d = DIMENSIONS + 1
-    parts = rows.mapInArrow(_normal_step(fourier), "sums binary").collect()
+    parts = rows.mapInArrow(tidy(_normal_step(fourier)), "sums binary").collect()
     folds = sum((np.frombuffer(r.sums).reshape(FOLDS, d, d + 1) for r in parts), np.zeros((FOLDS, d, d + 1)))
     whole = folds.sum(0)
 
@@ -221,7 +221,7 @@ def fit(documents: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) ->
         return np.linalg.solve(m[:, :d] + RIDGE * np.eye(d), m[:, d])
 
     apart = np.array([solve(whole - folds[k]) for k in range(FOLDS)])
-    bins = rows.mapInArrow(_bins_step(fourier, apart), "bin long, n double, y double").groupBy("bin").agg(
+    bins = rows.mapInArrow(tidy(_bins_step(fourier, apart)), "bin long, n double, y double").groupBy("bin").agg(
         F.sum("n").alias("n"), F.sum("y").alias("y")
     )
     found = sorted(bins.collect())
@@ -244,7 +244,7 @@ def scored(documents: DataFrame, model: Model, columns: list[str] | None = None)
             data = [column_of(batch, c).cast(arrow.field(c).type) for c in columns]
             yield pa.RecordBatch.from_arrays([*data, score], schema=arrow)
 
-    return documents.select(*dict.fromkeys([*columns, "text"])).mapInArrow(step, schema)
+    return documents.select(*dict.fromkeys([*columns, "text"])).mapInArrow(tidy(step), schema)
 
 
 def report(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

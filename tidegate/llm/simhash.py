@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import by_bytes, column_of, connected, ship, text_bytes
+from tidegate.llm.common import by_bytes, column_of, connected, ship, text_bytes, tidy
 from tidegate.session import written
 
 RADIUS = 3
@@ -94,7 +94,7 @@ def fingerprints(documents: DataFrame, size: int = 3, words: int = 1) -> DataFra
     ship(documents.sparkSession)
     kind = documents.schema["doc_id"].dataType.simpleString()
     schema = ", ".join([f"doc_id {kind}", *(f"{n} long" for n in NAMES[:words])])
-    return documents.select("doc_id", "text").mapInArrow(_fingerprint_step(size, words), schema)
+    return documents.select("doc_id", "text").mapInArrow(tidy(_fingerprint_step(size, words)), schema)
 
 
 def masks(radius: int, parts: int = 1) -> list[int]:
@@ -226,7 +226,7 @@ def links(prints: DataFrame, radius: int, parts: int = 1, limit: int = 128, bloc
     rows = prints.select("node", *words, F.explode(keys).alias("key")).join(hot, "key", "left")
     dealt = rows.select(F.explode(buckets).alias("bucket"), "node", *words).repartition("bucket")
     step = _link_step(radius, limit, len(words))
-    return dealt.sortWithinPartitions("bucket").mapInArrow(step, "a long, b long")
+    return dealt.sortWithinPartitions("bucket").mapInArrow(tidy(step), "a long, b long")
 
 
 def grouped(prints: DataFrame, radius: int = RADIUS, parts: int = 1, limit: int = 128) -> DataFrame:

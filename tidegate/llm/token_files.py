@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from tidegate.llm.bpe import byte_letters
 from tidegate.llm.chunks import LIMIT, ChunkIds
-from tidegate.llm.common import by_bytes, column_of, ship, text_bytes
+from tidegate.llm.common import by_bytes, column_of, ship, text_bytes, tidy
 from tidegate.session import scratch_dir, written
 
 END_ID = 2
@@ -249,7 +249,7 @@ def write(documents: DataFrame, path: str, folder: str, end: int = END_ID, part_
     ship(spark)
     staged = _staged(documents, path, end, part_bytes)
     # One row per vocabulary entry: bounded by the vocabulary, not by the corpus.
-    counted = staged.mapInArrow(_count_step, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = staged.mapInArrow(tidy(_count_step), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     ranked = sorted(counted.collect(), key=lambda r: (-r.n, r.id))
     ids = np.array([r.id for r in ranked], np.int64)
     rank_of = np.zeros(int(ids.max()) + 1 if len(ids) else 1, np.int64)
@@ -260,7 +260,7 @@ def write(documents: DataFrame, path: str, folder: str, end: int = END_ID, part_
         "part", (F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before")
     )
     packed = staged.mapInArrow(
-        _pack_step(rank_of), "part int, inner long, doc_id long, n_tokens long, control binary, data binary"
+        tidy(_pack_step(rank_of)), "part int, inner long, doc_id long, n_tokens long, control binary, data binary"
     )
     numbered = packed.join(before, "part").select(
         "part", "doc_id", (F.col("before") + F.col("inner")).alias("start"), "n_tokens", "control", "data"
@@ -285,7 +285,7 @@ def _staged(documents: DataFrame, path: str, end: int, part_bytes: int) -> DataF
     """Encoded documents dealt by part, with the ids before each document in its part."""
     cuts = _cuts(documents, part_bytes)
     coded = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _encode_step(path, end, cuts), "part int, doc_id long, n_tokens long, raw binary"
+        tidy(_encode_step(path, end, cuts)), "part int, doc_id long, n_tokens long, raw binary"
     )
     order = Window.partitionBy("part").orderBy(F.asc_nulls_first("doc_id"), "n_tokens", "raw")
     running = F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, 0))
@@ -313,7 +313,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     parts = spark.read.schema(
         "part int, doc_id long, start long, n_tokens long, control binary, data binary"
     ).parquet(f"{folder}/parts")
-    return parts.mapInArrow(_read_step(ids), "doc_id long, start long, n_tokens long, ids binary")
+    return parts.mapInArrow(tidy(_read_step(ids)), "doc_id long, start long, n_tokens long, ids binary")
 
 
 def written_and_read(documents: DataFrame, path: str, end: int = END_ID) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidegate.llm.common import column_of, ship
+from tidegate.llm.common import column_of, ship, tidy
 
 SHARD_ROWS = 2_048
 BLOCK_TERMS = 8
@@ -139,7 +139,7 @@ def top_k(items: DataFrame, queries: DataFrame, k: int = 5, shard_rows: int = SH
     found = (
         both.repartition(shards, "shard")
         .sortWithinPartitions("shard", "is_query", "vec_id")
-        .mapInArrow(_search_step(k), "query_id long, vec_id long, score long")
+        .mapInArrow(tidy(_search_step(k)), "query_id long, vec_id long, score long")
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
