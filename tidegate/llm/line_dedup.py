@@ -37,8 +37,8 @@ from tidegate.llm.common import by_bytes, column_of, ship, text_bytes, tidy
 from tidegate.llm.decontaminate import words_of
 from tidegate.session import written
 
-BUCKET_BITS = 20
-"""Words are counted in 2^20 buckets, whatever their number."""
+BUCKET_BITS = 18
+"""Words are counted in 2^18 buckets, whatever their number."""
 
 FREQUENT = 1_000
 """A word of more lines makes keys only together with another frequent word."""
@@ -135,7 +135,7 @@ def _keys_of(sizes, hashes, counts, order_of, frequent):
     bucket = (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
     # Rarest first, then by hash; hashes come sorted within a line, so a stable sort keeps that order.
     bits = max(1, int(len(sizes)).bit_length())
-    packed = (line.astype(np.uint64) << np.uint64(64 - bits)) | (order_of[bucket] << np.uint64(44 - bits))
+    packed = (line.astype(np.uint64) << np.uint64(64 - bits)) | (order_of[bucket] << np.uint64(64 - BUCKET_BITS - bits))
     order = np.argsort(packed, kind="stable")
     hashes, count = hashes[order], counts[bucket[order]]
     place = np.arange(len(line)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -216,7 +216,7 @@ def _index_step(counts: np.ndarray, frequent: int):
 
 
 def _pairs_in(rows: np.ndarray) -> np.ndarray:
-    """Pairs of lines within a key that length, position and bitmap allow; rows are sorted by key and size."""
+    """Pairs of lines within a key that length, position and bitmap allow, with the bits that differ; rows come by key."""
     rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
     rows = rows[np.append(True, (rows[1:, :2] != rows[:-1, :2]).any(1))]
     key = rows[:, 0] >> 32
@@ -240,10 +240,10 @@ def _pairs_in(rows: np.ndarray) -> np.ndarray:
         differ = _differing(rows, a, b, size[a] >= WIDE)
         fine = ((differ <= both - 2 * need) | (size[b] == 0xFFFF)) & (rows[a, 1] != rows[b, 1])
         if fine.any():
-            pair = np.stack([rows[a[fine], 1], rows[b[fine], 1]], 1)
-            out.append(np.sort(pair, axis=1))
+            pair = np.sort(np.stack([rows[a[fine], 1], rows[b[fine], 1]], 1), axis=1)
+            out.append(np.column_stack([pair, differ[fine]]))
         gap += 1
-    return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
+    return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 3), np.int64)
 
 
 def _pair_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,7 +262,8 @@ def _pair_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _as_pairs(pairs: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+    columns = [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(pairs[:, 2].astype(np.int32))]
+    return pa.RecordBatch.from_arrays(columns, names=["a", "b", "differ"])
 
 
 def _place_hash(key: np.ndarray, line: np.ndarray) -> np.ndarray:
@@ -333,7 +334,8 @@ def removed_lines(documents: DataFrame, frequent: int = FREQUENT) -> DataFrame:
         tidy(_index_step(counts, frequent)), "key long, line long, low long, high long"
     )
     dealt = index.repartition(F.shiftright("key", 32)).sortWithinPartitions("key")
-    pairs = written(dealt.mapInArrow(tidy(_pair_step), "a long, b long").distinct(), "pairs")
+    pairs = dealt.mapInArrow(tidy(_pair_step), "a long, b long, differ int")
+    pairs = written(pairs.groupBy("a", "b").agg(F.min("differ").alias("differ")), "pairs")
     later = _later(keyed, pairs, first)
     again = first.where("times > 1").select("line", "check", "first")
     repeats = lines.join(again, ["line", "check"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_key", "number")
@@ -352,12 +354,28 @@ def _later(keyed: DataFrame, pairs: DataFrame, first: DataFrame) -> DataFrame:
     bits[held.column("word").to_numpy()] = held.column("bit").to_numpy().view(np.uint64)
     words = keyed.select("text", "text_key").mapInArrow(tidy(_words_step(bits)), "line long, words array<string>")
     known = words.join(ends, "line", "left_semi").groupBy("line").agg(F.min("words").alias("words"))
-    known = written(known.join(wanted, "line").select("line", "words", "first"), "words")
-    left, right = (known.select(*[F.col(c).alias(f"{c}_{s}") for c in known.columns]) for s in "ab")
-    both = pairs.join(left, F.col("a") == F.col("line_a")).join(right, F.col("b") == F.col("line_b"))
-    shared = F.size(F.array_intersect("words_a", "words_b"))
-    matching = both.where(9 * shared >= 4 * (F.size("words_a") + F.size("words_b")))
-    return matching.select(F.greatest("first_a", "first_b").alias("p")).select("p.*").distinct()
+    known = written(known, "words")
+    # The earlier line of each pair; a line goes as soon as one earlier line matches it.
+    ends = [wanted.select(*[F.col(c).alias(f"{c}_{side}") for c in wanted.columns]) for side in "ab"]
+    placed = pairs.join(ends[0], F.col("a") == F.col("line_a")).join(ends[1], F.col("b") == F.col("line_b"))
+    both = [F.struct(F.col(f"first_{side}").alias("first"), F.col(f"line_{side}").alias("line")) for side in "ab"]
+    directed = placed.select(F.least(*both).alias("x"), F.greatest(*both).alias("y"), "differ")
+    directed = written(directed.select(F.col("x.line").alias("early"), F.col("y.line").alias("late"), "differ"), "directed")
+    # The likeliest partner first: in a group of many copies it decides for nearly all, and the other pairs of a line
+    # that goes need no words. The rest are verified one by one.
+    likely = directed.groupBy("late").agg(F.min(F.struct("differ", "early")).alias("best"))
+    gone = written(_matching(likely.select("late", "best.early"), known), "gone")
+    rest = directed.join(gone, "late", "left_anti").select("late", "early")
+    gone = gone.unionByName(_matching(rest, known)).distinct()
+    return gone.join(wanted, F.col("late") == F.col("line")).select("first.*")
+
+
+def _matching(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """``late`` of the pairs whose lines match."""
+    early, late = (known.select(*[F.col(c).alias(f"{c}_{side}") for c in known.columns]) for side in ("early", "late"))
+    with_words = pairs.join(early, F.col("early") == F.col("line_early")).join(late, F.col("late") == F.col("line_late"))
+    shared = F.size(F.array_intersect("words_early", "words_late"))
+    return with_words.where(9 * shared >= 4 * (F.size("words_early") + F.size("words_late"))).select("late").distinct()
 
 
 _KEY, _GONE = "_dedup_text_key", "_dedup_removed"
