@@ -2,11 +2,55 @@
 
 from __future__ import annotations
 
+from tidegate.llm import licenses
 from tidegate.llm.url_filter import RULES
 
 _RULE_ROWS = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
+_SENTENCE_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in licenses.SENTENCES)
+_LICENCE_ROWS = ", ".join(
+    f"('{licence}', '{ids[0]}', {repr(ids[1]) if len(ids) > 1 else 'NULL'})" for licence, ids in licenses.RULES
+)
 
 ORACLE = {
+    "op1_top_k_search": """
+        WITH parts AS (
+            SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings
+        ), terms AS (
+            SELECT vec_id, i, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS q FROM parts
+        ), scores AS (
+            SELECT a.vec_id AS query_id, b.vec_id, CAST(sum(a.q * b.q) AS BIGINT) AS score
+            FROM terms a JOIN terms b ON a.i = b.i AND a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0 GROUP BY 1, 2
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM scores
+        )
+        SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= 5
+    """,
+    # Rules of one or two sentences, none of whose licences depends on a longer rule around it.
+    "op10_license_scans": rf"""
+        WITH cut AS (
+            SELECT doc_id, unnest(parts) AS sentence, generate_subscripts(parts, 1) AS pos FROM (
+                SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '([.!?])\s+', '\1' || chr(10), 'g'), chr(10)) AS parts
+                FROM documents) d
+        ), spoken AS (
+            SELECT doc_id, pos, trim(regexp_replace(lower(sentence), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS words FROM cut
+        ), known AS (
+            SELECT name, trim(regexp_replace(lower(text), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS words
+            FROM (VALUES {_SENTENCE_ROWS}) k(name, text)
+        ), seen AS (
+            SELECT doc_id, name, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n FROM spoken JOIN known USING (words)
+        ), held AS (
+            SELECT DISTINCT a.doc_id, r.licence FROM seen a JOIN (VALUES {_LICENCE_ROWS}) r(licence, one, two) ON a.name = r.one
+            LEFT JOIN seen b ON a.doc_id = b.doc_id AND b.n = a.n + 1 AND b.name = r.two
+            WHERE r.two IS NULL OR b.name IS NOT NULL
+        ), found AS (
+            SELECT doc_id, count(*) AS n_sentences, string_agg(name, ',' ORDER BY n) AS sentence_ids FROM seen GROUP BY doc_id
+        ), named AS (
+            SELECT doc_id, string_agg(licence, ',' ORDER BY licence) AS licences FROM held GROUP BY doc_id
+        )
+        SELECT d.doc_id, CAST(coalesce(n_sentences, 0) AS BIGINT) AS n_sentences,
+               coalesce(sentence_ids, '') AS sentence_ids, coalesce(licences, '') AS licences
+        FROM documents d LEFT JOIN found USING (doc_id) LEFT JOIN named USING (doc_id)
+    """,
     "op2_decontamination": r"""
         WITH text_words AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
