@@ -59,17 +59,24 @@ def test_word_bpe_equals_library():
     coder = token_files.Encoder(WORD_BPE)
     library = Tokenizer.from_file(WORD_BPE)
     texts = CURIOUS + [f"a{chr(i)}b {chr(i)}{chr(i)} 1{chr(i)}2.x" for i in range(0x180)]
-    for text, ids in zip(texts, coder.encode([t.encode() for t in texts], 2), strict=True):
+    flat, counts = coder.encode([t.encode() for t in texts], 2)
+    for text, ids in zip(texts, np.split(flat, np.cumsum(counts)[:-1]), strict=True):
         assert ids.tolist() == [*library.encode(text, add_special_tokens=False).ids, 2], text
 
 
 def test_pack_round_trip():
     rng = np.random.default_rng(1)
-    for size in (0, 1, 3, 4, 5, 1000):
-        values = (2 ** rng.uniform(0, 32, size)).astype(np.uint64).clip(0, 2**32 - 1).astype(np.uint32)
-        control, data = token_files.pack(values)
-        assert len(control) == -(-size // 4)
-        assert (token_files.unpack(control, data, size) == values).all()
+    counts = np.array([0, 1, 3, 4, 5, 0, 1000, 7])
+    values = (2 ** rng.uniform(0, 32, counts.sum())).astype(np.uint64).clip(0, 2**32 - 1).astype(np.uint32)
+    control, data, quads, sizes = token_files.pack(values, counts)
+    assert quads.tolist() == [0, 1, 1, 1, 2, 0, 250, 2] and sizes.sum() == len(data) and quads.sum() == len(control)
+    assert (token_files.unpack(control.tobytes(), data.tobytes(), counts) == values).all()
+    # A sequence's own bytes hold it.
+    at, start, stop = np.cumsum(counts), np.cumsum(sizes) - sizes, np.cumsum(sizes)
+    one = token_files.unpack(control[3:5].tobytes(), data[start[4] : stop[4]].tobytes(), counts[4:5])
+    assert (one == values[at[3] : at[4]]).all()
+    empty = token_files.pack(values[:0], counts[:0])
+    assert len(empty[0]) == len(empty[1]) == 0
 
 
 def in_order(rows, library):

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegate.llm.bpe import byte_letters
-from tidegate.llm.chunks import LIMIT, ChunkIds
+from tidegate.llm.chunks import LIMIT, ChunkIds, gather
 from tidegate.llm.common import by_bytes, column_of, ship, text_bytes, tidy
 from tidegate.session import scratch_dir, written
 
@@ -107,7 +107,9 @@ class Encoder:
         odd = []
         for i, chunk in enumerate(chunks):
             text = chunk.decode()
-            if not PLAIN.fullmatch(text):
+            if text == "\n":
+                out.append([0])
+            elif not PLAIN.fullmatch(text):
                 odd.append((i, text))
                 out.append(None)
             elif text.isascii() and text.isalpha():
@@ -129,19 +131,27 @@ class Encoder:
     def _letters(self, piece: str) -> str:
         return piece.encode().decode("latin-1").translate(self.letter_of)
 
-    def encode(self, texts: list[bytes | None], end: int) -> list[np.ndarray]:
+    def encode(self, texts: list[bytes | None], end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, each with the end id, and their number in each text."""
         plain = [t or b"" for t in texts]
         rare = [any(s in t for s in self.specials) for t in plain]
-        parts = [[] if odd else spaced(t).split() for t, odd in zip(plain, rare, strict=True)]
+        # A line feed is no chunk; it stands for a text's end.
+        parts = [[b"\n"] if odd else [*spaced(t).split(), b"\n"] for t, odd in zip(plain, rare, strict=True)]
         places = self.memory.places([c for own in parts for c in own])
-        tail, stop, out = np.array([end], np.uint32), 0, []
-        for text, odd, own in zip(plain, rare, parts, strict=True):
-            start, stop = stop, stop + len(own)
-            ids = self.memory.ids(places[start:stop])
-            if odd:
-                ids = np.array(self.library.encode(text.decode(), add_special_tokens=False).ids, np.uint32)
-            out.append(np.concatenate([ids, tail]))
-        return out
+        counts = np.array([len(own) for own in parts], np.int64)
+        stops = np.cumsum(counts) - 1
+        sizes = self.memory.sizes[places]
+        sizes[stops] = 1
+        numbers = np.add.reduceat(sizes, stops - counts + 1) if len(parts) else counts
+        flat = gather(self.memory.flat, self.memory.starts[places], sizes)
+        flat[np.cumsum(numbers) - 1] = end
+        if not any(rare):
+            return flat, numbers
+        split = np.split(flat, np.cumsum(numbers)[:-1])
+        for i in [i for i, odd in enumerate(rare) if odd]:
+            ids = self.library.encode(plain[i].decode(), add_special_tokens=False).ids
+            split[i] = np.array([*ids, end], np.uint32)
+        return np.concatenate(split), np.array([len(x) for x in split], np.int64)
 
 
 _encoders: dict[str, Encoder] = {}
@@ -153,32 +163,41 @@ def _encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def pack(ids: np.ndarray) -> tuple[bytes, bytes]:
-    """Control and data bytes of unsigned 32-bit integers."""
+def pack(ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Control and data bytes of sequences of unsigned 32-bit integers that follow each other, and both's numbers of bytes
+    for each sequence."""
     values = np.asarray(ids, np.uint32)
     sizes = 1 + (values > 0xFF).astype(np.int64) + (values > 0xFFFF) + (values > 0xFFFFFF)
-    codes = np.zeros(-(-len(values) // 4) * 4, np.uint8)
-    codes[: len(values)] = sizes - 1
-    quads = codes.reshape(-1, 4)
-    control = quads[:, 0] | quads[:, 1] << 2 | quads[:, 2] << 4 | quads[:, 3] << 6
-    starts = np.cumsum(sizes) - sizes
-    data = np.empty(int(sizes.sum()), np.uint8)
+    # Each sequence's codes begin with a control byte of their own.
+    quads = -(-counts // 4)
+    codes = np.zeros(int(quads.sum()) * 4, np.uint8)
+    shift = (np.cumsum(quads) - quads) * 4 - (np.cumsum(counts) - counts)
+    codes[np.arange(len(values)) + np.repeat(shift, counts)] = sizes - 1
+    four = codes.reshape(-1, 4)
+    control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
+    ends = np.cumsum(sizes)
+    data = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    starts = ends - sizes
     data[starts] = values & 0xFF
     for byte in (1, 2, 3):
         longer = np.flatnonzero(sizes > byte)
         if not len(longer):
             break
         data[starts[longer] + byte] = (values[longer] >> np.uint32(8 * byte)) & 0xFF
-    return control.tobytes(), data.tobytes()
+    edges = np.append(0, ends)[np.append(0, np.cumsum(counts))]
+    return control, data, quads, np.diff(edges)
 
 
 # Lengths of the four ids of each control byte.
 _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3) + 1
 
 
-def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
-    """The ``count`` integers behind control and data bytes."""
-    sizes = _LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:count]
+def unpack(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
+    """The integers of sequences of ``counts`` integers behind their control and data bytes in a row."""
+    quads = -(-counts // 4)
+    shift = (np.cumsum(quads) - quads) * 4 - (np.cumsum(counts) - counts)
+    sizes = _LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)
+    sizes = sizes[np.arange(int(counts.sum())) + np.repeat(shift, counts)]
     raw = np.frombuffer(data, np.uint8)
     starts = np.cumsum(sizes) - sizes
     out = raw[starts].astype(np.uint32)
@@ -190,54 +209,64 @@ def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
     return out
 
 
+def _binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """A binary column whose rows are the next ``sizes`` bytes of ``data`` each."""
+    offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())])
+
+
 def _encode_step(path: str, end: int, cuts: np.ndarray):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _encoder(path)
         for whole in batches:
             for start, stop in by_bytes(column_of(whole, "text"), SLICE):
                 batch = whole.slice(start, stop - start)
-                ids = coder.encode(text_bytes(column_of(batch, "text")), end)
+                ids, counts = coder.encode(text_bytes(column_of(batch, "text")), end)
                 known = column_of(batch, "doc_id").fill_null(np.iinfo(np.int64).min).to_numpy()
+                # Two bytes for an id where all ids of the slice allow it; a row's length tells which.
+                width = 2 if ids.max(initial=0) < 1 << 16 else 4
                 columns = [
                     pa.array(np.searchsorted(cuts, known), pa.int32()),
                     column_of(batch, "doc_id"),
-                    pa.array([len(x) for x in ids], pa.int64()),
-                    # Two bytes for an id where all of a document's ids allow it; the length tells which.
-                    pa.array([_narrow(x) for x in ids], pa.binary()),
+                    pa.array(counts, pa.int64()),
+                    _binary(ids.astype(f"<u{width}"), counts * width),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, names=["part", "doc_id", "n_tokens", "raw"])
 
     return step
 
 
-def _narrow(ids: np.ndarray) -> bytes:
-    return ids.astype("<u2" if ids.max() < 1 << 16 else "<u4").tobytes()
+def _wide(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all rows in a row, and their numbers."""
+    raws, counts = column_of(batch, "raw").to_pylist(), column_of(batch, "n_tokens").to_numpy()
+    if all(len(raw) == 2 * n for raw, n in zip(raws, counts.tolist(), strict=True)):
+        return np.frombuffer(b"".join(raws), "<u2").astype(np.int64), counts
+    kinds = ("<u2" if len(raw) == 2 * n else "<u4" for raw, n in zip(raws, counts.tolist(), strict=True))
+    return np.concatenate([np.frombuffer(raw, k).astype(np.int64) for raw, k in zip(raws, kinds, strict=True)]), counts
 
 
-def _wide(raw: bytes, count: int) -> np.ndarray:
-    return np.frombuffer(raw, "<u2" if len(raw) == 2 * count else "<u4").astype(np.int64)
+def _slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for start, stop in by_bytes(column_of(whole, column), SLICE):
+            yield whole.slice(start, stop - start)
 
 
 def _count_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(1 << 16, np.int64)
-    for whole in batches:
-        for start, stop in by_bytes(column_of(whole, "raw"), SLICE):
-            batch = whole.slice(start, stop - start)
-            rows = zip(column_of(batch, "raw").to_pylist(), column_of(batch, "n_tokens").to_pylist(), strict=True)
-            found = np.bincount(np.concatenate([_wide(*r) for r in rows]), minlength=len(total))
-            total = found + np.pad(total, (0, len(found) - len(total)))
+    for batch in _slices(batches, "raw"):
+        found = np.bincount(_wide(batch)[0], minlength=len(total))
+        total = found + np.pad(total, (0, len(found) - len(total)))
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
 
 def _pack_step(rank_of: np.ndarray):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts = column_of(batch, "n_tokens").to_pylist()
-            raws = column_of(batch, "raw").to_pylist()
-            coded = [pack(rank_of[_wide(raw, count)]) for raw, count in zip(raws, counts, strict=True)]
+        for batch in _slices(batches, "raw"):
+            ids, counts = _wide(batch)
+            control, data, quads, sizes = pack(rank_of[ids], counts)
             columns = [column_of(batch, n) for n in ("part", "inner", "doc_id", "n_tokens")]
-            columns += [pa.array([c for c, _ in coded], pa.binary()), pa.array([d for _, d in coded], pa.binary())]
+            columns += [_binary(control, quads), _binary(data, sizes)]
             yield pa.RecordBatch.from_arrays(columns, names=["part", "inner", "doc_id", "n_tokens", "control", "data"])
 
     return step
@@ -295,11 +324,11 @@ def _staged(documents: DataFrame, path: str, end: int, part_bytes: int) -> DataF
 
 def _read_step(ids: np.ndarray):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names = ("n_tokens", "control", "data")
-            rows = zip(*(column_of(batch, n).to_pylist() for n in names), strict=True)
-            found = [ids[unpack(c, d, n)].astype("<u4").tobytes() for n, c, d in rows]
-            columns = [column_of(batch, n) for n in ("doc_id", "start", "n_tokens")] + [pa.array(found, pa.binary())]
+        for batch in _slices(batches, "data"):
+            counts = column_of(batch, "n_tokens").to_numpy()
+            control, data = (b"".join(column_of(batch, n).to_pylist()) for n in ("control", "data"))
+            found = ids[unpack(control, data, counts)].astype("<u4")
+            columns = [column_of(batch, n) for n in ("doc_id", "start", "n_tokens")] + [_binary(found, counts * 4)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids"])
 
     return step
