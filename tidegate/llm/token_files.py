@@ -38,6 +38,9 @@ END_ID = 2
 SLICE = 2 * 1024**2
 """Bytes of text handled at once in a task; it bounds a worker's memory."""
 
+CHUNKS = 400_000
+"""Chunks that a worker remembers."""
+
 PART_BYTES = 64 * 1024**2
 """About this much text goes to one part."""
 
@@ -95,7 +98,7 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.specials = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
-        self.memory = ChunkIds(self._chunks)
+        self.memory = ChunkIds(self._chunks, CHUNKS)
         self.model = self.library.model
         self.pieces: dict[str, list[int]] = {}
         self.letter_of = {b: c for c, b in byte_letters().items()}
