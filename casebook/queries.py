@@ -33,7 +33,7 @@ from tidegate.sinks.tables import (
 from tidegate.sources.catalog import discover_schemas, merge_catalog
 from tidegate.sources.extract import bounded_extract, external_scan, incremental_extract, sample_extract
 from tidegate.sources.files import file_drop_scan, land_then_load
-from tidegate.streaming.file_drop import file_drop_stream, load_drops
+from tidegate.streaming.file_drop import file_drop_stream, file_reader, load_batch_as, load_drops
 
 CTX = RunContext(datetime(2024, 2, 1, 9, 0, 0), customer_id="c1", term_hours=24)
 EXTRACT_CTX = RunContext(datetime(2000, 1, 1, 12, 0, 0), customer_id="c1", term_hours=24 * 400)
@@ -614,6 +614,40 @@ def dropped_files_stream(spark, folder):
     return spark.read.parquet(landing).drop("batch")
 
 
+@query
+def loaded_files(spark, folder):
+    """Three dropped files, each a load: orders, a file that stops as it mixes divisions, and updates of some orders."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    mixed = F.when(F.col("o_orderkey") % 2 == 0, "L").otherwise("U")
+    files = (
+        orders.where("o_orderkey % 3 = 0").withColumn("process_div", F.lit("U")),
+        orders.where("o_orderkey % 5 = 0").withColumn("process_div", mixed),
+        orders.where("o_orderkey % 7 = 0").select("o_orderkey", F.col("o_custkey") + 1000000, F.lit("U")).toDF("o_orderkey", "o_custkey", "process_div"),
+    )
+    base, name = _folder(spark, "files"), f"files_{uuid.uuid4().hex[:12]}"
+    for number, rows in enumerate(files):
+        rows.coalesce(1).write.options(**CSV).csv(f"{base}/upload/{number}")
+    system = "create_id string, create_dtt timestamp_ntz, last_upd_id string, last_upd_dtt timestamp_ntz"
+    empty = spark.createDataFrame([], f"o_orderkey bigint, o_custkey bigint, {system}")
+    create_versioned(empty, name, f"{base}/target", "base")
+    bigint = TargetType("bigint")
+    spec = LoadSpec("files", (ControlColumn("o_orderkey", bigint, True), ControlColumn("o_custkey", bigint)))
+    schema = StructType.fromDDL("o_orderkey string, o_custkey string, process_div string")
+    options = {**CSV, "pathGlobFilter": "*.csv"}
+    handle = load_batch_as(
+        spec, name, CTX, f"{base}/work", f"{base}/target", f"{base}/log", LoadOptions(), f"{base}/error",
+        file_reader(spark, schema, **options),
+    )
+    stream = file_drop_stream(spark, f"{base}/upload", schema, **options)
+    load_drops(stream, handle, f"{base}/seen").awaitTermination()
+    spark.catalog.refreshTable(name)
+    # The stopped file is there to be looked at.
+    stopped = spark.read.schema(schema).options(**CSV).csv(f"{base}/error/Fatal019")
+    loaded = spark.table(name).select("o_orderkey", "o_custkey", F.lit("loaded").alias("state"))
+    error = stopped.select(F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("bigint"), F.lit("error").alias("state"))
+    return loaded.unionByName(error)
+
+
 @query
 def archive_and_quarantine(spark, folder):
     error, done = archive_or_quarantine(_checked(spark, folder), _folder(spark, "sides"), [rules.ERRORS])
