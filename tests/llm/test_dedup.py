@@ -136,8 +136,8 @@ def removed_by_force(docs):
     return out
 
 
-@pytest.mark.parametrize("frequent", [2, 8, 1_000])
-def test_line_dedup_equals_brute_force(spark, frequent):
+@pytest.mark.parametrize("frequent, few", [(2, 4), (8, 0), (1_000, 4), (1_000, 0)])
+def test_line_dedup_equals_brute_force(spark, frequent, few):
     rng = np.random.default_rng(frequent)
     words = [f"w{i}" for i in range(60)]
     rare = iter(range(10_000))
@@ -156,7 +156,7 @@ def test_line_dedup_equals_brute_force(spark, frequent):
             own.append(" ".join(line))
         docs.append((i, "\n".join(own)))
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
-    got = {(r.doc_id, r.number) for r in line_dedup.removed_lines(df, frequent).collect()}
+    got = {(r.doc_id, r.number) for r in line_dedup.removed_lines(df, frequent, few).collect()}
     assert got == removed_by_force(docs) and len(got) > 50
 
 

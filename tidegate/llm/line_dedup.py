@@ -161,7 +161,7 @@ def _keys_of(sizes, hashes, counts, order_of, frequent):
     return np.concatenate(lines), np.concatenate(keys), np.concatenate(places)
 
 
-INDEX = ["key", "line", "low", "high"]
+INDEX = ["key", "line", "doc", "number", "low", "high"]
 WIDE = 64
 """Lines of so many words have bitmaps of 128 bits, shorter ones of 64."""
 
@@ -179,7 +179,7 @@ def _parities(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def _differing(rows: np.ndarray, a: np.ndarray, b: np.ndarray, wide: np.ndarray) -> np.ndarray:
     """At least so many words are in one line only; a bitmap of 128 bits folds to the one of 64 bits."""
-    low, high = ((rows[a, k] ^ rows[b, k]).view(np.uint64) for k in (2, 3))
+    low, high = ((rows[a, k] ^ rows[b, k]).view(np.uint64) for k in (4, 5))
     apart = np.bitwise_count(low).astype(np.int64) + np.bitwise_count(high)
     return np.where(wide, apart, np.bitwise_count(low ^ high))
 
@@ -190,16 +190,21 @@ def _index_step(counts: np.ndarray, frequent: int):
     order_of[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=np.uint64)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: dict[int, tuple[int, int]] = {}
         for whole in batches:
             for start, stop in by_bytes(column_of(whole, "text"), SLICE):
-                sizes, ones, flat = [], [], []
-                for _, _, own, one, _ in _lines(whole.slice(start, stop - start)):
-                    if one not in seen:
-                        seen.add(one)
+                sizes, ones, flat, at = [], [], [], []
+                batch = whole.slice(start, stop - start)
+                docs = column_of(batch, "doc").to_pylist()
+                for row, number, own, one, _ in _lines(batch):
+                    # Sent once, or again from an earlier place: the least place sent is the set's first.
+                    place = (docs[row], number)
+                    if one not in seen or place < seen[one]:
+                        seen[one] = place
                         sizes.append(len(own) // 8)
                         ones.append(one)
                         flat.append(own)
+                        at.append(place)
                 if len(seen) > SEEN:
                     seen.clear()
                 if not sizes:
@@ -209,28 +214,28 @@ def _index_step(counts: np.ndarray, frequent: int):
                 low, high = _parities(hashes, size)
                 # Sizes and positions beyond 16 bits are cut there, which only lets more pairs through.
                 tail = (np.minimum(size[line], 0xFFFF) << 16) | np.minimum(place, 0xFFFF)
-                columns = [(key << 32) | tail, np.array(ones, np.int64)[line], low[line], high[line]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=INDEX)
+                where = np.array(at, np.int64)[line]
+                columns = [(key << 32) | tail, np.array(ones, np.int64)[line], *where.T, low[line], high[line]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=INDEX)
 
     return step
 
 
-def _pairs_in(rows: np.ndarray) -> np.ndarray:
-    """Pairs of lines within a key that length, position and bitmap allow, with the bits that differ; rows come by key."""
-    rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-    rows = rows[np.append(True, (rows[1:, :2] != rows[:-1, :2]).any(1))]
+def _candidates(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Within each key, pairs that length, position and bitmap allow: rows of the earlier and the later line, bits that
+    differ. Rows are sorted by key and size; lines of one place go both ways."""
     key = rows[:, 0] >> 32
     size, place = (rows[:, 0] >> 16) & 0xFFFF, rows[:, 0] & 0xFFFF
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     counts = np.diff(np.append(starts, len(key)))
     stop = np.repeat(starts + counts, counts)
-    live, gap, out = np.arange(len(rows)), 1, []
+    live, gap = np.arange(len(rows)), 1
     while True:
         live = live[live + gap < stop[live]]
         # Sizes rise within a key: once a partner is too long, so are all later ones.
         live = live[(4 * size[live + gap] <= 5 * size[live]) | (size[live + gap] == 0xFFFF)]
         if not len(live):
-            break
+            return
         a, b = live, live + gap
         both = size[a] + size[b]
         need = least_overlap(both)
@@ -239,31 +244,83 @@ def _pairs_in(rows: np.ndarray) -> np.ndarray:
         a, b, both, need = a[near], b[near], both[near], need[near]
         differ = _differing(rows, a, b, size[a] >= WIDE)
         fine = ((differ <= both - 2 * need) | (size[b] == 0xFFFF)) & (rows[a, 1] != rows[b, 1])
-        if fine.any():
-            pair = np.sort(np.stack([rows[a[fine], 1], rows[b[fine], 1]], 1), axis=1)
-            out.append(np.column_stack([pair, differ[fine]]))
+        a, b, differ = a[fine], b[fine], differ[fine]
+        if len(a):
+            less = (rows[a, 2] < rows[b, 2]) | ((rows[a, 2] == rows[b, 2]) & (rows[a, 3] < rows[b, 3]))
+            same = (rows[a, 2] == rows[b, 2]) & (rows[a, 3] == rows[b, 3])
+            yield (
+                np.concatenate([np.where(less, a, b), a[same]]),
+                np.concatenate([np.where(less, b, a), b[same]]),
+                np.append(differ, differ[same]),
+            )
         gap += 1
-    return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 3), np.int64)
 
 
-def _pair_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = np.zeros((0, len(INDEX)), np.int64)
-    for batch in batches:
-        rows = np.stack([column_of(batch, n).to_numpy() for n in INDEX], 1)
-        rows = np.concatenate([held, rows])
-        if not len(rows):
-            continue
-        cut = int(np.searchsorted(rows[:, 0] >> 32, rows[-1, 0] >> 32))
-        held = rows[cut:]
-        if cut:
-            yield _as_pairs(_pairs_in(rows[:cut]))
-    if len(held):
-        yield _as_pairs(_pairs_in(held))
+FEW = 4
+"""A line with more earlier candidates in a key sends its likeliest one; the others count only if that fails."""
+
+
+def _pairs_in(rows: np.ndarray, every: bool, few: int) -> Iterator[np.ndarray]:
+    """Pairs ``a, b, differ, key``; ``key`` is set where ``b`` has more candidates in it. With ``every``, all pairs whose
+    later line is marked in the last column."""
+    rows = rows[np.lexsort((rows[:, 3], rows[:, 2], rows[:, 1], rows[:, 0]))]
+    rows = rows[np.append(True, (rows[1:, :2] != rows[:-1, :2]).any(1))]
+    if every:
+        for early, late, differ in _candidates(rows):
+            keep = rows[late, 6] == 1
+            if keep.any():
+                yield np.column_stack([rows[early[keep], 1], rows[late[keep], 1], differ[keep], np.zeros(keep.sum(), np.int64)])
+        return
+    count = np.zeros(len(rows), np.int64)
+    best = np.full(len(rows), np.iinfo(np.int64).max)
+    kept = []
+    for early, late, differ in _candidates(rows):
+        np.add.at(count, late, 1)
+        np.minimum.at(best, late, (differ << 40) | early)
+        keep = count[late] <= few
+        kept.append(np.stack([early[keep], late[keep], differ[keep]]))
+    if not kept:
+        return
+    early, late, differ = np.concatenate(kept, axis=1)
+    keep = count[late] <= few
+    early, late, differ = early[keep], late[keep], differ[keep]
+    many = np.flatnonzero(count > few)
+    early = np.append(early, best[many] & ((1 << 40) - 1))
+    differ = np.append(differ, best[many] >> 40)
+    more = np.append(np.zeros(len(late), np.int64), np.ones(len(many), np.int64))
+    late = np.append(late, many)
+    keys = np.where(more == 1, rows[late, 0] >> 32, 0)
+    yield np.column_stack([rows[early, 1], rows[late, 1], differ, keys, more])
+
+
+def _pair_step(every: bool, few: int):
+    names = [*INDEX, "open"] if every else INDEX
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((0, len(names)), np.int64)
+        for batch in batches:
+            rows = np.stack([column_of(batch, n).to_numpy() for n in names], 1)
+            rows = np.concatenate([held, rows])
+            if not len(rows):
+                continue
+            cut = int(np.searchsorted(rows[:, 0] >> 32, rows[-1, 0] >> 32))
+            held = rows[cut:]
+            if cut:
+                yield from map(_as_pairs, _pairs_in(rows[:cut], every, few))
+        if len(held):
+            yield from map(_as_pairs, _pairs_in(held, every, few))
+
+    return step
+
+
+PAIRS = "a long, b long, differ int, key long, more int"
 
 
 def _as_pairs(pairs: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(pairs[:, 2].astype(np.int32))]
-    return pa.RecordBatch.from_arrays(columns, names=["a", "b", "differ"])
+    more = pairs[:, 4] if pairs.shape[1] > 4 else np.zeros(len(pairs), np.int64)
+    columns = [pairs[:, 0], pairs[:, 1], pairs[:, 2].astype(np.int32), pairs[:, 3], more.astype(np.int32)]
+    names = ["a", "b", "differ", "key", "more"]
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=names)
 
 
 def _place_hash(key: np.ndarray, line: np.ndarray) -> np.ndarray:
@@ -310,7 +367,7 @@ def _keyed(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", "text", F.xxhash64(F.col("doc_id").cast("string"), "text").alias("text_key"))
 
 
-def removed_lines(documents: DataFrame, frequent: int = FREQUENT) -> DataFrame:
+def removed_lines(documents: DataFrame, frequent: int = FREQUENT, few: int = FEW) -> DataFrame:
     """``doc_id, text_key, number``: the lines that an earlier line matches."""
     ship(documents.sparkSession)
     keyed = _keyed(documents)
@@ -330,20 +387,32 @@ def removed_lines(documents: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     first = lines.groupBy("line", "check").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
     first = written(first, "first")
 
-    index = keyed.select("text", "text_key").mapInArrow(
-        tidy(_index_step(counts, frequent)), "key long, line long, low long, high long"
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc")
+    index = keyed.select("text", doc).mapInArrow(
+        tidy(_index_step(counts, frequent)), "key long, line long, doc long, number long, low long, high long"
     )
-    dealt = index.repartition(F.shiftright("key", 32)).sortWithinPartitions("key")
-    pairs = dealt.mapInArrow(tidy(_pair_step), "a long, b long, differ int")
-    pairs = written(pairs.groupBy("a", "b").agg(F.min("differ").alias("differ")), "pairs")
-    later = _later(keyed, pairs, first)
+    short = F.shiftright("key", 32)
+    dealt = index.repartition(short).sortWithinPartitions("key")
+    found = written(dealt.mapInArrow(tidy(_pair_step(False, few)), PAIRS), "pairs")
+    gone = written(_gone(keyed, found, first), "gone")
+    # Lines that stay although they had more candidates than were tried: all of these, in the keys concerned.
+    open_ = found.where("more = 1").select(F.col("b").alias("line"), F.col("key").alias("short")).distinct()
+    open_ = written(open_.join(gone.select("line"), "line", "left_anti"), "open")
+    if not open_.isEmpty():
+        marked = index.withColumn("short", short).join(open_.select("short").distinct(), "short", "left_semi")
+        marked = marked.join(open_.withColumn("open", F.lit(1).cast("long")), ["short", "line"], "left")
+        marked = marked.select(*INDEX, F.coalesce("open", F.lit(0).cast("long")).alias("open"))
+        rest = marked.repartition(short).sortWithinPartitions("key").mapInArrow(tidy(_pair_step(True, few)), PAIRS)
+        gone = gone.unionByName(_gone(keyed, written(rest, "pairs"), first))
+    later = gone.select("first.*").distinct()
     again = first.where("times > 1").select("line", "check", "first")
     repeats = lines.join(again, ["line", "check"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_key", "number")
     return repeats.unionByName(later).distinct()
 
 
-def _later(keyed: DataFrame, pairs: DataFrame, first: DataFrame) -> DataFrame:
-    """First places of lines that match a different, earlier line."""
+def _gone(keyed: DataFrame, found: DataFrame, first: DataFrame) -> DataFrame:
+    """``line, first`` of lines that a different, earlier line matches, among the pairs found."""
+    pairs = written(found.groupBy("a", "b").agg(F.min("differ").alias("differ")), "pairs")
     ends = pairs.select(F.col("a").alias("line")).unionByName(pairs.select(F.col("b").alias("line"))).distinct()
     wanted = written(first.join(ends, "line").select("line", "first"), "wanted")
     places = wanted.select("first.text_key", "first.number")
@@ -367,7 +436,7 @@ def _later(keyed: DataFrame, pairs: DataFrame, first: DataFrame) -> DataFrame:
     gone = written(_matching(likely.select("late", "best.early"), known), "gone")
     rest = directed.join(gone, "late", "left_anti").select("late", "early")
     gone = gone.unionByName(_matching(rest, known)).distinct()
-    return gone.join(wanted, F.col("late") == F.col("line")).select("first.*")
+    return gone.join(wanted, F.col("late") == F.col("line")).select("line", "first")
 
 
 def _matching(pairs: DataFrame, known: DataFrame) -> DataFrame:
