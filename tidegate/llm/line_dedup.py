@@ -10,7 +10,9 @@ overlap a needed by two lines of n words, the first n - a + 1 words of both shar
 two. Words of few lines are keys of their own, and two frequent words make one key together, so that keys stay small as
 the corpus grows: lines that share two words share a rare one or a pair of frequent ones. Words no other line can have
 (bucket count 1) are no keys. Within a key, length, position and a bitmap of word parities discard pairs. The rest are
-verified with their words, which one more scan fetches for the lines concerned.
+verified with their words, which one more scan fetches for the lines concerned. A line needs one earlier match to go: it
+sends its likeliest earlier partner of each key, and all of them only where it stays although it had more, so that a
+group of near copies costs pairs in proportion to its lines.
 
 Shuffled are a few numbers per line and per key, and once the texts, to bring each its removed lines. Hot lines (copies)
 are one set for the join, each task sends a set once, and joins that meet hot keys can be split at run time.
