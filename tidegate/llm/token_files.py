@@ -38,7 +38,7 @@ END_ID = 2
 SLICE = 2 * 1024**2
 """Bytes of text handled at once in a task; it bounds a worker's memory."""
 
-CHUNKS = 400_000
+CHUNKS = 250_000
 """Chunks that a worker remembers."""
 
 PART_BYTES = 64 * 1024**2
