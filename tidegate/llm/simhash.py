@@ -13,10 +13,9 @@ the links are found by comparison, and only a spanning set of them is handed on.
 into blocks and each pair of blocks is a group of its own; how many blocks only decides how work is dealt. Groups of
 documents are the connected components of these links.
 
-``one_of_each_group`` removes near-duplicates with five-word shingles at a similarity of 0.8: shingle sets of that
-Jaccard similarity have a cosine of 0.89, at which a fingerprint of 64 bits differs in 9.7 bits on average, so the
-radius is 9, in two parts. As so wide a radius would link some unrelated texts in a large corpus, a second fingerprint
-of 64 bits, from the same shingles, confirms: both together differ in at most 20 bits.
+``one_of_each_group`` removes near-duplicates: documents whose sets of five-word shingles have a Jaccard similarity of
+0.8 or more. Fingerprints do not decide that: at 0.8 two of 64 bits differ in 9.7 bits on average, so any radius misses
+pairs above and links pairs below. ``shingle_join`` finds all these pairs exactly.
 
 Cases: a null text is empty; a text without words has fingerprint zero and links like any other. One of fewer words
 than a shingle has is one shingle. Null document ids never name a group, unless it has no other (then null). Repeated
@@ -50,17 +49,24 @@ _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 _SECOND = np.uint64(0x9E3779B97F4A7C15)
 
 
+def shingle_hashes(text: bytes | None, size: int, seed: int = 42) -> np.ndarray:
+    """Hashes of 64 bits of a text's word shingles, in text order."""
+    parts = (text or b"").translate(_LOWER).split()
+    if not parts:
+        return np.zeros(0, np.uint64)
+    digest = xxhash.xxh64_intdigest
+    shingles = zip(*(parts[k:] for k in range(size)), strict=False) if len(parts) >= size else [parts]
+    return np.array([digest(b" ".join(s), seed) for s in shingles], np.uint64)
+
+
 def fingerprint(text: bytes | None, size: int = 3, words: int = 1, seed: int = 42) -> list[int]:
     """Fingerprints of 64 bits of a text's word shingles; words are cut at ASCII white space, A-Z lowered.
 
     The first is of the shingles' hashes, further ones of numbers mixed from them.
     """
-    parts = (text or b"").translate(_LOWER).split()
-    if not parts:
+    hashes = shingle_hashes(text, size, seed)
+    if not len(hashes):
         return [0] * words
-    digest = xxhash.xxh64_intdigest
-    shingles = zip(*(parts[k:] for k in range(size)), strict=False) if len(parts) >= size else [parts]
-    hashes = np.array([digest(b" ".join(s), seed) for s in shingles], np.uint64)
     out = []
     for _ in range(words):
         counts = np.zeros(64, np.int64)
@@ -237,16 +243,18 @@ def grouped(prints: DataFrame, radius: int = RADIUS, parts: int = 1, limit: int
     distinct = written(
         rows.groupBy("node").agg(*[F.first(w).alias(w) for w in words], F.min("doc_id").alias("first")), "distinct"
     )
-    components = written(
-        connected(links(distinct, radius, parts, limit)).withColumnRenamed("node", "linked"), "components"
-    )
+    return named(rows, distinct, connected(links(distinct, radius, parts, limit))).drop("node")
+
+
+def named(rows: DataFrame, distinct: DataFrame, components: DataFrame) -> DataFrame:
+    """``rows`` with ``component_id``: the smallest ``first`` of the distinct nodes in the node's component."""
+    components = written(components.withColumnRenamed("node", "linked"), "components")
     rooted = distinct.join(components, F.col("node") == F.col("linked"), "left").select(
         "node", "first", F.coalesce("component", "node").alias("root")
     )
     rooted = written(rooted, "rooted")
     lowest = written(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "roots")
-    named = written(rooted.join(lowest, "root").select("node", "component_id"), "named")
-    return rows.join(named, "node").drop("node")
+    return rows.join(written(rooted.join(lowest, "root").select("node", "component_id"), "named"), "node")
 
 
 def report(documents: DataFrame, size: int = 3, radius: int = RADIUS) -> DataFrame:
@@ -254,10 +262,12 @@ def report(documents: DataFrame, size: int = 3, radius: int = RADIUS) -> DataFra
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each_group(
-    documents: DataFrame, size: int = 5, radius: int = 9, parts: int = 2, limit: int = 20
-) -> DataFrame:
+def one_of_each_group(documents: DataFrame, size: int = 5) -> DataFrame:
     """The documents with one of each group of near-duplicates."""
-    found = grouped(fingerprints(documents, size, words=2), radius, parts, limit)
+    from tidegate.llm import shingle_join  # which uses this module's shingles
+
+    nodes = written(shingle_join.nodes(documents, size), "nodes")
+    distinct = written(nodes.groupBy("node").agg(F.min("doc_id").alias("first")), "distinct")
+    found = named(nodes, distinct, shingle_join.components(documents, size))
     kept = written(found.where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct(), "kept")
     return documents.join(kept, F.expr("doc_id <=> kept_id"), "left_semi")
