@@ -160,6 +160,38 @@ def test_line_dedup_equals_brute_force(spark, frequent, few):
     assert got == removed_by_force(docs) and len(got) > 50
 
 
+def test_lines_of_a_template_are_dealt_in_blocks(spark, monkeypatch):
+    """Lines that share their frequent words make one key; no group that a task compares may hold them all."""
+    rng = np.random.default_rng(9)
+    often = [f"w{i}" for i in range(12)]
+    docs = [(i, " ".join([*often, *(f"v{rng.integers(150)}x{k}" for k in range(2))])) for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(line_dedup, "BLOCK", 50)
+    monkeypatch.setattr(line_dedup, "SAMPLE", 1)
+    dealt, groups = line_dedup._in_blocks, []
+
+    def counted(index, sample):
+        out = dealt(index, sample)
+        whole = index.groupBy(F.shiftright("key", 32)).agg(F.count_distinct("line").alias("n")).agg(F.max("n")).first()[0]
+        most = out.groupBy(F.shiftright("key", 32)).agg(F.count_distinct("line").alias("n")).agg(F.max("n")).first()[0]
+        groups.append((whole, most))
+        return out
+
+    monkeypatch.setattr(line_dedup, "_in_blocks", counted)
+    got = {(r.doc_id, r.number) for r in line_dedup.removed_lines(df, 8, 2).collect()}
+    assert got == removed_by_force(docs) and len(got) > 50
+    assert groups[0][0] > 300 and groups[0][1] < 200
+
+
+def test_keys_of_a_very_long_line_come_in_slices(monkeypatch):
+    monkeypatch.setattr(line_dedup, "KEY_ROWS", 1_000)
+    hashes = np.sort(np.random.default_rng(1).integers(0, 2**63, 2_000).astype(np.uint64))
+    counts = np.full(1 << line_dedup.BUCKET_BITS, 9)
+    order_of = np.arange(len(counts), dtype=np.uint64)
+    parts = list(line_dedup._keys_of(np.array([2_000]), hashes, counts, order_of, 8))
+    assert max(len(p[0]) for p in parts) <= 2_000 and sum(len(p[0]) for p in parts) == 402 * 401 // 2
+
+
 def test_lines_of_tables(spark, small):
     docs = table(spark, small, "documents")
     rows = [tuple(r) for r in docs.select("doc_id", "text").orderBy("doc_id").collect()]

@@ -8,14 +8,16 @@ The join orders a line's words by rarity and finds matches by prefixes. Rarity i
 of the same hash bucket, counted over all documents in a fixed number of buckets; any total order is exact. With
 overlap a needed by two lines of n words, the first n - a + 1 words of both share one, and the first n - a + 2 share
 two. Words of few lines are keys of their own, and two frequent words make one key together, so that keys stay small as
-the corpus grows: lines that share two words share a rare one or a pair of frequent ones. Words no other line can have
-(bucket count 1) are no keys. Within a key, length, position and a bitmap of word parities discard pairs. The rest are
+the corpus grows: lines that share two words share a rare one or a pair of frequent ones. A key that still has many lines,
+as lines of one template do, is cut into blocks and each pair of blocks is a group of its own, so that no task holds or
+compares the whole key; how many blocks is estimated from a sample and only decides how work is dealt. Words no other line
+can have (bucket count 1) are no keys. Within a key, length, position and a bitmap of word parities discard pairs. The rest are
 verified with their words, which one more scan fetches for the lines concerned. A line needs one earlier match to go: it
 sends its likeliest earlier partner of each key, and all of them only where it stays although it had more, so that a
 group of near copies costs pairs in proportion to its lines.
 
 Shuffled are a few numbers per line and per key, and once the texts, to bring each its removed lines. Hot lines (copies)
-are one set for the join, each task sends a set once, and joins that meet hot keys can be split at run time.
+are one set for the join, and each task sends a set once.
 
 Cases: a null text stays null; empty texts and lines without words stay as they are. Documents equal in id and text are
 one: each row gets the same result. Null ids come first. ``deduplicated`` keeps every row and column, with ``text``
@@ -45,6 +47,15 @@ BUCKET_BITS = 18
 FREQUENT = 1_000
 """A word of more lines makes keys only together with another frequent word."""
 
+BLOCK = 8_192
+"""About this many lines of one key are compared in one group, or twice as many where two blocks of a key meet."""
+
+SAMPLE = 16
+"""Key sizes are estimated from one document in so many; they decide the number of blocks only."""
+
+KEY_ROWS = 500_000
+"""Keys of frequent words are handed on in slices of about this many, however long a line is."""
+
 FILTER_BITS = 26
 """Size of the bit filter by which the second scan knows lines to verify; a full filter only lets more through."""
 
@@ -132,7 +143,7 @@ def _survey_step(schema: pa.Schema):
 
 
 def _keys_of(sizes, hashes, counts, order_of, frequent):
-    """Join keys of lines given by their sizes and word hashes: line, key (32 bits) and position in the line."""
+    """Join keys of lines given by their sizes and word hashes: line, key (32 bits) and position in the line, in slices."""
     line = np.repeat(np.arange(len(sizes)), sizes)
     bucket = (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
     # Rarest first, then by hash; hashes come sorted within a line, so a stable sort keeps that order.
@@ -146,8 +157,9 @@ def _keys_of(sizes, hashes, counts, order_of, frequent):
     # so is every other one they share, and a second one is within the longer prefix.
     rare = (place < (prefix - 1)[line]) & (count <= frequent) & (count > 1)
     short = (hashes >> np.uint64(32)).astype(np.int64)
-    lines, keys, places = [line[rare]], [short[rare]], [place[rare]]
+    yield line[rare], short[rare], place[rare]
     often = np.flatnonzero((place < prefix[line]) & (count > frequent))
+    lines, keys, places, made = [], [], [], 0
     gap = 1
     while len(often):
         a, b = often[:-gap], often[gap:]
@@ -159,8 +171,13 @@ def _keys_of(sizes, hashes, counts, order_of, frequent):
         lines.append(line[a])
         keys.append((both >> np.uint64(32)).astype(np.int64))
         places.append(place[a])
+        made += len(a)
+        if made >= KEY_ROWS:
+            yield np.concatenate(lines), np.concatenate(keys), np.concatenate(places)
+            lines, keys, places, made = [], [], [], 0
         gap += 1
-    return np.concatenate(lines), np.concatenate(keys), np.concatenate(places)
+    if made:
+        yield np.concatenate(lines), np.concatenate(keys), np.concatenate(places)
 
 
 INDEX = ["key", "line", "doc", "number", "low", "high"]
@@ -212,13 +229,13 @@ def _index_step(counts: np.ndarray, frequent: int):
                 if not sizes:
                     continue
                 size, hashes = np.array(sizes, np.int64), np.frombuffer(b"".join(flat), np.uint64)
-                line, key, place = _keys_of(size, hashes, counts, order_of, frequent)
                 low, high = _parities(hashes, size)
-                # Sizes and positions beyond 16 bits are cut there, which only lets more pairs through.
-                tail = (np.minimum(size[line], 0xFFFF) << 16) | np.minimum(place, 0xFFFF)
-                where = np.array(at, np.int64)[line]
-                columns = [(key << 32) | tail, np.array(ones, np.int64)[line], *where.T, low[line], high[line]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=INDEX)
+                for line, key, place in _keys_of(size, hashes, counts, order_of, frequent):
+                    # Sizes and positions beyond 16 bits are cut there, which only lets more pairs through.
+                    tail = (np.minimum(size[line], 0xFFFF) << 16) | np.minimum(place, 0xFFFF)
+                    where = np.array(at, np.int64)[line]
+                    columns = [(key << 32) | tail, np.array(ones, np.int64)[line], *where.T, low[line], high[line]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=INDEX)
 
     return step
 
@@ -390,9 +407,10 @@ def removed_lines(documents: DataFrame, frequent: int = FREQUENT, few: int = FEW
     first = written(first, "first")
 
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc")
-    index = keyed.select("text", doc).mapInArrow(
+    indexed = lambda d: d.select("text", doc).mapInArrow(
         tidy(_index_step(counts, frequent)), "key long, line long, doc long, number long, low long, high long"
     )
+    index = _in_blocks(indexed(keyed), indexed(keyed.where(F.pmod(F.xxhash64("text_key"), F.lit(SAMPLE)) == 0)))
     short = F.shiftright("key", 32)
     dealt = index.repartition(short).sortWithinPartitions("key")
     found = written(dealt.mapInArrow(tidy(_pair_step(False, few)), PAIRS), "pairs")
@@ -412,6 +430,29 @@ def removed_lines(documents: DataFrame, frequent: int = FREQUENT, few: int = FEW
     return repeats.unionByName(later).distinct()
 
 
+def _in_blocks(index: DataFrame, sample: DataFrame) -> DataFrame:
+    """The index with each key of many lines replaced by keys of its own for each pair of blocks of these lines.
+
+    Two lines of the key meet wherever their blocks do. Keys that become equal by their 32 bits only compare more lines.
+    """
+    short = F.shiftright("key", 32)
+    hot = (
+        sample.groupBy(short.alias("hot"))
+        .agg(F.ceil(F.count(F.lit(1)) * SAMPLE / BLOCK).cast("long").alias("blocks"))
+        .where("blocks > 1")
+    )
+    rows = index.join(written(hot, "hot"), short == F.col("hot"), "left")
+    own = F.pmod(F.xxhash64("line", F.lit(1)), F.col("blocks"))
+    dealt = F.transform(
+        F.filter(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: j != own),
+        lambda j: F.shiftleft(F.hash("hot", F.least(own, j), F.greatest(own, j)).cast("long"), 32).bitwiseOR(
+            F.col("key").bitwiseAND(F.lit(0xFFFFFFFF))
+        ),
+    )
+    keys = F.when(F.col("blocks").isNull(), F.array("key")).otherwise(dealt)
+    return rows.select(F.explode(keys).alias("key"), *INDEX[1:])
+
+
 def _gone(keyed: DataFrame, found: DataFrame, first: DataFrame) -> DataFrame:
     """``line, first`` of lines that a different, earlier line matches, among the pairs found."""
     pairs = written(found.groupBy("a", "b").agg(F.min("differ").alias("differ")), "pairs")
