@@ -1,5 +1,6 @@
 import hashlib
 import re
+import textwrap
 
 import numpy as np
 import pytest
@@ -211,6 +212,50 @@ def test_licences(spark, odd, none):
     assert {tuple(r.licences) for r in licenses.recognise(docs, sentences.limit(0), rules).collect()} == {()}
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
+BSD = """All rights reserved.
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."""
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."""
+
+
+def wrapped(text, sign=""):
+    lines = [x for p in text.split("\n\n") for x in [*textwrap.wrap(p, 70 - len(sign)), ""]]
+    return "\n".join((sign + x).rstrip() for x in lines)
+
+
+def test_wrapped_headers(spark):
+    texts = {"MIT": MIT, "Apache-2.0": APACHE, "BSD-3-Clause": BSD, "GPL-3.0-or-later": GPL}
+    want = {}
+    for licence, text in texts.items():
+        # A line before the header that is no sentence, as a file's title or its copyright line.
+        for own in (text, wrapped(text), wrapped(text, "# "), "Copyright (c) 2020 Some One\n" + wrapped(text, " * ")):
+            want[len(want)] = (own, [licence])
+    for own in ("Some title\nThis work is licensed under the GNU General Public\nLicense, version 3.",):
+        want[len(want)] = (own, ["GPL-3.0"])
+    want[len(want)] = ("Released under the MIT License\n" * 3_000 + "\n" * 50_000, ["MIT"])
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in want.items()], "doc_id long, text string")
+    got = licenses.recognise(docs, licenses.sentence_frame(spark), licenses.rule_frame(spark)).collect()
+    assert {r.doc_id: r.licences for r in got} == {k: v for k, (_, v) in want.items()}
+
+
 def test_ordered_rules(spark):
     sentences = spark.createDataFrame([("a", "A one."), ("b", "B two."), ("a2", "a ONE")], "sentence_id string, text string")
     rules = licenses.rule_frame(spark, [("AB", ("a", "b")), ("A", ("a",)), ("BA", ("b", "a2")), ("none", ("zz",)), ("e", ())])

@@ -1,7 +1,8 @@
 """Licence recognition by sentences: known sentences in the order a rule asks for.
 
-Texts are cut into sentences, each is normalised (lower case, runs of other than letters and digits to one space) and
-looked up among known licence sentences by an equi-join. A document's identifiers in text order are then matched
+Texts are cut into sentences, which are normalised (lower case, runs of other than letters and digits to one space) and
+looked up among known licence sentences by an equi-join. A sentence may be wrapped over lines, also behind comment signs:
+looked up are each of its lines and what it says from any of its lines to its end. A document's identifiers in text order are then matched
 against the rules, each an ordered list of sentence identifiers; a rule holds where its identifiers occur one right
 after the other. A licence's rule names the licence found; a rule whose match lies inside that of a longer rule is
 dropped, so that the shorter one does not stand beside the licence it is part of.
@@ -34,6 +35,93 @@ SENTENCES = (
     ("cc-by-4.0-licensed", "Licensed under CC BY 4.0."),
     ("cc-by-sa-4.0-licensed", "Licensed under CC BY-SA 4.0."),
     ("all-rights-reserved", "All rights reserved."),
+    (
+        "mit-grant",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
+        "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
+        "to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+    ),
+    (
+        "mit-copies",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions "
+        "of the Software.",
+    ),
+    (
+        "mit-as-is",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO '
+        "THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+    ),
+    (
+        "mit-liability",
+        "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER "
+        "IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE "
+        "OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    (
+        "apache-2.0-header",
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance '
+        "with the License.",
+    ),
+    ("apache-2.0-obtain", "You may obtain a copy of the License at"),
+    (
+        "apache-2.0-as-is",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed "
+        'on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
+    ),
+    (
+        "apache-2.0-see",
+        "See the License for the specific language governing permissions and limitations under the License.",
+    ),
+    (
+        "bsd-conditions",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met:",
+    ),
+    (
+        "bsd-source",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+        "disclaimer.",
+    ),
+    (
+        "bsd-binary",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+        "following disclaimer in the documentation and/or other materials provided with the distribution.",
+    ),
+    (
+        "bsd-names",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+        "products derived from this software without specific prior written permission.",
+    ),
+    (
+        "bsd-as-is",
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+        "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+        "DISCLAIMED.",
+    ),
+    (
+        "isc-permission",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    (
+        "mpl-2.0-copy",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    ),
+    *(
+        (
+            f"{name}-{version}.0-or-later",
+            f"This {what} is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {kind} "
+            f"License as published by the Free Software Foundation, either version {version} of the License, or (at your "
+            "option) any later version.",
+        )
+        for name, kind, what, mark, version in (
+            ("gpl", "General Public", "program", ":", 3),
+            ("gpl", "General Public", "program", ";", 2),
+            ("lgpl", "Lesser General Public", "library", ":", 3),
+            ("agpl", "Affero General Public", "program", ":", 3),
+        )
+    ),
 )
 RULES = (
     ("MIT", ("mit-released",)),
@@ -45,6 +133,22 @@ RULES = (
     ("CC-BY-4.0", ("cc-by-4.0-licensed",)),
     ("CC-BY-SA-4.0", ("cc-by-sa-4.0-licensed",)),
     ("proprietary", ("all-rights-reserved",)),
+    ("MIT", ("mit-grant", "mit-copies")),
+    ("MIT", ("mit-grant", "mit-copies", "mit-as-is", "mit-liability")),
+    ("MIT", ("all-rights-reserved", "mit-grant", "mit-copies")),
+    ("Apache-2.0", ("apache-2.0-header",)),
+    ("Apache-2.0", ("apache-2.0-header", "apache-2.0-obtain", "apache-2.0-as-is", "apache-2.0-see")),
+    ("BSD-2-Clause", ("bsd-conditions", "bsd-source", "bsd-binary", "bsd-as-is")),
+    ("BSD-2-Clause", ("all-rights-reserved", "bsd-conditions", "bsd-source", "bsd-binary", "bsd-as-is")),
+    ("BSD-3-Clause", ("bsd-conditions", "bsd-source", "bsd-binary", "bsd-names", "bsd-as-is")),
+    ("BSD-3-Clause", ("all-rights-reserved", "bsd-conditions", "bsd-source", "bsd-binary", "bsd-names", "bsd-as-is")),
+    ("ISC", ("isc-permission",)),
+    ("MPL-2.0", ("mpl-2.0-copy",)),
+    ("GPL", ("gpl-free-software",)),
+    ("GPL-3.0-or-later", ("gpl-3.0-or-later",)),
+    ("GPL-2.0-or-later", ("gpl-2.0-or-later",)),
+    ("LGPL-3.0-or-later", ("lgpl-3.0-or-later",)),
+    ("AGPL-3.0-or-later", ("agpl-3.0-or-later",)),
 )
 
 
@@ -62,8 +166,34 @@ def normalised(sentence: Column) -> Column:
 
 
 def sentences_of(text: Column) -> Column:
-    """Sentences end at a line's end or after ``.``, ``!`` or ``?`` before white space."""
-    return F.split(text, r"\n+|(?<=[.!?])\s+")
+    """Sentences end at a line without letters or digits, or after ``.``, ``!`` or ``?`` before white space."""
+    return F.split(text, r"\n[^\p{L}\p{N}\n]*+(?=\n)|(?<=[.!?])\s+")
+
+
+def spoken_in(sentence: Column, longest: int) -> Column:
+    """``line, lines, spoken`` of what a sentence may say, normalised: each of its lines, and what it says from a line to
+    its end, where that is at most ``longest`` characters."""
+    lines = F.filter(F.transform(F.split(sentence, r"\n"), normalised), lambda x: x != "")
+    alone = F.transform(
+        lines, lambda x, i: F.struct(i.alias("line"), F.lit(1).alias("lines"), x.alias("spoken"))
+    )
+    # From the last line on; a line has a character and a space at least, which bounds how many are looked at.
+    count = F.size(lines)
+    tail = F.reverse(F.slice(lines, F.greatest(count - longest // 2, F.lit(1)), longest // 2 + 1))
+    kind = "array<struct<line:int,lines:int,spoken:string>>"
+    start = F.struct(F.lit("").alias("said"), F.lit(0).alias("n"), F.array().cast(kind).alias("out"))
+
+    def add(state: Column, line: Column) -> Column:
+        fits = F.length(state["said"]) <= longest
+        said = F.when(fits, F.trim(F.concat_ws(" ", line, state["said"]))).otherwise(state["said"])
+        n = state["n"] + 1
+        more = fits & (n > 1) & (F.length(said) <= longest)
+        one = F.struct((count - n).alias("line"), n.alias("lines"), said.alias("spoken"))
+        out = F.when(more, F.concat(state["out"], F.array(one).cast(kind))).otherwise(state["out"])
+        return F.struct(said.alias("said"), n.alias("n"), out.alias("out"))
+
+    joined = F.when(count > 1, F.aggregate(tail, start, add, lambda s: s["out"])).otherwise(F.array().cast(kind))
+    return F.concat(alone.cast(kind), joined)
 
 
 def recognise(documents: DataFrame, sentences: DataFrame, rules: DataFrame) -> DataFrame:
@@ -76,14 +206,27 @@ def recognise(documents: DataFrame, sentences: DataFrame, rules: DataFrame) -> D
     )
     # Written, so that its measured size decides whether it is sent to all tasks or the sentences are dealt.
     known = written(known, "sentences")
+    longest = known.agg(F.max(F.length("known"))).first()[0] or 0
     keyed = documents.select("doc_id", F.col("text"), F.xxhash64("text").alias("text_key"))
     # Equal documents are one here; each row gets the result back by its id and text key.
     cut = keyed.select("doc_id", "text_key", F.posexplode(sentences_of(F.col("text"))).alias("at", "sentence"))
-    spoken = cut.select("doc_id", "text_key", "at", normalised(F.col("sentence")).alias("spoken")).where("spoken != ''")
-    found = (
+    spoken = cut.select("doc_id", "text_key", "at", F.explode(spoken_in(F.col("sentence"), longest)).alias("s"))
+    spoken = spoken.select("doc_id", "text_key", "at", "s.*")
+    matched = (
         spoken.join(known, (F.xxhash64("spoken") == F.col("code")) & (F.col("spoken") == F.col("known")))
-        .groupBy("doc_id", "text_key", "at")
+        .groupBy("doc_id", "text_key", "at", "line", "lines")
         .agg(F.first("ids").alias("ids"))
+    )
+    # Of what is said in several lines the longest counts, and no single line inside it.
+    said = F.struct("line", "lines", "ids")
+    found = (
+        matched.groupBy("doc_id", "text_key", "at")
+        .agg(F.sort_array(F.collect_list(said)).alias("said"), F.min(F.when(F.col("lines") > 1, F.col("line"))).alias("whole"))
+        .withColumn(
+            "said",
+            F.expr("filter(said, s -> whole is null or s.line < whole or (s.line = whole and s.lines > 1))"),
+        )
+        .select("doc_id", "text_key", F.explode("said").alias("s"), F.struct("at", "s.line").alias("at"), F.col("s.ids").alias("ids"))
         .groupBy("doc_id", "text_key")
         .agg(F.sort_array(F.collect_list(F.struct("at", "ids"))).alias("seen"))
         .withColumn("order", F.transform("seen", lambda s: s["ids"]))
