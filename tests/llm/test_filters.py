@@ -63,6 +63,37 @@ def test_decontamination_of_odd_documents(spark, odd, none, block_bytes):
     assert not any(r.contaminated for r in decontaminate.report(odd, items.limit(0)).collect())
 
 
+def longest_by_force(text, items, window=10):
+    """Words, place and item of the longest match that holds a window, then the first, then the least item."""
+    w, best = words(text), None
+    for item_id, item in items:
+        v = words(item)
+        for i in range(len(w)):
+            for j in range(len(v)):
+                n = 0
+                while i + n < len(w) and j + n < len(v) and w[i + n] == v[j + n]:
+                    n += 1
+                if n >= min(window, len(v)):
+                    key = (-n, i, item_id is None, item_id or "")
+                    best = key if best is None else min(best, key)
+    return None if best is None else (-best[0], best[1], best[3] or None)
+
+
+@pytest.mark.parametrize("block_bytes", [150, 1 << 24])
+def test_longest_match_of_every_copy(spark, block_bytes):
+    rng = np.random.default_rng(3)
+    item = [f"i{k}" for k in range(40)]
+    items = [("a", " ".join(item)), ("b", " ".join(item[10:])), ("c", " ".join(item[:30])), ("s", "i3 i4")]
+    texts = [" ".join(["x", *item[5:25], "y"])] * 6 + [" ".join(item[12:30]), "none of these", "i3 i4 i5", None]
+    for _ in range(10):
+        a, n = rng.integers(0, 30), rng.integers(3, 25)
+        texts.append(" ".join(["z", *item[a : a + n], "i1", *item[a : a + n - 2]]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = decontaminate.contamination(docs, spark.createDataFrame(items, "item_id string, text string"), block_bytes=block_bytes)
+    got = {r.doc_id: r.longest and (r.longest.words, r.longest.doc_at, r.longest.item_id) for r in found.collect()}
+    assert got == {k: longest_by_force(t, items) for k, t in enumerate(texts)}
+
+
 def test_removal_keeps_columns_and_clean_rows(spark, odd):
     items = spark.createDataFrame([(1, ITEMS[0][1])], "item_id long, text string")
     kept = decontaminate.remove_contaminated(odd, items)

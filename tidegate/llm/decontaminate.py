@@ -2,7 +2,7 @@
 
 The corpus is cut into shards of whole documents. Each task builds the word suffix array of its shard and finds every
 suffix of every benchmark item in it by binary search, word by word: the interval at the window's length gives all
-occurrences of the window, and the deepest non-empty interval gives the longest verbatim match and its place.
+occurrences of the window, and the deepest interval that holds a document's suffix gives its longest verbatim match.
 
 Two reductions lose nothing. Words that no item has end a suffix, as nothing matches across them. A suffix with fewer
 words before such an end than the shortest window is left out. Suffixes are ordered to the longest item's length.
@@ -53,7 +53,8 @@ class Block:
         windows: dict[tuple[int, ...], set[str]] = {}
         texts, starts, self.item_of = [], [], []
         size = 0
-        for item_id, text in items:
+        # By id, null last: of equal matches the first item is named.
+        for item_id, text in sorted(items, key=lambda x: (x[0] is None, x[0] or "", x[1] or b"")):
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary)) for w in words_of(text)]
             if not ids:
                 continue
@@ -72,6 +73,8 @@ class Block:
         self.least = int(self.window_sizes.min()) if windows else 0
         pairs = [(i, s + k, n - k) for i, (s, n) in enumerate(starts) for k in range(n - self.least + 1)]
         self.suffixes = np.array(pairs, np.int64).reshape(-1, 3)
+        # What a match of each suffix needs to hold a window of its item.
+        self.wanted = np.minimum(window, np.array([n for _, n in starts], np.int64))[self.suffixes[:, 0]]
         self.depth = max((n for _, n in starts), default=0)
 
 
@@ -150,7 +153,13 @@ def _narrow(text, array, low, high, depth, wanted):
 
 
 def search(text: np.ndarray, array: np.ndarray, block: Block):
-    """Occurrences of windows as ``(start, window)`` and, per item suffix, its longest match ``(length, start)``."""
+    """Occurrences of windows as ``(start, window)``, and per suffix of the text its longest match ``(length, start)``."""
+    found, window = windows_in(text, array, block)
+    return found, window, longest_in(text, array, block)[0], array
+
+
+def windows_in(text: np.ndarray, array: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Start and window of every occurrence."""
     count = len(block.window_sizes)
     low, high = np.zeros(count, np.int64), np.full(count, len(array), np.int64)
     for depth in range(block.window_words.shape[1]):
@@ -162,21 +171,31 @@ def search(text: np.ndarray, array: np.ndarray, block: Block):
     window = np.repeat(np.arange(count), sizes)
     offset = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     found = array[np.repeat(low, sizes) + offset]
-    # Longest matches, only needed where some window occurs at all.
+    return found, window
+
+
+def longest_in(text: np.ndarray, array: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray]:
+    """Per suffix in ``array`` the length of its longest match that holds a window, and the item suffix it matches.
+
+    Intervals of one depth are equal or apart, so each place is set once a depth, from the first of equal ones.
+    """
+    length, suffix = np.zeros(len(array), np.int64), np.full(len(array), -1, np.int64)
     total = len(block.suffixes)
-    length, place = np.zeros(total, np.int64), np.zeros(total, np.int64)
-    if len(found):
-        low, high = np.zeros(total, np.int64), np.full(total, len(array), np.int64)
-        live, depth = np.arange(total), 0
-        while len(live):
-            live = live[depth < block.suffixes[live, 2]]
-            a, b = _narrow(text, array, low[live], high[live], depth, block.words[block.suffixes[live, 1] + depth])
-            keep = a < b
-            live = live[keep]
-            low[live], high[live] = a[keep], b[keep]
-            depth += 1
-            length[live], place[live] = depth, array[low[live]]
-    return found, window, length, place
+    low, high = np.zeros(total, np.int64), np.full(total, len(array), np.int64)
+    live, depth = np.arange(total), 0
+    while len(live):
+        live = live[depth < block.suffixes[live, 2]]
+        a, b = _narrow(text, array, low[live], high[live], depth, block.words[block.suffixes[live, 1] + depth])
+        keep = a < b
+        live = live[keep]
+        low[live], high[live] = a[keep], b[keep]
+        depth += 1
+        enough = live[depth >= block.wanted[live]]
+        begin, first = np.unique(low[enough], return_index=True)
+        sizes = high[enough[first]] - begin
+        places = np.repeat(begin, sizes) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        length[places], suffix[places] = depth, np.repeat(enough[first], sizes)
+    return length, suffix
 
 
 def _matcher(block: Block, schema: pa.Schema):
@@ -207,7 +226,7 @@ def _found(batch, text, sizes, block, schema) -> pa.RecordBatch:
     longest = column_of(batch, "longest").to_pylist()
     array = suffix_array(text, block.least, block.depth, len(block.vocabulary)) if block.least else np.array([], int)
     if len(array):
-        found, window, length, place = search(text, array, block)
+        found, window = windows_in(text, array, block)
         if len(found):
             mark = np.zeros(len(text) + 1, np.int64)
             np.add.at(mark, found, 1)
@@ -224,17 +243,20 @@ def _found(batch, text, sizes, block, schema) -> pa.RecordBatch:
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], (old | covered[a:b]).astype(np.int8), [0]])))
                 hits[doc] = edge.reshape(-1, 2).tolist()
                 items[doc] = sorted(set(items[doc] or []).union(*(block.owners[w] for w in np.unique(own))))
-            # The longest match of each document among those the search located.
+            # Of each document's matches the longest, then the first; of several blocks' also the least item.
+            length, suffix = longest_in(text, array, block)
             good = np.flatnonzero(length)
-            docs = np.searchsorted(begins, place[good], "right") - 1
-            for i in np.lexsort((-length[good], docs)):
-                doc, suffix = docs[i], good[i]
-                if not longest[doc] or longest[doc]["words"] < length[suffix]:
-                    longest[doc] = {
-                        "words": int(length[suffix]),
-                        "doc_at": int(place[suffix] - begins[doc]),
-                        "item_id": block.item_of[block.suffixes[suffix, 0]],
-                    }
+            docs = np.searchsorted(begins, array[good], "right") - 1
+            good = good[np.lexsort((array[good], -length[good], docs))]
+            docs, first = np.unique(np.searchsorted(begins, array[good], "right") - 1, return_index=True)
+            for doc, i in zip(docs, good[first], strict=True):
+                one = {
+                    "words": int(length[i]),
+                    "doc_at": int(array[i] - begins[doc]),
+                    "item_id": block.item_of[block.suffixes[suffix[i], 0]],
+                }
+                if not longest[doc] or _rank(one) < _rank(longest[doc]):
+                    longest[doc] = one
     data = {f: column_of(batch, f) for f in schema.names}
     data |= {
         "n_words": pa.array(sizes, pa.int64()),
@@ -245,6 +267,10 @@ def _found(batch, text, sizes, block, schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([data[n].cast(schema.field(n).type) for n in schema.names], schema=schema)
 
 
+def _rank(match: dict) -> tuple:
+    return -match["words"], match["doc_at"], match["item_id"] is None, match["item_id"] or ""
+
+
 def blocks_of(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[Block]:
     """The items in blocks of about ``block_bytes``, one on the driver at a time."""
     total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -267,8 +293,8 @@ def contamination(
 ) -> DataFrame:
     """Columns of the documents (all unless named) with ``n_words``, ``hits``, ``items`` and ``longest``.
 
-    ``hits`` are word ranges, ``items`` ids as strings; ``longest`` is the longest match among those that the item
-    suffixes located first in the shard, with its word offset. Columns of these names in the documents are replaced.
+    ``hits`` are word ranges, ``items`` ids as strings; ``longest`` is each document's longest match that
+    holds a window, with its word offset and item; of equal ones the first in the document, then the least item id. Columns of these names in the documents are replaced.
     """
     ship(documents.sparkSession)
     columns = [c for c in columns or documents.columns if c not in ADDED]
