@@ -210,6 +210,21 @@ def test_added_spans_and_redaction(spark):
     assert {r.doc_id: r.text for r in pii.redacted(one).collect()} == {1: "mail [email] now", 2: None}
 
 
+def test_overlapping_spans_and_short_addresses_are_kept(spark):
+    texts = ["password=bob@site.org#Secret99x", "host 2001:db8::1 and ::1, fe80:: or dead::beef.", "std::vector a :: b ::", "1:2:3:4:5::6:7:8:9"]
+    docs = spark.createDataFrame(list(enumerate(texts * 5)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in pii.report(docs).collect()}
+    assert got[0] == "email:9:21,secret:0:31"
+    assert got[1] == "ip:5:16,ip:21:24,ip:26:32,ip:36:46"
+    assert got[2] == ""
+    assert {r.doc_id: r.text for r in pii.redacted(docs).collect()}[0] == "[secret]"
+    # A better one overlaps B, B overlaps C: all stay. D lies within B, E has the range of A.
+    spans = [("a", 0, 10, 3.0), ("b", 8, 20, 2.0), ("c", 18, 30, 1.0), ("d", 9, 12, 9.0), ("e", 0, 10, 2.5)]
+    kind = "chosen array<struct<kind:string,start:int,stop:int,score:double>>"
+    kept = spark.createDataFrame([(spans,)], kind).select(pii.outermost("chosen").alias("x")).first().x
+    assert [r.kind for r in kept] == ["a", "b", "c"]
+
+
 def test_trees_learn_and_thresholds_hold():
     rows = [((k, a, b), 100, 100 * (a > 1 and b == 1)) for k in range(3) for a in range(4) for b in range(2)]
     trees = pii.boosted(rows)

@@ -12,8 +12,8 @@ not features, so the trees judge by form and context. All work on rows is DataFr
 or bounded, so that long runs of matching characters cost linear time and no stack.
 
 Cases: a null text is empty and has no spans. Repeated documents each keep their row. Offsets count code points, the
-end is exclusive. Without candidates nothing is added. A selected candidate that overlaps a base span, or a better
-selected candidate (score, then length, then start, then kind), is left out. Other columns are not used. Texts are
+end is exclusive. Without candidates nothing is added. A selected candidate stays, also where it
+overlaps others, unless a base span or another selected one contains it wholly. Other columns are not used. Texts are
 always searched whole.
 """
 
@@ -37,7 +37,9 @@ BASE = {
 EXTRA = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+\s?(?:\[at\]|\(at\))\s?[A-Za-z0-9-]{1,63}+"
     r"(?:\s?(?:\[dot\]|\(dot\)|\.)\s?[A-Za-z0-9-]{1,63}+){1,8}+",
-    "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}+:){7}[0-9A-Fa-f]{1,4}+(?![0-9A-Fa-f:])",
+    "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}+:){7}[0-9A-Fa-f]{1,4}+(?![0-9A-Fa-f:])"
+    r"|(?<![\w:.])(?=:{0,2}+[0-9A-Fa-f])(?:[0-9A-Fa-f]{1,4}+(?::[0-9A-Fa-f]{1,4}+){0,6}+)?+::"
+    r"(?:[0-9A-Fa-f]{1,4}+(?::[0-9A-Fa-f]{1,4}+){0,6}+)?+(?![\w:])",
     "card": r"(?<![0-9])[0-9]{4}(?:[\x20.-]?[0-9]{4}){2}[\x20.-]?[0-9]{1,7}+(?![0-9])",
     "phone": r"(?<![0-9+])\(?[0-9]{3}\)?[\x20.-]?[0-9]{3}[\x20.-][0-9]{4}(?![0-9])",
     "secret": r"(?i)(?<![a-z])(?:password|passwd|pwd|token|secret|api[_-]?key)[\"']?\s{0,4}+[=:]\s{0,4}+[\"']?[^\s\"']{8,}+",
@@ -115,6 +117,9 @@ def confirmed(kind: str, value: Column) -> Column:
         return digits.rlike("^[2-9][0-9]{2}[2-9][0-9]{6}$")
     if kind == "id":
         return ~value.rlike("^(000|666|9)|-00-|-0000$")
+    if kind == "ip":  # where ``::`` stands for groups, at most seven are written
+        written_out = F.size(F.filter(F.split(value, ":"), lambda x: x != ""))
+        return ~value.contains("::") | (written_out <= 7)
     if kind == "secret":
         secret = F.regexp_replace(value, r"(?i)^[a-z_-]+[\"']?\s*[=:]\s*[\"']?", "")
         return (F.length(secret) >= 12) & secret.rlike("[0-9]") & secret.rlike("[A-Za-z]")
@@ -297,22 +302,13 @@ def spans(documents: DataFrame, precision: float = PRECISION) -> DataFrame:
     chosen = F.expr(
         f"""filter(
             transform(
-                filter(proposed, p -> not exists(base, b -> b.start < p.stop and p.start < b.stop)),
+                filter(proposed, p -> not exists(base, b -> b.start <= p.start and p.stop <= b.stop)),
                 p -> named_struct('kind', p.kind, 'start', p.start, 'stop', p.stop, 'score', {score})
             ),
             p -> p.score >= {f"case p.kind{limit} else double('inf') end" if limit else "double('inf')"}
         )"""
     )
-    better = (
-        "q.start < p.stop and p.start < q.stop and "
-        "struct(q.score, q.stop - q.start, -q.start, q.kind) > struct(p.score, p.stop - p.start, -p.start, p.kind)"
-    )
-    added = F.expr(
-        f"""transform(
-            filter(chosen, p -> not exists(chosen, q -> {better})),
-            p -> named_struct('kind', p.kind, 'start', p.start, 'stop', p.stop)
-        )"""
-    )
+    added = outermost("chosen")
     return (
         found.where("size(proposed) > 0")
         .withColumn("chosen", chosen)
@@ -321,6 +317,20 @@ def spans(documents: DataFrame, precision: float = PRECISION) -> DataFrame:
     )
 
 
+def outermost(chosen: str) -> Column:
+    """The spans that no other one contains wholly; of equal ranges the best (score, then kind). Such a one is kept."""
+    around = (
+        "q.start <= p.start and p.stop <= q.stop and "
+        "struct(q.stop - q.start, q.score, q.kind) > struct(p.stop - p.start, p.score, p.kind)"
+    )
+    return F.expr(
+        f"""transform(
+            filter({chosen}, p -> not exists({chosen}, q -> {around})),
+            p -> named_struct('kind', p.kind, 'start', p.start, 'stop', p.stop)
+        )"""
+    )
+
+
 def redacted(documents: DataFrame, mark: str = "[{}]", precision: float = PRECISION) -> DataFrame:
     """``doc_id`` and ``text`` with each span replaced by its kind; null texts stay null."""
     whole = documents.select(F.struct(F.col("doc_id").alias("id"), "text").alias("doc_id"), "text")
