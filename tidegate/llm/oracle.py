@@ -97,4 +97,45 @@ ORACLE = {
         SELECT q.page_id, q.host, q.path, r.rule, coalesce(r.verdict, 'allow') AS verdict
         FROM parsed q LEFT JOIN ranked r ON q.page_id = r.page_id AND r.n = 1
     """,
+    "op11_warc": """
+        WITH sized AS (
+            SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages
+        ), hashed AS (
+            SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest FROM sized
+        ), firsts AS (
+            SELECT payload_digest, min(page_id) AS first FROM hashed WHERE payload_bytes >= 100 GROUP BY payload_digest
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to
+        FROM hashed LEFT JOIN firsts USING (payload_digest)
+    """,
+    "op12_ranked_search": r"""
+        WITH doc_terms AS (
+            SELECT nr AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+            FROM (SELECT *, row_number() OVER () AS nr FROM documents) s
+        ), item_terms AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark WHERE item_id IS NOT NULL
+        ), totals AS (
+            SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM doc_terms WHERE len(w) > 0
+        ), counts AS (
+            SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM doc_terms) s
+            WHERE term IN (SELECT term FROM item_terms) GROUP BY ALL
+        ), weights AS (
+            SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM counts, totals GROUP BY term
+        ), measured AS (
+            SELECT r, doc_id, 100 - 50 + ((50 * len(w) * n_docs) // n_terms) AS m FROM doc_terms, totals WHERE len(w) > 0
+        ), scored AS (
+            SELECT i.item_id, d.doc_id, d.r, CAST(sum(v.w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+            FROM counts c JOIN weights v USING (term) JOIN item_terms i USING (term) JOIN measured d USING (r)
+            GROUP BY ALL
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS n FROM scored WHERE score > 0
+        )
+        SELECT item_id, CAST(n AS INTEGER) AS rank, doc_id, score FROM ranked WHERE n <= 50
+    """,
 }

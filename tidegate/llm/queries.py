@@ -7,11 +7,26 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import bpe, decontaminate, licenses, line_dedup, pii, quality, simhash, token_files, topk, url_filter
+from tidegate.llm import (
+    alignment,
+    bpe,
+    decontaminate,
+    licenses,
+    line_dedup,
+    pii,
+    quality,
+    ranked,
+    simhash,
+    token_files,
+    topk,
+    url_filter,
+    warc,
+)
 from tidegate.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k_search": lambda s, d: topk.report(table(s, d, "embeddings")),
@@ -26,4 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_license_scans": lambda s, d: licenses.report(
         table(s, d, "documents"), licenses.sentence_frame(s), licenses.rule_frame(s)
     ),
+    "op11_warc": lambda s, d: warc.report(table(s, d, "pages")),
+    "op12_ranked_search": lambda s, d: ranked.search(table(s, d, "documents"), table(s, d, "benchmark")),
+    "op13_alignment": lambda s, d: alignment.report(table(s, d, "documents"), BYTE_BPE, PIECE_BPE),
 }
