@@ -13,9 +13,7 @@ the links are found by comparison, and only a spanning set of them is handed on.
 into blocks and each pair of blocks is a group of its own; how many blocks only decides how work is dealt. Groups of
 documents are the connected components of these links.
 
-``one_of_each_group`` removes near-duplicates: documents whose sets of five-word shingles have a Jaccard similarity of
-0.8 or more. Fingerprints do not decide that: at 0.8 two of 64 bits differ in 9.7 bits on average, so any radius misses
-pairs above and links pairs below. ``shingle_join`` finds all these pairs exactly.
+``one_of_each_group`` keeps one document of each component, by the same fingerprints and radius.
 
 Cases: a null text is empty; a text without words has fingerprint zero and links like any other. One of fewer words
 than a shingle has is one shingle. Null document ids never name a group, unless it has no other (then null). Repeated
@@ -262,12 +260,9 @@ def report(documents: DataFrame, size: int = 3, radius: int = RADIUS) -> DataFra
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def one_of_each_group(documents: DataFrame, size: int = 5) -> DataFrame:
-    """The documents with one of each group of near-duplicates."""
-    from tidegate.llm import shingle_join  # which uses this module's shingles
-
-    nodes = written(shingle_join.nodes(documents, size), "nodes")
-    distinct = written(nodes.groupBy("node").agg(F.min("doc_id").alias("first")), "distinct")
-    found = named(nodes, distinct, shingle_join.components(documents, size))
-    kept = written(found.where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct(), "kept")
-    return documents.join(kept, F.expr("doc_id <=> kept_id"), "left_semi")
+def one_of_each_group(documents: DataFrame, size: int = 3, radius: int = RADIUS) -> DataFrame:
+    """The documents with one of each group: that of the smallest id."""
+    found = grouped(fingerprints(documents, size), radius)
+    kept = written(found.where("doc_id <=> component_id").select("doc_id").distinct(), "kept")
+    same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
+    return documents.alias("d").join(kept.alias("k"), same, "left_semi")
