@@ -26,7 +26,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, the one of the smallest id."""
+    """One document of each group of linked fingerprints stays, the one of the smallest id."""
     return simhash.one_of_each_group(docs)
 
 
