@@ -232,3 +232,23 @@ def test_date_texts_against_python(spark):
         assert (row["bad_date"], row["bad_ts"], row["d"], row["ts"]) == expected, text
         kinds.add((expected[0], expected[1], moment is None))
     assert len(kinds) >= 4
+
+
+def test_date_texts_run_one_expression_and_compile(spark):
+    """However often a text's parts are used, its regular expression is in the plan once, and no code is too large."""
+    texts = spark.createDataFrame([(f"2024/1/{d} 10:1{d % 10}",) for d in range(1, 29)], "t string").repartition(2)
+    settings = {"spark.sql.codegen.fallback": "false", "spark.sql.codegen.factoryMode": "CODEGEN_ONLY"}
+    uses = (V.to_date, V.to_timestamp, lambda t: V.to_timestamp(t, True), C.bad_date, C.bad_timestamp, C.bad_time)
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        for use in uses:
+            # A filter above and two uses of the value: neither copies the expression.
+            rows = texts.select(use(F.col("t")).alias("x"), "t").where("x IS NOT NULL AND length(t) > 0")
+            rows = rows.select("x", F.col("x").cast("string").alias("y"))
+            plan = rows._jdf.queryExecution().optimizedPlan().toString()
+            assert 1 <= plan.count("regexp_replace(") <= 2, plan  # the projection's, and the filter's below it
+            rows.collect()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)

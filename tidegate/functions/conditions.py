@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidegate import fixed
-from tidegate.functions.dates import is_date, is_time_or_blank, is_timestamp
+from tidegate.functions.dates import bound, is_date, is_time_or_blank, is_timestamp
 from tidegate.functions.text import is_blank
 from tidegate.model import INT_CASTS, TargetType
 
@@ -34,15 +34,15 @@ def not_single_byte(text: Column) -> Column:
 
 
 def bad_date(text: Column) -> Column:
-    return ~is_blank(text) & ~is_date(text)
+    return bound(text, lambda t: ~is_blank(t) & ~is_date(t))
 
 
 def bad_timestamp(text: Column) -> Column:
-    return ~is_blank(text) & ~is_timestamp(text)
+    return bound(text, lambda t: ~is_blank(t) & ~is_timestamp(t))
 
 
 def bad_time(text: Column) -> Column:
-    return F.coalesce(~is_time_or_blank(text), F.lit(False))
+    return bound(text, lambda t: F.coalesce(~is_time_or_blank(t), F.lit(False)))
 
 
 def _overflows(text: Column, beyond: Column) -> Column:
