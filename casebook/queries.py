@@ -20,6 +20,7 @@ from tidegate.plans import slo, warehouse
 from tidegate.plans.load import LoadOptions, check_work, load_rows, load_table
 from tidegate.session import scratch_dir, written
 from tidegate.sinks.inventory import write_inventory_csv
+from tidegate.sinks.listed import create_listed
 from tidegate.sinks.replace import create_versioned, replace_table
 from tidegate.sinks.tables import (
     append_log,
@@ -665,7 +666,10 @@ def _target_table(spark: SparkSession, folder: str, parts: list[str]) -> str:
 
 
 def _loaded(spark: SparkSession, folder: str, parts: list[str]) -> DataFrame:
-    name = _target_table(spark, folder, parts)
+    return _load_into(spark, folder, _target_table(spark, folder, parts))
+
+
+def _load_into(spark: SparkSession, folder: str, name: str) -> DataFrame:
     changed = F.lit("2024-02-01 08:00:00").cast("timestamp_ntz")
     source = fixture(spark, folder, "work_orders").withColumn("update_date_time", changed)
     base = _folder(spark, "load")
@@ -684,6 +688,14 @@ def loaded_partitioned_table(spark, folder):
     return _loaded(spark, folder, ["o_orderstatus"])
 
 
+@query
+def loaded_listed_table(spark, folder):
+    """The same load into a target that is a list of files: only files that hold a matching key are rewritten."""
+    name = f"listed_{uuid.uuid4().hex[:12]}"
+    create_listed(_target(spark, folder), name, _folder(spark, "target"), "base", ORDERS.keys, files=16)
+    return _load_into(spark, folder, name)
+
+
 @query
 def replaced_table(spark, folder):
     """Full replacement by renaming."""

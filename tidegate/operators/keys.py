@@ -74,7 +74,7 @@ def check_duplicates(
     return checked.drop(_COUNT, *names)
 
 
-def _delete_keys(spec: LoadSpec) -> dict[str, Column]:
+def delete_keys(spec: LoadSpec) -> dict[str, Column]:
     """Typed keys of delete rows; null for all other rows."""
     is_delete = F.col("process_div") == fixed.DELETE
     return {
@@ -106,7 +106,7 @@ def _with_missing(
     broadcast_bytes: int = skew.BROADCAST_BYTES,
 ) -> tuple[DataFrame, Column, list[str]]:
     """Rows with helper columns, and the condition that a row is a delete without a target row."""
-    typed = _delete_keys(spec)
+    typed = delete_keys(spec)
     names = list(typed)
     unreadable = F.lit(False)
     for name in names:

@@ -50,6 +50,11 @@ def _applied(work: DataFrame, target: DataFrame, spec: LoadSpec, ctx: RunContext
     )
 
 
+def applied(work: DataFrame, target: DataFrame, spec: LoadSpec, ctx: RunContext) -> DataFrame:
+    """The error-free rows that a merge applies, typed as the target is; of ``target`` only the schema counts."""
+    return _applied(work, target, spec, ctx, [fixed.UPSERT, fixed.DELETE])
+
+
 def _on(keys: Sequence[str]) -> Column:
     condition = F.lit(True)
     for key in keys:
@@ -108,14 +113,14 @@ def delete_using(target: DataFrame, work: DataFrame, spec: LoadSpec, ctx: RunCon
 
 def merge_work(target: DataFrame, work: DataFrame, spec: LoadSpec, ctx: RunContext) -> DataFrame:
     """Update, insert and delete in one plan; same result as the three in turn."""
-    rows = _applied(work, target, spec, ctx, [fixed.UPSERT, fixed.DELETE])
+    rows = applied(work, target, spec, ctx)
     return _updated(target, rows, spec).unionByName(new_rows(target, work, spec, ctx))
 
 
 def touched_values(target: DataFrame, work: DataFrame, spec: LoadSpec, ctx: RunContext, part: str) -> DataFrame:
     """The values of a partition column whose partitions a merge changes: where matching target rows lie, and
     where updated and new rows go."""
-    rows = _applied(work, target, spec, ctx, [fixed.UPSERT, fixed.DELETE])
+    rows = applied(work, target, spec, ctx)
     matched = target.select(part, *spec.keys).join(rows.select(*spec.keys), spec.keys, "left_semi").select(part)
     incoming = rows.where(F.col(_DIVISION) == fixed.UPSERT).select(part)
     return matched.union(incoming).distinct()
@@ -125,7 +130,7 @@ def merge_partitions(
     target: DataFrame, work: DataFrame, spec: LoadSpec, ctx: RunContext, part: str, touched: Sequence[object]
 ) -> DataFrame:
     """The merged content of the touched partitions only. New rows are those whose key no partition holds."""
-    rows = _applied(work, target, spec, ctx, [fixed.UPSERT, fixed.DELETE])
+    rows = applied(work, target, spec, ctx)
     inside = _updated(target.where(in_values(part, touched)), rows, spec)
     return inside.unionByName(new_rows(target, work, spec, ctx))
 

@@ -13,6 +13,7 @@ from tidegate import fixed
 from tidegate.model import LoadSpec, RunContext, TargetType
 from tidegate.operators import control, keys, log, merge, rules, work
 from tidegate.session import scratch_scope, written
+from tidegate.sinks.listed import for_deletes, is_listed, merge_listed, replace_listed
 from tidegate.sinks.replace import finish_switch, partition_columns, swap_location, swap_partitions
 from tidegate.sinks.tables import append_log, truncate_and_load
 from tidegate.sources.extract import incremental_extract
@@ -178,6 +179,8 @@ def _load_table(
     # Another session may have switched the table since this one last read it.
     spark.catalog.refreshTable(target_table)
     target = spark.table(target_table)
+    if is_listed(spark, target_table) and counts["delete_num"] and options.check_delete_targets:
+        target = for_deletes(spark, target_table, staged, spec)
     checked = truncate_and_load(_flagged(staged, target, spec, options, counts), f"{folder}/checked")
     append_log(log.error_log(checked, spec, ctx), log_root, ctx, spec.table, "errors")
     summary = log.run_summary(checked, spec).first()
@@ -200,10 +203,15 @@ def _apply(
     replacing: bool,
     keep_old: bool,
 ) -> None:
-    """Put the new content in place: of the touched partitions if the target has any, else of the whole table."""
+    """Put the new content in place: of the touched files of a listed target, of the touched partitions if the target has
+    any, else of the whole table."""
     spark = checked.sparkSession
-    target = spark.table(target_table)
     version = f"{spec.target_table or spec.table}-{ctx.process_id}"
+    if is_listed(spark, target_table):
+        change = replace_listed if replacing else merge_listed
+        change(target_table, checked, spec, ctx, target_root, version, keep_old)
+        return
+    target = spark.table(target_table)
     parts = partition_columns(spark, target_table)
     if not parts or parts[0] not in spec.names:
         content = (merge.replacement_rows if replacing else merge.merge_work)(target, checked, spec, ctx)

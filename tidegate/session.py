@@ -20,6 +20,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Some hundred keys reach the files' statistics and Bloom filters one by one, not as one range.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
 }
 
 
