@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime
@@ -34,7 +35,7 @@ from tidegate.sinks.tables import (
 from tidegate.sources.catalog import discover_schemas, merge_catalog
 from tidegate.sources.extract import bounded_extract, external_scan, incremental_extract, sample_extract
 from tidegate.sources.files import file_drop_scan, land_then_load
-from tidegate.streaming.file_drop import file_drop_stream, file_reader, load_batch_as, load_drops
+from tidegate.streaming.file_drop import file_drop_stream, load_batch_as, load_drops
 
 CTX = RunContext(datetime(2024, 2, 1, 9, 0, 0), customer_id="c1", term_hours=24)
 EXTRACT_CTX = RunContext(datetime(2000, 1, 1, 12, 0, 0), customer_id="c1", term_hours=24 * 400)
@@ -617,17 +618,24 @@ def dropped_files_stream(spark, folder):
 
 @query
 def loaded_files(spark, folder):
-    """Three dropped files, each a load: orders, a file that stops as it mixes divisions, and updates of some orders."""
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    mixed = F.when(F.col("o_orderkey") % 2 == 0, "L").otherwise("U")
+    """Dropped files, each a load: all orders, one that stops as it mixes divisions, and changes by the orders' status:
+    finished ones get another customer, pending ones are deleted. Large files arrive in parts, which are loads too."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    status = F.col("o_orderstatus")
     files = (
-        orders.where("o_orderkey % 3 = 0").withColumn("process_div", F.lit("U")),
-        orders.where("o_orderkey % 5 = 0").withColumn("process_div", mixed),
-        orders.where("o_orderkey % 7 = 0").select("o_orderkey", F.col("o_custkey") + 1000000, F.lit("U")).toDF("o_orderkey", "o_custkey", "process_div"),
-    )
+        orders.select("o_orderkey", "o_custkey", F.lit("U")),
+        orders.where(status != "O").select("o_orderkey", "o_custkey", F.when(status == "F", "L").otherwise("U")),
+        orders.where(status != "O").select(
+            "o_orderkey", F.when(status == "F", F.col("o_custkey") + 1000000), F.when(status == "F", "U").otherwise("D")
+        ),
+    )
     base, name = _folder(spark, "files"), f"files_{uuid.uuid4().hex[:12]}"
     for number, rows in enumerate(files):
-        rows.coalesce(1).write.options(**CSV).csv(f"{base}/upload/{number}")
+        # Parts that hold both divisions of the second drop, and times in the order of the drops.
+        rows = rows.toDF("o_orderkey", "o_custkey", "process_div")
+        spread = rows.repartition(4, F.col("o_orderkey") % 4) if number == 1 else rows
+        spread.write.options(**CSV).csv(f"{base}/upload/{number}")
+        time.sleep(1)
     system = "create_id string, create_dtt timestamp_ntz, last_upd_id string, last_upd_dtt timestamp_ntz"
     empty = spark.createDataFrame([], f"o_orderkey bigint, o_custkey bigint, {system}")
     create_versioned(empty, name, f"{base}/target", "base")
@@ -636,9 +644,8 @@ def loaded_files(spark, folder):
     schema = StructType.fromDDL("o_orderkey string, o_custkey string, process_div string")
     options = {**CSV, "pathGlobFilter": "*.csv"}
     handle = load_batch_as(
-        spec, name, CTX, f"{base}/work", f"{base}/target", f"{base}/log", LoadOptions(), f"{base}/error",
-        file_reader(spark, schema, **options),
-    )
+        spec, name, CTX, f"{base}/work", f"{base}/target", f"{base}/log", LoadOptions(), f"{base}/error"
+    )
     stream = file_drop_stream(spark, f"{base}/upload", schema, **options)
     load_drops(stream, handle, f"{base}/seen").awaitTermination()
     spark.catalog.refreshTable(name)

@@ -14,7 +14,7 @@ from tidegate.session import scratch_scope, written
 from tidegate.sinks import replace as replace_module
 from tidegate.sinks.replace import create_versioned, finish_switch, replace_table, swap_partitions
 from tidegate.sinks.tables import read_log
-from tidegate.streaming.file_drop import file_drop_stream, file_reader, load_batch_as, load_drops
+from tidegate.streaming.file_drop import file_drop_stream, load_batch_as, load_drops
 
 NOW = datetime(2024, 2, 1, 9, 0, 0)
 CTX = RunContext(NOW, "c1", 24)
@@ -221,7 +221,7 @@ def test_each_file_is_a_load(spark, folder, files_per_batch):
         os.utime(path, (1_700_000_000 + n, 1_700_000_000 + n))
     handle = load_batch_as(
         spec, f"core.{name}", CTX, f"{folder}/work", f"{folder}/loaded", f"{folder}/log", LoadOptions(),
-        f"{folder}/error", file_reader(spark, schema, header="true"),
+        f"{folder}/error",
     )
     stream = file_drop_stream(spark, f"{folder}/upload", schema, header="true", files_per_batch=files_per_batch)
     query = load_drops(stream, handle, f"{folder}/checkpoint")

@@ -57,9 +57,10 @@ def rows_with_duplicate_key(work: DataFrame, keys: Sequence[str], **layout: int)
 
 
 def check_duplicates(
-    work: DataFrame, spec: LoadSpec, counted: DataFrame | None = None, typed: bool = True, **layout: int
+    work: DataFrame, spec: LoadSpec, counted: DataFrame | None = None, typed: bool = True, within: Sequence[str] = (),
+    **layout: int,
 ) -> DataFrame:
-    """Add the duplicate-key error to all copies.
+    """Add the duplicate-key error to all copies; ``within`` names columns that copies share besides the key.
 
     Keys compare in the spelling they convert to, so that ``1`` and ``01`` cannot both reach the target. With ``typed``
     off, no type rule keeps ill-typed keys out, and they compare as what they convert to.
@@ -67,7 +68,7 @@ def check_duplicates(
     canonical = {f"__key{i}": canonical_key(spec.column(k), typed) for i, k in enumerate(spec.keys)}
     names = list(canonical)
     marked = with_duplicate_count(
-        work.withColumns(canonical), names, None if counted is None else counted.withColumns(canonical), **layout
+        work.withColumns(canonical), [*names, *within], None if counted is None else counted.withColumns(canonical), **layout
     )
     found = F.col(_COUNT).isNotNull()
     checked = with_error_if(marked, found, DUPLICATE_AT, "Error004", None, duplicate_message(spec.key_labels))
@@ -83,8 +84,8 @@ def delete_keys(spec: LoadSpec) -> dict[str, Column]:
     }
 
 
-def _target_keys(target: DataFrame, spec: LoadSpec) -> DataFrame:
-    """Target keys in the types that work keys are compared in."""
+def target_keys(target: DataFrame, spec: LoadSpec, *kept: Column | str) -> DataFrame:
+    """Target keys in the types that work keys are compared in, and the ``kept`` columns."""
     columns = []
     for i, key in enumerate(spec.keys):
         family = spec.column(key).type.family
@@ -94,7 +95,7 @@ def _target_keys(target: DataFrame, spec: LoadSpec) -> DataFrame:
         elif family in ("float", "decimal"):
             value = value.cast("double")
         columns.append(value.alias(f"__key{i}"))
-    return target.select(*columns)
+    return target.select(*columns, *kept)
 
 
 def _with_missing(
@@ -113,7 +114,7 @@ def _with_missing(
         unreadable = unreadable | F.col(name).isNull()
     rows = work if counted is None else counted
     wanted = written(rows.withColumns(typed).groupBy(*names).agg(F.count(F.lit(1)).alias(_ALL)), "wanted")
-    present = skew.present_keys(_target_keys(target, spec), wanted.where(~unreadable), names)
+    present = skew.present_keys(target_keys(target, spec), wanted.where(~unreadable), names)
     found = wanted.join(present.withColumn(_FOUND, F.lit(True)), names, "left")
     gone = ~unreadable & F.col(_FOUND).isNull()
     lookup = found.select(*names, _ALL, F.when(gone, True).alias(_GONE)).where(

@@ -37,10 +37,10 @@ def _log_columns(ctx: RunContext, **values: Column) -> list[Column]:
     return [given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in LOG_SCHEMA.fields]
 
 
-def error_log(work: DataFrame, spec: LoadSpec, ctx: RunContext) -> DataFrame:
-    """One log row per error of a checked work frame."""
+def error_log(work: DataFrame, spec: LoadSpec, ctx: RunContext, kept: Sequence[str] = ()) -> DataFrame:
+    """One log row per error of a checked work frame, with the ``kept`` columns of its row."""
     rows = work.where(F.size(ERRORS) > 0).select(
-        key_text(spec.keys).alias("key"), F.explode(ERRORS).alias("e")
+        key_text(spec.keys).alias("key"), F.explode(ERRORS).alias("e"), *kept
     )
     level = level_of_code(F.col("e.code"))
     message = format_message(ctx, level, F.col("e.message"), F.lit(spec.table), F.col("key"))
@@ -54,14 +54,17 @@ def error_log(work: DataFrame, spec: LoadSpec, ctx: RunContext) -> DataFrame:
             item=null_if_blank(F.col("e.item")),
             occurred_key=null_if_blank(F.col("key")),
             seq=F.col("e.ordinal"),
-        )
+        ),
+        *kept,
     )
 
 
-def run_lines(spark: SparkSession, ctx: RunContext, lines: Sequence[dict]) -> DataFrame:
+def run_lines(spark: SparkSession, ctx: RunContext, lines: Sequence[dict], kept: Sequence[str] = ()) -> DataFrame:
     """Log rows of a run's own steps: dicts of ``code, message`` and any of
-    ``file, item, total, normal, error, seq``. Zero counts are kept, missing ones are null."""
+    ``file, item, total, normal, error, seq``. Zero counts are kept, missing ones are null. ``kept`` names further texts
+    of the dicts that become columns."""
     schema = "code string, message string, file string, item string, total long, normal long, error long, seq int"
+    schema += "".join(f", {name} string" for name in kept)
     names = [part.split()[0] for part in schema.split(", ")]
     rows = spark.createDataFrame([tuple(line.get(n) for n in names) for line in lines], schema)
     level = level_of_code(F.col("code"))
@@ -77,7 +80,8 @@ def run_lines(spark: SparkSession, ctx: RunContext, lines: Sequence[dict]) -> Da
             normal_num=F.col("normal"),
             error_num=F.col("error"),
             seq=F.col("seq"),
-        )
+        ),
+        *kept,
     )
 
 
@@ -103,14 +107,15 @@ def error_profile(log: DataFrame) -> DataFrame:
     return log.groupBy("level", "message_cd", "item").agg(F.count(F.lit(1)).alias("lines"))
 
 
-def run_summary(work: DataFrame, spec: LoadSpec) -> DataFrame:
-    """One row for a checked table: counts, what was done, and the two closing messages."""
-    counts = work.agg(*work_columns(), *division_columns(count_error=False))
+def run_summary(work: DataFrame, spec: LoadSpec, by: Sequence[str] = ()) -> DataFrame:
+    """One row for a checked table, or for each of its parts: counts, what was done, and the two closing messages."""
+    counts = work.groupBy(*by).agg(*work_columns(), *division_columns(count_error=False))
     action = action_text(F.col("laundering_num") > 0, F.col("update_num") > 0, F.col("delete_num") > 0)
     done = counts.withColumn("action", action)
     text = {n: F.col(f"{n}_num").cast("string") for n in ("total", "normal", "error")}
     target = spec.target_table or spec.table
     return done.select(
+        *by,
         F.lit(spec.table).alias("target_file"),
         "total_num",
         "normal_num",

@@ -22,8 +22,11 @@ from tidegate.operators.work import rows_of_division
 
 _DIVISION = "process_div"
 
+RENEW = "renew"
+"""An optional column of work rows: an upsert that takes the place of a deleted row, as a new one."""
 
-def project_typed(work: DataFrame, spec: LoadSpec, ctx: RunContext) -> DataFrame:
+
+def project_typed(work: DataFrame, spec: LoadSpec, ctx: RunContext, *kept: Column) -> DataFrame:
     """Control columns in the target's types, with fresh stamps, the division and the error flag."""
     flag = F.col("error_flg")
     now = wall_time(ctx.run_ts)
@@ -35,18 +38,21 @@ def project_typed(work: DataFrame, spec: LoadSpec, ctx: RunContext) -> DataFrame
         now.alias("last_upd_dtt"),
         F.col(_DIVISION),
         flag,
+        *kept,
     )
 
 
 def _applied(work: DataFrame, target: DataFrame, spec: LoadSpec, ctx: RunContext, divisions: Sequence[str]) -> DataFrame:
     """Error-free typed rows of some divisions, in the target's own column types."""
     rows = work.where(F.col(_DIVISION).isin(*divisions) & ~F.col("error_flg"))
-    typed = project_typed(rows, spec, ctx)
+    renewed = F.col(RENEW) if RENEW in work.columns else F.lit(False)
+    typed = project_typed(rows, spec, ctx, renewed.alias(RENEW))
     kinds = {f.name.lower(): f.dataType for f in target.schema.fields}
     return typed.select(
         *(F.col(f"`{n}`").try_cast(kinds[n.lower()]).alias(n) for n in spec.names),
         *fixed.STAMP_COLUMNS,
         _DIVISION,
+        RENEW,
     )
 
 
@@ -63,7 +69,8 @@ def _on(keys: Sequence[str]) -> Column:
 
 
 def _updated(target: DataFrame, rows: DataFrame, spec: LoadSpec) -> DataFrame:
-    """Target rows left-joined to work rows: changed where an upsert matches, dropped where a delete does."""
+    """Target rows left-joined to work rows: changed where an upsert matches, dropped where a delete does or a row that is
+    to be renewed."""
     joined = target.alias("t").join(rows.alias("w"), _on(spec.keys), "left")
     division = F.col(f"w.{_DIVISION}")
     taken = {n.lower() for n in spec.names} | set(fixed.UPDATE_COLUMNS)
@@ -73,7 +80,7 @@ def _updated(target: DataFrame, rows: DataFrame, spec: LoadSpec) -> DataFrame:
         if name.lower() in taken:
             own = F.when(division == fixed.UPSERT, F.col(f"w.`{name.lower()}`")).otherwise(own)
         columns.append(own.alias(name))
-    return joined.where(division.isNull() | (division != fixed.DELETE)).select(*columns)
+    return joined.where(division.isNull() | ((division != fixed.DELETE) & ~F.col(f"w.{RENEW}"))).select(*columns)
 
 
 def new_rows(target: DataFrame, work: DataFrame, spec: LoadSpec, ctx: RunContext) -> DataFrame:
@@ -83,10 +90,10 @@ def new_rows(target: DataFrame, work: DataFrame, spec: LoadSpec, ctx: RunContext
     for key in spec.keys:
         keyless = keyless | F.col(key).isNull()
     keyed = rows.where(~keyless)
-    present = present_keys(target, keyed, spec.keys)
+    present = present_keys(target, keyed.where(~F.col(RENEW)), spec.keys)
     # Rows without a key match nothing; they stay out of the join, where they would all meet in one task.
     fresh = keyed.join(present, spec.keys, "left_anti").unionByName(rows.where(keyless))
-    names = {c.lower() for c in fresh.columns} - {_DIVISION}
+    names = {c.lower() for c in fresh.columns} - {_DIVISION, RENEW}
     return fresh.select(
         *(
             F.col(f"`{f.name}`") if f.name.lower() in names else F.lit(None).cast(f.dataType).alias(f.name)

@@ -19,9 +19,9 @@ from tidegate.sinks.tables import append_log, truncate_and_load
 from tidegate.sources.extract import incremental_extract
 
 # Positions of the run's own lines before and after the row errors.
-_START_AT = 1
-_STOP_AT = 990_000
-_END_AT = 999_000
+START_AT = 1
+STOP_AT = 990_000
+END_AT = 999_000
 
 
 @dataclass(frozen=True)
@@ -149,7 +149,7 @@ def _load_table(
     dropped files.
     """
     spark = source.sparkSession
-    lines = [_line("Info003", spec, seq=_START_AT)]
+    lines = [log_line("Info003", spec, seq=START_AT)]
     folder = f"{work_root}/{spec.work_table or spec.table}"
 
     def finish(result: TableResult) -> TableResult:
@@ -159,20 +159,20 @@ def _load_table(
     try:
         staged = truncate_and_load(_staged(source, spec, ctx, options), f"{folder}/staged")
     except Exception as failure:  # noqa: BLE001 - any source failure skips this table only
-        lines.append(_line("Fatal007", spec, seq=_STOP_AT, reason=_brief(failure)))
-        lines.append(_line("Info006", spec, seq=_END_AT))
+        lines.append(log_line("Fatal007", spec, seq=STOP_AT, reason=_brief(failure)))
+        lines.append(log_line("Info006", spec, seq=END_AT))
         return finish(TableResult(spec.table, "Fatal007"))
 
     if staged.isEmpty():
-        lines.append(_line("Info010", spec, seq=_STOP_AT))
+        lines.append(log_line("Info010", spec, seq=STOP_AT))
         return finish(TableResult(spec.table, "Info010"))
 
     stop, counts = _stop_code(staged, ctx, options)
     if stop:
         if stop == "Fatal003":
             truncate_and_load(staged.limit(0), f"{folder}/checked")
-        lines.append(_line(stop, spec, seq=_STOP_AT))
-        lines.append(_line("Info006", spec, seq=_END_AT, text=fixed.MESSAGES["Info006stopped"]))
+        lines.append(log_line(stop, spec, seq=STOP_AT))
+        lines.append(log_line("Info006", spec, seq=END_AT, text=fixed.MESSAGES["Info006stopped"]))
         return finish(TableResult(spec.table, stop, total_num=counts["total_num"]))
 
     finish_switch(spark, target_table, target_root)
@@ -185,16 +185,16 @@ def _load_table(
     append_log(log.error_log(checked, spec, ctx), log_root, ctx, spec.table, "errors")
     summary = log.run_summary(checked, spec).first()
     if summary["normal_num"] > 0:
-        _apply(ctx, spec, checked, target_table, target_root, counts["laundering_num"] > 0, options.keep_old_content)
+        apply_rows(ctx, spec, checked, target_table, target_root, counts["laundering_num"] > 0, options.keep_old_content)
 
     numbers = {n: summary[f"{n}_num"] for n in ("total", "normal", "error")}
-    lines.append(_line("Info004", spec, seq=_END_AT, text=summary["applied"]))
-    lines.append(_line("Info005", spec, seq=_END_AT + 1, text=summary["totals"], **numbers))
-    lines.append(_line("Info006", spec, seq=_END_AT + 2))
+    lines.append(log_line("Info004", spec, seq=END_AT, text=summary["applied"]))
+    lines.append(log_line("Info005", spec, seq=END_AT + 1, text=summary["totals"], **numbers))
+    lines.append(log_line("Info006", spec, seq=END_AT + 2))
     return finish(TableResult(spec.table, "loaded", **{f"{n}_num": v for n, v in numbers.items()}))
 
 
-def _apply(
+def apply_rows(
     ctx: RunContext,
     spec: LoadSpec,
     checked: DataFrame,
@@ -235,7 +235,7 @@ def _brief(failure: Exception) -> str:
     return str(failure)  # the log clips messages to their full length
 
 
-def _line(code: str, spec: LoadSpec, seq: int, reason: str = "", text: str | None = None, **numbers: int) -> dict:
+def log_line(code: str, spec: LoadSpec, seq: int, reason: str = "", text: str | None = None, **numbers: int) -> dict:
     message = text if text is not None else fixed.MESSAGES[code].replace("{reason}", reason)
     return {"code": code, "message": message, "file": spec.table, "seq": seq, **numbers}
 

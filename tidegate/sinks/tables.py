@@ -27,6 +27,16 @@ def append_log(log: DataFrame, root: str, ctx: RunContext, source: str, part: st
     log.write.mode("overwrite").parquet(f"{root}/run={ctx.run_name}/source={source}/part={part}")
 
 
+def append_logs(log: DataFrame, root: str, source: str, part: str) -> None:
+    """:func:`append_log` of many runs in one write; the column ``run`` names each line's run.
+
+    A repeated write replaces the lines of the runs it has lines of.
+    """
+    placed = log.withColumns({"source": F.lit(source), "part": F.lit(part)}).hint("rebalance", F.col("run"))
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("run", "source", "part").parquet(root)
+
+
 def read_log(spark: SparkSession, root: str, ctx: RunContext | None = None) -> DataFrame:
     folders = T.StructType([T.StructField(n, T.StringType()) for n in ("run", "source", "part")])
     rows = spark.read.schema(T.StructType(LOG_SCHEMA.fields + folders.fields)).parquet(root)

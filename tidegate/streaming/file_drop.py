@@ -2,8 +2,9 @@
 
 The file source remembers in its checkpoint which files it has seen, so each file is loaded once, also after a
 restart, and it moves finished files to the ``bk`` folder by itself. A file is a load of its own, whatever files share
-its micro-batch: its checks see its rows only, files go in the order they arrived, and one whose load stops goes to the
-``error`` folder while its neighbours are loaded. A failure that may pass repeats the batch.
+its micro-batch: its checks see its rows only, files count in the order they arrived, and one whose load stops goes to the
+``error`` folder while its neighbours are loaded. The files of a batch are read, checked and merged in one pass
+(``plans/drops.py``). A failure that may pass repeats the batch.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.model import LoadSpec, RunContext
-from tidegate.plans.load import LoadOptions, load_table
+from tidegate.plans.drops import load_files
+from tidegate.plans.load import LoadOptions
 
 
 def file_drop_stream(
@@ -39,11 +41,6 @@ def file_drop_stream(
     return reader.load(folder).select("*", F.col("_metadata.file_path").alias("source_file"))
 
 
-def file_reader(spark: SparkSession, schema: T.StructType, form: str = "csv", **options: str) -> Callable[[str], DataFrame]:
-    """Reads one dropped file as the stream does."""
-    return lambda path: spark.read.format(form).schema(schema).options(**options).load(path)
-
-
 def load_batch_as(
     spec: LoadSpec,
     target_table: str,
@@ -53,33 +50,25 @@ def load_batch_as(
     log_root: str,
     options: LoadOptions,
     error: str | None = None,
-    read: Callable[[str], DataFrame] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """A handler that loads each file of a micro-batch into a target: checked, merged and logged as a run of its own.
+    """A handler that loads the files of a micro-batch into a target: each checked and logged as a run of its own, all
+    applied together.
 
-    Files whose load stops go to ``error/<code>``. ``read`` reads a file by its path, so that a batch of many files is not
-    scanned once for each. Merging the same rows again changes nothing, so a batch repeated after a failure is
-    harmless. Batches run in a session of their own: a session that has read the table before has to refresh it.
+    Files whose load stops go to ``error/<code>``. Merging the same rows again changes nothing, so a batch repeated after a
+    failure is harmless. Batches run in a session of their own: a session that has read the table before has to refresh it.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "drops"
-        stopped = []
         # At most files_per_batch names.
-        for number, file in enumerate(_in_order(spark, [r[0] for r in batch.select("source_file").distinct().collect()])):
-            rows = read(unquote(file)) if read else batch.where(F.col("source_file") == file).drop("source_file")
-            run = replace(ctx, tag=f"{query}-{batch_id}-{number}")
-            result = load_table(
-                run, spec, rows, target_table, work_root, target_root, log_root, replace(options, whole_source=True)
-            )
-            if result.status == "Fatal007":
-                raise RuntimeError(f"{file} could not be staged")
-            if not result.good:
-                stopped.append((file, result.status))
+        files = _in_order(spark, [r[0] for r in batch.select("source_file").distinct().collect()])
+        runs = [replace(ctx, tag=f"{query}-{batch_id}-{number}") for number in range(len(files))]
+        results = load_files(batch, files, runs, spec, target_table, work_root, target_root, log_root, options)
         if error:
-            for file, code in stopped:
-                _move(spark, unquote(file), f"{error}/{code}")
+            for file, result in zip(files, results, strict=True):
+                if not result.good:
+                    _move(spark, unquote(file), f"{error}/{result.status}")
 
     return handle
 
