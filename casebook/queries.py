@@ -29,6 +29,7 @@ from tidegate.sinks.tables import (
     bulk_append,
     quarantine_split,
     read_log,
+    read_work,
     truncate_and_load,
     unload_partitioned,
 )
@@ -537,7 +538,7 @@ def work_table(spark, folder):
     rows, path = fixture(spark, folder, "work_orders"), _folder(spark, "work")
     truncate_and_load(rows.where("process_div = 'U'"), path)
     bulk_append(rows.where("process_div <> 'U'"), path)
-    return spark.read.parquet(path)
+    return read_work(spark, path)
 
 
 @query
@@ -759,6 +760,36 @@ def keep_history(spark, folder):
     )
 
 
+@query
+def extended_history(spark, folder):
+    """The same history in three steps: old orders, newer ones, and late ones of all times."""
+    orders = table(spark, folder, "orders")
+    late, new = F.col("o_orderpriority") == "5-LOW", F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp_ntz")
+    shape = (["o_custkey"], ["o_orderstatus", "o_orderpriority"], "o_orderdate", ["o_orderkey"])
+    stored = orders.where(~late & ~new)
+    history = written(warehouse.keep_history(stored, *shape), "history")
+    for step in (orders.where(~late & new), orders.where(late)):
+        history = written(warehouse.extend_history(history, stored, step, *shape), "history")
+        stored = stored.unionByName(step)
+    return history
+
+
+@query
+def evolving_view(spark, folder):
+    """A view read before and after its table lost a column and gained another."""
+    name, view, place = (f"{n}_{uuid.uuid4().hex[:12]}" for n in ("parties", "seen", "place"))
+    columns = {"supplier": {"s_suppkey": "party_id", "s_name": "name"}, "customer": {"c_custkey": "party_id", "c_mktsegment": "segment"}}
+    states = []
+    for number, (source, names) in enumerate(columns.items()):
+        rows = table(spark, folder, source).select(*(F.col(k).alias(v) for k, v in names.items()))
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        rows.write.option("path", _folder(spark, place)).saveAsTable(name)
+        if not number:
+            warehouse.evolving_view(spark, view, name)
+        states.append(written(spark.table(view), "state"))
+    return states[0].unionByName(states[1], allowMissingColumns=True)
+
+
 @query
 def late_binding_view(spark, folder):
     def old() -> DataFrame:

@@ -12,6 +12,7 @@ from tidegate.model import ControlColumn, LoadSpec, TargetType
 from tidegate.operators import merge
 from tidegate.plans.load import LoadOptions, load_table
 from tidegate.sinks import listed
+from tidegate.sinks.tables import read_work
 
 ONE_KEY = LoadSpec("t", (ControlColumn("k", TargetType("bigint"), True), ControlColumn("v", TargetType("character varying"))))
 STAMPS = "create_id string, create_dtt timestamp_ntz, last_upd_id string, last_upd_dtt timestamp_ntz"
@@ -162,7 +163,7 @@ def test_whole_load_into_a_list(spark, folder):
     assert (result.status, result.total_num, result.normal_num, result.error_num) == ("loaded", 5, 3, 2)
     rows = {r.k: r.v for r in spark.table(name).collect()}
     assert len(rows) == 1_000 and rows[5] == "five" and rows[2000] == "more" and 7 not in rows
-    checked = spark.read.parquet(f"{folder}/work/t/checked").where("error_flg").select("k").collect()
+    checked = read_work(spark, f"{folder}/work/t/checked").where("error_flg").select("k").collect()
     assert sorted(r.k for r in checked) == ["5000", "bad"]
-    staged = spark.read.parquet(f"{folder}/work/t/staged")
+    staged = read_work(spark, f"{folder}/work/t/staged")
     assert len(listed.for_deletes(spark, name, staged, ONE_KEY).inputFiles()) <= 2

@@ -63,6 +63,56 @@ def keep_history(
     )
 
 
+def _in_keys(rows: DataFrame, keys: DataFrame, names: Sequence[str], how: str = "left_semi") -> DataFrame:
+    same = F.lit(True)
+    for name in names:
+        same = same & F.col(f"l.`{name}`").eqNullSafe(F.col(f"r.`{name}`"))
+    return rows.alias("l").join(keys.select(*names).alias("r"), same, how)
+
+
+def extend_history(
+    history: DataFrame,
+    stored: DataFrame,
+    snapshots: DataFrame,
+    keys: Sequence[str],
+    attributes: Sequence[str],
+    time: str,
+    ties: Sequence[str],
+    rows_per_slot: int = ROWS_PER_SLOT,
+) -> DataFrame:
+    """The history of ``stored`` and new ``snapshots``, from the history of ``stored``.
+
+    Keys without new snapshots keep their periods as they are. Of a key whose new snapshots all come after the stored
+    ones only the open period takes part. A key with a late snapshot, at or before one that is stored, is made anew from
+    all of its snapshots: a late one may split a period whose later confirmations left no trace in the history.
+    """
+    names = [*keys, *attributes, time, *ties]
+    last = stored.groupBy(*keys).agg(F.max(time).alias("__last"))
+    first = snapshots.groupBy(*keys).agg(F.min(time).alias("__first"), F.bool_or(F.col(time).isNull()).alias("__open"))
+    same = F.lit(True)
+    for name in keys:
+        same = same & F.col(f"f.`{name}`").eqNullSafe(F.col(f"s.`{name}`"))
+    late = F.coalesce(F.col("__open") | (F.col("__first") <= F.col("__last")), F.lit(False))
+    touched = first.alias("f").join(last.alias("s"), same, "left").select(*(F.col(f"f.`{k}`") for k in keys), late.alias("__late"))
+    touched = written(touched, "touched")
+    late_keys, others = touched.where("__late"), touched.where("NOT __late")
+
+    again = _in_keys(stored.select(*names).unionByName(snapshots.select(*names)), late_keys, keys)
+    going_on = _in_keys(history.where("is_current"), others, keys).withColumn(time, F.col("valid_from"))
+    missing = {t: F.lit(None).cast(snapshots.schema[t].dataType) for t in ties}
+    going_on = going_on.withColumns(missing).select(*names).unionByName(_in_keys(snapshots.select(*names), others, keys))
+    untouched = _in_keys(history, touched, keys, "left_anti")
+    closed = _in_keys(history.where("NOT is_current"), others, keys)
+    made = keep_history(going_on.unionByName(again), keys, attributes, time, ties, rows_per_slot)
+    return untouched.unionByName(closed).unionByName(made)
+
+
+def evolving_view(spark: SparkSession, name: str, table: str) -> None:
+    """A catalogue view of a table that is resolved whenever it is read: columns the table gains, loses or changes after
+    the view was made are the view's as well."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} WITH SCHEMA EVOLUTION AS SELECT * FROM {table}")
+
+
 def late_binding_view(spark: SparkSession, name: str, *readers: Callable[[], DataFrame]) -> DataFrame:
     """(Re)define a view over datasets whose schemas may have moved on; missing columns read as null."""
     whole = readers[0]()

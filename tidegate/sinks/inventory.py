@@ -11,6 +11,6 @@ def run_dt_path(base: str, ctx: RunContext) -> str:
     return f"{base.rstrip('/')}/run_dt={ctx.run_dt}"
 
 
-def write_inventory_csv(rows: DataFrame, path: str, one_file: bool = True) -> None:
-    """CSV with a header, in one file or, with ``one_file`` off, one per task."""
+def write_inventory_csv(rows: DataFrame, path: str, one_file: bool = False) -> None:
+    """CSV with a header, one file per task. ``one_file`` is for listings that are known to be short."""
     (rows.coalesce(1) if one_file else rows).write.mode("overwrite").option("header", True).csv(path)

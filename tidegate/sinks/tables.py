@@ -9,17 +9,49 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.model import LOG_SCHEMA, RunContext
+from tidegate.session import remove_folder
+
+
+_VERSION = "v-"
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Files and folders in a folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in system.listStatus(place)) if system.exists(place) else []
+
+
+def work_path(spark: SparkSession, path: str) -> str | None:
+    """The folder with a work table's content: the last version that was written to its end; None before the first."""
+    versions = [f"{path}/{name}" for name in _names(spark, path) if name.startswith(_VERSION)]
+    return next((v for v in reversed(versions) if "_SUCCESS" in _names(spark, v)), None)
+
+
+def read_work(spark: SparkSession, path: str) -> DataFrame:
+    """A work table's rows, for readers that did not write them."""
+    return spark.read.parquet(work_path(spark, path) or path)
 
 
 def truncate_and_load(rows: DataFrame, path: str) -> DataFrame:
-    """Replace a work table's content. All blocks appear at once or not at all."""
-    rows.write.mode("overwrite").parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    """Replace a work table's content. All blocks appear at once or not at all.
+
+    The new content is a version folder of its own, which counts from the moment its write has ended; only then the old
+    one goes. ``rows`` may read the old content. A write that fails leaves it as it was.
+    """
+    spark = rows.sparkSession
+    before = _names(spark, path)
+    number = max((int(n.removeprefix(_VERSION)) for n in before if n.startswith(_VERSION)), default=0) + 1
+    fresh = f"{path}/{_VERSION}{number:09d}"
+    rows.write.parquet(fresh)
+    for name in before:
+        remove_folder(spark, f"{path}/{name}")
+    return spark.read.schema(rows.schema).parquet(fresh)
 
 
 def bulk_append(rows: DataFrame, path: str) -> None:
-    """Add rows in one parallel, atomic write."""
-    rows.write.mode("append").parquet(path)
+    """Add rows to a work table, or to a plain folder, in one parallel write."""
+    rows.write.mode("append").parquet(work_path(rows.sparkSession, path) or path)
 
 
 def append_log(log: DataFrame, root: str, ctx: RunContext, source: str, part: str) -> None:
