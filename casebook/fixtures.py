@@ -152,6 +152,19 @@ select event_id as run_id, cast(cast(ts as date) as timestamp_ntz) as due_ts,
        case when event_id % 50 = 3 then ts else cast(cast(ts as date) as timestamp_ntz) end as end_ts,
        case when event_id % 97 = 5 then 'failed' else 'ok' end as outcome
 from {events}
+""",
+    "open_runs": """
+select event_id as run_id, cast(cast(ts as date) as timestamp_ntz) as due_ts,
+       case when event_id % 89 = 7 then null when event_id % 50 = 3 then ts else cast(cast(ts as date) as timestamp_ntz) end as end_ts,
+       case when event_id % 97 = 5 then 'failed' when event_id % 89 = 7 then 'running' else 'ok' end as outcome
+from {events}
+""",
+    "expected_users": """
+select user_id from {events} union select c_custkey + 1000000 as user_id from {customer} where c_nationkey = 3
+""",
+    "spring_log": """
+select event_id as query_id, ts as start_ts, case when event_type = 'error' then 'abort' else 'ok' end as outcome
+from {events} where day(ts) < 20 or day(ts) > 26
 """,
     "run_marks": """
 select event_id, user_id as run, case when event_id % 4 < 2 then 'import' else 'check' end as title,

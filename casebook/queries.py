@@ -842,6 +842,50 @@ def slo_etl_window(spark, folder):
     return slo.slo_etl_window(fixture(spark, folder, "etl_runs"))
 
 
+AS_OF = datetime(2024, 1, 25, 12)
+
+
+@query
+def slo_etl_window_open(spark, folder):
+    """Runs that had not ended, seen from one moment."""
+    return slo.slo_etl_window(fixture(spark, folder, "open_runs"), as_of=AS_OF)
+
+
+@query
+def slo_log_complete_expected(spark, folder):
+    """With sources that sent nothing."""
+    return slo.slo_log_complete(
+        table(spark, folder, "events"), "user_id", "ts", date(2024, 1, 1), date(2024, 1, 31), fixture(spark, folder, "expected_users")
+    )
+
+
+@query
+def missing_log_days_expected(spark, folder):
+    return slo.missing_log_days(
+        table(spark, folder, "events"), "user_id", "ts", date(2024, 1, 1), date(2024, 1, 31), fixture(spark, folder, "expected_users")
+    )
+
+
+@query
+def abort_trend_calendar(spark, folder):
+    """Days, some of them without queries."""
+    return slo.abort_trend(fixture(spark, folder, "spring_log"), "day", span=(date(2023, 12, 30), date(2024, 2, 2)))
+
+
+@query
+def alert_response_open(spark, folder):
+    """Alerts that were open, with the time until one moment."""
+    return slo.alert_response(fixture(spark, folder, "alerts"), as_of=AS_OF)
+
+
+@query
+def rpo_check_open(spark, folder):
+    """With the gap since the last snapshot, and with sources that have none."""
+    return slo.rpo_check(
+        table(spark, folder, "events"), "user_id", "ts", ["event_id"], as_of=AS_OF, expected=fixture(spark, folder, "expected_users")
+    )
+
+
 @query
 def slo_log_complete(spark, folder):
     return slo.slo_log_complete(table(spark, folder, "events"), "user_id", "ts", date(2024, 1, 1), date(2024, 1, 31))
