@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,6 +28,7 @@ from tidegate.sinks.tables import (
     append_log,
     archive_or_quarantine,
     bulk_append,
+    pack_log,
     quarantine_split,
     read_log,
     read_work,
@@ -548,6 +550,18 @@ def written_log(spark, folder):
     return read_log(spark, path, CTX)
 
 
+@query
+def packed_log(spark, folder):
+    """A day's log packed, with lines of two runs, one of them written again afterwards."""
+    path, lines = _folder(spark, "log"), written(_log(spark, folder), "lines")
+    again = replace(CTX, tag="again")
+    append_log(lines, path, CTX, "orders", "errors")
+    append_log(lines, path, again, "orders", "errors")
+    pack_log(spark, path, CTX.run_ts.date())
+    append_log(lines.limit(0), path, again, "orders", "errors")
+    return read_log(spark, path)
+
+
 @query
 def written_inventory(spark, folder):
     rows, path = table_inventory(spark, folder), _folder(spark, "inventory")

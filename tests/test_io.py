@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidegate.model import RunContext
+from tidegate.operators.log import run_lines
 from tidegate.plans.inventory import run_inventory
 from tidegate.sinks import inventory as I
 from tidegate.sinks import tables as K
@@ -145,3 +146,39 @@ def test_failed_write_leaves_the_old_rows(spark, folder):
     K.bulk_append(spark.range(100, 102), path)
     assert K.read_work(spark, path).count() == 7
     assert len([n for n in os.listdir(path) if n.startswith("v-")]) == 1
+
+
+def test_packed_logs_read_the_same(spark, folder, monkeypatch):
+    root, day = f"{folder}/log", datetime(2024, 2, 1, 9)
+    runs = [RunContext(day, tag=f"r{n}") for n in range(3)] + [RunContext(datetime(2024, 2, 2, 9))]
+
+    def line(text):
+        return run_lines(spark, runs[0], [{"code": "Info001", "message": text, "seq": 1}])
+
+    def texts():
+        return sorted(r.message.split("] ")[-1] for r in K.read_log(spark, root).collect())
+
+    def files(below=""):
+        return sum(f.endswith(".parquet") for _, _, names in os.walk(f"{root}/{below}") for f in names)
+
+    for n, run in enumerate(runs):
+        for source in "abc":
+            for part in ("errors", "lines"):
+                K.append_log(line(f"{n}{source}{part}"), root, run, source, part)
+    before = texts()
+    assert len(before) == 24 and files() >= 24
+    with monkeypatch.context() as broken:  # a packing that ends before the folders are gone
+        broken.setattr(K, "remove_folder", lambda *_: None)
+        K.pack_log(spark, root, day.date())
+        assert texts() == before
+    K.pack_log(spark, root, day.date())
+    assert texts() == before and K.read_log(spark, root, runs[1]).count() == 6
+    assert files("_packed") <= 2 and sorted(os.listdir(root)) == ["_packed", f"run={runs[3].run_name}"]
+    # A run written again counts once, with its new lines, be they none.
+    K.append_log(line("new"), root, runs[0], "a", "lines")
+    K.append_log(line("x").limit(0), root, runs[0], "b", "lines")
+    after = texts()
+    assert len(after) == 23 and sum("new" in t for t in after) == 1
+    K.pack_log(spark, root, day.date())
+    assert texts() == after
+    K.pack_log(spark, root, date(2030, 1, 1))

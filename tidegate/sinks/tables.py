@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,12 +70,46 @@ def append_logs(log: DataFrame, root: str, source: str, part: str) -> None:
     writer.partitionBy("run", "source", "part").parquet(root)
 
 
+_PLACE = ("run", "source", "part")
+_PACKED = "_packed"
+
+
+def _placed_log(spark: SparkSession, root: str) -> DataFrame:
+    """All log lines with the run, source and part they belong to.
+
+    Lines lie in a folder of their own or in a packed day. Where a part has a folder, also an empty one, that is what
+    counts: a run that was repeated after its day was packed, or a packing that broke off, doubles nothing.
+    """
+    places = T.StructType([T.StructField(n, T.StringType()) for n in _PLACE])
+    schema = T.StructType(LOG_SCHEMA.fields + places.fields)
+    loose = spark.read.schema(schema).parquet(root)
+    days = [work_path(spark, f"{root}/{_PACKED}/{day}") for day in _names(spark, f"{root}/{_PACKED}")]
+    if not any(days):
+        return loose
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(root)
+    taken = files.select(*(F.url_decode(F.regexp_extract("path", f"/{n}=([^/]*)", 1)).alias(n) for n in _PLACE)).distinct()
+    packed = spark.read.schema(schema).parquet(*[d for d in days if d])
+    return loose.unionByName(packed.join(taken, list(_PLACE), "left_anti").select(loose.columns))
+
+
 def read_log(spark: SparkSession, root: str, ctx: RunContext | None = None) -> DataFrame:
-    folders = T.StructType([T.StructField(n, T.StringType()) for n in ("run", "source", "part")])
-    rows = spark.read.schema(T.StructType(LOG_SCHEMA.fields + folders.fields)).parquet(root)
+    rows = _placed_log(spark, root)
     if ctx is not None:
         rows = rows.where(F.col("run") == ctx.run_name)
-    return rows.drop(*folders.names)
+    return rows.drop(*_PLACE)
+
+
+def pack_log(spark: SparkSession, root: str, day: date) -> None:
+    """Put the many small folders of a finished day's runs together in few files. May be repeated; readers see the same
+    lines before, between and after its steps."""
+    stamp = day.strftime("%Y%m%d")
+    runs = [name for name in _names(spark, root) if name.startswith(f"run={stamp}")]
+    if not runs:
+        return
+    rows = _placed_log(spark, root).where(F.col("run").startswith(stamp))
+    truncate_and_load(rows.hint("rebalance"), f"{root}/{_PACKED}/{stamp}")
+    for name in runs:
+        remove_folder(spark, f"{root}/{name}")
 
 
 def unload_partitioned(rows: DataFrame, path: str, dt: Column, max_rows_per_file: int = 5_000_000) -> None:
