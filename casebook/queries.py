@@ -35,7 +35,7 @@ from tidegate.sinks.tables import (
     truncate_and_load,
     unload_partitioned,
 )
-from tidegate.sources.catalog import discover_schemas, merge_catalog
+from tidegate.sources.catalog import discover_schemas, merge_crawl
 from tidegate.sources.extract import bounded_extract, external_scan, incremental_extract, sample_extract
 from tidegate.sources.files import file_drop_scan, land_then_load
 from tidegate.streaming.file_drop import file_drop_stream, load_batch_as, load_drops
@@ -198,7 +198,7 @@ def merged_catalog(spark, folder):
     path = {t: f"{folder}/{t}.parquet" for t in ("orders", "customer", "nation", "region")}
     known = discover_schemas(spark, {t: path[t] for t in ("orders", "customer", "nation")})
     found = discover_schemas(spark, {"orders": orders, "customer": path["customer"], "region": path["region"]})
-    return merge_catalog(known, found).drop("nullable")
+    return merge_crawl(known, found).drop("nullable")
 
 
 # Work rows.

@@ -10,7 +10,8 @@ from tidegate.plans.inventory import run_inventory
 from tidegate.sinks import inventory as I
 from tidegate.sinks import tables as K
 from tidegate.sinks.jdbc import insert_options
-from tidegate.sources.catalog import discover_schemas, merge_catalog
+from tidegate.session import written
+from tidegate.sources.catalog import crawl_schemas, discover_schemas, merge_catalog, merge_crawl
 from tidegate.sources.extract import external_scan, sample_extract
 from tidegate.sources.files import file_drop_scan, file_listing, land_then_load
 from tidegate.sources.jdbc import incremental_options, jdbc_options
@@ -182,3 +183,53 @@ def test_packed_logs_read_the_same(spark, folder, monkeypatch):
     K.pack_log(spark, root, day.date())
     assert texts() == after
     K.pack_log(spark, root, date(2030, 1, 1))
+
+
+TABLES_OF = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+
+
+def test_tasks_read_the_schemas_that_the_reader_reads(spark, folder):
+    K.unload_partitioned(spark.read.parquet(f"{FOLDER}/events.parquet"), f"{folder}/days", F.col("ts"))
+    kinds = spark.sql(
+        "select 1Y a, 2S b, 1.5f c, cast(2 as decimal(9,3)) d, timestamp'2024-01-01' e, timestamp_ntz'2024-01-01' f, map('k', 1) g,"
+        " array(struct(1 as x, 'y' as y)) h, cast('z' as binary) i, true j, null k"
+    ).drop("k")
+    kinds.write.parquet(f"{folder}/kinds")
+    paths = {t: f"{FOLDER}/{t}.parquet" for t in TABLES_OF.split()}
+    paths |= {"days": f"{folder}/days", "kinds": f"file://{folder}/kinds"}
+    got = {}
+    for r in crawl_schemas(spark.createDataFrame(list(paths.items()), "dataset string, path string")).collect():
+        assert r.failure is None and r.nullable
+        got.setdefault(r.dataset, {})[r.ordinal] = (r.column, r.type)
+    for name, path in paths.items():
+        assert [got[name][i] for i in sorted(got[name])] == spark.read.parquet(path).dtypes, name
+
+
+def test_crawl_of_thousands(spark, folder):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    many = 4_000
+    for n in range(many):
+        os.makedirs(f"{folder}/many/d{n}")
+        pq.write_table(pa.table({"id": pa.array([n]), f"c{n % 7}": pa.array(["x"])}), f"{folder}/many/d{n}/part.parquet")
+    paths = spark.range(many).select(
+        F.format_string("d%d", "id").alias("dataset"), F.format_string(f"{folder}/many/d%d", "id").alias("path")
+    )
+    found = written(crawl_schemas(paths), "found")
+    assert found.count() == 2 * many and found.where("failure is not null").isEmpty()
+    known = found.drop("failure").where("dataset <> 'd5'").withColumn(
+        "type", F.when((F.col("dataset") == "d9") & (F.col("column") == "id"), "int").otherwise(F.col("type"))
+    )
+    merged = merge_crawl(known, found.drop("failure"))
+    states = {r.state: r["count"] for r in merged.groupBy("state").count().collect()}
+    assert states == {"same": 2 * many - 3, "added": 2, "changed": 1}
+    assert sorted(map(str, merged.collect())) == sorted(map(str, merge_catalog(known, found.drop("failure")).collect()))
+
+
+def test_datasets_that_cannot_be_read_are_told(spark, folder):
+    rows = spark.createDataFrame([("gone", f"{folder}/gone"), ("odd", "nostore://x/y")], "dataset string, path string")
+    got = {r.dataset: r for r in crawl_schemas(rows).collect()}
+    assert {r.ordinal for r in got.values()} == {0} and all(r.failure for r in got.values())
+    with pytest.raises(Exception, match="gone"):
+        discover_schemas(spark, {"gone": f"{folder}/gone"})
