@@ -107,3 +107,30 @@ def test_files_of_odd_documents(spark, odd, none):
     rows = sorted(odd.select("doc_id", "text").collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0))
     assert [tuple(r) for r in got] == in_order(rows, Tokenizer.from_file(WORD_BPE))
     assert token_files.written_and_read(none, WORD_BPE).count() == 0
+
+
+def test_many_words_at_once_are_the_librarys():
+    """The merger that stands in for the library's model, over words of every kind, long ones and the mark included."""
+    import time
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    from tidegate.llm import token_files
+
+    start = time.perf_counter()
+    assert token_files.merges_in_turn(WORD_BPE) and time.perf_counter() - start < 60
+    library = Tokenizer.from_file(WORD_BPE)
+    rng = np.random.default_rng(8)
+    letters = np.array(list("etaoinshrdlucmfwypvbgkjqxzéèüößñç019'-_!\x01\x7f"))
+    texts = ["".join(rng.choice(letters, rng.integers(1, 14))) for _ in range(30_000)]
+    texts += [t.removesuffix("</w>") for t in list(library.get_vocab())[::7] if t.removesuffix("</w>").isascii()]
+    texts += ["x" * 500, "a\0b", "\0", "don't", "it's-1", "ab" * 90, "<|endoftext|>x"]
+    coder = token_files.Encoder(WORD_BPE, True)
+    assert coder.words is not None
+    chunks = [c for c in dict.fromkeys(p for t in texts for p in t.lower().encode().split()) if b"<|" not in c]
+    want = [e.ids for e in library.encode_batch([c.decode() for c in chunks], add_special_tokens=False)]
+    got = []
+    for at in range(0, len(chunks), 999):  # a batch with a long word goes to the model, the others do not
+        got += coder._chunks(chunks[at : at + 999])
+    assert [list(g) for g in got] == [list(w) for w in want]

@@ -17,6 +17,8 @@ id follow each other by length and content of their ids. Empty tables give empty
 
 from __future__ import annotations
 
+import functools
+import json
 import os
 import re
 import uuid
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegate.llm.bpe import byte_letters
-from tidegate.llm.chunks import LIMIT, ChunkIds, gather
+from tidegate.llm.chunks import ChunkIds, gather
 from tidegate.llm.common import by_bytes, column_of, ship, text_bytes, tidy
 from tidegate.session import scratch_dir, written
 
@@ -83,6 +85,77 @@ def spaced(text: bytes) -> bytes:
     return text.replace(b".", b" . ").replace(b",", b" , ")
 
 
+MARK = "\0"
+"""Stands for a word's end in texts of many words; chunks that hold it go to the library."""
+
+LONG_WORD = 200
+"""Longer words go to the library's model, whose time does not grow with the square of their length."""
+
+
+def merges_of(path: str) -> list[tuple[str, str]]:
+    with open(path, encoding="utf-8") as f:
+        pairs = json.load(f)["model"]["merges"]
+    return [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in pairs]
+
+
+@functools.cache
+def merges_in_turn(path: str) -> bool:
+    """Whether merging a token's own text gives that token, and each token has one merge.
+
+    Then the two parts of a token that stand side by side at last are always those of its merge, so that a merger which joins
+    any two parts whose whole is a token, the earliest made first, does what the vocabulary's merges say.
+    """
+    pairs = merges_of(path)
+    rank = {p: n for n, p in enumerate(pairs)}
+    if len({a + b for a, b in pairs}) != len(pairs):
+        return False
+    for a, b in pairs:
+        end = (a + b).endswith(WORD_END)
+        text = (a + b).removesuffix(WORD_END)
+        parts = [*text[:-1], text[-1] + WORD_END if end else text[-1]]
+        while len(parts) > 1:
+            best = min(range(len(parts) - 1), key=lambda i: rank.get((parts[i], parts[i + 1]), len(pairs)))
+            if (parts[best], parts[best + 1]) not in rank:
+                return False
+            parts[best : best + 2] = [parts[best] + parts[best + 1]]
+    return True
+
+
+WORD_END = "</w>"
+
+
+class Words:
+    """Ids of many words by one call of a byte-pair merger. A word's last byte and the mark behind it are joined first, which
+    is the vocabulary's form of a last letter."""
+
+    def __init__(self, path: str, vocabulary: dict[str, int]):
+        import tiktoken
+
+        letters = {c: bytes([b]) for c, b in byte_letters().items()}
+        mark = MARK.encode()
+        singles = [bytes([b]) for b in range(256)]
+        ranks = {b: n for n, b in enumerate(singles)} | {b + mark: 256 + n for n, b in enumerate(singles) if b != mark}
+        name_of = {v: k for k, v in letters.items()}
+        ids = [vocabulary.get(name_of[b], -1) for b in singles] + [vocabulary.get(name_of[b] + WORD_END, -1) for b in singles]
+        for a, b in merges_of(path):
+            token = a + b
+            own = b"".join(letters[c] for c in token.removesuffix(WORD_END))
+            ids.append(vocabulary[token])
+            if mark not in own:
+                ranks[own + mark if token.endswith(WORD_END) else own] = len(ids) - 1
+        self.ids = np.array(ids, np.int64)
+        self.ends = np.zeros(len(ids), bool)
+        self.ends[[n for token, n in ranks.items() if token.endswith(mark)]] = True
+        self.merger = tiktoken.Encoding("words", pat_str=f"[^{MARK}]+{MARK}", mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row, and the number of each."""
+        if not words:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        found = np.array(self.merger.encode_ordinary(MARK.join(words) + MARK), np.int64)
+        return self.ids[found], np.diff(np.flatnonzero(self.ends[found]) + 1, prepend=0)
+
+
 class Encoder:
     """Ids by the tokenizers library, which sees each white-space-delimited chunk once while it is remembered.
 
@@ -90,7 +163,7 @@ class Encoder:
     string of a special token goes to the library whole.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, in_turn: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -100,36 +173,43 @@ class Encoder:
         self.specials = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
         self.memory = ChunkIds(self._chunks, CHUNKS)
         self.model = self.library.model
-        self.pieces: dict[str, list[int]] = {}
+        self.words = Words(path, self.library.get_vocab()) if in_turn else None
         self.letter_of = {b: c for c, b in byte_letters().items()}
 
     def _chunks(self, chunks: list[bytes]) -> list[list[int]]:
-        """Chunks of plain Latin letters are normalised and cut here, and only their pieces go to the library's model;
-        the library's own normaliser takes most of its time. All others go to the library whole."""
-        out: list[list[int] | None] = []
-        odd = []
+        """Chunks of plain Latin letters are normalised and cut here, and only their pieces are merged; the library's own
+        normaliser takes most of its time. All others go to the library whole."""
+        out: list[list[int] | None] = [None] * len(chunks)
+        odd, words = [], []
+        counts = np.zeros(len(chunks), np.int64)
         for i, chunk in enumerate(chunks):
             text = chunk.decode()
             if text == "\n":
-                out.append([0])
-            elif not PLAIN.fullmatch(text):
+                out[i] = [0]
+            elif not PLAIN.fullmatch(text) or MARK in text:
                 odd.append((i, text))
-                out.append(None)
-            elif text.isascii() and text.isalpha():
-                out.append([t.id for t in self.model.tokenize(text.lower())])
             else:
-                out.append([x for p in PIECES.findall(text.lower()) for x in (self.pieces.get(p) or self._piece(p))])
+                text = text.lower()
+                own = [text] if text.isascii() and text.isalpha() else PIECES.findall(text)
+                words += own
+                counts[i] = len(own)
+        ids, sizes = self._merged(words)
+        stops = np.append(0, np.cumsum(sizes))[np.cumsum(counts)].tolist()
+        flat, at = ids.tolist(), 0
+        for i, stop in enumerate(stops):
+            if stop > at:
+                out[i], at = flat[at:stop], stop
         whole = self.library.encode_batch_fast([t for _, t in odd], add_special_tokens=False)
         for (i, _), e in zip(odd, whole, strict=True):
             out[i] = e.ids
         return out
 
-    def _piece(self, piece: str) -> list[int]:
-        if len(self.pieces) > LIMIT:
-            self.pieces.clear()
-        letters = piece if piece.isascii() and piece.isprintable() else self._letters(piece)
-        self.pieces[piece] = ids = [t.id for t in self.model.tokenize(letters)]
-        return ids
+    def _merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row, and the number of each."""
+        if self.words is not None and max(map(len, words), default=0) <= LONG_WORD:
+            return self.words.encode(words)
+        found = [[t.id for t in self.model.tokenize(self._letters(w))] for w in words]
+        return np.array([x for own in found for x in own], np.int64), np.array([len(own) for own in found], np.int64)
 
     def _letters(self, piece: str) -> str:
         return piece.encode().decode("latin-1").translate(self.letter_of)
@@ -160,9 +240,9 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def _encoder(path: str) -> Encoder:
+def _encoder(path: str, in_turn: bool = False) -> Encoder:
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, in_turn)
     return _encoders[path]
 
 
@@ -218,9 +298,9 @@ def _binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())])
 
 
-def _encode_step(path: str, end: int, cuts: np.ndarray):
+def _encode_step(path: str, end: int, cuts: np.ndarray, in_turn: bool):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _encoder(path)
+        coder = _encoder(path, in_turn)
         for whole in batches:
             for start, stop in by_bytes(column_of(whole, "text"), SLICE):
                 batch = whole.slice(start, stop - start)
@@ -317,7 +397,7 @@ def _staged(documents: DataFrame, path: str, end: int, part_bytes: int) -> DataF
     """Encoded documents dealt by part, with the ids before each document in its part."""
     cuts = _cuts(documents, part_bytes)
     coded = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        tidy(_encode_step(path, end, cuts)), "part int, doc_id long, n_tokens long, raw binary"
+        tidy(_encode_step(path, end, cuts, merges_in_turn(path))), "part int, doc_id long, n_tokens long, raw binary"
     )
     order = Window.partitionBy("part").orderBy(F.asc_nulls_first("doc_id"), "n_tokens", "raw")
     running = F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, 0))
