@@ -343,14 +343,15 @@ def _count_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
 
 
-def _pack_step(rank_of: np.ndarray):
+def _pack_step(rank_of: np.ndarray, before: np.ndarray):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches, "raw"):
             ids, counts = _wide(batch)
             control, data, quads, sizes = pack(rank_of[ids], counts)
-            columns = [column_of(batch, n) for n in ("part", "inner", "doc_id", "n_tokens")]
+            starts = before[column_of(batch, "part").to_numpy()] + column_of(batch, "inner").to_numpy()
+            columns = [column_of(batch, "part"), column_of(batch, "doc_id"), pa.array(starts), column_of(batch, "n_tokens")]
             columns += [_binary(control, quads), _binary(data, sizes)]
-            yield pa.RecordBatch.from_arrays(columns, names=["part", "inner", "doc_id", "n_tokens", "control", "data"])
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "doc_id", "start", "n_tokens", "control", "data"])
 
     return step
 
@@ -367,17 +368,13 @@ def write(documents: DataFrame, path: str, folder: str, end: int = END_ID, part_
     rank_of = np.zeros(int(ids.max()) + 1 if len(ids) else 1, np.int64)
     rank_of[ids] = np.arange(len(ids))
     # Ids before each part: one row per part, a few bytes for some 64 MB of text.
-    sizes = staged.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    before = sizes.select(
-        "part", (F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias("before")
-    )
+    sizes = {r.part: r.n for r in staged.groupBy("part").agg(F.sum("n_tokens").alias("n")).collect()}
+    in_order = np.array([sizes.get(part, 0) for part in range(max(sizes, default=-1) + 1)], np.int64)
     packed = staged.mapInArrow(
-        tidy(_pack_step(rank_of)), "part int, inner long, doc_id long, n_tokens long, control binary, data binary"
-    )
-    numbered = packed.join(before, "part").select(
-        "part", "doc_id", (F.col("before") + F.col("inner")).alias("start"), "n_tokens", "control", "data"
+        tidy(_pack_step(rank_of, np.cumsum(in_order) - in_order)),
+        "part int, doc_id long, start long, n_tokens long, control binary, data binary",
     )
-    numbered.write.parquet(f"{folder}/parts")
+    packed.write.parquet(f"{folder}/parts")
     ranks = spark.createDataFrame([(i, int(x)) for i, x in enumerate(ids)], "rank long, id long")
     ranks.coalesce(1).write.parquet(f"{folder}/ranks")
 
@@ -401,7 +398,8 @@ def _staged(documents: DataFrame, path: str, end: int, part_bytes: int) -> DataF
     )
     order = Window.partitionBy("part").orderBy(F.asc_nulls_first("doc_id"), "n_tokens", "raw")
     running = F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    dealt = coded.repartition(len(cuts) + 1, "part").withColumn("inner", running - F.col("n_tokens"))
+    # A part's number is that of its task, so that no two parts meet in one.
+    dealt = coded.repartitionById(len(cuts) + 1, F.col("part")).withColumn("inner", running - F.col("n_tokens"))
     return written(dealt, "tokens")
 
 
