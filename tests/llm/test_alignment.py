@@ -162,3 +162,11 @@ def test_shared_group_links():
     a, b = links.shared_group()
     assert list(zip(a.tolist(), b.tolist())) == [(0, 0), (0, 1), (1, 0), (1, 1), (2, 2), (2, 3)]
     assert links.same_group.tolist() == [2, 2, 2]
+
+
+def test_the_quick_merger_is_exact_for_this_vocabulary():
+    """Joining any two parts whose whole is a token, the earliest made first, is what the file's merges say."""
+    from tidegate.llm.token_files import merges_in_turn
+
+    tokenizer = alignment.ByteTokens(BYTE_BPE)
+    assert tokenizer.quick is not None and tokenizer.apart and merges_in_turn(BYTE_BPE)
