@@ -26,8 +26,8 @@ replaced and ``n_chars``, if there, set to its length; a text whose lines all go
 
 from __future__ import annotations
 
-from array import array
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tidegate.llm.chunks import gather
 from tidegate.llm.common import by_bytes, column_of, ship, text_bytes, tidy
 from tidegate.llm.decontaminate import words_of
 from tidegate.session import written
@@ -51,7 +52,7 @@ BLOCK = 8_192
 """About this many lines of one key are compared in one group, or twice as many where two blocks of a key meet."""
 
 SAMPLE = 16
-"""Key sizes are estimated from one document in so many; they decide the number of blocks only."""
+"""Key sizes are estimated from one different line in so many, of all documents; they decide the number of blocks only."""
 
 KEY_ROWS = 500_000
 """Keys of frequent words are handed on in slices of about this many, however long a line is."""
@@ -63,7 +64,6 @@ SEEN = 200_000
 """Line signatures a task remembers in order to send equal lines once; more are sent again and cost time only."""
 
 SLICE = 2 * 1024**2
-_MASK = (1 << 64) - 1
 _hash = xxhash.xxh3_64_intdigest
 
 
@@ -76,28 +76,85 @@ def least_overlap(n: np.ndarray) -> np.ndarray:
 _TABLE = bytes(0x0A if b == 0x0A else (words_of(bytes([b])) or [b" "])[0][0] for b in range(256))
 
 
-def _lines(batch: pa.RecordBatch) -> Iterator[tuple[int, int, bytes, int, int]]:
-    """Row, line number, sorted 64-bit word hashes and both halves of their digest, of every line with words."""
-    for row, text in enumerate(text_bytes(column_of(batch, "text"))):
-        if text:
-            for number, line in enumerate(text.translate(_TABLE).split(b"\n")):
-                if words := line.split():
-                    own = _hashes(words)
-                    yield row, number, own, *_signature(own)
-
+class Lines(NamedTuple):
+    """Lines with words: row of the batch, line number, number of distinct words, digest in two halves; and their words'
+    hashes, sorted within each line."""
 
-def _hashes(words: list[bytes]) -> bytes:
-    return array("Q", sorted(map(_hash, set(words)))).tobytes()
+    row: np.ndarray
+    number: np.ndarray
+    size: np.ndarray
+    one: np.ndarray
+    two: np.ndarray
+    hashes: np.ndarray
 
 
-def _signature(hashes: bytes) -> tuple[int, int]:
-    """Digest of a line's word hashes as two signed 64-bit integers."""
-    digest = xxhash.xxh3_128_intdigest(hashes)
-    return _signed(digest & _MASK), _signed(digest >> 64)
+Part = tuple[int, int, bytes]
+"""Whole lines of one text: row of the batch, number of the first line, bytes."""
 
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
+def _parts(batch: pa.RecordBatch) -> Iterator[list[Part]]:
+    """The texts of a batch in lists of about ``SLICE`` bytes, cut between lines only."""
+    held, total = [], 0
+    for row, text in enumerate(text_bytes(column_of(batch, "text"))):
+        at = number = 0
+        while text and at <= len(text):
+            end = text.find(b"\n", at + SLICE) if len(text) - at > SLICE else -1
+            part = text[at : end if end >= 0 else len(text)]
+            held.append((row, number, part))
+            total += len(part)
+            if total >= SLICE:
+                yield held
+                held, total = [], 0
+            if end < 0:
+                break
+            number += part.count(b"\n") + 1
+            at = end + 1
+    if held:
+        yield held
+
+
+def _lines(parts: list[Part]) -> Lines | None:
+    """All lines with words of the given texts, None where there are none."""
+    buffer = b"\n".join(part for _, _, part in parts).translate(_TABLE)
+    words = buffer.split()
+    if not words:
+        return None
+    flat = np.frombuffer(buffer, np.uint8)
+    feed = flat == 0x0A
+    inside = flat != 0x20
+    inside &= ~feed
+    start = inside.copy()
+    start[1:] &= ~inside[:-1]
+    line = np.cumsum(feed, dtype=np.int64)[start]
+    hashes = np.fromiter(map(_hash, words), np.uint64, len(words))
+    bits = np.uint64(max(1, int(line[-1]).bit_length()))
+    packed = (line.astype(np.uint64) << (np.uint64(64) - bits)) | (hashes >> bits)
+    order = np.argsort(packed)
+    packed, ordered = packed[order], hashes[order]
+    if ((packed[1:] == packed[:-1]) & (ordered[1:] != ordered[:-1])).any():  # hashes that only their last bits tell apart
+        order = np.lexsort((hashes, line))
+        ordered = hashes[order]
+    line = line[order]
+    new = np.append(True, (line[1:] != line[:-1]) | (ordered[1:] != ordered[:-1]))
+    line, hashes = line[new], ordered[new]
+    starts = np.flatnonzero(np.append(True, line[1:] != line[:-1]))
+    size = np.diff(np.append(starts, len(line)))
+    one, two = (np.add.reduceat(_mixed(hashes + salt), starts).view(np.int64) for salt in _SALTS)
+    line = line[starts]
+    ends = np.cumsum([part.count(b"\n") + 1 for _, _, part in parts])
+    part = np.searchsorted(ends, line, "right")
+    base = np.array([number for _, number, _ in parts]) - np.append(0, ends[:-1])
+    return Lines(np.array([row for row, _, _ in parts])[part], base[part] + line, size, one, two, hashes)
+
+
+_SALTS = np.array([0x9E3779B97F4A7C15, 0xD1B54A32D192ED03], np.uint64)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64 bits. A line's digest is the sum of its words' mixed hashes, in two such sums."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
 def _survey_step(schema: pa.Schema):
@@ -107,32 +164,27 @@ def _survey_step(schema: pa.Schema):
         total = np.zeros(1 << BUCKET_BITS, np.int64)
         seen: set[int] = set()
         kind = schema.field("doc_id").type
-        for whole in batches:
-            for start, stop in by_bytes(column_of(whole, "text"), SLICE):
-                batch = whole.slice(start, stop - start)
-                rows, numbers, ones, twos, hashes = [], [], [], [], []
-                for row, number, own, one, two in _lines(batch):
-                    rows.append(row)
-                    numbers.append(number)
-                    ones.append(one)
-                    twos.append(two)
-                    if one not in seen:
-                        seen.add(one)
-                        hashes.append(own)
+        for batch in batches:
+            for lines in filter(None, map(_lines, _parts(batch))):
+                own, at = np.unique(lines.one, return_index=True)
+                own = own.tolist()
+                at = at[np.fromiter((x not in seen for x in own), bool, len(own))]
+                seen.update(own)
                 if len(seen) > SEEN:
                     seen.clear()
-                if hashes:
-                    buckets = np.frombuffer(b"".join(hashes), np.uint64) >> np.uint64(64 - BUCKET_BITS)
-                    total += np.bincount(buckets.astype(np.int64), minlength=len(total))
-                at = pa.array(rows, pa.int64())
+                fresh = np.zeros(len(lines.size), bool)
+                fresh[at] = True
+                buckets = lines.hashes[np.repeat(fresh, lines.size)] >> np.uint64(64 - BUCKET_BITS)
+                total += np.bincount(buckets.astype(np.int64), minlength=len(total))
+                row = pa.array(lines.row)
                 columns = [
-                    column_of(batch, "doc_id").take(at).cast(kind),
-                    column_of(batch, "text_key").take(at),
-                    pa.array(numbers, pa.int64()),
-                    pa.array(ones, pa.int64()),
-                    pa.array(twos, pa.int64()),
-                    pa.nulls(len(rows), pa.int64()),
-                    pa.nulls(len(rows), pa.int64()),
+                    column_of(batch, "doc_id").take(row).cast(kind),
+                    column_of(batch, "text_key").take(row),
+                    pa.array(lines.number),
+                    pa.array(lines.one),
+                    pa.array(lines.two),
+                    pa.nulls(len(row), pa.int64()),
+                    pa.nulls(len(row), pa.int64()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
         used = np.flatnonzero(total)
@@ -143,7 +195,7 @@ def _survey_step(schema: pa.Schema):
 
 
 def _keys_of(sizes, hashes, counts, order_of, frequent):
-    """Join keys of lines given by their sizes and word hashes: line, key (32 bits) and position in the line, in slices."""
+    """Join keys of lines given by their sizes and word hashes: line, key and position in the line, in slices."""
     line = np.repeat(np.arange(len(sizes)), sizes)
     bucket = (hashes >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
     # Rarest first, then by hash; hashes come sorted within a line, so a stable sort keeps that order.
@@ -156,8 +208,7 @@ def _keys_of(sizes, hashes, counts, order_of, frequent):
     # The rarest word that two matching lines share is within the shorter prefix of both. Where that word is frequent,
     # so is every other one they share, and a second one is within the longer prefix.
     rare = (place < (prefix - 1)[line]) & (count <= frequent) & (count > 1)
-    short = (hashes >> np.uint64(32)).astype(np.int64)
-    yield line[rare], short[rare], place[rare]
+    yield line[rare], hashes[rare].view(np.int64), place[rare]
     often = np.flatnonzero((place < prefix[line]) & (count > frequent))
     lines, keys, places, made = [], [], [], 0
     gap = 1
@@ -169,7 +220,7 @@ def _keys_of(sizes, hashes, counts, order_of, frequent):
         a, b = a[same], b[same]
         both = (hashes[a] * np.uint64(0x9E3779B97F4A7C15) + hashes[b]) * np.uint64(0xC2B2AE3D27D4EB4F)
         lines.append(line[a])
-        keys.append((both >> np.uint64(32)).astype(np.int64))
+        keys.append((both ^ (both >> np.uint64(32))).view(np.int64))
         places.append(place[a])
         made += len(a)
         if made >= KEY_ROWS:
@@ -180,7 +231,10 @@ def _keys_of(sizes, hashes, counts, order_of, frequent):
         yield np.concatenate(lines), np.concatenate(keys), np.concatenate(places)
 
 
-INDEX = ["key", "line", "doc", "number", "low", "high"]
+INDEX = ["key", "line", "doc", "spot", "low", "high"]
+"""``spot``: line number, then 16 bits each of the line's size and the key's position in it. Larger ones are cut there,
+which only lets more pairs through."""
+
 WIDE = 64
 """Lines of so many words have bitmaps of 128 bits, shorter ones of 64."""
 
@@ -198,57 +252,68 @@ def _parities(hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def _differing(rows: np.ndarray, a: np.ndarray, b: np.ndarray, wide: np.ndarray) -> np.ndarray:
     """At least so many words are in one line only; a bitmap of 128 bits folds to the one of 64 bits."""
-    low, high = ((rows[a, k] ^ rows[b, k]).view(np.uint64) for k in (4, 5))
+    low, high = ((rows[k][a] ^ rows[k][b]).view(np.uint64) for k in (4, 5))
     apart = np.bitwise_count(low).astype(np.int64) + np.bitwise_count(high)
     return np.where(wide, apart, np.bitwise_count(low ^ high))
 
 
-def _index_step(counts: np.ndarray, frequent: int):
-    """Join keys of lines: 32 bits of key, then the line's size and the key's position; signature; parity bitmap."""
+def _index_step(counts: np.ndarray, frequent: int, sample: int = 1):
+    """Join keys of lines, with ``sample`` of one in so many different lines."""
     order_of = np.zeros(len(counts), np.uint64)
     order_of[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=np.uint64)
 
+    def drawn(parts: list[Part]) -> list[Part]:
+        if sample == 1:
+            return parts
+        chosen = lambda x: x if _hash(x, 1) % sample == 0 else b""
+        return [(row, number, b"\n".join(map(chosen, part.split(b"\n")))) for row, number, part in parts]
+
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, tuple[int, int]] = {}
-        for whole in batches:
-            for start, stop in by_bytes(column_of(whole, "text"), SLICE):
-                sizes, ones, flat, at = [], [], [], []
-                batch = whole.slice(start, stop - start)
-                docs = column_of(batch, "doc").to_pylist()
-                for row, number, own, one, _ in _lines(batch):
-                    # Sent once, or again from an earlier place: the least place sent is the set's first.
-                    place = (docs[row], number)
+        for batch in batches:
+            docs = column_of(batch, "doc").to_numpy()
+            for parts in _parts(batch):
+                lines = _lines(drawn(parts))
+                if lines is None:
+                    continue
+                doc = docs[lines.row]
+                order = np.lexsort((lines.number, doc, lines.one))
+                one = lines.one[order]
+                order = order[np.append(True, one[1:] != one[:-1])]
+                # Sent once, or again from an earlier place: the least place sent is the set's first.
+                at = []
+                for i, one, *place in zip(*(x.tolist() for x in (order, lines.one[order], doc[order], lines.number[order])), strict=True):
+                    place = tuple(place)
                     if one not in seen or place < seen[one]:
                         seen[one] = place
-                        sizes.append(len(own) // 8)
-                        ones.append(one)
-                        flat.append(own)
-                        at.append(place)
+                        at.append(i)
                 if len(seen) > SEEN:
                     seen.clear()
-                if not sizes:
+                if not at:
                     continue
-                size, hashes = np.array(sizes, np.int64), np.frombuffer(b"".join(flat), np.uint64)
+                at = np.sort(np.array(at))
+                size = lines.size[at]
+                hashes = gather(lines.hashes, (np.cumsum(lines.size) - lines.size)[at], size)
+                one, doc, number = lines.one[at], doc[at], lines.number[at]
                 low, high = _parities(hashes, size)
+                head = (number << 32) | (np.minimum(size, 0xFFFF) << 16)
                 for line, key, place in _keys_of(size, hashes, counts, order_of, frequent):
-                    # Sizes and positions beyond 16 bits are cut there, which only lets more pairs through.
-                    tail = (np.minimum(size[line], 0xFFFF) << 16) | np.minimum(place, 0xFFFF)
-                    where = np.array(at, np.int64)[line]
-                    columns = [(key << 32) | tail, np.array(ones, np.int64)[line], *where.T, low[line], high[line]]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=INDEX)
+                    spot = head[line] | np.minimum(place, 0xFFFF)
+                    columns = [key, one[line], doc[line], spot, low[line], high[line]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=INDEX)
 
     return step
 
 
 def _candidates(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Within each key, pairs that length, position and bitmap allow: rows of the earlier and the later line, bits that
-    differ. Rows are sorted by key and size; lines of one place go both ways."""
-    key = rows[:, 0] >> 32
-    size, place = (rows[:, 0] >> 16) & 0xFFFF, rows[:, 0] & 0xFFFF
+    differ. Rows are columns of ``rows``, sorted by key and size; lines of one document id go both ways."""
+    key, line, doc, spot = rows[:4]
+    size, place = (spot >> 16) & 0xFFFF, spot & 0xFFFF
     starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     counts = np.diff(np.append(starts, len(key)))
     stop = np.repeat(starts + counts, counts)
-    live, gap = np.arange(len(rows)), 1
+    live, gap = np.arange(len(key)), 1
     while True:
         live = live[live + gap < stop[live]]
         # Sizes rise within a key: once a partner is too long, so are all later ones.
@@ -262,11 +327,10 @@ def _candidates(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
         near = (room >= need) | (size[b] == 0xFFFF)
         a, b, both, need = a[near], b[near], both[near], need[near]
         differ = _differing(rows, a, b, size[a] >= WIDE)
-        fine = ((differ <= both - 2 * need) | (size[b] == 0xFFFF)) & (rows[a, 1] != rows[b, 1])
+        fine = ((differ <= both - 2 * need) | (size[b] == 0xFFFF)) & (line[a] != line[b])
         a, b, differ = a[fine], b[fine], differ[fine]
         if len(a):
-            less = (rows[a, 2] < rows[b, 2]) | ((rows[a, 2] == rows[b, 2]) & (rows[a, 3] < rows[b, 3]))
-            same = (rows[a, 2] == rows[b, 2]) & (rows[a, 3] == rows[b, 3])
+            less, same = doc[a] < doc[b], doc[a] == doc[b]
             yield (
                 np.concatenate([np.where(less, a, b), a[same]]),
                 np.concatenate([np.where(less, b, a), b[same]]),
@@ -279,67 +343,118 @@ FEW = 4
 """A line with more earlier candidates in a key sends its likeliest one; the others count only if that fails."""
 
 
-def _pairs_in(rows: np.ndarray, every: bool, few: int) -> Iterator[np.ndarray]:
-    """Pairs ``a, b, differ, key``; ``key`` is set where ``b`` has more candidates in it. With ``every``, all pairs whose
-    later line is marked in the last column."""
-    rows = rows[np.lexsort((rows[:, 3], rows[:, 2], rows[:, 1], rows[:, 0]))]
-    rows = rows[np.append(True, (rows[1:, :2] != rows[:-1, :2]).any(1))]
-    if every:
-        for early, late, differ in _candidates(rows):
-            keep = rows[late, 6] == 1
-            if keep.any():
-                yield np.column_stack([rows[early[keep], 1], rows[late[keep], 1], differ[keep], np.zeros(keep.sum(), np.int64)])
-        return
-    count = np.zeros(len(rows), np.int64)
-    best = np.full(len(rows), np.iinfo(np.int64).max)
+def _grouped(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of keys that several rows have, by key and size, each line once in a key at its first place; and their
+    positions in ``rows``, which are sorted by key."""
+    key = rows[0]
+    equal = key[1:] == key[:-1]
+    at = np.flatnonzero(np.append(equal, False) | np.append(False, equal))
+    key, line, doc, spot = rows[:4, at]
+    order = np.lexsort((spot, doc, line, (spot >> 16) & 0xFFFF, key))
+    key, line = key[order], line[order]
+    at = at[order[np.append(True, (key[1:] != key[:-1]) | (line[1:] != line[:-1]))[: len(order)]]]
+    return rows[:, at], at
+
+
+def _pairs_in(rows: np.ndarray, few: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of lines with their key; ``more`` is set where ``b`` has more candidates in it. The lines of a key that has
+    such a line, as far as they are candidates, follow with a null ``b``."""
+    rows, _ = _grouped(rows)
+    count = np.zeros(rows.shape[1], np.int64)
+    best = np.full(rows.shape[1], np.iinfo(np.int64).max)
+    touched = np.zeros(rows.shape[1], bool)
     kept = []
     for early, late, differ in _candidates(rows):
         np.add.at(count, late, 1)
         np.minimum.at(best, late, (differ << 40) | early)
+        touched[early] = touched[late] = True
         keep = count[late] <= few
         kept.append(np.stack([early[keep], late[keep], differ[keep]]))
     if not kept:
         return
     early, late, differ = np.concatenate(kept, axis=1)
     keep = count[late] <= few
-    early, late, differ = early[keep], late[keep], differ[keep]
     many = np.flatnonzero(count > few)
-    early = np.append(early, best[many] & ((1 << 40) - 1))
-    differ = np.append(differ, best[many] >> 40)
-    more = np.append(np.zeros(len(late), np.int64), np.ones(len(many), np.int64))
-    late = np.append(late, many)
-    keys = np.where(more == 1, rows[late, 0] >> 32, 0)
-    yield np.column_stack([rows[early, 1], rows[late, 1], differ, keys, more])
-
-
-def _pair_step(every: bool, few: int):
-    names = [*INDEX, "open"] if every else INDEX
-
+    early = np.append(early[keep], best[many] & ((1 << 40) - 1))
+    differ = np.append(differ[keep], best[many] >> 40)
+    more = np.repeat([0, 1], [keep.sum(), len(many)])
+    late = np.append(late[keep], many)
+    nothing = pa.nulls(len(late), pa.int64())
+    columns = [rows[1][early], rows[1][late], differ.astype(np.int32), rows[0][late], more.astype(np.int32)]
+    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), *[nothing] * 4], names=PAIR_NAMES)
+    if len(many):
+        group = np.cumsum(np.append(True, rows[0][1:] != rows[0][:-1]))
+        wanted = np.zeros(group[-1] + 1, bool)
+        wanted[group[many]] = True
+        key, line, *rest = rows[:, touched & wanted[group]]
+        none, short = pa.nulls(len(key), pa.int64()), pa.nulls(len(key), pa.int32())
+        columns = [pa.array(line), none, short, pa.array(key), short, *map(pa.array, rest)]
+        yield pa.RecordBatch.from_arrays(columns, names=PAIR_NAMES)
+
+
+def _whole_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches sorted by key, cut so that no key is in two of them."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = column_of(batch, "key").to_numpy()
+        at = int(np.searchsorted(key, key[-1]))
+        if held and (at or column_of(held[-1], "key")[-1].as_py() != key[0]):
+            yield pa.Table.from_batches([*held, batch.slice(0, at)])
+            held = []
+        elif at:
+            yield pa.Table.from_batches([batch.slice(0, at)])
+        held.append(batch.slice(at))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _pair_step(few: int):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((0, len(names)), np.int64)
-        for batch in batches:
-            rows = np.stack([column_of(batch, n).to_numpy() for n in names], 1)
-            rows = np.concatenate([held, rows])
-            if not len(rows):
-                continue
-            cut = int(np.searchsorted(rows[:, 0] >> 32, rows[-1, 0] >> 32))
-            held = rows[cut:]
-            if cut:
-                yield from map(_as_pairs, _pairs_in(rows[:cut], every, few))
-        if len(held):
-            yield from map(_as_pairs, _pairs_in(held, every, few))
+        for rows in _whole_keys(_wide(batches)):
+            yield from _pairs_in(np.stack([rows.column(n).to_numpy() for n in INDEX]), few)
 
     return step
 
 
-PAIRS = "a long, b long, differ int, key long, more int"
+WIDE_ROWS = 100_000
 
 
-def _as_pairs(pairs: np.ndarray) -> pa.RecordBatch:
-    more = pairs[:, 4] if pairs.shape[1] > 4 else np.zeros(len(pairs), np.int64)
-    columns = [pairs[:, 0], pairs[:, 1], pairs[:, 2].astype(np.int32), pairs[:, 3], more.astype(np.int32)]
-    names = ["a", "b", "differ", "key", "more"]
-    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=names)
+def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of some 100,000 short rows, for fewer calls."""
+    held, total = [], 0
+    for batch in batches:
+        held.append(batch)
+        total += batch.num_rows
+        if total >= WIDE_ROWS:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, total = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _settle_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Open lines (``open`` is 1) that an earlier line of their key matches by its words."""
+    for table in _whole_keys(batches):
+        rows, at = _grouped(np.stack([table.column(n).to_numpy() for n in INDEX]))
+        if not len(at):
+            continue
+        open_ = table.column("open").to_numpy()[at] == 1
+        sets = [frozenset(w) for w in table.column("words").take(pa.array(at)).to_pylist()]
+        doc, number, text = rows[2], rows[3] >> 32, table.column("text_key").to_numpy()[at]
+        for early, late, _ in _candidates(rows):
+            sooner = (text[early] < text[late]) | ((text[early] == text[late]) & (number[early] < number[late]))
+            left = open_[late] & ((doc[early] < doc[late]) | sooner)
+            for a, b in zip(early[left].tolist(), late[left].tolist(), strict=True):
+                if open_[b] and 9 * len(sets[a] & sets[b]) >= 4 * (len(sets[a]) + len(sets[b])):
+                    open_[b] = False
+        gone = (table.column("open").to_numpy()[at] == 1) & ~open_
+        yield pa.RecordBatch.from_arrays([pa.array(rows[1][gone])], names=["late"])
+
+
+PAIRS = "a long, b long, differ int, key long, more int, doc long, spot long, low long, high long"
+PAIR_NAMES = ["a", "b", "differ", "key", "more", "doc", "spot", "low", "high"]
 
 
 def _place_hash(key: np.ndarray, line: np.ndarray) -> np.ndarray:
@@ -362,9 +477,10 @@ def _words_step(bits: np.ndarray):
                     lines = (text or b"").split(b"\n")
                     place = _place_hash(np.full(len(lines), key), np.arange(len(lines)))
                     for i in np.flatnonzero(bits[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)):
-                        words = set(words_of(lines[i]))
+                        words = set(lines[i].translate(_TABLE).split())
                         if words:
-                            ones.append(_signature(_hashes(words))[0])
+                            own = np.fromiter(map(_hash, words), np.uint64, len(words))
+                            ones.append(_mixed(own + _SALTS[0]).sum(keepdims=True).view(np.int64)[0])
                             found.append([w.decode() for w in sorted(words)])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ones, pa.int64()), pa.array(found, pa.list_(pa.string()))], names=["line", "words"]
@@ -407,23 +523,12 @@ def removed_lines(documents: DataFrame, frequent: int = FREQUENT, few: int = FEW
     first = written(first, "first")
 
     doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("doc")
-    indexed = lambda d: d.select("text", doc).mapInArrow(
-        tidy(_index_step(counts, frequent)), "key long, line long, doc long, number long, low long, high long"
+    indexed = lambda sample: keyed.select("text", doc).mapInArrow(
+        tidy(_index_step(counts, frequent, sample)), "key long, line long, doc long, spot long, low long, high long"
     )
-    index = _in_blocks(indexed(keyed), indexed(keyed.where(F.pmod(F.xxhash64("text_key"), F.lit(SAMPLE)) == 0)))
-    short = F.shiftright("key", 32)
-    dealt = index.repartition(short).sortWithinPartitions("key")
-    found = written(dealt.mapInArrow(tidy(_pair_step(False, few)), PAIRS), "pairs")
-    gone = written(_gone(keyed, found, first), "gone")
-    # Lines that stay although they had more candidates than were tried: all of these, in the keys concerned.
-    open_ = found.where("more = 1").select(F.col("b").alias("line"), F.col("key").alias("short")).distinct()
-    open_ = written(open_.join(gone.select("line"), "line", "left_anti"), "open")
-    if not open_.isEmpty():
-        marked = index.withColumn("short", short).join(open_.select("short").distinct(), "short", "left_semi")
-        marked = marked.join(open_.withColumn("open", F.lit(1).cast("long")), ["short", "line"], "left")
-        marked = marked.select(*INDEX, F.coalesce("open", F.lit(0).cast("long")).alias("open"))
-        rest = marked.repartition(short).sortWithinPartitions("key").mapInArrow(tidy(_pair_step(True, few)), PAIRS)
-        gone = gone.unionByName(_gone(keyed, written(rest, "pairs"), first))
+    dealt = _in_blocks(indexed(1), indexed(SAMPLE)).repartition("key").sortWithinPartitions("key")
+    found = written(dealt.mapInArrow(tidy(_pair_step(few)), PAIRS), "pairs")
+    gone = _gone(keyed, found, first)
     later = gone.select("first.*").distinct()
     again = first.where("times > 1").select("line", "check", "first")
     repeats = lines.join(again, ["line", "check"]).where(~place.eqNullSafe(F.col("first"))).select("doc_id", "text_key", "number")
@@ -433,30 +538,32 @@ def removed_lines(documents: DataFrame, frequent: int = FREQUENT, few: int = FEW
 def _in_blocks(index: DataFrame, sample: DataFrame) -> DataFrame:
     """The index with each key of many lines replaced by keys of its own for each pair of blocks of these lines.
 
-    Two lines of the key meet wherever their blocks do. Keys that become equal by their 32 bits only compare more lines.
+    Two lines of the key meet wherever their blocks do. Key sizes are estimated from a sample of the lines of all documents.
     """
-    short = F.shiftright("key", 32)
     hot = (
-        sample.groupBy(short.alias("hot"))
+        sample.groupBy(F.col("key").alias("hot"))
         .agg(F.ceil(F.count(F.lit(1)) * SAMPLE / BLOCK).cast("long").alias("blocks"))
         .where("blocks > 1")
     )
-    rows = index.join(written(hot, "hot"), short == F.col("hot"), "left")
+    hot = written(hot, "hot")
+    if hot.isEmpty():
+        return index
+    rows = index.join(hot, F.col("key") == F.col("hot"), "left")
     own = F.pmod(F.xxhash64("line", F.lit(1)), F.col("blocks"))
     dealt = F.transform(
         F.filter(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda j: j != own),
-        lambda j: F.shiftleft(F.hash("hot", F.least(own, j), F.greatest(own, j)).cast("long"), 32).bitwiseOR(
-            F.col("key").bitwiseAND(F.lit(0xFFFFFFFF))
-        ),
+        lambda j: F.xxhash64("hot", F.least(own, j), F.greatest(own, j)),
     )
     keys = F.when(F.col("blocks").isNull(), F.array("key")).otherwise(dealt)
     return rows.select(F.explode(keys).alias("key"), *INDEX[1:])
 
 
 def _gone(keyed: DataFrame, found: DataFrame, first: DataFrame) -> DataFrame:
-    """``line, first`` of lines that a different, earlier line matches, among the pairs found."""
-    pairs = written(found.groupBy("a", "b").agg(F.min("differ").alias("differ")), "pairs")
-    ends = pairs.select(F.col("a").alias("line")).unionByName(pairs.select(F.col("b").alias("line"))).distinct()
+    """``line, first`` of lines that a different, earlier line matches, among the pairs and keys found."""
+    pairs = found.where("b is not null").groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = pairs.agg(F.min("differ").alias("differ"))
+    pairs = written(pairs, "pairs")
+    ends = found.select(F.explode(F.array("a", "b")).alias("line")).where("line is not null").distinct()
     wanted = written(first.join(ends, "line").select("line", "first"), "wanted")
     places = wanted.select("first.text_key", "first.number")
     bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
@@ -465,11 +572,11 @@ def _gone(keyed: DataFrame, found: DataFrame, first: DataFrame) -> DataFrame:
     held = set_bits.toArrow()
     bits[held.column("word").to_numpy()] = held.column("bit").to_numpy().view(np.uint64)
     words = keyed.select("text", "text_key").mapInArrow(tidy(_words_step(bits)), "line long, words array<string>")
-    known = words.join(ends, "line", "left_semi").groupBy("line").agg(F.min("words").alias("words"))
+    known = words.join(wanted.select("line"), "line", "left_semi").groupBy("line").agg(F.min("words").alias("words"))
     known = written(known, "words")
     # The earlier line of each pair; a line goes as soon as one earlier line matches it.
-    ends = [wanted.select(*[F.col(c).alias(f"{c}_{side}") for c in wanted.columns]) for side in "ab"]
-    placed = pairs.join(ends[0], F.col("a") == F.col("line_a")).join(ends[1], F.col("b") == F.col("line_b"))
+    sides = [wanted.select(*[F.col(c).alias(f"{c}_{side}") for c in wanted.columns]) for side in "ab"]
+    placed = pairs.join(sides[0], F.col("a") == F.col("line_a")).join(sides[1], F.col("b") == F.col("line_b"))
     both = [F.struct(F.col(f"first_{side}").alias("first"), F.col(f"line_{side}").alias("line")) for side in "ab"]
     directed = placed.select(F.least(*both).alias("x"), F.greatest(*both).alias("y"), "differ")
     directed = written(directed.select(F.col("x.line").alias("early"), F.col("y.line").alias("late"), "differ"), "directed")
@@ -478,8 +585,19 @@ def _gone(keyed: DataFrame, found: DataFrame, first: DataFrame) -> DataFrame:
     likely = directed.groupBy("late").agg(F.min(F.struct("differ", "early")).alias("best"))
     gone = written(_matching(likely.select("late", "best.early"), known), "gone")
     rest = directed.join(gone, "late", "left_anti").select("late", "early")
-    gone = gone.unionByName(_matching(rest, known)).distinct()
-    return gone.join(wanted, F.col("late") == F.col("line")).select("line", "first")
+    gone = written(gone.unionByName(_matching(rest, known)).distinct(), "gone")
+    # Lines that stay although they had more candidates than were tried: compared with all of these in their keys.
+    open_ = found.where("more = 1").select(F.col("b").alias("line"), "key").distinct()
+    open_ = written(open_.join(gone, F.col("line") == F.col("late"), "left_anti"), "open")
+    if not open_.isEmpty():
+        members = found.where("b is null").withColumnRenamed("a", "line").select(*INDEX)
+        members = members.join(open_.select("key").distinct(), "key", "left_semi")
+        members = members.join(open_.withColumn("open", F.lit(1).cast("long")), ["key", "line"], "left").join(known, "line")
+        members = members.join(wanted.select("line", "first.text_key"), "line")
+        members = members.select(*INDEX, F.coalesce("open", F.lit(0).cast("long")).alias("open"), "text_key", "words")
+        settled = members.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(_settle_step), "late long")
+        gone = gone.unionByName(settled.distinct())
+    return written(gone.join(wanted, F.col("late") == F.col("line")).select("line", "first"), "gone")
 
 
 def _matching(pairs: DataFrame, known: DataFrame) -> DataFrame:
