@@ -3,6 +3,7 @@ import itertools
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -192,6 +193,48 @@ def test_keys_of_a_very_long_line_come_in_slices(monkeypatch):
     assert max(len(p[0]) for p in parts) <= 2_000 and sum(len(p[0]) for p in parts) == 402 * 401 // 2
 
 
+@pytest.mark.parametrize("size", [40, 1_000, 10**6])
+def test_lines_of_a_slice_equal_single_lines(size, monkeypatch):
+    """Rows, numbers and word counts of lines; equal word sets have equal digests, different ones different."""
+    monkeypatch.setattr(line_dedup, "SLICE", size)
+    rng = np.random.default_rng(size)
+    letters = list("aAbB19") + ["\u00e9", "\u4e2d", "_", "\t", "\r", " ", " "]
+    word = lambda: "".join(rng.choice(letters, rng.integers(1, 40)))
+    texts = [None, "", "\n", "\n\nx"] + [
+        "\n".join(" ".join(word() for _ in range(rng.integers(0, 4))) for _ in range(rng.integers(0, 9))) for _ in range(150)
+    ]
+    texts += ["A b\nb a B\nb", "0123456789abcdef 01234567 0123456789abcdefg 012345678\n0123456789abcdef"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])
+    got, digests = [], {}
+    for lines in filter(None, map(line_dedup._lines, line_dedup._parts(batch))):
+        assert lines.size.sum() == len(lines.hashes)
+        for row, number, n, one, two in zip(*(x.tolist() for x in lines[:5]), strict=True):
+            own = dict(sets_of(texts[row]))[number]
+            assert len(own) == n and digests.setdefault(own, (one, two)) == (one, two)
+            got.append((row, number))
+    assert got == [(i, number) for i, text in enumerate(texts) for number, _ in sets_of(text)]
+    assert len(set(digests.values())) == len(digests) == len({one for one, _ in digests.values()}) > 300
+
+
+def test_lines_of_one_long_document_and_of_equal_ids(spark, monkeypatch):
+    """Template lines inside one document count in the sample of lines; texts that share an id have an order too."""
+    rng = np.random.default_rng(5)
+    often = [f"w{i}" for i in range(12)]
+    template = lambda: " ".join([*often, *(f"v{rng.integers(90)}x{k}" for k in range(2))])
+    long = "\n".join(template() for _ in range(300))
+    docs = [(1, long), *((2 + i, template()) for i in range(100))]
+    monkeypatch.setattr(line_dedup, "BLOCK", 50)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.number) for r in line_dedup.removed_lines(df, 8, 2).collect()}
+    assert got == removed_by_force(docs) and len(got) > 50
+    same = [(7, template()) for _ in range(120)]
+    rows = line_dedup._keyed(spark.createDataFrame(same, "doc_id long, text string")).distinct().orderBy("text_key").collect()
+    want = {rows[i].text_key for i, _ in removed_by_force([(i, r.text) for i, r in enumerate(rows)])}
+    df = spark.createDataFrame(same, "doc_id long, text string").repartition(3)
+    got = {r.text_key for r in line_dedup.removed_lines(df, 8, 0).collect()}
+    assert got == want and want
+
+
 def test_lines_of_tables(spark, small):
     docs = table(spark, small, "documents")
     rows = [tuple(r) for r in docs.select("doc_id", "text").orderBy("doc_id").collect()]

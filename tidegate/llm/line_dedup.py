@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidegate.llm.chunks import gather
-from tidegate.llm.common import by_bytes, column_of, ship, text_bytes, tidy
+from tidegate.llm.common import column_of, ship, text_bytes, tidy
 from tidegate.llm.decontaminate import words_of
 from tidegate.session import written
 
@@ -57,6 +57,9 @@ SAMPLE = 16
 KEY_ROWS = 500_000
 """Keys of frequent words are handed on in slices of about this many, however long a line is."""
 
+MEMBER_WORDS = 256
+"""A line of more words has its keys in several lists."""
+
 FILTER_BITS = 26
 """Size of the bit filter by which the second scan knows lines to verify; a full filter only lets more through."""
 
@@ -116,17 +119,18 @@ def _parts(batch: pa.RecordBatch) -> Iterator[list[Part]]:
 def _lines(parts: list[Part]) -> Lines | None:
     """All lines with words of the given texts, None where there are none."""
     buffer = b"\n".join(part for _, _, part in parts).translate(_TABLE)
-    words = buffer.split()
-    if not words:
-        return None
     flat = np.frombuffer(buffer, np.uint8)
+    if not len(flat):
+        return None
     feed = flat == 0x0A
     inside = flat != 0x20
     inside &= ~feed
-    start = inside.copy()
-    start[1:] &= ~inside[:-1]
-    line = np.cumsum(feed, dtype=np.int64)[start]
-    hashes = np.fromiter(map(_hash, words), np.uint64, len(words))
+    turns = np.flatnonzero(np.append(inside[1:] != inside[:-1], inside[-1])) + 1
+    start, end = (np.insert(turns, 0, 0) if inside[0] else turns).reshape(-1, 2).T
+    if not len(start):
+        return None
+    line = np.searchsorted(np.flatnonzero(feed), start)
+    hashes = _word_hashes(buffer, start, end - start)
     bits = np.uint64(max(1, int(line[-1]).bit_length()))
     packed = (line.astype(np.uint64) << (np.uint64(64) - bits)) | (hashes >> bits)
     order = np.argsort(packed)
@@ -147,6 +151,19 @@ def _lines(parts: list[Part]) -> Lines | None:
     return Lines(np.array([row for row, _, _ in parts])[part], base[part] + line, size, one, two, hashes)
 
 
+def _word_hashes(buffer: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words: a bijection of the bytes of words of up to 8, two such mixed for words of up to 16."""
+    eights = np.ndarray(len(buffer) + 1, "<u8", buffer + bytes(8), strides=(1,))
+    hashes = _mixed(eights[start] & _LOW[np.minimum(size, 8)])
+    more = np.flatnonzero((size > 8) & (size <= 16))
+    hashes[more] = _mixed(hashes[more] + _mixed((eights[start[more] + 8] & _LOW[size[more] - 8]) ^ _SALTS[0]))
+    long = np.flatnonzero(size > 16)
+    places = zip(start[long].tolist(), (start + size)[long].tolist(), strict=True)
+    hashes[long] = np.fromiter((_hash(buffer[a:b]) for a, b in places), np.uint64, len(long))
+    return hashes
+
+
+_LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _SALTS = np.array([0x9E3779B97F4A7C15, 0xD1B54A32D192ED03], np.uint64)
 
 
@@ -468,23 +485,24 @@ def _words_step(bits: np.ndarray):
     """The words of lines whose place the filter holds."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start, stop in by_bytes(column_of(whole, "text"), SLICE):
-                batch = whole.slice(start, stop - start)
-                keys = column_of(batch, "text_key").to_numpy()
-                ones, found = [], []
-                for key, text in zip(keys, text_bytes(column_of(batch, "text")), strict=True):
-                    lines = (text or b"").split(b"\n")
-                    place = _place_hash(np.full(len(lines), key), np.arange(len(lines)))
-                    for i in np.flatnonzero(bits[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)):
-                        words = set(lines[i].translate(_TABLE).split())
-                        if words:
-                            own = np.fromiter(map(_hash, words), np.uint64, len(words))
-                            ones.append(_mixed(own + _SALTS[0]).sum(keepdims=True).view(np.int64)[0])
-                            found.append([w.decode() for w in sorted(words)])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ones, pa.int64()), pa.array(found, pa.list_(pa.string()))], names=["line", "words"]
-                )
+        for batch in batches:
+            keys = column_of(batch, "text_key").to_numpy()
+            for parts in _parts(batch):
+                lines = [part.split(b"\n") for _, _, part in parts]
+                counts = np.array([len(x) for x in lines])
+                ends = np.cumsum(counts)
+                first = np.repeat(np.array([number for _, number, _ in parts]) - (ends - counts), counts)
+                key = np.repeat(keys[[row for row, _, _ in parts]], counts)
+                place = _place_hash(key, first + np.arange(ends[-1]))
+                at = np.flatnonzero(bits[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1))
+                part = np.searchsorted(ends, at, "right")
+                within = at - (ends - counts)[part]
+                wanted = [lines[p][i] for p, i in zip(part.tolist(), within.tolist(), strict=True)]
+                found = _lines([(row, 0, line) for row, line in enumerate(wanted)])
+                if found is not None:
+                    words = [sorted(set(wanted[row].translate(_TABLE).split())) for row in found.row.tolist()]
+                    columns = [pa.array(found.one), pa.array(words, pa.list_(pa.binary())).cast(pa.list_(pa.string()))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["line", "words"])
 
     return step
 
@@ -592,9 +610,16 @@ def _gone(keyed: DataFrame, found: DataFrame, first: DataFrame) -> DataFrame:
     if not open_.isEmpty():
         members = found.where("b is null").withColumnRenamed("a", "line").select(*INDEX)
         members = members.join(open_.select("key").distinct(), "key", "left_semi")
-        members = members.join(open_.withColumn("open", F.lit(1).cast("long")), ["key", "line"], "left").join(known, "line")
-        members = members.join(wanted.select("line", "first.text_key"), "line")
-        members = members.select(*INDEX, F.coalesce("open", F.lit(0).cast("long")).alias("open"), "text_key", "words")
+        members = members.join(open_.withColumn("open", F.lit(1).cast("long")), ["key", "line"], "left")
+        members = members.withColumn("open", F.coalesce("open", F.lit(0).cast("long")))
+        # A line meets its words once for all its keys, a long line once for each slice of them.
+        size = F.shiftright("spot", 16).bitwiseAND(0xFFFF)
+        slices = F.pmod("key", F.floor(size / MEMBER_WORDS) + 1).alias("slice")
+        keys = F.collect_list(F.struct("key", "spot", "open")).alias("keys")
+        members = members.groupBy("line", "doc", "low", "high", slices).agg(keys)
+        members = members.join(known.join(wanted.select("line", "first.text_key"), "line"), "line")
+        members = members.withColumn("own", F.explode("keys"))
+        members = members.select("own.*", "line", "doc", "low", "high", "text_key", "words")
         settled = members.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(_settle_step), "late long")
         gone = gone.unionByName(settled.distinct())
     return written(gone.join(wanted, F.col("late") == F.col("line")).select("line", "first"), "gone")
