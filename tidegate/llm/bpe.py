@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidegate.llm.chunks import ChunkIds, gather
-from tidegate.llm.common import by_bytes, column_of, ship, text_bytes, tidy
+from tidegate.llm.common import any_names, by_bytes, column_of, quoted, ship, text_bytes, tidy
 
 # Fixed value: the pattern by which this family of tokenizers splits text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -343,19 +343,21 @@ def _step(df: DataFrame, kept: list[str], added: str, make) -> DataFrame:
     return df.mapInArrow(tidy(make(to_arrow_schema(schema))), schema)
 
 
+@any_names
 def encode(documents: DataFrame, path: str, keep_text: bool = True) -> DataFrame:
     """Adds ``ids`` (little-endian unsigned 32-bit integers) and ``n_tokens``; ``path`` is a vocabulary file."""
     ship(documents.sparkSession)
-    kept = [c for c in documents.columns if c not in ("ids", "n_tokens") and (keep_text or c != "text")]
-    source = documents.select(*dict.fromkeys([*kept, "text"]))
+    kept = [c for c in documents.columns if c.lower() not in ("ids", "n_tokens") and (keep_text or c != "text")]
+    source = documents.select(*quoted(dict.fromkeys([*kept, "text"])))
     return _step(source, kept, "ids binary, n_tokens long", lambda s: _encode_step(path, s))
 
 
+@any_names
 def decode(encoded: DataFrame, path: str, keep_ids: bool = True) -> DataFrame:
     """Adds ``decoded``, the text of ``ids``; bytes that are not UTF-8 become the replacement character."""
     ship(encoded.sparkSession)
-    kept = [c for c in encoded.columns if c != "decoded"]
-    out = _step(encoded.select(*kept), kept, "decoded string", lambda s: _decode_step(path, s))
+    kept = [c for c in encoded.columns if c.lower() != "decoded"]
+    out = _step(encoded.select(*quoted(kept)), kept, "decoded string", lambda s: _decode_step(path, s))
     return out if keep_ids else out.drop("ids")
 
 

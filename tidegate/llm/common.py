@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import ctypes
+import functools
 import os
 import sys
 import tempfile
 import zipfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -61,6 +62,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(names: Iterable[str]) -> list[str]:
+    """Column names as they are, also with dots or back quotes in them."""
+    return ["`" + name.replace("`", "``") + "`" for name in names]
+
+
+def any_names(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator whose first argument may have columns with dots or back quotes in their names.
+
+    Spark's Arrow steps cannot address these, so they have other names inside and get their own back in the result.
+    """
+
+    @functools.wraps(operator)
+    def run(documents: DataFrame, *args, **kwargs) -> DataFrame:
+        names = documents.columns
+        other = {c: unused(f"column_{n}", names) for n, c in enumerate(names) if "." in c or "`" in c}
+        out = operator(documents.withColumnsRenamed(other), *args, **kwargs)
+        return out.withColumnsRenamed({new: old for old, new in other.items()})
+
+    return run
+
+
+def unused(name: str, taken: Iterable[str]) -> str:
+    """``name``, with underscores before it until no name taken is the same in any case."""
+    taken = {t.lower() for t in taken}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def by_bytes(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of a string column with about ``limit`` bytes each."""
     start = total = 0

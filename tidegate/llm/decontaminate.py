@@ -7,8 +7,8 @@ occurrences of the window, and the deepest interval that holds a document's suff
 Two reductions lose nothing. Words that no item has end a suffix, as nothing matches across them. A suffix with fewer
 words before such an end than the shortest window is left out. Suffixes are ordered to the longest item's length.
 
-The items are taken in blocks of bounded size, by measured bytes; each block is one further pass inside the same tasks,
-so that nothing is shuffled and no row is ever joined back.
+The items are taken in blocks of bounded size, by measured bytes; each is a pass of its own over the texts. Between two
+passes the rows are a written table, so that the driver and the tasks hold one block at a time; nothing is shuffled.
 
 Cases: null or wordless texts have no words and no hits. Items without words match nothing. Equal items each count.
 Null item ids are left out of the id list but still mark words. Repeated documents each keep their row. Empty tables
@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.llm.common import by_bytes, column_of, ship, text_bytes, tidy
+from tidegate.llm.common import any_names, by_bytes, column_of, quoted, ship, text_bytes, tidy, unused
+from tidegate.session import written
 
 BLOCK_BYTES = 16 * 1024**2
 """Most text of items in one block."""
@@ -271,19 +272,22 @@ def _rank(match: dict) -> tuple:
     return -match["words"], match["doc_at"], match["item_id"] is None, match["item_id"] or ""
 
 
-def blocks_of(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[Block]:
-    """The items in blocks of about ``block_bytes``, one on the driver at a time."""
+def block_count(benchmark: DataFrame, block_bytes: int) -> int:
     total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = max(1, -(-total // block_bytes))
+    return max(1, -(-total // block_bytes))
+
+
+def block_of(benchmark: DataFrame, window: int, count: int, number: int) -> Block:
+    """The items of one of ``count`` blocks, dealt by hash."""
     keyed = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
-    for k in range(count):
-        part = keyed.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k)
-        yield Block([(r[0], r[1].encode() if r[1] is not None else None) for r in part.collect()], window)
+    part = keyed.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == number)
+    return Block([(r[0], r[1].encode() if r[1] is not None else None) for r in part.collect()], window)
 
 
 ADDED = ("n_words", "hits", "items", "longest")
 
 
+@any_names
 def contamination(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -297,20 +301,23 @@ def contamination(
     holds a window, with its word offset and item; of equal ones the first in the document, then the least item id. Columns of these names in the documents are replaced.
     """
     ship(documents.sparkSession)
-    columns = [c for c in columns or documents.columns if c not in ADDED]
+    columns = [c for c in columns or documents.columns if c.lower() not in ADDED]
     out = documents.select(
-        *dict.fromkeys([*columns, "text"]),
+        *quoted(dict.fromkeys([*columns, "text"])),
         F.lit(0).cast("long").alias("n_words"),
         F.lit(None).cast("array<array<long>>").alias("hits"),
         F.lit(None).cast("array<string>").alias("items"),
         F.lit(None).cast("struct<words:long,doc_at:long,item_id:string>").alias("longest"),
     )
-    steps = list(blocks_of(benchmark, window, block_bytes))
-    for k, block in enumerate(steps):
-        last = k == len(steps) - 1
-        kept = out.select(*columns, *ADDED) if last else out
+    count = block_count(benchmark, block_bytes)
+    for k in range(count):
+        last = k == count - 1
+        kept = out.select(*quoted([*columns, *ADDED])) if last else out
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in kept.schema.fields])
-        out = out.mapInArrow(tidy(_matcher(block, _arrow(schema))), schema)
+        step = _matcher(block_of(benchmark, window, count, k), _arrow(schema))
+        out = out.mapInArrow(tidy(step), schema)
+        if not last:  # so that neither the driver nor a task holds two blocks
+            out = written(out, "matched")
     return out
 
 
@@ -337,8 +344,11 @@ def report(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
     )
 
 
+@any_names
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without those that hold a window of an item."""
-    own = {c: f"_kept_{n}" for n, c in enumerate(documents.columns) if c in ADDED}
-    found = contamination(documents.withColumnsRenamed(own), benchmark, window).where("hits is null").drop(*ADDED)
-    return found.withColumnsRenamed({new: old for old, new in own.items()}).select(*documents.columns)
+    own = {c: unused(f"kept_{c}", documents.columns) for c in documents.columns if c.lower() in ADDED}
+    shielded = documents.withColumnsRenamed(own)
+    found = contamination(shielded, benchmark, window).where("hits is null")
+    back = [F.col(q).alias(c) for q, c in zip(quoted(shielded.columns), documents.columns, strict=True)]
+    return found.select(*back)

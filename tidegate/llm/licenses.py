@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.llm.scans import let, running
 from tidegate.session import written
 
 # Licence sentences as their owners write them, and the licence that a list of them stands for.
@@ -242,19 +243,11 @@ def recognise(documents: DataFrame, sentences: DataFrame, rules: DataFrame) -> D
     spans = heads.join(first, "head").select("doc_id", "text_key", "licence", _spans().alias("spans"))
     spans = spans.select("doc_id", "text_key", "licence", F.explode("spans").alias("span"))
     held = spans.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("span", "licence")).alias("held"))
-    longest = F.filter(
-        "held",
-        lambda a: ~F.exists(
-            "held",
-            lambda b: (b["span"]["start"] <= a["span"]["start"])
-            & (b["span"]["stop"] >= a["span"]["stop"])
-            & (b["span"]["stop"] - b["span"]["start"] > a["span"]["stop"] - a["span"]["start"]),
-        ),
-    )
+    licences_of = F.array_sort(F.array_distinct(F.transform(_longest(F.col("held")), lambda x: x["licence"])))
     licences = held.select(
         F.col("doc_id").alias("held_id"),
         F.col("text_key").alias("held_key"),
-        F.array_sort(F.array_distinct(F.transform(longest, lambda x: x["licence"]))).alias("licences"),
+        licences_of.alias("licences"),
     )
     seen = found.select(
         F.col("doc_id").alias("seen_id"),
@@ -292,6 +285,29 @@ def _spans() -> Column:
     )
 
 
+def _longest(held: Column) -> Column:
+    """Those of ``span, licence`` whose span no longer one contains.
+
+    Sorted by start, longer ones first, a longer one around a span stands before it: it ends later, or there after an
+    earlier start.
+    """
+    order = F.sort_array(
+        F.transform(
+            held,
+            lambda a: F.struct(a["span"]["start"].alias("start"), (-a["span"]["stop"]).alias("back"), a["licence"].alias("licence")),
+        )
+    )
+    # Stop and start of the furthest of the spans before, as one number.
+    reach = lambda a: F.shiftleft((-a["back"]).cast("long"), 32) - a["start"]
+
+    def kept(spans: Column) -> Column:
+        before = let(F.transform(spans, reach), lambda own: running(own, F.lit(-1).cast("long"), F.greatest))
+        judged = F.zip_with(spans, before, lambda a, r: F.struct(a["licence"].alias("licence"), (r <= reach(a)).alias("out")))
+        return F.filter(judged, lambda x: x["out"])
+
+    return let(order, kept)
+
+
 def report(documents: DataFrame, sentences: DataFrame, rules: DataFrame) -> DataFrame:
     found = recognise(documents, sentences, rules)
     return found.select(

@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidegate.llm.chunks import gather
-from tidegate.llm.common import column_of, ship, text_bytes, tidy
+from tidegate.llm.common import any_names, column_of, quoted, ship, text_bytes, tidy, unused
 from tidegate.llm.decontaminate import words_of
 from tidegate.session import written
 
@@ -633,14 +633,11 @@ def _matching(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return with_words.where(9 * shared >= 4 * (F.size("words_early") + F.size("words_late"))).select("late").distinct()
 
 
-_KEY, _GONE = "_dedup_text_key", "_dedup_removed"
-
-
-def _remove_step(schema: pa.Schema, added: list[str]):
+def _remove_step(schema: pa.Schema, added: list[str], gone_name: str):
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, totals, gone = [], [], []
-            rows = zip(text_bytes(column_of(batch, "text")), column_of(batch, _GONE).to_pylist(), strict=True)
+            rows = zip(text_bytes(column_of(batch, "text")), column_of(batch, gone_name).to_pylist(), strict=True)
             for text, removed in rows:
                 lines = [] if text is None else text.split(b"\n")
                 out = set(removed or ())
@@ -660,17 +657,19 @@ def _remove_step(schema: pa.Schema, added: list[str]):
     return step
 
 
+@any_names
 def deduplicated(documents: DataFrame, counts: bool = False, frequent: int = FREQUENT) -> DataFrame:
     """The documents without removed lines; with ``counts`` also ``n_lines`` and ``n_removed``, replaced where there."""
-    lists = removed_lines(documents, frequent).groupBy("doc_id", "text_key").agg(F.collect_list("number").alias(_GONE))
-    lists = written(lists, "removed").select(F.col("text_key").alias(_KEY), _GONE)
     added = ["n_lines", "n_removed"] if counts else []
-    kept = [c for c in documents.columns if c not in added]
-    key = F.xxhash64(F.col("doc_id").cast("string"), "text").alias(_KEY)
-    rows = documents.select(*kept, key).join(lists, _KEY, "left").select(*kept, _GONE)
+    kept = [c for c in documents.columns if c.lower() not in added]
+    key_name, gone_name = (unused(n, documents.columns) for n in ("dedup_key", "dedup_removed"))
+    lists = removed_lines(documents, frequent).groupBy("doc_id", "text_key").agg(F.collect_list("number").alias(gone_name))
+    lists = written(lists, "removed").select(F.col("text_key").alias(key_name), gone_name)
+    key = F.xxhash64(F.col("doc_id").cast("string"), "text").alias(key_name)
+    rows = documents.select(*quoted(kept), key).join(lists, key_name, "left").select(*quoted(kept), gone_name)
     fields = [T.StructField(documents.schema[c].name, documents.schema[c].dataType) for c in kept]
     schema = T.StructType([*fields, *(T.StructField(n, T.LongType()) for n in added)])
-    out = rows.mapInArrow(tidy(_remove_step(to_arrow_schema(schema), added)), schema)
+    out = rows.mapInArrow(tidy(_remove_step(to_arrow_schema(schema), added, gone_name)), schema)
     if "n_chars" in kept:
         out = out.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
     return out

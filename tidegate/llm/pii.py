@@ -3,13 +3,14 @@
 Base patterns with validators (e-mail, IP address, card, phone) always count. Further generators propose spans that may
 overlap them: numbers without a plus sign, card-like numbers, written-out addresses, secrets, national numbers. Each
 candidate has a few small format and context features; the training set is the number of candidates and of confirmed
-ones for each combination of features, at most one row per combination whatever the corpus. Boosted trees of depth two
-are fitted to these counts, and for each kind the lowest score at which the wanted precision holds is its threshold.
-The trees become one SQL expression.
+ones for each combination of features, at most one row per combination and fold whatever the corpus. Boosted trees of
+depth two are fitted to these counts. For each kind the lowest score at which the wanted precision holds is its
+threshold; it is judged out of fold, by trees fitted to the other documents. The trees become one SQL expression.
 
 Confirmation is a validator's word (Luhn sum, octet range, number plan, mixture of letters and digits); validators are
 not features, so the trees judge by form and context. All work on rows is DataFrame functions. Patterns are possessive
-or bounded, so that long runs of matching characters cost linear time and no stack.
+or bounded, so that long runs of matching characters cost linear time and no stack; places, containment and context are
+found by running values and chunks (``scans``), so that very many spans in one text cost little more than their number.
 
 Cases: a null text is empty and has no spans. Repeated documents each keep their row. Offsets count code points, the
 end is exclusive. Without candidates nothing is added. A selected candidate stays, also where it
@@ -24,6 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegate.llm.scans import CHUNK, chunks_of, let, part_of, running
 from tidegate.session import written
 
 # Base kinds in their order, then the others. In each pattern a match starts where the last one ended or outside a run
@@ -49,6 +51,8 @@ KINDS = ("email", "ip", "card", "phone", "id", "secret")
 CONTEXT = r"(?i)(mail|contact|phone|tel|call|fax|mobile|card|visa|account|host|server|address|password|token|key|secret|ssn|login)"
 FEATURES = ("kind", "digits", "separated", "mixed", "before", "after", "context", "uniform")
 
+FOLDS = 4
+"""Parts of the documents whose candidates are scored by trees fitted to the other parts; copies may be in several."""
 ROUNDS = 30
 RATE = 0.3
 PRECISION = 0.9
@@ -57,22 +61,19 @@ PRECISION = 0.9
 
 def located(text: Column, pattern: str) -> Column:
     """``start, stop, value`` of the leftmost non-overlapping matches, from the matches and the pieces between them."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.split(text, pattern, -1)
-    steps = F.zip_with(
-        F.slice(pieces, 1, F.size(found)),
-        found,
-        lambda gap, value: F.struct(F.length(gap).alias("gap"), value.alias("value")),
-    )
-    none = F.array().cast("array<struct<start:int,stop:int,value:string>>")
 
-    def add(state: Column, step: Column) -> Column:
-        start = state["at"] + step["gap"]
-        stop = start + F.length(step["value"])
-        span = F.struct(start.alias("start"), stop.alias("stop"), step["value"].alias("value"))
-        return F.struct(stop.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+    def placed(found: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), 1, F.size(found))
+        steps = F.zip_with(gaps, found, lambda gap, value: F.length(gap) + F.length(value))
+        return let(steps, lambda own: F.zip_with(stops(own), found, span))
+
+    def stops(own: Column) -> Column:
+        return F.zip_with(running(own, F.lit(0), lambda x, y: x + y), own, lambda x, y: x + y)
+
+    def span(stop: Column, value: Column) -> Column:
+        return F.struct((stop - F.length(value)).alias("start"), stop.alias("stop"), value.alias("value"))
 
-    return F.aggregate(steps, F.struct(F.lit(0).alias("at"), none.alias("spans")), add, lambda s: s["spans"])
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
 
 
 def _digits(value: Column) -> Column:
@@ -113,6 +114,10 @@ def confirmed(kind: str, value: Column) -> Column:
     digits = _digits(value)
     if kind == "card":
         return F.when(F.length(digits).between(13, 19), luhn(digits)).otherwise(F.lit(False))
+    if kind == "email":  # labels of a host neither start nor end with a hyphen, the last one is of letters
+        return ~value.rlike(r"^\.|\.\.|\.@|@-|-\.[A-Za-z0-9-]+$|\.-") & value.rlike(
+            r"(?i)(?:\.|[\[(]dot[\])])\s?[a-z]{2,}$"
+        )
     if kind == "phone":
         return digits.rlike("^[2-9][0-9]{2}[2-9][0-9]{6}$")
     if kind == "id":
@@ -141,24 +146,36 @@ def _needed(kind: str, extra: bool) -> Column:
     return F.col("digit")
 
 
-def _features(kind: str, value: Column, start: Column, stop: Column) -> Column:
+def _with_sides(spans: str) -> Column:
+    """The spans with the up to 24 characters before (``left``) and the one behind them (``right``)."""
+    chunks = F.col("chunks")
+    chunk = lambda place: F.floor(place / CHUNK).cast("int")
+
+    def add(s: Column) -> Column:
+        begin = F.greatest(s["start"] - 24, F.lit(0))
+        around = F.concat_ws("", F.get(chunks, chunk(begin)), F.get(chunks, chunk(begin) + 1))
+        left = F.substring(around, begin % CHUNK + 1, s["start"] - begin)
+        right = F.substring(F.coalesce(F.get(chunks, chunk(s["stop"])), F.lit("")), s["stop"] % CHUNK + 1, F.lit(1))
+        return F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["value"].alias("value"), left.alias("left"), right.alias("right"))
+
+    return F.transform(spans, add)
+
+
+def _features(kind: str, s: Column) -> Column:
+    value, left, right = s["value"], s["left"], s["right"]
     count = F.length(_digits(value))
     edges = (0, 7, 9, 12, 15, 16, 19)
     bucket = sum((F.when(count > e, 1).otherwise(0) for e in edges), F.lit(0))
-    before = F.when(start > 0, F.substring("text", start, F.lit(1))).otherwise(F.lit(" "))
-    after = F.substring("text", stop + 1, F.lit(1))
-    left = F.greatest(start - 24, F.lit(0))
-    context = F.substring("text", left + 1, start - left)
     flag = lambda c: F.when(c, 1).otherwise(0)
-    side = lambda c: F.when(c.rlike(r"^\s?$"), 0).when(c.rlike(r"^[\p{L}\p{N}]$"), 2).otherwise(1)
+    side = lambda c, blank, word: F.when(c.rlike(blank), 0).when(c.rlike(word), 2).otherwise(1)
     return F.array(
         F.lit(KINDS.index(kind)),
         bucket,
         flag(value.rlike(r"[\x20().-]")),
         flag(value.rlike("[0-9]") & value.rlike("[A-Za-z]")),
-        side(before),
-        side(after),
-        flag(context.rlike(CONTEXT)),
+        side(left, r"(?:^|\s)\z", r"[\p{L}\p{N}]\z"),
+        side(right, r"^\s?$", r"^[\p{L}\p{N}]$"),
+        flag(left.rlike(CONTEXT)),
         flag(_digits(value).rlike(r"^([0-9])\1+$")),
     ).cast("array<int>")
 
@@ -176,13 +193,13 @@ def _candidate(kind: str, check):
         F.lit(kind).alias("kind"),
         s["start"].alias("start"),
         s["stop"].alias("stop"),
-        _features(kind, s["value"], s["start"], s["stop"]).alias("features"),
+        _features(kind, s).alias("features"),
         check(kind, s["value"]).alias("confirmed"),
     )
 
 
 def candidates(documents: DataFrame) -> DataFrame:
-    """``doc_id``, ``base`` spans and all ``proposed`` spans with features and confirmation, a row per document."""
+    """``doc_id, fold``, ``base`` spans and all ``proposed`` spans with features and confirmation, a row per document."""
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("digit", F.col("text").rlike("[0-9]"))
     none = F.array().cast("array<struct<start:int,stop:int,value:string>>")
@@ -194,11 +211,13 @@ def candidates(documents: DataFrame) -> DataFrame:
                 name, F.when(_needed(kind, extra), located(F.col("text"), pattern)).otherwise(none)
             )
     base = [F.transform(F.filter(n, _passing(kind)), _base_span(kind)) for n, kind, extra in names if not extra]
-    proposed = [F.transform(n, _candidate(kind, confirmed if extra else valid)) for n, kind, extra in names]
+    checks = [(n, kind, confirmed if extra or kind == "email" else valid) for n, kind, extra in names]
+    proposed = [F.transform(_with_sides(n), _candidate(kind, check)) for n, kind, check in checks]
     some = (F.size(F.concat(*[F.col(n) for n, _, _ in names])) > 0).alias("some")
-    rows = rows.select("*", some)
+    rows = rows.select("*", some).withColumn("chunks", F.when(F.col("some"), chunks_of(F.col("text"))))
     return rows.select(
         "doc_id",
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(FOLDS)).cast("int").alias("fold"),
         F.when(F.col("some"), F.concat(*base)).otherwise(F.array()).alias("base"),
         F.when(F.col("some"), F.concat(*proposed)).otherwise(F.array()).alias("proposed"),
     )
@@ -261,12 +280,17 @@ def value_of(trees: list[Tree], features: tuple[int, ...]) -> float:
 
 def thresholds(rows, trees: list[Tree], precision: float = PRECISION) -> dict[str, float]:
     """Per kind, the lowest score from which on at least ``precision`` of the candidates are confirmed."""
+    return limits_of([(x, n, y, value_of(trees, x)) for x, n, y in rows], precision)
+
+
+def limits_of(judged, precision: float = PRECISION) -> dict[str, float]:
+    """As :func:`thresholds`, of ``features, all, confirmed, score``."""
     out = {}
     for k, kind in enumerate(KINDS):
         own: dict[float, list[int]] = {}
-        for x, n, y in rows:
+        for x, n, y, score in judged:
             if x[0] == k:
-                sums = own.setdefault(round(value_of(trees, x), 6), [0, 0])
+                sums = own.setdefault(round(score, 6), [0, 0])
                 sums[0] += n
                 sums[1] += y
         n = y = 0
@@ -277,6 +301,28 @@ def thresholds(rows, trees: list[Tree], precision: float = PRECISION) -> dict[st
     return out
 
 
+def calibrated(counts, precision: float = PRECISION) -> tuple[list[Tree], dict[str, float]]:
+    """Trees for all ``fold, features, all, confirmed``, and thresholds from scores by trees that did not see the fold.
+
+    Where all candidates are of one fold there is nothing apart to judge by; the trees of all of them do.
+    """
+
+    def summed(rows) -> list[tuple[tuple[int, ...], int, int]]:
+        total: dict[tuple[int, ...], list[int]] = {}
+        for _, x, n, y in rows:
+            sums = total.setdefault(x, [0, 0])
+            sums[0] += n
+            sums[1] += y
+        return [(x, n, y) for x, (n, y) in total.items()]
+
+    trees = boosted(summed(counts))
+    judged = []
+    for fold in sorted({c[0] for c in counts}):
+        others = boosted(summed([c for c in counts if c[0] != fold])) or trees
+        judged += [(x, n, y, value_of(others, x)) for k, x, n, y in counts if k == fold]
+    return trees, limits_of(judged, precision)
+
+
 def _tree_sql(tree, features: str) -> str:
     if not isinstance(tree, tuple):
         return f"{tree!r}D"
@@ -287,47 +333,63 @@ def _tree_sql(tree, features: str) -> str:
 def spans(documents: DataFrame, precision: float = PRECISION) -> DataFrame:
     """``doc_id``, ``base`` and ``added`` spans (kind, start, stop) of every document."""
     found = written(candidates(documents), "spans")
-    # At most one row per combination of features.
+    # At most one row per combination of features in each fold.
     table = (
-        found.select(F.explode("proposed").alias("p"))
-        .groupBy(F.col("p.features").alias("features"))
+        found.select("fold", F.explode("proposed").alias("p"))
+        .groupBy("fold", F.col("p.features").alias("features"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("p.confirmed").cast("long")).alias("y"))
         .collect()
     )
-    rows = [(tuple(r.features), r.n, r.y) for r in table]
-    trees = boosted(rows)
-    limits = thresholds(rows, trees, precision)
+    trees, limits = calibrated([(r.fold, tuple(r.features), r.n, r.y) for r in table], precision)
     score = " + ".join(_tree_sql(t, "p.features") for t in trees) or "0.0D"
     limit = "".join(f" when '{k}' then {v!r}D" for k, v in limits.items())
     chosen = F.expr(
         f"""filter(
             transform(
-                filter(proposed, p -> not exists(base, b -> b.start <= p.start and p.stop <= b.stop)),
+                proposed,
                 p -> named_struct('kind', p.kind, 'start', p.start, 'stop', p.stop, 'score', {score})
             ),
             p -> p.score >= {f"case p.kind{limit} else double('inf') end" if limit else "double('inf')"}
         )"""
     )
-    added = outermost("chosen")
     return (
         found.where("size(proposed) > 0")
         .withColumn("chosen", chosen)
-        .select("doc_id", "base", F.array_distinct(added).alias("added"))
+        .select("doc_id", "base", outermost("chosen", "base").alias("added"))
         .unionByName(found.where("size(proposed) = 0").select("doc_id", "base", F.col("base").alias("added")))
     )
 
 
-def outermost(chosen: str) -> Column:
-    """The spans that no other one contains wholly; of equal ranges the best (score, then kind). Such a one is kept."""
-    around = (
-        "q.start <= p.start and p.stop <= q.stop and "
-        "struct(q.stop - q.start, q.score, q.kind) > struct(p.stop - p.start, p.score, p.kind)"
-    )
-    return F.expr(
-        f"""transform(
-            filter({chosen}, p -> not exists({chosen}, q -> {around})),
-            p -> named_struct('kind', p.kind, 'start', p.start, 'stop', p.stop)
-        )"""
+def outermost(chosen: str, base: str | None = None) -> Column:
+    """The spans that no other one, and none of ``base``, contains wholly; of equal ranges the best (score, then kind).
+
+    Sorted by start, longer and better ones first, a span lies within another one if an earlier one reaches its end.
+    """
+    names = F.lit(sorted(KINDS))
+
+    def ranked(place: int, score):
+        return lambda s: F.struct(
+            s["start"].alias("start"),
+            (-s["stop"]).alias("back"),
+            F.lit(place).alias("place"),
+            (-score(s)).alias("worse"),
+            (-F.array_position(names, s["kind"])).alias("name"),
+            s["kind"].alias("kind"),
+        )
+
+    every = F.transform(chosen, ranked(1, lambda s: s["score"]))
+    if base:
+        every = F.concat(F.transform(base, ranked(0, lambda s: F.lit(0.0))), every)
+
+    def alone(order: Column) -> Column:
+        ends = F.transform(order, lambda s: -s["back"])
+        reached = let(ends, lambda e: running(e, F.lit(-1), F.greatest))
+        judged = F.zip_with(order, reached, lambda s, r: F.struct(s.alias("s"), (r < -s["back"]).alias("out")))
+        return F.filter(judged, lambda x: x["out"] & (x["s"]["place"] == 1))
+
+    return F.transform(
+        let(F.sort_array(every), alone),
+        lambda x: F.struct(x["s"]["kind"].alias("kind"), x["s"]["start"].alias("start"), (-x["s"]["back"]).alias("stop")),
     )
 
 
@@ -336,19 +398,22 @@ def redacted(documents: DataFrame, mark: str = "[{}]", precision: float = PRECIS
     whole = documents.select(F.struct(F.col("doc_id").alias("id"), "text").alias("doc_id"), "text")
     found = spans(whole, precision).withColumnRenamed("doc_id", "row")
     every = F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(s["start"], s["stop"], s["kind"])))
-    text = F.coalesce("row.text", F.lit(""))
-
-    def add(state: Column, s: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
-        head, _, tail = mark.partition("{}")
-        name = F.when(s["start"] >= state["at"], F.concat(F.lit(head), s["kind"], F.lit(tail))).otherwise(F.lit(""))
-        return F.struct(
-            F.greatest(state["at"], s["stop"]).alias("at"), F.concat(state["text"], gap, name).alias("text")
-        )
+    head, _, tail = mark.partition("{}")
+
+    def marked(order: Column) -> Column:
+        return let(F.transform(order, lambda s: s["stop"]), lambda stops: pieces(order, stops))
+
+    def pieces(order: Column, stops: Column) -> Column:
+        def piece(s: Column, at: Column) -> Column:
+            name = F.concat(F.lit(head), s["kind"], F.lit(tail))
+            return F.when(s["start"] >= at, F.concat(part_of(F.col("chunks"), at, s["start"]), name)).otherwise("")
+
+        end = F.coalesce(F.array_max(stops), F.lit(0))
+        rest = part_of(F.col("chunks"), end, F.length("row.text"))
+        return F.concat(F.array_join(F.zip_with(order, running(stops, F.lit(0), F.greatest), piece), ""), rest)
 
-    end = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
-    done = F.aggregate(every, end, add, lambda s: F.concat(s["text"], F.substring(text, s["at"] + 1, F.length(text))))
-    return found.select(F.col("row.id").alias("doc_id"), F.when(F.col("row.text").isNotNull(), done).alias("text"))
+    done = found.withColumn("chunks", chunks_of(F.coalesce("row.text", F.lit("")))).withColumn("done", let(every, marked))
+    return done.select(F.col("row.id").alias("doc_id"), F.when(F.col("row.text").isNotNull(), F.col("done")).alias("text"))
 
 
 def listed(column: str) -> Column:

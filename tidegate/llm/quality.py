@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidegate.llm.common import column_of, ship, text_bytes, tidy
+from tidegate.llm.common import any_names, column_of, quoted, ship, text_bytes, tidy, unused
 from tidegate.session import written
 
 MAX_TRAIN = 100_000
@@ -230,12 +230,13 @@ def fit(documents: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) ->
     return Model(fourier, solve(whole), np.clip(np.interp(np.arange(BINS), at, steps), 0, 1))
 
 
-def scored(documents: DataFrame, model: Model, columns: list[str] | None = None) -> DataFrame:
-    """The documents, or the named columns, with ``score``."""
+@any_names
+def scored(documents: DataFrame, model: Model, columns: list[str] | None = None, name: str = "score") -> DataFrame:
+    """The documents, or the named columns, with their score as ``name``."""
     ship(documents.sparkSession)
-    columns = [c for c in columns or documents.columns if c != "score"]
+    columns = [c for c in columns or documents.columns if c.lower() != name.lower()]
     kept = [documents.schema[c] for c in columns]
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in kept] + [T.StructField("score", T.DoubleType())])
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in kept] + [T.StructField(name, T.DoubleType())])
     arrow = to_arrow_schema(schema)
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -244,7 +245,7 @@ def scored(documents: DataFrame, model: Model, columns: list[str] | None = None)
             data = [column_of(batch, c).cast(arrow.field(c).type) for c in columns]
             yield pa.RecordBatch.from_arrays([*data, score], schema=arrow)
 
-    return documents.select(*dict.fromkeys([*columns, "text"])).mapInArrow(tidy(step), schema)
+    return documents.select(*quoted(dict.fromkeys([*columns, "text"]))).mapInArrow(tidy(step), schema)
 
 
 def report(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -258,8 +259,9 @@ def report(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD
     )
 
 
+@any_names
 def accepted(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the model does not reject."""
-    shielded = documents.withColumnRenamed("score", "_score") if "score" in documents.columns else documents
-    kept = scored(shielded, fit(documents, labels)).where(F.col("score") >= threshold).drop("score")
-    return kept.withColumnRenamed("_score", "score").select(*documents.columns)
+    name = unused("score", documents.columns)
+    kept = scored(documents, fit(documents, labels), name=name).where(F.col(name) >= threshold)
+    return kept.select(*quoted(documents.columns))
