@@ -167,3 +167,18 @@ def test_whole_load_into_a_list(spark, folder):
     assert sorted(r.k for r in checked) == ["5000", "bad"]
     staged = read_work(spark, f"{folder}/work/t/staged")
     assert len(listed.for_deletes(spark, name, staged, ONE_KEY).inputFiles()) <= 2
+
+
+def test_rows_of_a_file_are_bounded(spark, folder, monkeypatch):
+    # A file is sorted in one task: however few bytes the rows compress to, no task gets all of a large load.
+    monkeypatch.setattr(listed, "FILE_ROWS", 2_000)
+    name, root = f"listed_{random.randrange(10**9)}", f"{folder}/rows"
+    listed.create_listed(big_target(spark, 20_000), name, root, "v0", ["k"], files=1)
+    made = listed.listing(spark, name).live
+    assert len(made) >= 10 and max(f.row_cnt for f in made) <= 4_000
+    work = changes(spark, [(str(k), "new", "U") for k in range(0, 20_000, 2)] + [(str(k), "added", "U") for k in range(20_000, 30_000)])
+    want = as_set(merge.merge_work(spark.table(name), work, ONE_KEY, CTX))
+    listed.merge_listed(name, work, ONE_KEY, CTX, root, "v1")
+    after = listed.listing(spark, name).live
+    assert max(f.row_cnt for f in after) <= 4_000 and sum(f.row_cnt for f in after) == 30_000
+    assert as_set(spark.table(name)) == want

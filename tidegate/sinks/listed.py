@@ -34,6 +34,9 @@ from tidegate.session import remove_folder, written
 FILE_BYTES = 256 * 1024**2
 """Size that new files are meant to have."""
 
+FILE_ROWS = 1_000_000
+"""Most rows a new file is meant to have: a file is sorted in one task, whose memory this bounds."""
+
 MAX_FOLDERS = 64
 RANGES = 200
 """Ranges that the wanted keys are summed up as."""
@@ -75,7 +78,7 @@ class Listing:
 def create_listed(rows: DataFrame, table: str, root: str, version: str, keys: Sequence[str], files: int = 1) -> None:
     """A new target with the given rows, in about ``files`` files."""
     key = keys[0] if keys else None
-    folder, found = _write(rows, root, version, keys, files)
+    folder, found = _write(rows, root, version, keys, _files(files, rows.count()))
     _point(rows.sparkSession, table, rows.schema, found, key, root, folder)
 
 
@@ -175,8 +178,10 @@ def merge_listed(
     old = read_files(spark, schema, touched)
     content = merge.merge_work(old, work, spec, ctx)
     share = sum(f.byte_cnt for f in found.live) / max(1, sum(f.row_cnt for f in found.live))
-    size = sum(f.byte_cnt for f in touched) + share * rows.count()
-    _replace(spark, table, schema, found, touched, content, spec, root, version, keep_old, max(1, round(size / file_bytes)))
+    new = rows.count()
+    size = sum(f.byte_cnt for f in touched) + share * new
+    files = _files(round(size / file_bytes), sum(f.row_cnt for f in touched) + new)
+    _replace(spark, table, schema, found, touched, content, spec, root, version, keep_old, files)
 
 
 def replace_listed(
@@ -188,10 +193,16 @@ def replace_listed(
     found, schema = listing(spark, table), spark.table(table).schema
     content = merge.replacement_rows(spark.createDataFrame([], schema), work, spec, ctx)
     share = sum(f.byte_cnt for f in found.live) / max(1, sum(f.row_cnt for f in found.live))
-    files = max(1, round(share * work.count() / file_bytes))
+    new = work.count()
+    files = _files(round(share * new / file_bytes), new)
     _replace(spark, table, schema, found, found.live, content, spec, root, version, keep_old, files)
 
 
+def _files(by_size: int, row_cnt: int) -> int:
+    """Files for so many rows: as by size, but no more than ``FILE_ROWS`` rows in one."""
+    return max(1, by_size, -(-row_cnt // FILE_ROWS))
+
+
 def _foldable(live: Sequence[File], max_folders: int) -> list[File]:
     """Files of the smallest folders, so many that half of the allowed number is left, once there are too many."""
     folders: dict[str, list[File]] = {}
