@@ -276,3 +276,13 @@ def test_one_of_each_group_passes_columns_of_any_name(spark, odd):
     assert {r["kept_id"] for r in rows} == {1} and {r["a.b"] for r in rows} == {2}
     # Texts without words are one group, equal texts another; rows that share an id are one document.
     assert sorted(r.doc_id for r in rows if r.doc_id in (3, 4, 5, 8, 9)) == [3, 8, 8]
+
+
+def test_kept_ids_meet_the_documents_by_a_shuffle(spark):
+    """The kept ids grow with the documents, so even a few of them are not broadcast through the driver."""
+    docs = spark.createDataFrame([(n, f"text number {n} of its own") for n in range(20)], "doc_id long, text string")
+    got = simhash.one_of_each_group(docs)
+    assert {r.doc_id for r in got.collect()} == set(range(20))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    semi = [line for line in plan.splitlines() if "LeftSemi" in line]
+    assert semi and all("SortMergeJoin" in line for line in semi), plan

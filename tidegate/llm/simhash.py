@@ -265,4 +265,5 @@ def one_of_each_group(documents: DataFrame, size: int = 3, radius: int = RADIUS)
     found = grouped(fingerprints(documents, size), radius)
     kept = written(found.where("doc_id <=> component_id").select("doc_id").distinct(), "kept")
     same = F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
-    return documents.alias("d").join(kept.alias("k"), same, "left_semi")
+    # The kept ids grow with the documents: they meet them by a shuffle at every size, never whole through the driver.
+    return documents.alias("d").join(kept.alias("k").hint("shuffle_merge"), same, "left_semi")
